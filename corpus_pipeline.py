@@ -22,15 +22,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
+def counted(docs: DataFrame, text) -> DataFrame:
+    """docs with another text and, where it has that column, its number of characters."""
+    out = docs.withColumn("text", text)
+    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document (or place) has; texts that lose all go."""
-    return sadedup.without_repeats(docs)
+    return counted(sadedup.without_repeats(docs), F.col("text"))
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by placeholders."""
     found = pii.find_personal_data(docs)
-    return found.withColumn("text", pii.sanitised(F.coalesce("text", F.lit("")), F.col("spans"), F.col("weights"))).select(*docs.columns)
+    clean = pii.sanitised(F.coalesce("text", F.lit("")), F.col("spans"), F.col("weights"))
+    return counted(found.withColumn("text", clean).select(*docs.columns), F.col("text"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

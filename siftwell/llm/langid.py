@@ -212,3 +212,19 @@ def identify_language(df: DataFrame, langs: list[str], prob: np.ndarray, path: s
 
     source = df.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return source.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")
+
+
+def keep_language(df: DataFrame, langs: list[str], prob: np.ndarray, path: str, text_col: str = "text") -> DataFrame:
+    """The rows of df, with all columns, whose text is in some learned language: those of `und` go. No shuffle."""
+    sent = df.sparkSession.sparkContext.broadcast((langs, prob))
+
+    @F.pandas_udf("boolean")
+    def known(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(path, sent.value[1])
+        for s in texts:
+            # the last column counts words; a text is `und` only without any
+            yield pd.Series(np.concatenate([scorer.score(s.iloc[at : at + 500].tolist())[:, -1] > 0 for at in range(0, len(s), 500)]) if len(s) else np.zeros(0, bool))
+
+    if not langs:
+        return df.limit(0)
+    return df.where(known(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))

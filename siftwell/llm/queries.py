@@ -61,7 +61,8 @@ def packing_path() -> str:
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"] < 4)
-    counts = [F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS[:4])]
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    counts = [count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS[:4])]
     return found.select("doc_id", *counts, F.sha2(pii.span_list(base), 256).alias("base_sha256"), pii.span_list(F.col("spans")).alias("spans"))
 
 

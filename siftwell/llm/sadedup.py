@@ -20,6 +20,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -206,7 +207,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, text=2):
         d, keys, places, segments = [], [], [], []
-        for doc, text, rows in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+        for doc, text, rows in zip(b.column("d").to_pylist(), b.column("text").to_pylist(), b.column("rows").to_pylist()):
             for r in rows:
                 first, count = r["packed"] >> 8, r["packed"] & 255
                 d.append(doc)
@@ -264,15 +265,19 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found
 
 
+def _gone(size: int, spans) -> np.ndarray:
+    edge = np.zeros(size + 1, np.int32)
+    if len(spans):
+        np.add.at(edge, [s["start"] for s in spans], 1)
+        np.add.at(edge, [s["stop"] for s in spans], -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
 def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
         out = []
         for text, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-            edge = np.zeros(len(text) + 1, np.int32)
-            if spans:
-                np.add.at(edge, [s["start"] for s in spans], 1)
-                np.add.at(edge, [s["stop"] for s in spans], -1)
-            gone = np.cumsum(edge[:-1]) > 0
+            gone = _gone(len(text), spans or [])
             start, stop = _runs(gone)
             kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if len(start) else text
             out.append((len(text), int(gone.sum()), len(start), [{"start": a, "stop": z} for a, z in zip(start.tolist(), stop.tolist())], hashlib.sha256(kept).hexdigest()))
@@ -316,6 +321,29 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return copies.union(dealt.mapInArrow(_chunk_rows, f"d {kind}, start long, stop long"))
 
 
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """df with repeated passages taken out of its texts; rows that lose their whole text go.
+
+    Cuts never leave half a character: what is left of one goes too. Null texts stay null.
+    """
+    rows = df.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"), F.struct(*df.columns).alias("__row"))
+    docs = rows.select(document_key(rows, "__id").alias("d"), "__id", "text", "__row")
+    spans = repeated_spans(docs).groupBy("d").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        out = []
+        for text, own in zip(texts, spans):
+            gone = _gone(len(text), own if own is not None else [])
+            out.append(np.frombuffer(text, np.uint8)[~gone].tobytes().decode(errors="ignore"))
+        return pd.Series(out)
+
+    marked = docs.join(spans, "d", "left")
+    left = F.when(F.col("spans").isNotNull(), cut("text", "spans")).otherwise(F.col(f"__row.`{text_col}`").cast("string"))
+    marked = marked.select("__row", left.alias("__left"), F.col("spans").isNotNull().alias("__cut")).where("not (__cut and __left = '')")
+    return marked.select(*[F.col("__left").alias(c) if c == text_col else F.col(f"__row.`{c}`").alias(c) for c in df.columns])
+
+
 def repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_bytes, n_removed, n_spans, spans, kept_sha256) of every row; spans are the byte runs to remove.
 

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import connected, durable, shuffle_partitions, slices
@@ -208,3 +208,27 @@ def near_duplicates(df: DataFrame, bits: int = 2, width: int = 3, id_col: str =
     # of each fingerprint the id of its component: one row a fingerprint, joined back to the rows
     ids = named.join(roots, "component").select("fp", "component_id")
     return rows.join(ids, "fp").select(id_col, "fp", "component_id")
+
+
+def keep_one(df: DataFrame, bits: int = 2, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of df, with all columns, that stand for their group of near duplicates: those of the smallest id.
+
+    Rows of null id stay only where their group has no other, and of repeated ids (and of null ids) one row
+    stays, that of the smallest text hash.
+    """
+    groups = durable(near_duplicates(df, bits, width, id_col, text_col))
+    own = groups.select(F.col(id_col).alias("__id"), F.col("component_id").alias("__group"), F.col("fp").alias("__fp"))
+    odd = df.groupBy(id_col).agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col(id_col).isNull())
+    if odd.isEmpty():
+        goes = own.where(F.col("__id") != F.col("__group")).select("__id")
+        return df.join(goes, F.col(id_col) == F.col("__id"), "left_anti")
+
+    @F.pandas_udf("long")
+    def code(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, width) for t in texts], "<u8").view("<i8"))
+
+    known = own.select("__fp", "__group").distinct()
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = df.withColumn("__fp2", code(text.cast("binary"))).join(known, F.col("__fp2") == F.col("__fp"))
+    first = Window.partitionBy(F.coalesce(F.col("__group").cast("string"), F.concat(F.lit("fp"), "__fp"))).orderBy(F.col(id_col).asc_nulls_last(), F.xxhash64(text))
+    return rows.withColumn("__place", F.row_number().over(first)).where("__place = 1").select(*df.columns)
