@@ -22,6 +22,11 @@ def _blocks(df: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int
     return rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")), n
 
 
+def _renamed(rows: DataFrame, value: str) -> DataFrame:
+    """The right side of a cogroup of rows with themselves: columns of its own, as the two sides must share none."""
+    return rows.select(F.col("id").alias("id2"), F.col(value).alias(f"{value}2"), F.col("block").alias("other"))
+
+
 def _unit(v: pd.Series) -> np.ndarray:
     m = np.stack(v.to_list()).astype(np.float64)
     norm = np.linalg.norm(m, axis=1, keepdims=True)
@@ -32,14 +37,14 @@ def cosine_pairs(df: DataFrame, least: float, id_col: str = "vec_id", vector_col
     """(a, b, cosine) of all pairs a < b of at least this cosine. Zero vectors match nothing."""
     rows, n = _blocks(df, id_col, vector_col)
     left = rows.withColumn("other", F.explode(F.sequence(F.col("block"), F.lit(n - 1))))
-    right = rows.withColumnRenamed("block", "other").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("other"))))
+    right = _renamed(rows, "v").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("other"))))
 
     def meet(key: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        if not len(x) or not len(y):
+        if not len(x) or not len(y):  # an empty side has no columns either
             return pd.DataFrame({"a": [], "b": [], "cosine": []})
-        s = _unit(x["v"]) @ _unit(y["v"]).T
+        s = _unit(x["v"]) @ _unit(y["v2"]).T
         i, j = np.nonzero(s >= least)
-        a, b, c = x["id"].to_numpy()[i], y["id"].to_numpy()[j], s[i, j]
+        a, b, c = x["id"].to_numpy()[i], y["id2"].to_numpy()[j], s[i, j]
         keep = a < b if key[0] == key[1] else a != b
         a, b, c = a[keep], b[keep], c[keep]
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "cosine": c})
@@ -51,17 +56,17 @@ def cosine_top_k(df: DataFrame, k: int, id_col: str = "vec_id", vector_col: str
     """(id, rank, neighbour, cosine): the k nearest other rows of every row, ties to the smaller id."""
     rows, n = _blocks(df, id_col, vector_col)
     left = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    right = rows.withColumnRenamed("block", "other").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    right = _renamed(rows, "v").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
 
     def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(y):
             return pd.DataFrame({"id": [], "neighbour": [], "cosine": []})
-        y = y.sort_values("id")
-        s = np.round(_unit(x["v"]) @ _unit(y["v"]).T, 9)
-        s[x["id"].to_numpy()[:, None] == y["id"].to_numpy()[None]] = -np.inf
+        y = y.sort_values("id2")
+        s = np.round(_unit(x["v"]) @ _unit(y["v2"]).T, 9)
+        s[x["id"].to_numpy()[:, None] == y["id2"].to_numpy()[None]] = -np.inf
         best = np.argsort(-s, axis=1, kind="stable")[:, :k]
         i = np.repeat(np.arange(len(x)), best.shape[1])
-        out = pd.DataFrame({"id": x["id"].to_numpy()[i], "neighbour": y["id"].to_numpy()[best.ravel()], "cosine": s[i, best.ravel()]})
+        out = pd.DataFrame({"id": x["id"].to_numpy()[i], "neighbour": y["id2"].to_numpy()[best.ravel()], "cosine": s[i, best.ravel()]})
         return out[np.isfinite(out["cosine"])]
 
     near = left.groupBy("block", "other").cogroup(right.groupBy("block", "other")).applyInPandas(meet, "id long, neighbour long, cosine double")
@@ -92,18 +97,18 @@ def hamming_pairs(df: DataFrame, most: int, id_col: str = "id", code_col: str =
     n = max(1, -(-df.count() // BLOCK))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
     left = rows.withColumn("other", F.explode(F.sequence(F.col("block"), F.lit(n - 1))))
-    right = rows.withColumnRenamed("block", "other").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("other"))))
+    right = _renamed(rows, "code").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("other"))))
 
     def meet(key: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(y):
             return pd.DataFrame({"a": [], "b": [], "distance": []})
         out = []
-        cy = y["code"].to_numpy(np.int64).view(np.uint64)
+        cy = y["code2"].to_numpy(np.int64).view(np.uint64)
         for at in range(0, len(x), 512):
             part = x.iloc[at : at + 512]
             d = np.bitwise_count(part["code"].to_numpy(np.int64).view(np.uint64)[:, None] ^ cy[None])
             i, j = np.nonzero(d <= most)
-            a, b = part["id"].to_numpy()[i], y["id"].to_numpy()[j]
+            a, b = part["id"].to_numpy()[i], y["id2"].to_numpy()[j]
             keep = a < b if key[0] == key[1] else a != b
             out.append(pd.DataFrame({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep], "distance": d[i, j][keep].astype(np.int32)}))
         return pd.concat(out)

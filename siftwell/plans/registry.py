@@ -169,7 +169,7 @@ def motion_score(spark, d):
     return m.select("l_orderkey", F.round(S.motion_score(F.col("mm"), F.col("cr")), 6).alias("motion_score"))
 
 
-@query("SELECT vec_id, round(list_sum(list_transform(embedding, x -> x::DOUBLE / sqrt(list_sum(list_transform(embedding, y -> y::DOUBLE * y::DOUBLE))))), 5) AS total FROM embeddings")
+@query("SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE / sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])))), 5) AS total FROM embeddings")
 def l2_normalise(spark, d):
     u = S.l2_normalised(F.col("embedding"))
     return t(spark, d, "embeddings").select("vec_id", F.round(F.aggregate(u, F.lit(0.0), lambda s, x: s + x), 5).alias("total"))
@@ -300,8 +300,6 @@ SELECT user_id, island::BIGINT AS island, event_type, count(*) AS n, count(*) FI
 def gap_islands(spark, d):
     err = F.when(F.col("event_type") == "error", F.col("event_id").cast("string"))
     e = t(spark, d, "events")
-    first = e.groupBy().agg(F.count("*"))
-    del first
     out = profile.consecutive_rollup(e, ["ts", "event_id"], "event_type", "user_id", F.col("event_type") != "error", err)
     return out.select("user_id", "island", "event_type", "n", "ok", "failed", "first_error")
 
@@ -309,10 +307,10 @@ def gap_islands(spark, d):
 @query("""WITH u AS (SELECT user_id, max(value) * 10 dur FROM events GROUP BY 1),
 t AS (SELECT user_id, round(least(greatest(value, 0), dur), 6) s FROM events JOIN u USING (user_id) UNION SELECT user_id, 0 FROM u UNION SELECT user_id, round(dur, 6) FROM u),
 r AS (SELECT user_id, lead(s) OVER (PARTITION BY user_id ORDER BY s) - s l FROM t)
-SELECT user_id, count(l)::INT AS n, (count(*) FILTER (l > 10))::INT AS long, (count(*) FILTER (l < 2))::INT AS short, round(avg(l), 6) AS mean_len FROM r GROUP BY 1""")
+SELECT user_id, count(l)::INT AS n, (count(*) FILTER (l > 10))::INT AS long, (count(*) FILTER (l < 2))::INT AS short, round(avg(l), 4) AS mean_len FROM r GROUP BY 1""")
 def range_stats(spark, d):
     u = t(spark, d, "events").groupBy("user_id").agg(F.collect_list("value").alias("ticks"), (F.max("value") * 10).alias("dur"))
-    return timeline.range_stats(u, "user_id", "ticks", "dur")
+    return timeline.range_stats(u, "user_id", "ticks", "dur").withColumn("mean_len", F.round("mean_len", 4))
 
 
 @query("""SELECT CASE WHEN l < 2 THEN '<2s' WHEN l <= 10 THEN '2~10s' ELSE '>10s' END AS bucket, count(*) AS n FROM (SELECT l_quantity / 4 l FROM lineitem) GROUP BY 1""")
@@ -340,7 +338,7 @@ def cosine_topk(spark, d):
     return similarity.cosine_top_k(t(spark, d, "embeddings"), 5).select("id", "rank", "neighbour")
 
 
-_CODE = "SELECT vec_id AS id, list_reduce(list_transform(list_reverse(embedding[1:63]), x -> CASE WHEN x > 0 THEN 1::BIGINT ELSE 0::BIGINT END), (s, b) -> s * 2 + b) AS code FROM embeddings"
+_CODE = "SELECT vec_id AS id, list_reduce(list_transform(list_reverse(embedding[1:63]), lambda x: CASE WHEN x > 0 THEN 1::BIGINT ELSE 0::BIGINT END), lambda s, b: s * 2 + b) AS code FROM embeddings"
 
 
 def _codes(spark, d):
@@ -497,7 +495,7 @@ def steps_per_epoch(spark, d):
 
 
 @query("""WITH l AS (SELECT l_orderkey, list(l_linenumber ORDER BY l_linenumber) a FROM lineitem GROUP BY 1)
-SELECT l_orderkey, array_to_string(list_transform(generate_series(0, 3), i -> a[round_even(i * (len(a) - 1) / 3.0::DOUBLE, 0)::INT + 1]), ',') AS picked FROM l""")
+SELECT l_orderkey, array_to_string(list_transform(generate_series(0, 3), lambda i: a[round_even(i * (len(a) - 1) / 3.0::DOUBLE, 0)::INT + 1]), ',') AS picked FROM l""")
 def uniform_pick(spark, d):
     rows = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_linenumber")).alias("a"))
     return rows.select("l_orderkey", F.array_join(G.uniform_pick(F.col("a"), 4), ",").alias("picked"))
