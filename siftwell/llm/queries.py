@@ -74,10 +74,10 @@ QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_spotsigs, op4_
 
 _OP4 = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(1024::DOUBLE * x::DOUBLE)) AS e
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024::DOUBLE * x::DOUBLE)) AS e
     FROM embeddings
     WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
     SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
     FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
