@@ -7,6 +7,7 @@ import hashlib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def clip_id(video: Column, clip: Column, split: Column) -> Column:
@@ -33,7 +34,7 @@ def join_relative(root: str, path: Column) -> Column:
     return F.when(path.startswith("/"), F.raise_error(F.concat(F.lit("absolute path: "), path))).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def blake_id(source: pd.Series, batch: pd.Series, path: pd.Series, member: pd.Series) -> pd.Series:
     """video- and 64 bits of BLAKE2b over source, batch, path and, if there is one, member; Spark has no such digest."""
     out = []
