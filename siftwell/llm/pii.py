@@ -29,7 +29,7 @@ PATTERNS = {
 #: What a text holds if it may hold a match at all.
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TERM = r"[\p{L}\p{N}]++"
-PART = r"0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 #: Terms of texts up to which they are broadcast.
 SMALL = 100_000
