@@ -86,6 +86,8 @@ def train_url_weights(labelled: DataFrame, dims: int = 1024, steps: int = 150, r
         f"aggregate(sequence(1, {2 * steps}), named_struct('w', array_repeat(0D, {dims + 1}), 'e', array_repeat(0D, size(rows)), 'h', {holders}), "
         f"(a, t) -> IF(t % 2 = 1, named_struct('w', a.w, 'e', {errors}, 'h', a.h), named_struct('w', {weights}, 'e', a.e, 'h', a.h)), a -> a.w)"
     )
+    if one.select(F.size("rows")).first()[0] > max_rows:
+        raise ValueError(f"more than {max_rows} labelled rows")
     found = one.where("size(rows) > 0").select(F.expr(fit).alias("w")).first()
     return list(found.w) if found else [0.0] * (dims + 1)
 
