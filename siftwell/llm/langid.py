@@ -97,10 +97,10 @@ def fit_pieces(counts: dict[str, int], index: dict[str, int], rounds: int = 3, s
     prob = np.full((size + 2, 1), 1.0 / size)
     prob[size:] = [[0.0], [UNKNOWN]]
     words, weight = list(counts), np.array(list(counts.values()), float)
+    grids = [(group, lattice([words[i] for i in group], index)) for group in _by_length(words)]
     for _ in range(rounds):
         expected = np.zeros(size + 2)
-        for group in _by_length(words):
-            grid = lattice([words[i] for i in group], index)
+        for group, grid in grids:
             n, alpha = grid.shape[1], forward(grid, prob)[:, :, 0]
             beta = np.zeros_like(alpha)
             beta[:, n] = weight[group] / alpha[:, n]
