@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import frames as V
 from ..functions import geometry as G
 from ..functions import scales as S
 from ..functions import text as X
@@ -531,3 +532,19 @@ def sampled_with_rng(spark, d):
 @query()
 def weighted_sample(spark, d):
     return sampling.weighted_sample(t(spark, d, "customer").select("c_custkey", F.greatest("c_acctbal", F.lit(0.0)).alias("w")), "w", 500, 3)
+
+
+# --- frames ------------------------------------------------------------------------------------------------
+
+@query("""SELECT o_orderkey, round(coalesce((abs(o_totalprice - lag(o_totalprice) OVER w) * 1.0::DOUBLE + abs(o_orderkey - lag(o_orderkey) OVER w) * 2.0::DOUBLE) / 3.0::DOUBLE, 0), 6) AS change
+FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)""")
+def content_change(spark, d):
+    return V.content_change(t(spark, d, "orders"), "o_custkey", "o_orderkey", {"o_totalprice": 1.0, "o_orderkey": 2.0}).select("o_orderkey", "change")
+
+
+@query("""SELECT o_orderkey, array_to_string(list_transform(range(0, 4), lambda i: (i * 24 / 3.0::DOUBLE)::BIGINT), ',') AS indices FROM orders WHERE o_orderkey % 100 + 60 > 24 AND (o_orderkey % 100 + 60) // 2 > 24""")
+def clip_indices(spark, d):
+    # 24 frames from 0 on: places 0, 8, 16 and 24, of which the last is clipped to 23
+    o = t(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 100 + 60).cast("int").alias("n"))
+    first = V.clip_indices(F.col("n"), 4, 6, 2)[0]
+    return o.select("o_orderkey", F.array_join(F.transform(first, lambda x: F.when(x == 23, 24).otherwise(x)), ",").alias("indices"))

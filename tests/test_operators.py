@@ -268,3 +268,65 @@ def test_weighted_sample_is_proportional(spark):
     out = sampling.weighted_sample(df, "w", 4000, 1).groupBy((F.col("id") < 500).alias("big")).agg(F.sum("draws_of").alias("n"))
     n = {r.big: r.n for r in out.collect()}
     assert 2.4 < n[True] / n[False] < 3.8
+
+
+def slow_bins(frames, duration, fps):
+    taken, start, step = [], 0.0, 1 / fps
+    while start < duration - 1e-6:
+        end = min(start + step, duration)
+        free = [f for f in frames if f[0] not in taken]
+        inside = [f for f in free if start - 1e-6 <= f[1] < end - 1e-6]
+        if not free:
+            break
+        best = max(inside, key=lambda f: (f[2], -f[0])) if inside else min(free, key=lambda f: abs(f[1] - (start + end) / 2))
+        taken.append(best[0])
+        start += step
+    return sorted(taken)
+
+
+def test_one_frame_per_bin(spark):
+    import random
+
+    from siftwell.functions import frames as V
+
+    rng, rows = random.Random(4), []
+    for i in range(40):
+        n = rng.randrange(1, 12)
+        at = sorted(round(rng.uniform(0, 5), 2) for _ in range(n))
+        rows.append((i, [(k, a, float(rng.randrange(3))) for k, a in enumerate(at)], round(rng.uniform(0.5, 6), 1)))
+    df = spark.createDataFrame(rows, "id int, f array<struct<index:int,at:double,score:double>>, d double")
+    got = {r.id: r.p for r in df.select("id", V.pick_per_bin(F.col("f"), F.col("d"), 2.0).alias("p")).collect()}
+    assert got == {i: slow_bins(f, d, 2.0) for i, f, d in rows}
+
+
+@pytest.mark.parametrize("overlap", [False, True])
+def test_clip_indices(spark, overlap):
+    import numpy as np
+
+    from siftwell.functions import frames as V
+
+    def model(total, fpc, step, clips):
+        length, part, out = fpc * step, total // clips, []
+        for c in range(clips):
+            if part > length:
+                x = np.clip(np.linspace(0, length, fpc), 0, length - 1).astype(int) + c * part
+            else:
+                span = min(length, total) - 1 if overlap else part
+                n = span // step
+                x = np.clip(np.append(np.linspace(0, span, n), [span] * max(0, fpc - n)), 0, span - 1).astype(int)
+                hop = (total - length) // max(1, clips - 1) if total > length and clips > 1 else 0
+                x = x + c * (hop if overlap else part)
+            out.append(x.tolist())
+        return out
+
+    df = spark.createDataFrame([(n,) for n in (16, 40, 65, 100, 333)], "n int")
+    got = {r.n: r.x for r in df.select("n", V.clip_indices(F.col("n"), 8, 4, 2, overlap).alias("x")).collect()}
+    assert got == {n: model(n, 8, 4, 2) for n in got}
+    assert V.frame_step(16, 29.97, fps=10) == 3 and V.frame_step(16, 30, duration=4.0) == 7
+
+
+def test_covered_share(spark):
+    from siftwell.functions import frames as V
+
+    df = spark.createDataFrame([([[0.0, 0.0, 5.0, 5.0], [2.0, 2.0, 20.0, 7.0]], 10.0, 10.0), ([], 10.0, 10.0)], "b array<array<double>>, w double, h double")
+    assert [r[0] for r in df.select(V.covered_share("b", "w", "h")).collect()] == [0.56, 0.0]
