@@ -126,7 +126,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     n = known.count()
     space = 1 << 30
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(space)) < F.lit(min(space, space * max_docs // max(1, n))))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null").join(chosen, "id")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    rows = rows.join(F.broadcast(chosen), "id")  # about max_docs ids, whatever the number of labels
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["id", "text"])
