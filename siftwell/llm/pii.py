@@ -113,11 +113,12 @@ def disclosing_terms(rows: DataFrame, share: float = 0.9, support: int = 5) -> D
     asked = held.select("digest").distinct()
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
     # one row a text and word: copies meet here, before words meet entities
-    terms = rows.join(asked, "digest", "left_semi").select("digest", F.explode(words).alias("term")).distinct()
+    terms = rows.where(F.size("spans") > 0).join(asked, "digest", "left_semi").select("digest", F.explode(words).alias("term")).distinct()
     joint = terms.join(held, "digest").groupBy("entity", "term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("texts"))
     # parts of an entity's own value stand in its span already
     joint = durable(joint.where((F.col("texts") >= support) & ~F.contains("entity", "term")).drop("texts"))
-    everywhere = rows.select(F.explode(words).alias("term")).join(joint.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
+    # words are counted by task before they are shuffled
+    everywhere = rows.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     n = float(rows.count())
     pmi = F.log2(F.col("n_both") * F.lit(n) / (F.col("n_term") * F.col("n_entity")))
     told = joint.join(everywhere, "term").join(often, "entity")
