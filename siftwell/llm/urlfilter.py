@@ -30,7 +30,7 @@ https://cheap-loans.example.org/apply http://online-poker.example.net/win https:
 http://xxx-video.example.org/watch https://replica-watches.example.net/cheap http://viagra-shop.example.org/pills
 https://adult-chat.example.org/live http://www.adult-dating.example.net/x https://adultx.example.org/en/5
 https://bet-win.example.org/casino http://link-farm.example.net/seo https://spam-mail.example.org/unsub
-""".split()
+"""
 ALLOWED = """
 https://www.library.example.org/en/12 http://blog.gardens.example.org/en/853/ https://m.news.example.net/en/25
 https://museum.example.org/de/685 http://www.weather.example.net/de/474.html https://ththan.example.net/en/960
@@ -41,12 +41,13 @@ http://www.history.example.net/en/144.html https://tiontion.example.org/en/323 h
 https://university.example.org/courses http://forum.music.example.net/thread/12 https://wiki.example.org/page/Tree
 https://health.example.org/de/advice http://theres.example.org/en/519 https://city-council.example.net/minutes
 http://www.stones.example.org/en/21 https://radio.example.net/de/live http://theater.example.org/program
-""".split()
+"""
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
     """The small labelled table: url, label (1 block, 0 allow)."""
-    return spark.createDataFrame([(u, 1.0) for u in BLOCKED] + [(u, 0.0) for u in ALLOWED], "url string, label double")
+    rows = lambda urls, label: spark.range(1).select(F.explode(F.split(F.lit(urls.strip()), r"\s+")).alias("url"), F.lit(label).alias("label"))
+    return rows(BLOCKED, 1.0).union(rows(ALLOWED, 0.0))
 
 
 def url_host(url: Column) -> Column:
