@@ -85,4 +85,19 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op4_topk": _OP4}
+_OP10 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, (length(hex(encode(coalesce(text, '')))) // 2)::BIGINT AS n FROM documents),
+w AS (SELECT doc_id, p, md5(substr(h, (2 * p + 1)::BIGINT, 200)) AS m FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS p FROM d WHERE n >= 100)),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY m ORDER BY doc_id, p) AS k FROM w) WHERE k > 1),
+i AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS island
+      FROM (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS new FROM r)),
+s AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM i GROUP BY doc_id, island),
+g AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM s),
+t AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS z, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS head
+      FROM g JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(t.head || substr(h, 2 * t.z + 1), h))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op4_topk": _OP4, "op10_suffix": _OP10}
