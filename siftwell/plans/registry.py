@@ -10,6 +10,7 @@ from ..functions import geometry as G
 from ..functions import scales as S
 from ..functions import text as X
 from ..operators import graph, joins, labels, profile, rules, sampling, selection, similarity, timeline
+from ..sources import metadata
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -548,3 +549,15 @@ def clip_indices(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 100 + 60).cast("int").alias("n"))
     first = V.clip_indices(F.col("n"), 4, 6, 2)[0]
     return o.select("o_orderkey", F.array_join(F.transform(first, lambda x: F.when(x == 23, 24).otherwise(x)), ",").alias("indices"))
+
+
+@query("""SELECT grouping_id(lang, size, source)::INT AS level, lang AS frames, size AS resolution, source, count(*) AS n, count(len) AS captions, round(avg(len), 3) AS mean_caption
+FROM (SELECT lang, (n_chars // 4096)::BIGINT AS size, source, nullif(length(trim(text)), 0) len FROM documents) GROUP BY GROUPING SETS ((lang), (size), (lang, size), (source))""")
+def dataset_scan(spark, d):
+    docs = t(spark, d, "documents").withColumn("size", F.floor(F.col("n_chars") / 4096))
+    return metadata.dataset_scan(docs, "lang", "size", "source", "text")
+
+
+@query("SELECT l_orderkey, count(DISTINCT l_returnflag) AS buckets FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1")
+def mixed_batches(spark, d):
+    return metadata.mixed_batches(t(spark, d, "lineitem"), "l_orderkey", "l_returnflag")

@@ -330,3 +330,28 @@ def test_covered_share(spark):
 
     df = spark.createDataFrame([([[0.0, 0.0, 5.0, 5.0], [2.0, 2.0, 20.0, 7.0]], 10.0, 10.0), ([], 10.0, 10.0)], "b array<array<double>>, w double, h double")
     assert [r[0] for r in df.select(V.covered_share("b", "w", "h")).collect()] == [0.56, 0.0]
+
+
+def test_prompts_and_coercions(spark):
+    from siftwell.functions import prompts as P
+
+    row = spark.createDataFrame([([0.5], "pan", " ", "TRUE", "nan", '["a", "b"]')], "s array<double>, camera string, audio string, b string, n string, l string")
+    r = row.select(
+        P.build_prompt("Describe.", F.col("s"), camera=F.col("camera"), audio=F.col("audio")).alias("p"), P.coerce_bool(F.col("b")).alias("b"),
+        P.coerce_number(F.col("n"), 2.0).alias("n"), P.coerce_names(F.col("l")).alias("l"), P.label_lines(F.struct("camera"), ["camera"]).alias("x"),
+    ).first()
+    assert r.p == "Describe.\n\nFrames:\n- frame_0000: 0.500s\n\nCamera:\npan"
+    assert (r.b, r.n, r.l, r.x) == (True, 2.0, ["a", "b"], "camera: pan")
+
+
+def test_metadata_round_trip(spark, tmp_path):
+    from siftwell.sources import metadata
+
+    df = spark.range(25).select(F.format_string("c%03d", "id").alias("clip_id"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("v"))
+    names = metadata.write_metadata(df, str(tmp_path), "clip_id", 10)
+    assert names == [f"shards/metadata-{i:06d}.json" for i in range(3)]
+    back = metadata.read_metadata(spark, str(tmp_path), df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    import json
+
+    assert [x["clip_id"] for x in json.loads((tmp_path / names[1]).read_text())] == [f"c{i:03d}" for i in range(10, 20)]
