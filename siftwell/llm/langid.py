@@ -115,7 +115,7 @@ def fit_pieces(counts: dict[str, int], index: dict[str, int], rounds: int = 3, s
     return prob[:size, 0]
 
 
-def train_language_id(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 600) -> tuple[list[str], np.ndarray]:
+def train_language_id(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = 200) -> tuple[list[str], np.ndarray]:
     """(languages, piece probabilities [piece, language]) from about max_docs labelled texts a language.
 
     Rows of null label or null text teach nothing. The texts are those of smallest id hash, so that the
