@@ -5,9 +5,9 @@ or earlier in the same one. Strings are judged on the input, and never cross doc
 
 Equal strings must meet, so they are dealt by content: in every window of `width` bytes the least hash of a
 `GRAM`-byte gram names the window's anchor. Neighbouring windows mostly share their anchor and make one
-segment. Anchors seen once hold no repeat and are dropped; the segments of the others are fetched from their
-texts, copies of a segment are merged by a pre-aggregation (all but the first are repeats as a whole), and the
-different segments of an anchor meet in one chunk. There a suffix array decides: suffixes smaller than their
+segment. Anchors seen once hold no repeat and are dropped. The segments of the others are hashed, and copies of a
+segment are merged by a pre-aggregation (all but the first are repeats as a whole). The different segments of
+an anchor are fetched from their texts and meet in one chunk. There a suffix array decides: suffixes smaller than their
 successors are sorted directly, the rest is induced by bucket scans, and neighbours with a common prefix of
 `width` bytes are one class, of which the earliest string stays.
 
@@ -22,10 +22,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, slices
+from .common import SLICE_BYTES, shuffle_partitions, slices
 
 WIDTH, GRAM = 100, 36
 #: Windows of a text that are handled at once; different segments of one anchor that may meet in one chunk; bytes of a chunk.
@@ -192,44 +194,81 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_zip, _unzip = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def _zipped_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for the shuffle."""
+    for b in slices(batches, text=2):
+        at = b.schema.get_field_index("text")
+        yield b.set_column(at, "text", pa.array(map(_zip.compress, b.column(at).to_pylist()), pa.binary()))
+
+
+def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different anchor keys of each text."""
     for b in slices(batches):
-        keys, packed = [], []
-        for text in b.column(1).to_pylist():
-            k, first, count = anchors(np.frombuffer(text, np.uint8))
-            keys.append(k)
-            packed.append(first << 8 | count)
+        keys = [anchors(np.frombuffer(text, np.uint8))[0] for text in b.column(1).to_pylist()]
+        # a key that a text has twice is sent twice, which is all that counts
+        keys = [np.repeat(u, np.minimum(n, 2)) for u, n in (np.unique(k, return_counts=True) for k in keys)]
         offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x))) for x in (keys, packed)]
-        yield pa.RecordBatch.from_arrays([b.column(0), *lists], names=["d", "keys", "packed"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys)))], names=["d", "keys"])
+
+
+def _wanted(text: bytes, keys) -> tuple[np.ndarray, np.ndarray]:
+    """Key and place << 8 | windows of the segments whose anchors are among the keys."""
+    key, first, count = anchors(np.frombuffer(text, np.uint8))
+    keep = np.isin(key, np.asarray(keys, np.int64))
+    return key[keep], first[keep] << 8 | count[keep]
+
+
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Row of each list element, and the fields of the elements as arrays."""
+    values = column.flatten()
+    owner = np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
+    return owner, {f.name: values.field(f.name).to_numpy(zero_copy_only=False) for f in values.type}
+
+
+def _mark_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each wanted segment its place and a hash of its bytes."""
+    for b in slices(batches, text=2, most=SLICE_BYTES // 4):
+        owner, keys, places, marks = [], [], [], []
+        for i, (text, wanted) in enumerate(zip(map(_unzip.decompress, b.column("text").to_pylist()), b.column("keys"))):
+            key, packed = _wanted(text, wanted.values.to_numpy())
+            digest = xxhash.xxh64_intdigest
+            marks.append(np.array([digest(text[x >> 8 : (x >> 8) + (x & 255) + WIDTH - 1]) for x in packed.tolist()], np.uint64).view(np.int64))
+            owner.append(np.full(len(key), i))
+            keys.append(key)
+            places.append(packed)
+        arrays = [b.column("d").take(pa.array(np.concatenate(owner))), *(pa.array(np.concatenate(x)) for x in (keys, marks, places))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["d", "key", "h", "packed"])
 
 
 def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(batches, text=2):
-        d, keys, places, segments = [], [], [], []
-        for doc, text, rows in zip(b.column("d").to_pylist(), b.column("text").to_pylist(), b.column("rows").to_pylist()):
-            for r in rows:
-                first, count = r["packed"] >> 8, r["packed"] & 255
-                d.append(doc)
-                keys.append(r["key"])
-                places.append(first)
-                segments.append(text[first : first + count + WIDTH - 1])
-        for at in range(0, len(d), 20_000):
-            part = slice(at, at + 20_000)
-            yield pa.RecordBatch.from_arrays([pa.array(d[part], b.column(0).type), pa.array(keys[part], pa.int64()), pa.array(places[part], pa.int64()), pa.array(segments[part], pa.binary())], names=["d", "key", "place", "segment"])
-
-
-def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of a segment as a segment of its own."""
-    for b in slices(batches, text=3, most=1 << 18):
-        d, keys, places, out = [], [], [], []
-        for doc, key, place, s in zip(*(c.to_pylist() for c in b.columns)):
-            n = len(s) - WIDTH + 1
-            d += [doc] * n
-            keys += [key] * n
-            places += range(place, place + n)
-            out += [s[i : i + WIDTH] for i in range(n)]
-        yield pa.RecordBatch.from_arrays([pa.array(d, b.column(0).type), pa.array(keys, pa.int64()), pa.array(places, pa.int64()), pa.array(out, pa.binary())], names=["d", "key", "place", "segment"])
+    """The bytes of each wanted segment; of crowded anchors every window as a segment of its own, dealt by its hash."""
+    for b in slices(batches, text=2, most=1 << 18):
+        owner, of = _lists(b.column("rows"))
+        texts = [*map(_unzip.decompress, b.column("text").to_pylist())]
+        own, keys, parts, places, out = [], [], [], [], []
+        for i, key, packed, n in zip(owner.tolist(), *(of[c].tolist() for c in ("key", "packed", "n"))):
+            text, place, size = texts[i], packed >> 8, (packed & 255) + WIDTH - 1
+            if n <= CROWD:
+                own.append(i)
+                keys.append(key)
+                parts.append(0)
+                places.append(place)
+                out.append(text[place : place + size])
+                continue
+            for at in range(place, place + size - WIDTH + 1):
+                window = text[at : at + WIDTH]
+                own.append(i)
+                keys.append(key)
+                parts.append(1 + xxhash.xxh64_intdigest(window) % 65521)
+                places.append(at)
+                out.append(window)
+        for at in range(0, len(own), 20_000):
+            cut = slice(at, at + 20_000)
+            arrays = [pa.array(keys[cut], pa.int64()), pa.array(parts[cut], pa.int32()), b.column("d").take(pa.array(own[cut], pa.int64())), pa.array(places[cut], pa.int64()), pa.array(out[cut], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "part", "d", "place", "segment"])
 
 
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,19 +304,33 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found
 
 
-def _gone(size: int, spans) -> np.ndarray:
-    edge = np.zeros(size + 1, np.int32)
-    if len(spans):
+def _gone(text: bytes, keys, firsts, spans) -> np.ndarray:
+    """Which bytes go: segments of repeated anchors that are no firsts, and the later windows of firsts."""
+    edge = np.zeros(len(text) + 1, np.int32)
+    if keys is not None:
+        packed = _wanted(text, keys)[1]
+        copies = packed[~np.isin(packed, np.asarray([] if firsts is None else firsts, np.int64))]
+        np.add.at(edge, copies >> 8, 1)
+        np.add.at(edge, (copies >> 8) + (copies & 255) + WIDTH - 1, -1)
+    if spans is not None and len(spans):
         np.add.at(edge, [s["start"] for s in spans], 1)
         np.add.at(edge, [s["stop"] for s in spans], -1)
     return np.cumsum(edge[:-1]) > 0
 
 
+def _cut(packed: bytes, *marks) -> tuple[bool, str]:
+    """Whether a compressed text loses anything, and what is left of it in whole characters."""
+    text = _unzip.decompress(packed)
+    gone = _gone(text, *marks)
+    return bool(gone.any()), np.frombuffer(text, np.uint8)[~gone].tobytes().decode(errors="ignore")
+
+
 def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(batches):
+    for b in slices(batches, most=SLICE_BYTES // 4):
         out = []
-        for text, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-            gone = _gone(len(text), spans or [])
+        for packed, *marks in zip(*(c.to_pylist() for c in b.columns[1:])):
+            text = _unzip.decompress(packed)
+            gone = _gone(text, *marks)
             start, stop = _runs(gone)
             kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if len(start) else text
             out.append((len(text), int(gone.sum()), len(start), [{"start": a, "stop": z} for a, z in zip(start.tolist(), stop.tolist())], hashlib.sha256(kept).hexdigest()))
@@ -291,34 +344,33 @@ def document_key(df: DataFrame, id_col: str) -> Column:
     twice = df.groupBy(id_col).agg(F.count("*").alias("n")).where(F.col("n").__gt__(1) | F.col(id_col).isNull())
     if twice.isEmpty():
         return F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
-    place = F.lpad((F.col(id_col).cast("decimal(20,0)") + F.lit(1 << 63).cast("decimal(20,0)")).cast("string"), 20, "0")
+    place = F.lpad((F.col(id_col).cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("string"), 20, "0")
     return F.concat(F.coalesce(place, F.lit("~")), F.md5("text"))
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(d, start, stop) of stretches of docs (d, text binary, ..) whose every window also starts earlier; they may overlap."""
-    n = shuffle_partitions(docs.sparkSession)
-    kind = docs.schema["d"].dataType.simpleString()
-    rows = docs.select("d", "text").mapInArrow(_anchor_rows, f"d {kind}, keys array<long>, packed array<long>")
-    runs = rows.select("d", F.explode(F.arrays_zip(F.col("keys").alias("key"), F.col("packed").alias("packed"))).alias("r")).select("d", "r.key", "r.packed")
+def repeats(texts: DataFrame, more: list) -> DataFrame:
+    """Rows (d, text compressed, *more, keys, firsts, spans) from texts (d, text, *more): what _gone() needs to tell the bytes that go."""
+    n = shuffle_partitions(texts.sparkSession)
+    kind = texts.schema["d"].dataType.simpleString()
+    rows = texts.select("d", "text").mapInArrow(_key_rows, f"d {kind}, keys array<long>")
+    runs = rows.select("d", F.explode("keys").alias("key"))
     often = runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    wanted = runs.join(often, "key").groupBy("d").agg(F.collect_list(F.struct("key", "packed")).alias("rows"))
-    fetched = docs.join(wanted, "d").select(*docs.columns, "rows")
-    segments = fetched.mapInArrow(_segment_rows, f"d {kind}, key long, place long, segment binary")
-    # copies of a segment: the first stands for all, the others are repeats as a whole
-    segments = segments.withColumn("h", F.xxhash64("segment"))
-    first = segments.groupBy("key", "h", "segment").agg(F.min(F.struct("d", "place")).alias("first"))
-    met = segments.select("key", "h", "d", "place", F.octet_length("segment").alias("size"))
-    copies = met.join(first.select("key", "h", "first"), ["key", "h"]).where((F.col("first.d") != F.col("d")) | (F.col("first.place") != F.col("place")))
-    copies = copies.select("d", F.col("place").alias("start"), (F.col("place") + F.col("size")).alias("stop"))
-    # the different segments of an anchor
-    different = first.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    rest = first.join(different, "key").select(F.col("first.d").alias("d"), "key", F.col("first.place").alias("place"), "segment", "n")
-    calm = rest.where(F.col("n") <= CROWD).select("key", F.lit(0).alias("part"), "d", "place", "segment")
-    crowd = rest.where(F.col("n") > CROWD).select("d", "key", "place", "segment").mapInArrow(_window_rows, f"d {kind}, key long, place long, segment binary")
-    crowd = crowd.select("key", (F.xxhash64("segment") % 65521).cast("int").alias("part"), "d", "place", "segment")
-    dealt = calm.union(crowd).repartition(n, "key", "part").sortWithinPartitions("key", "part", "d", "place")
-    return copies.union(dealt.mapInArrow(_chunk_rows, f"d {kind}, start long, stop long"))
+    wanted = runs.join(often, "key").groupBy("d").agg(F.collect_set("key").alias("keys"))
+    # the texts are shuffled once: the three joins below use the same exchange
+    docs = texts.select("d", *more, "text").mapInArrow(_zipped_rows, texts.select("d", *more, "text").schema)
+    docs = docs.select(F.coalesce("d", F.lit("~" if kind == "string" else 0)).alias("d"), *more, "text")
+    # a hash for each segment; copies: the first stands for all, the others are repeats as a whole
+    marks = docs.join(wanted, "d").select(*docs.columns, "keys").mapInArrow(_mark_rows, f"d {kind}, key long, h long, packed long")
+    first = marks.groupBy("key", "h").agg(F.min(F.struct("d", "packed")).alias("first"))
+    firsts = first.groupBy(F.col("first.d").alias("d")).agg(F.collect_list("first.packed").alias("firsts"))
+    # the bytes of the first ones of anchors that have several different segments
+    several = first.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    rest = first.join(several, "key").groupBy(F.col("first.d").alias("d")).agg(F.collect_list(F.struct("key", "first.packed", "n")).alias("rows"))
+    segments = docs.join(rest, "d").select(*docs.columns, "rows").mapInArrow(_segment_rows, f"key long, part int, d {kind}, place long, segment binary")
+    dealt = segments.repartition(n, "key", "part").sortWithinPartitions("key", "part", "d", "place")
+    later = dealt.mapInArrow(_chunk_rows, f"d {kind}, start long, stop long")
+    spans = later.groupBy("d").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return docs.join(wanted, "d", "left").join(firsts, "d", "left").join(spans, "d", "left")
 
 
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -326,22 +378,17 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Cuts never leave half a character: what is left of one goes too. Null texts stay null.
     """
-    rows = df.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"), F.struct(*df.columns).alias("__row"))
-    docs = rows.select(document_key(rows, "__id").alias("d"), "__id", "text", "__row")
-    spans = repeated_spans(docs).groupBy("d").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    others = [c for c in df.columns if c != text_col]
+    rows = df.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"), F.struct(F.col(text_col).isNull().alias("__null"), *others).alias("__row"))
+    marked = repeats(rows.select(document_key(rows, "__id").alias("d"), "text", "__row"), ["__row"])
 
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        out = []
-        for text, own in zip(texts, spans):
-            gone = _gone(len(text), own if own is not None else [])
-            out.append(np.frombuffer(text, np.uint8)[~gone].tobytes().decode(errors="ignore"))
-        return pd.Series(out)
+    @F.pandas_udf("struct<cut:boolean,text:string>")
+    def cut(texts: pd.Series, keys: pd.Series, firsts: pd.Series, spans: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_cut(*row) for row in zip(texts, keys, firsts, spans)], columns=["cut", "text"])
 
-    marked = docs.join(spans, "d", "left")
-    left = F.when(F.col("spans").isNotNull(), cut("text", "spans")).otherwise(F.col(f"__row.`{text_col}`").cast("string"))
-    marked = marked.select("__row", left.alias("__left"), F.col("spans").isNotNull().alias("__cut")).where("not (__cut and __left = '')")
-    return marked.select(*[F.col("__left").alias(c) if c == text_col else F.col(f"__row.`{c}`").alias(c) for c in df.columns])
+    left = marked.select("__row", cut("text", "keys", "firsts", "spans").alias("__left")).where("not (__left.cut and __left.text = '')")
+    new = F.when(~F.col("__row.__null"), F.col("__left.text"))
+    return left.select(*[new.alias(c) if c == text_col else F.col(f"__row.`{c}`").alias(c) for c in df.columns])
 
 
 def repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -353,8 +400,6 @@ def repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     id_kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
-    docs = rows.select(document_key(rows, "__id").alias("d"), "__id", "text")
-    spans = repeated_spans(docs).groupBy("d").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    marked = docs.join(spans, "d", "left").select("__id", "text", "spans")
+    marked = repeats(rows.select(document_key(rows, "__id").alias("d"), "text", "__id"), ["__id"]).select("__id", "text", "keys", "firsts", "spans")
     schema = f"__id {id_kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,stop:long>>, kept_sha256 string"
     return marked.mapInArrow(_kept_rows, schema).withColumnRenamed("__id", id_col)
