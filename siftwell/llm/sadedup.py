@@ -304,25 +304,35 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found
 
 
-def _gone(text: bytes, keys, firsts, spans) -> np.ndarray:
-    """Which bytes go: segments of repeated anchors that are no firsts, and the later windows of firsts."""
-    edge = np.zeros(len(text) + 1, np.int32)
+def _gone(text: bytes, keys, firsts, spans) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and stops of the maximal byte runs that go: segments of repeated anchors that are no firsts, and the later windows of firsts."""
+    start, stop = [], []
     if keys is not None:
         packed = _wanted(text, keys)[1]
         copies = packed[~np.isin(packed, np.asarray([] if firsts is None else firsts, np.int64))]
-        np.add.at(edge, copies >> 8, 1)
-        np.add.at(edge, (copies >> 8) + (copies & 255) + WIDTH - 1, -1)
+        start.append(copies >> 8)
+        stop.append((copies >> 8) + (copies & 255) + WIDTH - 1)
     if spans is not None and len(spans):
-        np.add.at(edge, [s["start"] for s in spans], 1)
-        np.add.at(edge, [s["stop"] for s in spans], -1)
-    return np.cumsum(edge[:-1]) > 0
+        start.append(np.array([s["start"] for s in spans], np.int64))
+        stop.append(np.array([s["stop"] for s in spans], np.int64))
+    if not sum(map(len, start)):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    start, stop = np.concatenate(start), np.concatenate(stop)
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(stop[order])
+    new = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]]))
+    return start[new], reach[np.append(new[1:], len(start)) - 1]
+
+
+def _left(text: bytes, start: np.ndarray, stop: np.ndarray) -> bytes:
+    return b"".join(text[a:b] for a, b in zip([0, *stop.tolist()], [*start.tolist(), len(text)]))
 
 
 def _cut(packed: bytes, *marks) -> tuple[bool, str]:
     """Whether a compressed text loses anything, and what is left of it in whole characters."""
     text = _unzip.decompress(packed)
-    gone = _gone(text, *marks)
-    return bool(gone.any()), np.frombuffer(text, np.uint8)[~gone].tobytes().decode(errors="ignore")
+    start, stop = _gone(text, *marks)
+    return bool(len(start)), _left(text, start, stop).decode(errors="ignore")
 
 
 def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,10 +340,9 @@ def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for packed, *marks in zip(*(c.to_pylist() for c in b.columns[1:])):
             text = _unzip.decompress(packed)
-            gone = _gone(text, *marks)
-            start, stop = _runs(gone)
-            kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if len(start) else text
-            out.append((len(text), int(gone.sum()), len(start), [{"start": a, "stop": z} for a, z in zip(start.tolist(), stop.tolist())], hashlib.sha256(kept).hexdigest()))
+            start, stop = _gone(text, *marks)
+            kept = _left(text, start, stop) if len(start) else text
+            out.append((len(text), int((stop - start).sum()), len(start), [{"start": a, "stop": z} for a, z in zip(start.tolist(), stop.tolist())], hashlib.sha256(kept).hexdigest()))
         n, removed, spans, runs, sha = zip(*out)
         arrays = [b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), pa.array(sha)]
         yield pa.RecordBatch.from_arrays(arrays, names=["__id", "n_bytes", "n_removed", "n_spans", "spans", "kept_sha256"])
@@ -364,7 +373,8 @@ def repeats(texts: DataFrame, more: list) -> DataFrame:
     first = marks.groupBy("key", "h").agg(F.min(F.struct("d", "packed")).alias("first"))
     firsts = first.groupBy(F.col("first.d").alias("d")).agg(F.collect_list("first.packed").alias("firsts"))
     # the bytes of the first ones of anchors that have several different segments
-    several = first.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    # (counted by `first`, so that this plan keeps that column and shares the exchange of the others)
+    several = first.groupBy("key").agg(F.count("first").alias("n")).where("n > 1")
     rest = first.join(several, "key").groupBy(F.col("first.d").alias("d")).agg(F.collect_list(F.struct("key", "first.packed", "n")).alias("rows"))
     segments = docs.join(rest, "d").select(*docs.columns, "rows").mapInArrow(_segment_rows, f"key long, part int, d {kind}, place long, segment binary")
     dealt = segments.repartition(n, "key", "part").sortWithinPartitions("key", "part", "d", "place")
