@@ -23,6 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bpe import PairTable
 from .common import slices
 
 START, WORD, PIECE = "▁", 40, 10
@@ -39,7 +40,7 @@ def default_path() -> str:
 
 
 @functools.lru_cache(maxsize=2)
-def pieces(path: str) -> dict[str, int]:
+def pieces(path: str) -> PieceIndex:
     """The vocabulary's pieces that can occur in a marked lower-case word, numbered."""
     import sentencepiece
 
@@ -47,7 +48,7 @@ def pieces(path: str) -> dict[str, int]:
     ok = regex.compile(rf"{START}?\p{{L}}*")
     found = (sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_byte(i) or sp.is_unknown(i)))
     kept = sorted({p for p in found if p and len(p) <= PIECE and p == p.lower() and ok.fullmatch(p)})
-    return {p: i for i, p in enumerate(kept)}
+    return PieceIndex({p: i for i, p in enumerate(kept)})
 
 
 def words_of(chunk: str) -> list[str]:
@@ -58,17 +59,44 @@ def words_of(chunk: str) -> list[str]:
     return out
 
 
-def lattice(words: list[str], index: dict[str, int]) -> np.ndarray:
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _codes(words: list[str]) -> np.ndarray:
+    """[word, place]: code points of words of one length."""
+    return np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(len(words), -1).astype(np.uint64)
+
+
+def _hashes(codes: np.ndarray) -> np.ndarray:
+    """[word, place]: hash of the characters up to a place, of which a stretch's hash follows by a subtraction."""
+    out = np.zeros((len(codes), codes.shape[1] + 1), np.uint64)
+    for i in range(codes.shape[1]):
+        out[:, i + 1] = out[:, i] * _BASE + codes[:, i]
+    return out
+
+
+class PieceIndex(dict):
+    """Pieces by number, with a table of their hashes for whole columns of stretches."""
+
+    def __init__(self, numbered: dict[str, int]):
+        super().__init__(numbered)
+        keys = {int(_hashes(_codes([p]))[0, -1].view(np.int64)): (i, 0) for p, i in numbered.items()}
+        if len(keys) < len(numbered):
+            raise ValueError("two pieces of one hash")
+        self.table = PairTable(keys)
+        self.powers = np.array([pow(int(_BASE), k, 1 << 64) for k in range(PIECE + 1)], np.uint64)
+
+
+def lattice(words: list[str], index: PieceIndex) -> np.ndarray:
     """[word, end, length - 1] of words of one length: the piece's number, len(index) if there is none, one more for an unknown character."""
-    none, unknown, get, n = len(index), len(index) + 1, index.get, len(words[0])
-    out = []
-    for w in words:
-        for end in range(1, n + 1):
-            row = [get(w[end - k : end], none) if k <= end else none for k in range(1, PIECE + 1)]
-            if row[0] == none:
-                row[0] = unknown
-            out.append(row)
-    return np.array(out, np.int32).reshape(len(words), n, PIECE)
+    none, n = len(index), len(words[0])
+    upto = _hashes(_codes(words))
+    grid = np.full((len(words), n, PIECE), none, np.int32)
+    for k in range(1, min(n, PIECE) + 1):
+        stretch = (upto[:, k:] - upto[:, : n + 1 - k] * index.powers[k]).view(np.int64)
+        number = index.table.ranks(stretch)[0]
+        grid[:, k - 1 :, k - 1] = np.where(number > none, none + (k == 1), number)
+    return grid
 
 
 def forward(grid: np.ndarray, prob: np.ndarray) -> np.ndarray:
@@ -91,7 +119,7 @@ def _by_length(words: list[str], most: int = 20_000) -> Iterator[list[int]]:
             yield g[at : at + most]
 
 
-def fit_pieces(counts: dict[str, int], index: dict[str, int], rounds: int = 3, smooth: float = 0.02) -> np.ndarray:
+def fit_pieces(counts: dict[str, int], index: PieceIndex, rounds: int = 3, smooth: float = 0.02) -> np.ndarray:
     """Piece probabilities of one language by expectation maximisation, from its word counts."""
     size = len(index)
     prob = np.full((size + 2, 1), 1.0 / size)

@@ -237,7 +237,7 @@ def test_url_model_learns(spark):
 # --- 6 language --------------------------------------------------------------------------------------------
 
 def test_forward_sums_all_segmentations():
-    index = {"a": 0, "b": 1, "ab": 2, "▁": 3, "▁a": 4}
+    index = langid.PieceIndex({"a": 0, "b": 1, "ab": 2, "▁": 3, "▁a": 4})
     prob = np.array([[0.1, 0.2], [0.2, 0.1], [0.3, 0.3], [0.1, 0.1], [0.05, 0.2], [0, 0], [1e-8, 1e-8]])
 
     def total(word, k):
