@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.llm import bpe, langid, packing, pii, sadedup, simhash
-from siftwell.llm.common import durable, table
+from siftwell.llm.common import stored, table
 from siftwell.llm.queries import held_out
 
 
@@ -56,5 +56,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = durable(docs)
+            docs = stored(docs)
     return docs

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,19 +29,28 @@ def slices(batches: Iterator[pa.RecordBatch], text: int = 1, most: int = SLICE_B
             yield batch.slice(at, rows)
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a reliable checkpoint in the folder of spark.checkpoint.dir.
-
-    Only where the session names no folder (unit tests) a temporary one is set.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, that of spark.checkpoint.dir; a temporary one only where none is named (unit tests)."""
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isEmpty():
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
+    return jsc.getCheckpointDir().get()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """df with its lineage cut by a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df written as Parquet into the shared folder and read again."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
