@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm import bpe, langid, packing, pii, sadedup, simhash
+from siftwell.llm import bpe, langid, nearcopies, packing, pii, sadedup
 from siftwell.llm.common import stored, table
 from siftwell.llm.queries import held_out
 
@@ -18,8 +18,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest id."""
-    return simhash.keep_one(docs)
+    """One document of each group of texts linked by a likeness of 0.8 of their five-word shingles: that of the smallest id."""
+    return nearcopies.keep_one(docs)
 
 
 def counted(docs: DataFrame, text) -> DataFrame:

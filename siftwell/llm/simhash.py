@@ -201,8 +201,13 @@ def near_duplicates(df: DataFrame, bits: int = 2, width: int = 3, id_col: str =
     repeated rows are kept. Other columns are left out; an empty table gives no rows.
     """
     rows = durable(simhash(df, width, id_col, text_col))
+    groups = connected(fingerprint_edges(rows.select("fp").distinct(), bits))
+    return in_groups(rows, groups, id_col)
+
+
+def in_groups(rows: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id_col, fp, component_id) of rows (id_col, fp), from components (node, component) of the linked fingerprints."""
     vertices = rows.groupBy("fp").agg(F.min(id_col).alias("least"))
-    groups = connected(fingerprint_edges(vertices.select("fp"), bits))
     named = vertices.join(groups, vertices.fp == groups.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     roots = named.groupBy("component").agg(F.min("least").alias("component_id"))
     # of each fingerprint the id of its component: one row a fingerprint, joined back to the rows
@@ -216,17 +221,23 @@ def keep_one(df: DataFrame, bits: int = 2, width: int = 3, id_col: str = "doc_id
     Rows of null id stay only where their group has no other, and of repeated ids (and of null ids) one row
     stays, that of the smallest text hash.
     """
-    groups = durable(near_duplicates(df, bits, width, id_col, text_col))
+
+    @F.pandas_udf("long")
+    def code(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, width) for t in texts], "<u8").view("<i8"))
+
+    return stand_ins(df, near_duplicates(df, bits, width, id_col, text_col), code, id_col, text_col)
+
+
+def stand_ins(df: DataFrame, groups: DataFrame, code, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of df that keep_one() keeps, from groups (id_col, fp, component_id) and code, the fingerprints of texts."""
+    groups = durable(groups)
     own = groups.select(F.col(id_col).alias("__id"), F.col("component_id").alias("__group"), F.col("fp").alias("__fp"))
     odd = df.groupBy(id_col).agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col(id_col).isNull())
     if odd.isEmpty():
         goes = own.where(F.col("__id") != F.col("__group")).select("__id")
         return df.join(goes, F.col(id_col) == F.col("__id"), "left_anti")
 
-    @F.pandas_udf("long")
-    def code(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, width) for t in texts], "<u8").view("<i8"))
-
     known = own.select("__fp", "__group").distinct()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.withColumn("__fp2", code(text.cast("binary"))).join(known, F.col("__fp2") == F.col("__fp"))

@@ -137,6 +137,47 @@ def test_simhash_edges(odd, none):
     assert kept.count() == got.component_id.fillna(-1).nunique()
 
 
+def slow_copies(texts, least=0.8):
+    """Component of each id by the likeness of five-word shingles."""
+    sets = {}
+    for i, t in texts.items():
+        w = re.sub(rb"[A-Z]+", lambda m: m[0].lower(), (t or "").encode()).split()
+        sets[i] = frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
+    label = {i: i for i in sets}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if sets[a] == sets[b] or len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+            x, y = sorted((label[a], label[b]))
+            label = {i: x if c == y else c for i, c in label.items()} if x != y else label
+    return label
+
+
+def test_near_copies_against_brute_force(spark, texts):
+    import corpus_pipeline as cp
+
+    rng = random.Random(6)
+    noise = lambda n: " ".join(rng.choice("abcdefgh") * rng.randrange(1, 9) for _ in range(n))
+    cases, base = dict(texts), noise(120).split()
+    for i in range(10_000, 10_060):  # copies of 0 to 7 changed words, and texts that share a passage
+        own = list(base)
+        for k in rng.sample(range(120), rng.randrange(8)):
+            own[k] = f"w{i}x{k}"
+        cases[i] = " ".join(own) if i % 2 else " ".join(base[:60]) + " " + noise(rng.choice([5, 15, 60]))
+    df = spark.createDataFrame(list(cases.items()), "doc_id long, text string")
+    want = slow_copies(cases)
+    assert {r.doc_id for r in cp.near_dedup(spark, df, "").collect()} == set(want.values())
+    from siftwell.llm import nearcopies
+
+    assert {r.doc_id: r.component_id for r in nearcopies.near_copies(df).collect()} == want
+
+
+def test_near_copies_edges(odd, none):
+    from siftwell.llm import nearcopies
+
+    got, kept = nearcopies.near_copies(odd).toPandas(), nearcopies.keep_one(odd)
+    assert len(got) == 8 and nearcopies.near_copies(none).count() == 0 and set(got[got.fp == 0].component_id) == {1}
+    assert kept.columns == odd.columns and kept.count() == got.component_id.fillna(-1).nunique()
+
+
 # --- 3 SpotSigs --------------------------------------------------------------------------------------------
 
 def test_spotsigs_against_plain_sets(spark, texts, sf):
