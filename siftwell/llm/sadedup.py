@@ -11,7 +11,8 @@ an anchor are fetched from their texts and meet in one chunk. There a suffix arr
 successors are sorted directly, the rest is induced by bucket scans, and neighbours with a common prefix of
 `width` bytes are one class, of which the earliest string stays.
 
-Anchors of very many different segments are split further, window by window, by the hash of the window.
+Anchors of very many different segments are split further, window by window: windows of one hash are merged like
+segments, by a pre-aggregation that keeps the first, and need no suffix array.
 """
 
 from __future__ import annotations
@@ -357,6 +358,18 @@ def document_key(df: DataFrame, id_col: str) -> Column:
     return F.concat(F.coalesce(place, F.lit("~")), F.md5("text"))
 
 
+def later_of_crowded(windows: DataFrame) -> DataFrame:
+    """(d, start, stop) of the windows (key, d, place, segment) that have an equal, earlier one.
+
+    Equal windows of an anchor meet as partial minima, and each document then tells its firsts from its others,
+    so no task holds a group.
+    """
+    hashed = windows.select("key", F.xxhash64("segment").alias("h"), "d", "place")
+    first = hashed.groupBy("key", "h").agg(F.min(F.struct("d", "place")).alias("first")).select("first.d", "first.place", F.lit(1).alias("one"))
+    told = hashed.select("d", "place", F.lit(0).alias("one")).union(first).groupBy("d", "place").agg(F.max("one").alias("one"))
+    return told.where("one = 0").select("d", F.col("place").alias("start"), (F.col("place") + WIDTH).alias("stop"))
+
+
 def repeats(texts: DataFrame, more: list) -> DataFrame:
     """Rows (d, text compressed, *more, keys, firsts, spans) from texts (d, text, *more): what _gone() needs to tell the bytes that go."""
     n = shuffle_partitions(texts.sparkSession)
@@ -377,8 +390,8 @@ def repeats(texts: DataFrame, more: list) -> DataFrame:
     several = first.groupBy("key").agg(F.count("first").alias("n")).where("n > 1")
     rest = first.join(several, "key").groupBy(F.col("first.d").alias("d")).agg(F.collect_list(F.struct("key", "first.packed", "n")).alias("rows"))
     segments = docs.join(rest, "d").select(*docs.columns, "rows").mapInArrow(_segment_rows, f"key long, part int, d {kind}, place long, segment binary")
-    dealt = segments.repartition(n, "key", "part").sortWithinPartitions("key", "part", "d", "place")
-    later = dealt.mapInArrow(_chunk_rows, f"d {kind}, start long, stop long")
+    dealt = segments.where("part = 0").repartition(n, "key", "part").sortWithinPartitions("key", "part", "d", "place")
+    later = dealt.mapInArrow(_chunk_rows, f"d {kind}, start long, stop long").union(later_of_crowded(segments.where("part > 0")))
     spans = later.groupBy("d").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return docs.join(wanted, "d", "left").join(firsts, "d", "left").join(spans, "d", "left")
 

@@ -486,6 +486,24 @@ def test_crowded_anchors_split_by_window(spark):
         assert (gone[i] == flags).all()
 
 
+def test_crowded_windows_are_merged_before_chunks(spark, monkeypatch):
+    """A passage between different neighbours in over CROWD texts: its windows are merged by hash, not sent to a chunk."""
+    rng = random.Random(14)
+    common = "".join(rng.choice("abcdefgh") for _ in range(130))
+    noise = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(60))
+    docs = {i: noise() + common + noise() for i in range(sadedup.CROWD + 100)}
+    merged, seen = sadedup.later_of_crowded, []
+
+    def recorded(windows):
+        seen.append(windows)
+        return merged(windows)
+
+    monkeypatch.setattr(sadedup, "later_of_crowded", recorded)
+    check_removal(spark, docs)
+    counts = seen[0].groupBy("key", F.xxhash64("segment")).count()
+    assert counts.agg(F.max("count")).first()[0] > sadedup.CROWD
+
+
 def test_suffix_array_is_sorted():
     rng = random.Random(13)
     for alphabet in (b"a", b"ab", bytes(range(256))):
