@@ -96,6 +96,18 @@ def entities(found: Column) -> Column:
     return F.array_distinct(F.transform(found, lambda s: F.concat(F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), F.lit(":"), F.lower(s["word"]))))
 
 
+def outside(text: Column, found: Column) -> Column:
+    """The text with a blank for each of its base spans."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def add(a: Column, s: Column) -> Column:
+        gap = F.when(s["start"] > a["at"], F.array_append(a["out"], text.substr(a["at"] + 1, s["start"] - a["at"]))).otherwise(a["out"])
+        return F.struct(F.greatest(a["at"], s["stop"]).alias("at"), gap.alias("out"))
+
+    rest = F.aggregate(found, start, add, lambda a: F.concat_ws(" ", a["out"], text.substr(a["at"] + 1, F.char_length(text))))
+    return F.when(F.size(found) > 0, rest).otherwise(text)
+
+
 def disclosing_terms(rows: DataFrame, share: float = 0.9, support: int = 5) -> DataFrame:
     """(digest, term, weight): by text, the terms that disclose an entity which the text names.
 
@@ -111,12 +123,12 @@ def disclosing_terms(rows: DataFrame, share: float = 0.9, support: int = 5) -> D
     if held.isEmpty():
         return named.select("digest", F.lit("").alias("term"), F.lit(0.0).alias("weight")).limit(0)
     asked = held.select("digest").distinct()
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
+    # parts of an entity's value count only where they stand outside the spans
+    words = F.array_distinct(F.regexp_extract_all(F.lower(outside(F.col("text"), F.col("spans"))), F.lit(TERM), F.lit(0)))
     # one row a text and word: copies meet here, before words meet entities
     terms = rows.where(F.size("spans") > 0).join(asked, "digest", "left_semi").select("digest", F.explode(words).alias("term")).distinct()
     joint = terms.join(held, "digest").groupBy("entity", "term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("texts"))
-    # parts of an entity's own value stand in its span already
-    joint = durable(joint.where((F.col("texts") >= support) & ~F.contains("entity", "term")).drop("texts"))
+    joint = durable(joint.where(F.col("texts") >= support).drop("texts"))
     # words are counted by task before they are shuffled
     everywhere = rows.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     n = float(rows.count())

@@ -423,6 +423,19 @@ def test_disclosing_terms(spark):
     assert clean.startswith("mail [EMAIL] from  desk") and "zorblatt" not in clean
 
 
+def test_parts_of_an_address_outside_it(spark):
+    """Names in the prose that are parts of the address, or of a kind's name, disclose it like any other term."""
+    rng = random.Random(10)
+    noise = lambda: " ".join(rng.choice("abcdefgh") * 3 for _ in range(5))
+    rows = [(i, f"write to anna.schmidt@x.org +1 (743) 555-38{i}0 ask for Anna Schmidt by Mail {noise()} {i}") for i in range(6)]
+    rows += [(i, f"write to ask for {noise()} {i} by bob{i}@x.org") for i in range(6, 200)]
+    out = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: r.w for r in out.select("doc_id", F.expr("filter(spans, s -> s.kind = 4).word").alias("w")).collect()}
+    assert all(got[i] == (["Anna", "Schmidt", "Mail"] if i < 6 else []) for i in got)
+    clean = {r.t.lower() for r in out.where("doc_id < 6").select(pii.sanitised(F.col("text"), F.col("spans"), F.col("weights")).alias("t")).collect()}
+    assert not any("anna" in t or "schmidt" in t for t in clean)
+
+
 def test_pii_edges(odd, none):
     got = pii.find_personal_data(odd.select("doc_id", "text", "spans"))
     assert got.count() == 8 and got.where("size(spans) = 1").count() == 1 and got.where("spans is null").count() == 0
