@@ -1,13 +1,16 @@
-"""Near copies by the likeness of word shingles, found without loss.
-
-A text is the set of hashes of its shingles; two texts link when the Jaccard likeness of their sets is `least`
-or more, and links are judged on the sets alone. Equal sets are one vertex. Candidates come in two steps. First
-each vertex is held against the smallest vertex of each of its MinHash bands, which costs a few comparisons a
-vertex and joins large groups. Then sets of different groups meet by prefixes: two sets of a likeness of `least`
-share one of the first n - ceil(least * n) + 1 members in any common order. Common shingles, as a sample has
-them, come last in that order, so prefixes hold rare ones; prefixes within one group are never paired.
-Candidates meet as bit maps first: members toggle bits, so maps differ in at most as many bits as sets in members,
-and only pairs within the limit are compared by their members.
+"""SimHash near-dedup at a stated likeness of word shingles: fingerprints propose, an exact check decides.
+
+A text is the set of hashes of its shingles; two texts link when the Jaccard likeness of their sets is `least` or
+more, and links are judged on the sets alone. Equal sets are one vertex, with the SimHash fingerprint of its members.
+Candidates come in two steps, and each is checked by the members of both sets.
+
+First the Gray-ordered index of `simhash` finds fingerprints that differ in BITS bits, and each vertex is held against
+the smallest vertex that shares one of its rare shingles; this costs a few comparisons a vertex and joins large groups.
+Then sets of different groups meet by prefixes: two sets of a likeness of `least` share one of the first
+n - ceil(least * n) + 1 members in any common order. Common shingles, as a sample has them, come last in that order, so
+prefixes hold rare ones. Pairs that share a prefix member become rows only if their fingerprints differ in at most
+REACH bits: at a likeness of 0.8 they differ in about 10 of 64 with a deviation of 3, unrelated ones in 32 with one of
+4, so the bound loses a link with a probability of about one in a million and saves nearly all checks.
 """
 
 from __future__ import annotations
@@ -18,20 +21,19 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected, durable, slices, stored
-from .simhash import in_groups, stand_ins
+from .simhash import fingerprint_edges, in_groups, majority, stand_ins
 
 WIDTH, LEAST = 5, 0.8
-#: MinHash bands and minima in each; sampled sets, and how many of them make a shingle common.
-BANDS, ROWS = 8, 5
+#: Differing bits of fingerprints that the index looks for, and at which a shared rare shingle is followed.
+BITS, REACH = 3, 24
+#: Sampled sets, and how many of them make a shingle common.
 SAMPLE, COMMON = 4096, 4
-#: 64-bit words of a bit map; bits of the table of names asked for, which keeps other members out of the shuffle.
-WORDS, BITS = 16, 1 << 25
-_XOR, _ODD = np.random.default_rng(42).integers(0, 1 << 63, (2, BANDS * ROWS), np.uint64)
-_ODD |= np.uint64(1)
+#: Bits of the table of names asked for, which keeps other members out of the shuffle.
+TABLE = 1 << 25
 
 
 def shingles(text: bytes, width: int = WIDTH) -> np.ndarray:
@@ -48,14 +50,6 @@ def vertex(members: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(members.tobytes(), 1)).view(np.int64)) if len(members) else 0
 
 
-def bands(members: np.ndarray) -> list[int]:
-    """A hash (signed) of each band of minima."""
-    least = np.full(BANDS * ROWS, ~np.uint64(0))
-    for at in range(0, len(members), 1 << 13):
-        least = np.minimum(least, ((members[at : at + (1 << 13), None] ^ _XOR) * _ODD).min(axis=0))
-    return [int(np.uint64(xxhash.xxh64_intdigest(b.tobytes(), i)).view(np.int64)) for i, b in enumerate(least.reshape(BANDS, ROWS))]
-
-
 def prefix(members: np.ndarray, common: np.ndarray, least: float = LEAST) -> np.ndarray:
     """The first members in the order of (common or not, hash) of which alike sets share one; common is sorted."""
     often = np.zeros(len(members), bool)
@@ -65,21 +59,15 @@ def prefix(members: np.ndarray, common: np.ndarray, least: float = LEAST) -> np.
     return np.concatenate([members[~often], members[often]])[:lead]
 
 
-def bit_map(members: np.ndarray) -> np.ndarray:
-    """Words (int64) of the bits that an odd number of members have as their lowest bits."""
-    hits = np.bincount((members & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
-    return np.packbits(hits.astype(np.uint8), bitorder="little").view("<i8")
-
-
 def _texts(df: DataFrame, *columns, text_col: str = "text") -> DataFrame:
     return df.select(*columns, F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
 
 
 def asked_bits(names: DataFrame) -> np.ndarray:
-    """Bytes of a bit table of BITS bits in which the names (fp) are set; what reaches the driver has a fixed size."""
-    at = F.pmod("fp", F.lit(BITS))
+    """Bytes of a bit table of TABLE bits in which the names (fp) are set; what reaches the driver has a fixed size."""
+    at = F.pmod("fp", F.lit(TABLE))
     rows = names.groupBy(F.shiftright(at, 15).alias("part")).agg(F.bitmap_construct_agg(at.bitwiseAND(F.lit(32767))).alias("bits"))
-    table = np.zeros(BITS // 8, np.uint8)
+    table = np.zeros(TABLE // 8, np.uint8)
     for r in rows.collect():
         table[r["part"] << 12 : (r["part"] + 1) << 12] = np.frombuffer(r["bits"], np.uint8)
     return table
@@ -87,7 +75,7 @@ def asked_bits(names: DataFrame) -> np.ndarray:
 
 def _member_rows(width: int, bits: np.ndarray | None):
     def wanted(name: int) -> bool:
-        at = name % BITS
+        at = name % TABLE
         return bits is None or bool(bits[at >> 3] >> (at & 7) & 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,59 +101,67 @@ def common_shingles(texts: DataFrame, width: int = WIDTH, sample: int = SAMPLE)
 
 
 def shingle_sets(df: DataFrame, least: float = LEAST, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, fp: the set's name, n, bands, map, lead) of every row; null and empty texts have the empty set."""
+    """(id_col, fp: the set's name, sim: its SimHash, n, lead: its prefix) of every row; null and empty texts have the empty set."""
     kind = df.schema[id_col].dataType.simpleString()
     common = common_shingles(_texts(df, text_col=text_col), width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        many = pa.list_(pa.int64())
         for b in slices(batches):
             sets = [shingles(t, width) for t in b.column(1).to_pylist()]
-            cols = [pa.array(map(vertex, sets), pa.int64()), pa.array(map(len, sets), pa.int32()), pa.array(map(bands, sets), many), pa.array(map(bit_map, sets), many)]
-            cols.append(pa.array([prefix(s, common, least).view(np.int64) for s in sets], many))
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=[id_col, "fp", "n", "bands", "map", "lead"])
+            cols = [pa.array(map(vertex, sets), pa.int64()), pa.array(np.array([*map(majority, sets)], "<u8").view("<i8")), pa.array(map(len, sets), pa.int32())]
+            cols.append(pa.array([prefix(s, common, least).view(np.int64) for s in sets], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=[id_col, "fp", "sim", "n", "lead"])
 
-    schema = f"`{id_col}` {kind}, fp long, n int, bands array<long>, map array<long>, lead array<long>"
+    schema = f"`{id_col}` {kind}, fp long, sim long, n int, lead array<long>"
     return _texts(df, F.col(id_col), text_col=text_col).mapInArrow(run, schema)
 
 
-def alike(pairs: DataFrame, sets: DataFrame, texts: DataFrame, least: float = LEAST, width: int = WIDTH) -> DataFrame:
-    """Those of the distinct pairs (a, b) of set names whose sets are alike to `least` or more."""
-    maps = sets.groupBy("fp").agg(F.first("n").alias("n"), F.first("map").alias("map"))
-    near = pairs.join(maps.select(F.col("fp").alias("a"), F.col("n").alias("na"), F.col("map").alias("x")), "a").join(maps.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("map").alias("y")), "b")
-    differ = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, c: t + c)
-    near = durable(near.where(differ <= F.lit((1 - least) / (1 + least)) * (F.col("na") + F.col("nb")) + 1e-6).select("a", "b"))
-    asked = near.select(F.col("a").alias("fp")).union(near.select("b")).distinct()
+def within_reach(sim: Column, sim2: Column, n: Column, n2: Column, least: float) -> Column:
+    """Whether two sets, by fingerprints and sizes, may be alike."""
+    return (F.bit_count(sim.bitwiseXOR(sim2)) <= REACH) & (F.least(n, n2) >= F.lit(least) * F.greatest(n, n2) - 1e-9)
+
+
+def alike(pairs: DataFrame, texts: DataFrame, least: float = LEAST, width: int = WIDTH) -> DataFrame:
+    """Those of the distinct pairs (a, b) of set names whose sets are alike to `least` or more; only their members are shuffled."""
+    asked = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
     members = members_of(texts, width, asked_bits(asked)).join(asked, "fp", "left_semi").groupBy("fp").agg(F.first("members").alias("m"))
-    both = near.join(members.select(F.col("fp").alias("a"), F.col("m").alias("x")), "a").join(members.select(F.col("fp").alias("b"), F.col("m").alias("y")), "b")
+    both = pairs.join(members.select(F.col("fp").alias("a"), F.col("m").alias("x")), "a").join(members.select(F.col("fp").alias("b"), F.col("m").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.where(common >= F.lit(least) * (F.size("x") + F.size("y") - common) - 1e-9).select("a", "b")
 
 
 def alike_edges(sets: DataFrame, texts: DataFrame, least: float = LEAST, width: int = WIDTH) -> DataFrame:
     """Edges (a, b) of alike sets whose components are those of all such pairs; sets are rows of shingle_sets(), texts their texts."""
-    some = sets.where("n > 0")
-    banded = some.select("fp", F.posexplode("bands").alias("i", "band"))
-    heads = banded.groupBy("i", "band").agg(F.min("fp").alias("b"), F.max("fp").alias("most")).where("b < most").drop("most")
-    stars = durable(banded.join(heads, ["i", "band"]).where("fp > b").select(F.col("fp").alias("a"), "b").distinct())
-    linked = durable(alike(stars, some, texts, least, width))
-    groups = connected(linked)
+    some = durable(sets.where("n > 0").groupBy("fp").agg(F.first("sim").alias("sim"), F.first("n").alias("n"), F.first("lead").alias("lead")))
+    rows = some.select("fp", "sim", "n", F.explode("lead").alias("s"))
+    heads = rows.groupBy("s").agg(F.min(F.struct("fp", "sim", "n")).alias("head"), F.count("*").alias("k")).where("k > 1").drop("k")
+    shared = durable(rows.join(heads, "s"))
+    reach = within_reach(F.col("sim"), F.col("head.sim"), F.col("n"), F.col("head.n"), least)
+    stars = shared.where((F.col("fp") != F.col("head.fp")) & reach).select(F.col("fp").alias("a"), F.col("head.fp").alias("b"))
+
+    # sets of one fingerprint, and of fingerprints that the index links, meet in the smallest of them
+    by_sim = some.groupBy("sim").agg(F.min(F.struct("fp", "n")).alias("first"))
+    links = fingerprint_edges(by_sim.select("sim").withColumnRenamed("sim", "fp"), BITS)
+    same = some.join(by_sim, "sim").where("fp <> first.fp").select(F.col("fp").alias("a"), F.col("first.fp").alias("b"))
+    near = links.join(by_sim.select(F.col("sim").alias("a"), F.col("first.fp").alias("x")), "a").join(by_sim.select(F.col("sim").alias("b"), F.col("first.fp").alias("y")), "b")
+    both = stars.union(same).union(near.select("x", "y"))
+    linked = durable(alike(durable(both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()), texts, least, width))
 
-    rows = some.select("fp", "n", F.explode("lead").alias("s"))
-    shared = rows.groupBy("s").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x < y").select("s")
-    known = rows.join(shared, "s").distinct().join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("s", "fp", "n", F.coalesce("component", "fp").alias("g"))
+    groups = connected(linked)
+    known = shared.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("s", "fp", "sim", "n", F.coalesce("component", "fp").alias("g"))
     apart = known.groupBy("s").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x < y").select("s")
-    left = durable(known.join(apart, "s").select("s", "fp", "n", "g"))
-    right = left.select("s", F.col("fp").alias("fp2"), F.col("n").alias("n2"), F.col("g").alias("g2"))
-    near = (F.col("g") != F.col("g2")) & ((F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("fp") < F.col("fp2")))) & (F.col("n") >= F.lit(least) * F.col("n2") - 1e-9)
-    pairs = durable(left.join(right, "s").where(near).select(F.col("fp").alias("a"), F.col("fp2").alias("b")).distinct())
-    return linked.union(alike(pairs, some, texts, least, width))
+    left = durable(known.join(apart, "s").select("s", "fp", "sim", "n", "g"))
+    right = left.select("s", *[F.col(c).alias(f"{c}2") for c in ("fp", "sim", "n", "g")])
+    # the condition is part of the join: pairs out of reach never become rows
+    meets = (left.s == right.s) & (F.col("fp") < F.col("fp2")) & (F.col("g") != F.col("g2")) & within_reach(F.col("sim"), F.col("sim2"), F.col("n"), F.col("n2"), least)
+    pairs = durable(left.join(right, meets).select(F.col("fp").alias("a"), F.col("fp2").alias("b")).distinct())
+    return linked.union(alike(pairs, texts, least, width))
 
 
 def near_copies(df: DataFrame, least: float = LEAST, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, fp, component_id) of every row, as simhash.near_duplicates() has them, by links of alike shingle sets."""
     sets = stored(shingle_sets(df, least, width, id_col, text_col))
-    edges = alike_edges(sets, _texts(df, text_col=text_col), least, width)
+    edges = durable(alike_edges(sets, _texts(df, text_col=text_col), least, width))
     return in_groups(sets.select(id_col, "fp"), connected(edges), id_col)
 
 

@@ -1,15 +1,12 @@
-"""SimHash near-duplicates, found through Gray-ordered hierarchical indexes.
-
-A fingerprint has 64 bits; two link when at most `bits` of them differ. Distinct fingerprints are dealt
-to shards by their uppermost index nodes: the bits are put in several orders, each with another set of
-blocks in front, such that a pair within the limit agrees on the front of at least one order. In a shard
-the fingerprints of one front are sorted by Gray rank, in which neighbours share long bit patterns. Runs
-of them become index nodes, each with the mask and the values of the bits that all its members share;
-nodes are grouped into upper nodes in the same way. A search walks down, adds up the differences from each
-node's shared bits, and drops a whole group once they exceed the limit.
-
-Fronts shared by very many distinct fingerprints are dealt again with longer fronts, of orders that keep
-the guarantee, so no shard has to hold an unbounded group.
+"""SimHash near-duplicates, found through a Gray-ordered hierarchical index.
+
+A fingerprint has 64 bits; two link when at most `bits` of them differ. The distinct fingerprints are sorted by
+Gray rank, in which neighbours share long bit patterns, and cut into runs, the index's nodes. A node keeps the mask
+and the values of the bits that all its members share; nodes are grouped into upper nodes by place, up to a few
+hundred at the top. The index is searched against itself from the top: of each pair of nodes the differences in bits
+that both share are added up, level by level, each level only counting the bits that the levels above have not;
+beyond `bits` the pair goes, and with it all pairs of fingerprints below. Runs that are left meet in one row of a
+join, where smaller nodes prune in the same way before fingerprints are compared.
 """
 
 from __future__ import annotations
@@ -21,14 +18,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import connected, durable, shuffle_partitions, slices
 
-#: Distinct fingerprints of one front above which it is dealt again by longer fronts.
-CROWD = 2000
-LEAF, FAN = 16, 8
+#: Fingerprints of a run and of a node within it; most nodes of the top level.
+RUN, LEAF, TOP = 512, 16, 512
+#: Bits of a node's place that each level drops: 64 runs of a partition, the partition, 64 partitions and so on.
+LEVELS = [0, 6, 32, 38, 44, 50, 56]
 
 
 def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
@@ -41,7 +40,11 @@ def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
     else:
         shingles = map(b" ".join, zip(*(words[i:] for i in range(width))))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, seed) for s in shingles], "<u8")
+    return majority(np.array([digest(s, seed) for s in shingles], "<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have set; zero for none."""
     half, total = len(hashes), np.zeros(64, np.int64)
     for at in range(0, half, 1 << 16):
         total += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -61,13 +64,6 @@ def simhash(df: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str
     return source.mapInArrow(run, f"`{id_col}` {kind}, fp long")
 
 
-def orders(bits: int, blocks: int) -> list[tuple[int, int]]:
-    """(mask of the front, number of its bits): every choice of blocks - bits of the blocks, so that `bits` differences leave one choice untouched."""
-    edges = [round(64 * i / blocks) for i in range(blocks + 1)]
-    masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in itertools.pairwise(edges)]
-    return [sum(c) for c in itertools.combinations(masks, blocks - bits)]
-
-
 def gray_rank(codes: np.ndarray) -> np.ndarray:
     """Place of each code in the Gray sequence."""
     rank = codes.copy()
@@ -76,121 +72,134 @@ def gray_rank(codes: np.ndarray) -> np.ndarray:
     return rank
 
 
-def _shared(values: np.ndarray, masks: np.ndarray, fan: int) -> tuple[np.ndarray, np.ndarray]:
-    """Nodes over runs of `fan` neighbours: mask and values of the bits that all of a run have in common."""
-    starts = np.arange(0, len(values), fan)
-    alike = np.bitwise_and.reduceat(values, starts) | np.bitwise_and.reduceat(~values, starts)
-    mask = np.bitwise_and.reduceat(masks, starts) & alike
-    return values[starts] & mask, mask
-
-
-def linked_pairs(codes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of places (i, j) of distinct codes, both ways, that differ in at most `bits` bits, by a Gray-ordered index."""
-    order = np.argsort(gray_rank(codes), kind="stable")
-    own = codes[order]
-    levels = [(own, np.full(len(own), ~np.uint64(0)), 1)]
-    while len(levels[-1][0]) > FAN:
-        values, masks, _ = levels[-1]
-        fan = LEAF if len(levels) == 1 else FAN
-        levels.append((*_shared(values, masks, fan), fan))
-    left, right = [], []
-    for at in range(0, len(own), 4096):  # searches in blocks bound the memory
-        query = np.arange(at, min(len(own), at + 4096))
-        nodes = len(levels[-1][0])
-        q, node = np.repeat(query, nodes), np.tile(np.arange(nodes), len(query))
-        for depth in range(len(levels) - 1, -1, -1):
-            values, masks, fan = levels[depth]
-            keep = np.bitwise_count((own[q] ^ values[node]) & masks[node]) <= bits
-            q, node = q[keep], node[keep]
-            if depth:
-                below = len(levels[depth - 1][0])
-                q = np.repeat(q, fan)
-                node = (node[:, None] * fan + np.arange(fan)).ravel()
-                q, node = q[node < below], node[node < below]
-        left.append(order[q])
-        right.append(order[node])
-    i, j = np.concatenate(left), np.concatenate(right)
-    return i[i != j], j[i != j]
-
-
-def _forest(codes: np.ndarray, bits: int) -> tuple[list[int], list[int]]:
-    """Edges from each code to the smallest of its component within these codes (signed order)."""
-    i, j = linked_pairs(codes, bits)
-    if not len(i):
-        return [], []
-    signed = codes.view(np.int64)
-    label = signed.copy()
+def gray_key(fp: Column) -> Column:
+    """The same of a column of longs, as a long that sorts alike."""
+    for shift in (1, 2, 4, 8, 16, 32):
+        fp = fp.bitwiseXOR(F.shiftrightunsigned(fp, shift))
+    return fp.bitwiseXOR(F.lit(-(1 << 63)))
+
+
+def shared(codes: np.ndarray, fan: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mask and values of the bits that all of each `fan` neighbours have in common."""
+    starts = np.arange(0, len(codes), fan)
+    mask = np.bitwise_and.reduceat(codes, starts) | np.bitwise_and.reduceat(~codes, starts)
+    return mask, codes[starts] & mask
+
+
+def links_between(x: np.ndarray, y: np.ndarray, bits: int, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of places (i, j) of two runs in Gray order whose codes differ in at most `bits` bits."""
+    (mask, value), (mask2, value2) = shared(x, leaf), shared(y, leaf)
+    near = np.bitwise_count((value[:, None] ^ value2) & (mask[:, None] & mask2)) <= bits
+    i, j = np.nonzero(near)
+    i = np.broadcast_to((i[:, None, None] * leaf + np.arange(leaf)[:, None]), (len(i), leaf, leaf)).ravel()
+    j = np.broadcast_to((j[:, None, None] * leaf + np.arange(leaf)), (len(j), leaf, leaf)).ravel()
+    if len(x) % leaf or len(y) % leaf:
+        there = (i < len(x)) & (j < len(y))
+        i, j = i[there], j[there]
+    hit = np.bitwise_count(x[i] ^ y[j]) <= bits
+    return i[hit], j[hit]
+
+
+def forest(codes: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each code the smallest code (signed) of its component under the links (i, j)."""
+    order = np.argsort(codes.view(np.int64))
+    label = np.empty(len(codes), np.int64)
+    label[order] = np.arange(len(codes))  # places in the signed order
     while True:
         new = label.copy()
         np.minimum.at(new, i, label[j])
-        at = np.searchsorted(np.sort(signed), new)
-        new = np.minimum(new, new[np.argsort(signed)[at]])
+        np.minimum.at(new, j, label[i])
+        new = np.minimum(new, new[order[new]])
         if (new == label).all():
-            break
+            return codes[order[label]]
         label = new
-    apart = label != signed
-    return signed[apart].tolist(), label[apart].tolist()
 
 
-def fingerprint_edges(fps: DataFrame, bits: int = 2, crowd: int = CROWD) -> DataFrame:
+def gray_runs(fps: DataFrame, run: int = RUN) -> DataFrame:
+    """(place, mask, value, codes) of the runs of distinct fingerprints (column fp) in Gray order; place is partition << 32 | run, codes are 8 bytes each."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, rest, n = TaskContext.get().partitionId() << 32, np.zeros(0, np.uint64), 0
+        for codes in itertools.chain((b.column(0).to_numpy().view(np.uint64) for b in batches), [None]):
+            last = codes is None
+            rest = rest if last else np.concatenate([rest, codes])
+            whole = len(rest) if last else len(rest) - len(rest) % run
+            if whole:
+                (mask, value), at = shared(rest[:whole], run), range(0, whole, run)
+                places = base + n + np.arange(len(at))
+                yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(mask.view(np.int64)), pa.array(value.view(np.int64)), pa.array([rest[k : min(whole, k + run)].tobytes() for k in at], pa.binary())], names=["place", "mask", "value", "codes"])
+                n, rest = n + len(at), rest[whole:]
+
+    keyed = fps.select("fp", gray_key(F.col("fp")).alias("key"))
+    ranged = keyed.repartitionByRange(shuffle_partitions(fps.sparkSession), "key").sortWithinPartitions("key")
+    return durable(ranged.select("fp").mapInArrow(cut, "place long, mask long, value long, codes binary"))
+
+
+def node_levels(runs: DataFrame, top: int = TOP) -> list[DataFrame]:
+    """(node, mask, value) of each level of the index, from the runs up to one of at most `top` nodes."""
+    levels = [runs.select(F.col("place").alias("node"), "mask", "value")]
+    for lower, upper in itertools.pairwise(LEVELS):
+        if levels[-1].count() <= top:
+            break
+        parent = F.shiftright("node", upper - lower)
+        both = levels[-1].groupBy(parent.alias("node")).agg(F.bit_and("mask").alias("m"), F.bit_and("value").alias("ones"), F.bit_and(F.bitwise_not("value")).alias("zeros"), F.first("value").alias("v"))
+        mask = F.col("m").bitwiseAND(F.col("ones").bitwiseOR(F.col("zeros")))
+        levels.append(durable(both.select("node", mask.alias("mask"), F.col("v").bitwiseAND(mask).alias("value"))))
+    return levels
+
+
+def near_runs(levels: list[DataFrame], bits: int) -> DataFrame:
+    """Pairs (a, b) of runs, a <= b, that may hold fingerprints within `bits` bits: what a search from the top level leaves."""
+    spark, top = levels[-1].sparkSession, levels[-1].toPandas()  # TOP rows at most, however many fingerprints
+    node, mask, value = (top[c].to_numpy(np.int64) for c in ("node", "mask", "value"))
+    seen = mask[:, None] & mask
+    differ = np.bitwise_count(((value[:, None] ^ value) & seen).view(np.uint64))
+    i, j = np.nonzero((differ <= bits) & (node[:, None] <= node))
+    pairs = spark.createDataFrame(pd.DataFrame({"a": node[i], "b": node[j], "seen": seen[i, j], "apart": differ[i, j].astype(np.int32)}), "a long, b long, seen long, apart int")
+    shifts = LEVELS[: len(levels)]
+    for depth in range(len(levels) - 2, -1, -1):
+        parent = F.shiftright("node", shifts[depth + 1] - shifts[depth])
+        below = lambda a, m, v: levels[depth].select(parent.alias("up"), F.col("node").alias(a), F.col("mask").alias(m), F.col("value").alias(v))  # noqa: B023, E731
+        left = pairs.withColumnRenamed("a", "up").join(below("a", "x", "p"), "up").drop("up")
+        both = left.withColumnRenamed("b", "up").join(below("b", "y", "q"), "up").where("a <= b")
+        own = F.col("x").bitwiseAND(F.col("y"))
+        # bits that the levels above have counted are not counted again
+        more = F.bit_count(F.col("p").bitwiseXOR(F.col("q")).bitwiseAND(own).bitwiseAND(F.bitwise_not("seen")))
+        pairs = durable(both.select("a", "b", own.alias("seen"), (F.col("apart") + more).cast("int").alias("apart")).where(F.col("apart") <= bits))
+    return pairs.select("a", "b")
+
+
+def fingerprint_edges(fps: DataFrame, bits: int = 2, run: int = RUN, top: int = TOP) -> DataFrame:
     """Edges (a, b) between distinct fingerprints whose components are those of all links of at most `bits` bits.
 
-    fps has a column fp of distinct values. Each fingerprint goes to one shard for each bit order; all links
-    between different fingerprints lie within some shard, where they are reduced to a forest.
+    fps has a column fp of distinct values, no nulls. Of each two runs that meet, the links are reduced to a forest, so
+    a dense group gives no more edges than it has members there.
     """
-    spark = fps.sparkSession
-    n = shuffle_partitions(spark)
-
-    def dealt(rows: DataFrame, blocks: int) -> DataFrame:
-        fronts = F.array(*[F.struct(F.lit(i).alias("o"), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("front")) for i, m in enumerate(orders(bits, blocks))])
-        return rows.select("fp", F.explode(fronts).alias("f")).select("fp", F.concat(F.lit(f"{blocks}:"), "f.o").alias("o"), "f.front")
-
-    wide = dealt(fps, bits + 2)
-    sizes = wide.groupBy("o", "front").agg(F.count("*").alias("n")).where("n > 1")
-    known = wide.join(sizes, ["o", "front"])
-    small = known.where(F.col("n") <= crowd).select("fp", "o", "front")
-    # a crowded front: its members meet again on longer fronts, within the same first front
-    longer = dealt(known.where(F.col("n") > crowd).select("fp").distinct(), bits + 6)
-
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for pdf in itertools.chain(frames, [None]):
-            if pdf is not None and rest is not None:
-                pdf = pd.concat([rest, pdf], ignore_index=True)
-            if pdf is None:
-                if rest is None:
-                    return
-                pdf, rest = rest, None
-                last = True
-            else:
-                last = False
-            if not len(pdf):
-                continue
-            codes = pdf["fp"].to_numpy(np.int64).view(np.uint64)
-            o, front = pd.factorize(pdf["o"])[0], pdf["front"].to_numpy(np.int64)
-            new = np.flatnonzero((o[1:] != o[:-1]) | (front[1:] != front[:-1])) + 1
-            starts = np.concatenate([[0], new])
-            ends = np.concatenate([new, [len(pdf)]])
-            if not last:
-                rest = pdf.iloc[starts[-1] :]
-                starts, ends = starts[:-1], ends[:-1]
-            a, b = [], []
-            for s, e in zip(starts.tolist(), ends.tolist()):
-                if e - s == 2:  # an index of one node
-                    x, y = codes[s], codes[s + 1]
-                    if int(x ^ y).bit_count() <= bits:
-                        x, y = sorted((int(x.view(np.int64)), int(y.view(np.int64))))
-                        a.append(y)
-                        b.append(x)
-                elif e - s > 2:
-                    x, y = _forest(codes[s:e], bits)
-                    a += x
-                    b += y
-            if a:
-                yield pd.DataFrame({"a": a, "b": b})
-
-    shards = small.union(longer).repartition(n, "o", "front").sortWithinPartitions("o", "front", "fp")
-    return shards.mapInPandas(search, "a long, b long").distinct()
+    runs = gray_runs(fps, run)
+    pairs = near_runs(node_levels(runs, top), bits)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[np.ndarray] = []
+            for left, right in zip(b.column(0), b.column(1)):
+                x, y = (np.frombuffer(c.as_buffer(), "<u8") for c in (left, right))
+                i, j = links_between(x, y, bits)
+                if left.equals(right):
+                    i, j, codes = *(k[i < j] for k in (i, j)), x
+                else:
+                    j, codes = j + len(x), np.concatenate([x, y])
+                if len(i):
+                    used, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+                    own = codes[used]
+                    least = forest(own, at[: len(i)], at[len(i) :])
+                    out.append(np.stack([own, least])[:, own != least])
+            if out:
+                a, least = np.concatenate(out, axis=1).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(least)], names=["a", "b"])
+
+    codes = runs.select("place", "codes")
+    met = pairs.join(codes.select(F.col("place").alias("a"), F.col("codes").alias("x")), "a").join(codes.select(F.col("place").alias("b"), F.col("codes").alias("y")), "b")
+    return met.select("x", "y").mapInArrow(search, "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, bits: int = 2, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

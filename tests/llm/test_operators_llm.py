@@ -109,22 +109,36 @@ def test_spark_and_xxhash_agree(spark):
     assert row & (1 << 64) - 1 == xxhash.xxh64_intdigest("a é b".encode(), 42)
 
 
-@pytest.mark.parametrize("crowd", [1, 2000])
-def test_gray_index_finds_every_link(spark, crowd):
+@pytest.mark.parametrize("run,top", [(512, 512), (16, 4), (3, 1)])
+def test_gray_index_finds_every_link(spark, run, top):
+    from siftwell.llm.common import connected
+
     rng = random.Random(5)
     base = [rng.getrandbits(64) for _ in range(30)]
     codes = {b ^ sum(1 << k for k in rng.sample(range(64), rng.randrange(4))) for b in base for _ in range(8)} | {0, 1, (1 << 64) - 1}
     signed = [c - (1 << 64) if c >> 63 else c for c in codes]
-    from siftwell.llm.common import connected
-
-    edges = simhash.fingerprint_edges(spark.createDataFrame([(c,) for c in signed], "fp long"), 2, crowd)
+    edges = simhash.fingerprint_edges(spark.createDataFrame([(c,) for c in signed], "fp long"), 2, run, top)
     got = {r.node & (1 << 64) - 1: r.component for r in connected(edges).collect()}
     want = slow_components(sorted(codes), 2)
     groups = lambda m: sorted(sorted(k for k in m if m[k] == v) for v in set(m.values()))
     assert groups(got) == [g for g in groups(want) if len(g) > 1]
-    i, j = simhash.linked_pairs(np.array(sorted(codes), np.uint64), 2)
-    s = sorted(codes)
-    assert {(int(a), int(b)) for a, b in zip(i, j)} == {(a, b) for a in range(len(s)) for b in range(len(s)) if a != b and (s[a] ^ s[b]).bit_count() <= 2}
+    s = np.array(sorted(codes, key=lambda c: int(simhash.gray_rank(np.array([c], np.uint64))[0])), np.uint64)
+    i, j = simhash.links_between(s[:101], s[101:], 2)
+    left, right = s[:101].tolist(), s[101:].tolist()
+    assert sorted(zip(i.tolist(), j.tolist())) == [(a, b) for a in range(101) for b in range(len(right)) if (left[a] ^ right[b]).bit_count() <= 2]
+
+
+def test_gray_index_prunes_groups(spark):
+    """Most pairs of runs go unseen at the upper levels, whichever levels there are; the same pairs are left."""
+    fps = simhash.simhash(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).select("fp").distinct()
+    runs = simhash.gray_runs(fps, 32)
+    n = runs.count()
+    one = simhash.near_runs(simhash.node_levels(runs, n), 2)
+    levels = simhash.node_levels(runs, 3)
+    assert len(levels) > 2 and [x.count() for x in levels] == sorted((x.count() for x in levels), reverse=True)
+    left = simhash.near_runs(levels, 2)
+    assert left.count() == left.distinct().count() and left.exceptAll(one).count() == 0 and one.exceptAll(left).count() == 0
+    assert left.count() < 0.25 * n * (n + 1) / 2
 
 
 def test_simhash_edges(odd, none):
@@ -321,8 +335,7 @@ def test_bpe_matches_the_library(texts):
     rng = random.Random(4)
     cases = TRICKY + [x for _, x in sorted(texts.items())[:80]] + ["".join(rng.choice("aAbéÉ' \n1½Σσ.,!<|>\x1c日́") for _ in range(50)) for _ in range(200)]
     for arrays in (False, True):
-        own.by_chunk.clear()
-        own.by_word.clear()
+        own.known, own.before = {}, {}
         ids, counts = own.encode_column(cases, arrays)
         for case, n, end in zip(cases, counts, np.cumsum(counts)):
             want = t.encode(case, add_special_tokens=False).ids
