@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 
 from .common import slices
 
-#: Entries of each cache of a Python worker; a full cache is emptied.
-CACHE = 600_000
+#: Entries of a Python worker's cache of chunks and words; a full cache is kept until the next one is full.
+CACHE = 150_000
+#: Punctuation that is a word of its own behind a word of letters.
+_MARKS = frozenset(".,;:!?")
 #: Words of more symbols than this are never merged by the array form.
 ARRAY_SYMBOLS = 24
 _INF = np.int32(2**31 - 1)
@@ -105,8 +107,8 @@ class WordBpe:
         self.final = [vocab[c + self.suffix] for c in alphabet]
         self.words = regex.compile(next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"])
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.by_word: dict[str, bytes] = {}
-        self.by_chunk: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # ids of words, and of chunks: a chunk that is a word has that word's ids
 
     @functools.cached_property
     def pairs(self) -> PairTable:
@@ -137,59 +139,67 @@ class WordBpe:
                 heapq.heappush(queue, (found[0], h, found[1]))
         return [s for s in sym if s >= 0]
 
-    def merge_many(self, words: list[list[int]]) -> list[list[int]]:
-        """The same for many words at once, as array steps: each step merges every word's best pair."""
-        out: list[list[int]] = [[]] * len(words)
+    def merge_many(self, words: list[str]) -> list[bytes]:
+        """The ids of many words at once, by array steps: each step merges every word's best pair."""
+        out: list[bytes] = [b""] * len(words)
+        raws = [w.encode() for w in words]
         by_length: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
-            by_length.setdefault(len(w), []).append(i)
+        for i, raw in enumerate(raws):
+            by_length.setdefault(len(raw), []).append(i)
+        inner, final = np.array(self.inner, np.int64), np.array(self.final, np.int64)
+
+        def give(rows: np.ndarray, sym: np.ndarray) -> None:
+            data, size = sym.astype("<u4").tobytes(), 4 * sym.shape[1]
+            for k, i in enumerate(rows.tolist()):
+                out[i] = data[k * size : (k + 1) * size]
+
         for length, members in by_length.items():
-            if length == 1:
-                for i in members:
-                    out[i] = words[i]
-                continue
             if length > ARRAY_SYMBOLS:
                 for i in members:
-                    out[i] = self.merge(list(words[i]))
+                    out[i] = array("I", self.merge(self.symbols(words[i]))).tobytes()
                 continue
-            rows, sym, width = np.array(members), np.array([words[i] for i in members], np.int64), length
-            while len(rows):
+            byte = np.frombuffer(b"".join([raws[i] for i in members]), np.uint8).reshape(-1, length)
+            rows, sym, width = np.array(members), inner[byte], length
+            sym[:, -1] = final[byte[:, -1]]
+            while len(rows) and width > 1:
                 rank, new = self.pairs.ranks(sym[:, :-1] << 20 | sym[:, 1:])
                 best = rank.argmin(axis=1)
                 at = np.arange(len(rows))
                 live = rank[at, best] < _INF
-                for i, s in zip(rows[~live].tolist(), sym[~live].tolist()):
-                    out[i] = s
+                give(rows[~live], sym[~live])
                 rows, sym, best, new = rows[live], sym[live], best[live, None], new[at[live], best[live]]
                 place = np.arange(width - 1)
                 merged = np.take_along_axis(sym, place + (place > best), axis=1)
                 merged[np.arange(len(rows)), best[:, 0]] = new
                 sym, width = merged, width - 1
-                if width == 1:
-                    for i, s in zip(rows.tolist(), sym.tolist()):
-                        out[i] = s
-                    break
+            give(rows, sym)
         return out
 
     def pretokens(self, piece: str) -> list[str]:
         lower = piece.lower() if "Σ" not in piece else "".join(c.lower() for c in piece)
+        if lower.isalpha():
+            return [lower]
+        if lower[-1:] in _MARKS and lower[:-1].isalpha():
+            return [lower[:-1], lower[-1]]
         return self.words.findall(lower)
 
     def learn(self, chunks: Iterable[str], arrays: bool) -> None:
-        """Puts chunks (of no white space) into the cache."""
-        if len(self.by_chunk) > CACHE:
-            self.by_chunk.clear()
-        if len(self.by_word) > CACHE:
-            self.by_word.clear()
-        split = {c: self.pretokens(c) for c in chunks if c not in self.by_chunk}
-        fresh = list({w for ws in split.values() for w in ws if w not in self.by_word})
+        """Puts chunks (of no white space) and their words into the cache."""
+        if len(self.known) > CACHE:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        asked = [c for c in chunks if c not in known]
+        known.update((c, before[c]) for c in asked if c in before)
+        missing = [c for c in asked if c not in before]
+        split = [*map(self.pretokens, missing)]
+        fresh = {w for ws in split for w in ws if w not in known}
+        known.update((w, before[w]) for w in fresh if w in before)
+        fresh = [w for w in fresh if w not in before]
         if arrays:
-            merged = self.merge_many([self.symbols(w) for w in fresh])
+            known.update(zip(fresh, self.merge_many(fresh)))
         else:
-            merged = [self.merge(self.symbols(w)) for w in fresh]
-        self.by_word.update(zip(fresh, (array("I", ids).tobytes() for ids in merged)))
-        known = self.by_word
-        self.by_chunk.update((c, known[ws[0]] if len(ws) == 1 else b"".join(map(known.__getitem__, ws))) for c, ws in split.items())
+            known.update((w, array("I", self.merge(self.symbols(w))).tobytes()) for w in fresh)
+        known.update((c, known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])) for c, ws in zip(missing, split))
 
     def plain(self, text: str) -> bool:
         """Whether white space cuts the text into chunks that can be encoded by themselves."""
@@ -204,7 +214,7 @@ class WordBpe:
             for chunk in regex.split(r"\s+", unicodedata.normalize("NFC", piece)):
                 if chunk:
                     self.learn([chunk], arrays)
-                    out.append(self.by_chunk[chunk])
+                    out.append(self.known[chunk])
         return np.frombuffer(b"".join(out), "<u4")
 
     def encode_column(self, texts: list[str], arrays: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -214,8 +224,7 @@ class WordBpe:
         coded = parts.flatten().dictionary_encode()
         chunks = coded.dictionary.to_pylist()
         self.learn(chunks, arrays)
-        self.by_chunk.setdefault("", b"")
-        packed = [*map(self.by_chunk.__getitem__, chunks)]
+        packed = [*map(self.known.__getitem__, chunks)]
         sizes = np.fromiter(map(len, packed), np.int64, len(packed)) >> 2
         flat, starts = np.frombuffer(b"".join(packed), "<u4"), np.cumsum(sizes) - sizes
         index = coded.indices.to_numpy()

@@ -36,8 +36,17 @@ def best_cuts(places: list[int], penalty: list[float], size: int) -> list[int]:
     """Indices of the places (ascending, from 0; neighbours at most size apart) at which the best windows end."""
     m = len(places)
     cost, back = [0.0] * m, [0] * m
-    index = {p: i for i, p in enumerate(places)}
-    powers = [1 << k for k in range(8, size.bit_length()) if 1 << k <= size]
+    # windows of a power of two: (end, start) of the few places that are such a distance apart
+    at = np.array(places)
+    ends, starts = [], []
+    for w in (1 << k for k in range(8, size.bit_length()) if 1 << k <= size):
+        found = np.searchsorted(at, at - w)
+        hit = np.flatnonzero(at[found] == at - w)
+        ends.append(hit)
+        starts.append(found[hit])
+    end, start = np.concatenate(ends), np.concatenate(starts)
+    order = np.argsort(end, kind="stable")
+    end, start, next_hit = [*end[order].tolist(), m], start[order].tolist(), 0
     queue, key = deque([0]), [0.0] * m
     for j in range(1, m):
         p = places[j]
@@ -45,13 +54,14 @@ def best_cuts(places: list[int], penalty: list[float], size: int) -> list[int]:
             queue.popleft()
         i = queue[0]
         best = key[i] + size - p
-        for w in powers:
-            k = index.get(p - w)
-            if k is not None and cost[k] < best:
+        while end[next_hit] == j:
+            k = start[next_hit]
+            if cost[k] < best:
                 best, i = cost[k], k
+            next_hit += 1
         cost[j], back[j] = best + penalty[j], i
-        key[j] = cost[j] + p
-        while queue and key[queue[-1]] >= key[j]:
+        own = key[j] = cost[j] + p
+        while queue and key[queue[-1]] >= own:
             queue.pop()
         queue.append(j)
     cuts, j = [], m - 1
@@ -83,9 +93,12 @@ class Packer:
         gaps = np.diff(places)
         fill = [np.arange(a + STEP, b, STEP) for a, b in zip(places[:-1][gaps > STEP].tolist(), places[1:][gaps > STEP].tolist())]
         hard = np.concatenate(fill) if fill else np.zeros(0, np.int64)
-        penalty = {**dict.fromkeys(hard.tolist(), HARD), **dict.fromkeys(sentence.tolist(), SENTENCE), **dict.fromkeys(doc_ends.tolist(), 0.0)}
-        at = np.union1d(places, hard).tolist()
-        cuts = [at[i] for i in best_cuts(at, [penalty.get(p, 0.0) for p in at], self.size)]
+        at = np.union1d(places, hard)
+        # a document's end is free, a sentence's costs little, any other place much
+        penalty = np.where(np.isin(at, sentence), SENTENCE, HARD)
+        penalty[np.isin(at, doc_ends)] = 0.0
+        at = at.tolist()
+        cuts = [at[i] for i in best_cuts(at, penalty.tolist(), self.size)]
         sizes = np.diff([0, *cuts]).tolist()
         if last:
             tail = sizes.pop()
