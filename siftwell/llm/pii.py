@@ -1,11 +1,16 @@
 """Personal data: pattern spans, and terms that give protected entities away.
 
-Native throughout. Base spans come from patterns (email, ip, card, phone). The e-mail addresses, numbers and
-hosts found are the protected entities. For an entity c and a term t of the texts that name it, co-occurrence
-over distinct texts estimates the pointwise mutual information log2 p(t, c) / (p(t) p(c)); it reaches the
-entity's information content -log2 p(c) where the term alone tells who is meant. Terms whose share of that
-content exceeds a threshold are spans of kind `term`: generalised to a placeholder, or removed where they
-disclose (nearly) everything.
+Native throughout. Base spans come from patterns (email, ip, card, phone). The protected entities are the values of
+these spans and credentials: runs of KEY or more letters and digits that hold both. For an entity c and a term t of
+the texts that name it, co-occurrence estimates the pointwise mutual information log2 p(c | t) / p(c); it reaches
+the entity's information content -log2 p(c) where the term alone tells who is meant. As most entities occur in a
+text or two, p(c | t) is smoothed: (n_both + 1/2) / (n_term + 1), so that a term seen once, with the entity, is
+not taken as certain to tell it. Terms whose share of the information content exceeds a threshold are spans of
+kind `term`: generalised to a placeholder, or removed where they disclose (nearly) everything. A share of 0.9 is
+reached by terms that leave no more than about N ** 0.1 of N texts to choose from.
+
+Entities of the very same texts disclose alike, so they are one class: a text with many values of its own gives
+one pair with each of its words, not one for each value.
 
 Patterns start with "not behind a character of the first class, or where the last match ended": the matches are
 those of the plain patterns, leftmost first, but a long run of such characters is read once and not once for
@@ -31,6 +36,9 @@ HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TERM = r"[\p{L}\p{N}]++"
 PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
+#: A credential: letters and digits in one run of KEY or more.
+KEY = 20
+CREDENTIAL = rf"(?<![\p{{L}}\p{{N}}])(?=\p{{L}}*+\p{{N}})(?=\p{{N}}*+\p{{L}})[\p{{L}}\p{{N}}]{{{KEY},}}+"
 #: Terms of texts up to which they are broadcast.
 SMALL = 100_000
 SPAN = "array<struct<start:int,kind:int,stop:int,word:string>>"
@@ -91,9 +99,17 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*found))
 
 
-def entities(found: Column) -> Column:
-    """Names of the protected entities of a text's base spans: kind and value."""
-    return F.array_distinct(F.transform(found, lambda s: F.concat(F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), F.lit(":"), F.lower(s["word"]))))
+def credentials(text: Column) -> Column:
+    """The different credentials of a text, lower-cased."""
+    none = F.array().cast("array<string>")
+    found = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(CREDENTIAL), F.lit(0)))
+    return F.when(text.rlike(f"[\\p{{L}}\\p{{N}}]{{{KEY}}}"), found).otherwise(none)
+
+
+def entities(text: Column, found: Column) -> Column:
+    """Names of a text's protected entities: kind and value of its base spans, and its credentials."""
+    named = F.transform(found, lambda s: F.concat(F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), F.lit(":"), F.lower(s["word"])))
+    return F.array_distinct(F.concat(named, F.transform(credentials(text), lambda c: F.concat(F.lit("key:"), c))))
 
 
 def outside(text: Column, found: Column) -> Column:
@@ -108,63 +124,70 @@ def outside(text: Column, found: Column) -> Column:
     return F.when(F.size(found) > 0, rest).otherwise(text)
 
 
-def disclosing_terms(rows: DataFrame, share: float = 0.9, support: int = 5) -> DataFrame:
+def disclosing_terms(held: DataFrame, texts: DataFrame, share: float = 0.9, support: int = 1) -> DataFrame:
     """(digest, term, weight): by text, the terms that disclose an entity which the text names.
 
-    `rows` has text, digest (of the text) and spans. weight is the PMI of term and entity over the entity's
-    information content, by counts of rows; terms of a weight over `share` that stand with the entity in
-    at least `support` distinct texts are returned. Only entities of so many distinct texts are followed, so the
-    words of few texts are spread out; these words are then counted over all texts.
+    `held` has a row (digest, text, spans) for each row that names an entity, `texts` every text. weight is the
+    smoothed PMI of term and entity over the entity's information content, by counts of rows; terms of a weight over
+    `share` that stand with the entity in at least `support` distinct texts are returned. A credential is a term that
+    discloses itself, with weight 1. Parts of an entity's value count only where they stand outside base spans.
     """
-    named = rows.select("digest", F.explode(entities(F.col("spans"))).alias("entity")).groupBy("digest", "entity").agg(F.count("*").alias("copies"))
+    named = held.select("digest", F.explode(entities(F.col("text"), F.col("spans"))).alias("entity")).groupBy("digest", "entity").agg(F.count("*").alias("copies"))
     named = durable(named)
-    often = named.groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.count("*").alias("texts")).where(F.col("texts") >= support).drop("texts")
-    held = durable(named.join(often, "entity").select("digest", "entity", "copies"))
-    if held.isEmpty():
+    if named.isEmpty():
         return named.select("digest", F.lit("").alias("term"), F.lit(0.0).alias("weight")).limit(0)
-    asked = held.select("digest").distinct()
-    # parts of an entity's value count only where they stand outside the spans
+    # entities of the very same texts are one class, named by their number and two hashes over them
+    alike = named.groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.count("*").alias("texts"), F.bit_xor(F.xxhash64("digest")).alias("x"), F.bit_xor(F.xxhash64(F.reverse("digest"))).alias("y"))
+    classes = alike.where(F.col("texts") >= support).select("entity", "n_entity", F.struct("texts", "x", "y").alias("class"))
+    classed = durable(named.join(classes, "entity").select("digest", "class", "copies", "n_entity").distinct())
+    often = classed.select("class", "n_entity").distinct()
     words = F.array_distinct(F.regexp_extract_all(F.lower(outside(F.col("text"), F.col("spans"))), F.lit(TERM), F.lit(0)))
     # one row a text and word: copies meet here, before words meet entities
-    terms = rows.where(F.size("spans") > 0).join(asked, "digest", "left_semi").select("digest", F.explode(words).alias("term")).distinct()
-    joint = terms.join(held, "digest").groupBy("entity", "term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("texts"))
+    terms = held.select("digest", F.explode(words).alias("term")).distinct()
+    joint = terms.join(classed.drop("n_entity"), "digest").groupBy("class", "term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("texts"))
     joint = durable(joint.where(F.col("texts") >= support).drop("texts"))
-    # words are counted by task before they are shuffled
-    everywhere = rows.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    n = float(rows.count())
-    pmi = F.log2(F.col("n_both") * F.lit(n) / (F.col("n_term") * F.col("n_entity")))
-    told = joint.join(everywhere, "term").join(often, "entity")
-    told = told.withColumn("weight", F.when(F.col("n_entity") < n, pmi / -F.log2(F.col("n_entity") / F.lit(n))).otherwise(0.0)).where(F.col("weight") > share)
-    by_text = told.select("entity", "term", "weight").join(held, "entity").join(terms, ["digest", "term"])
-    return by_text.groupBy("digest", "term").agg(F.max("weight").alias("weight"))
-
-
-def find_personal_data(df: DataFrame, share: float = 0.9, support: int = 5, text_col: str = "text") -> DataFrame:
-    """df with `spans` (sorted array of start, kind, stop, word) and `weights` (term to weight).
+    # words are counted by task before they are shuffled; a word within a span counts for its text too
+    spread = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
+    everywhere = texts.select(F.explode(spread).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    n = float(texts.count())
+    content = -F.log2(F.col("n_entity") / F.lit(n))
+    # a word that some span cuts from a longer run may be counted less often everywhere than with the entity
+    told = joint.join(everywhere, "term", "left").join(often, "class").withColumn("n_term", F.greatest("n_term", "n_both"))
+    pmi = F.log2((F.col("n_both") + 0.5) / (F.col("n_term") + 1)) + content
+    told = told.withColumn("weight", F.when(content > 0, pmi / content).otherwise(0.0)).where(F.col("weight") > share)
+    by_text = told.select("class", "term", "weight").join(classed, "class").join(terms, ["digest", "term"]).select("digest", "term", "weight")
+    own = held.select("digest", F.explode(credentials(F.col("text"))).alias("term"), F.lit(1.0).alias("weight"))
+    return by_text.union(own).groupBy("digest", "term").agg(F.max("weight").alias("weight"))
+
+
+def find_personal_data(df: DataFrame, share: float = 0.9, support: int = 1, text_col: str = "text", spans_col: str = "spans", weights_col: str = "weights") -> DataFrame:
+    """df with `spans_col` (sorted array of start, kind, stop, word) and `weights_col` (term to weight, null if the text names no entity).
 
     A null text counts as empty and has no spans; every row of a repeated text has the same spans; empty
-    tables and other columns pass (columns of these two names are replaced).
+    tables and other columns pass (columns of these two names are replaced). Only texts that name an entity are
+    stored and shuffled; all others are read, counted and passed on.
     """
-    rows = df.drop("spans", "weights")
-    marked = rows.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    marked = marked.select("text", F.md5("text").alias("digest"), base_spans(F.col("text")).alias("spans"))
-    terms = disclosing_terms(marked, share, support)
-    by_text = durable(terms.groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("weights")))
+    rows = df.drop(spans_col, weights_col)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    if by_text.isEmpty():
-        return rows.withColumns({"spans": base_spans(text), "weights": F.lit(None).cast("map<string,double>")})
-    # at most SMALL short arrays are broadcast; more of them are joined with a shuffle
-    few = by_text.select(F.size("weights").alias("n")).agg(F.sum("n")).first()[0] <= SMALL
-    own = by_text.select(F.col("digest").alias("__digest"), "weights")
-    out = rows.withColumn("__digest", F.md5(text)).join(F.broadcast(own) if few else own, "__digest", "left").drop("__digest")
     base = base_spans(text)
-    found = F.when(F.col("weights").isNotNull(), spans(text, TERM, 4, lambda w: F.map_contains_key("weights", F.lower(w)))).otherwise(F.array().cast(SPAN))
-    out = out.withColumns({"spans": base, "__terms": found})
-    apart = F.filter("__terms", lambda t: ~F.exists("spans", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])))
-    return out.withColumn("spans", F.array_sort(F.concat("spans", apart))).drop("__terms")
+    names = (F.size(base) > 0) | text.rlike(CREDENTIAL)
+    every = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")
+    held = durable(rows.where(names).select(every, text.alias("text"), F.md5(text).alias("digest"), base.alias("spans")))
+    terms = disclosing_terms(held.select("digest", "text", "spans"), df.select(text.alias("text")), share, support)
+    by_text = durable(terms.groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("weights")))
+    # at most SMALL short arrays are broadcast; more of them are joined with a shuffle of the texts that are held
+    few = (by_text.select(F.size("weights").alias("n")).agg(F.sum("n")).first()[0] or 0) <= SMALL
+    out = held.join(F.broadcast(by_text) if few else by_text, "digest", "left")
+    none = F.array().cast(SPAN)
+    found = F.when(F.col("weights").isNotNull(), spans(F.col("text"), TERM, 4, lambda w: F.map_contains_key("weights", F.lower(w)))).otherwise(none)
+    out = out.withColumn("found", found)
+    apart = F.filter("found", lambda t: ~F.exists("spans", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])))
+    told = out.select(*[F.col(f"row.`{c}`") for c in rows.columns], F.array_sort(F.concat("spans", apart)).alias(spans_col), F.col("weights").alias(weights_col))
+    rest = rows.where(~names).select("*", none.alias(spans_col), F.lit(None).cast("map<string,double>").alias(weights_col))
+    return told.union(rest)
 
 
-def sanitised(text: Column, found: Column, weights: Column, remove: float = 0.99) -> Column:
+def sanitised(text: Column, found: Column, weights: Column, remove: float = 0.975) -> Column:
     """The text with a placeholder for each span; terms of a weight of `remove` or more are left out."""
     names = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(i), F.lit(PLACEHOLDERS[k]))])
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))

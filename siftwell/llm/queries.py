@@ -41,8 +41,8 @@ def held_out(id_col: str = "doc_id"):
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = langid.default_path()
-    langs, prob = langid.train_language_id(docs.where(~held_out() & F.col("doc_id").isNotNull()), path)
-    found = langid.identify_language(docs, langs, prob, path)
+    model = langid.train_language_id(docs.where(~held_out() & F.col("doc_id").isNotNull()), path)
+    found = langid.identify_language(docs, model, path)
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
@@ -63,7 +63,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] < 4)
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     counts = [count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS[:4])]
-    return found.select("doc_id", *counts, F.sha2(pii.span_list(base), 256).alias("base_sha256"), pii.span_list(F.col("spans")).alias("spans"))
+    more = [count(4).alias("n_term"), F.size("spans").cast("long").alias("n_spans")]
+    return found.select("doc_id", *counts, F.sha2(pii.span_list(base), 256).alias("base_sha256"), pii.span_list(F.col("spans")).alias("spans"), *more)
 
 
 def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -310,16 +310,82 @@ def test_held_out_accuracy(spark, sf):
     assert (held.lang_pred == held.lang).mean() > 0.97 and got.score.between(0, 1).all()
 
 
-def test_language_edges(spark, odd, none):
+def test_long_words_and_training_by_all_segmentations():
+    index = langid.PieceIndex({"a": 0, "b": 1, "ab": 2, "▁": 3, "▁a": 4, "bab": 5})
+    rng = np.random.default_rng(3)
+    prob = np.vstack([rng.random((6, 2)) * 1e-6, [[0, 0], [1e-8, 1e-8]]])
+    word = "▁" + "".join(rng.choice(list("abx"), 400))
+    total = [[0.0, 0.0]]  # logs, end by end
+    for end in range(1, len(word) + 1):
+        ways = [(np.log(prob[index.get(word[end - n : end], 7 if n == 1 else 6)]), total[end - n]) for n in range(1, min(end, 3) + 1) if n == 1 or word[end - n : end] in index]
+        total.append([np.logaddexp.reduce([p[k] + t[k] for p, t in ways]) for k in range(2)])
+    got = langid.log_forward(langid.lattice([word], index), prob)[0]
+    assert np.allclose(got, total) and got[-1, 0] < -1500
+    # expected counts: every way to cut the words, weighed by its probability
+    one = np.full((8, 1), 1 / 6)
+    one[6:] = [[0.0], [1e-8]]
+    counts, expected = {"▁ab": 3, "▁abab": 2}, np.zeros(6)
+
+    def ways(w):
+        return [[]] if not w else [[w[:n], *rest] for n in range(1, min(3, len(w)) + 1) if w[:n] in index for rest in ways(w[n:])]
+
+    for w, n in counts.items():
+        p = [np.prod([one[index[x], 0] for x in way]) for way in ways(w)]
+        for way, q in zip(ways(w), p):
+            for x in way:
+                expected[index[x]] += n * q / sum(p)
+    assert np.allclose(langid.fit_pieces(counts, index, rounds=1, smooth=0.02), (expected + 0.02) / (expected + 0.02).sum())
+
+
+def test_language_query_against_brute_force(spark, texts, sf):
+    """op6 on whole texts, word by word and without arrays over words, from the same model."""
+    import regex
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = langid.train_language_id(docs.where(~queries.held_out()), langid.default_path())
+    index = langid.pieces(langid.default_path())
+    longest, memo = max(map(len, index)), {}
+
+    def likelihood(word):
+        if word not in memo:
+            a = [np.zeros(len(model.langs))]
+            for end in range(1, len(word) + 1):
+                at = [(n, index.get(word[end - n : end])) for n in range(1, min(end, longest) + 1)]
+                logs = [np.log(model.prob[i]) + a[end - n] if i is not None else np.log(langid.UNKNOWN) + a[end - 1] for n, i in at if i is not None or n == 1]
+                a.append(np.logaddexp.reduce(logs, axis=0))
+            memo[word] = a[-1]
+        return memo[word]
+
+    got = queries.op6_langid(spark, sf).toPandas().set_index("doc_id")
+    assert len(got) == len(texts)
+    for i, text in sorted(texts.items())[:60]:
+        words = ["▁" + (w.lower() if len(w) > 1 and w.isupper() else w) for w in regex.findall(r"\p{L}+", text)]
+        if not words:
+            assert got.loc[i].lang_pred == "und" and got.loc[i].score == 0
+            continue
+        total = sum(likelihood(w) for w in words)
+        mean = np.exp(sum(likelihood(w) / len(w) for w in words) / len(words))
+        assert got.loc[i].lang_pred == model.langs[int(total.argmax())] and got.loc[i].score == pytest.approx(mean[int(total.argmax())] / mean.sum())
+    assert got.score[got.lang_pred != "und"].std() > 0.005
+
+
+def test_language_edges(spark, odd, none, texts, sf):
     path = langid.default_path()
-    langs, prob = langid.train_language_id(odd.withColumn("lang", F.lit("en")), path)
-    got = langid.identify_language(odd, langs, prob, path).toPandas()
+    model = langid.train_language_id(odd.withColumn("lang", F.lit("en")), path)
+    got = langid.identify_language(odd, model, path).toPandas()
     assert (got.lang_pred == ["und", "und"] + ["en"] * 6).all()
-    kept = langid.keep_language(odd, langs, prob, path)
+    kept = langid.keep_language(odd, model, path)
     assert kept.columns == odd.columns and kept.count() == 6
-    langs, prob = langid.train_language_id(none.withColumn("lang", F.lit("en")), path)
-    assert langs == [] and (langid.identify_language(odd, langs, prob, path).toPandas().lang_pred == "und").all()
-    assert langid.keep_language(odd, langs, prob, path).count() == 0
+    model = langid.train_language_id(none.withColumn("lang", F.lit("en")), path)
+    assert model.langs == [] and (langid.identify_language(odd, model, path).toPandas().lang_pred == "und").all()
+    assert langid.keep_language(odd, model, path).count() == 6 and langid.keep_language(none, model, path).count() == 0
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = langid.train_language_id(docs, path)
+    rng = random.Random(15)
+    junk = [(-i, "".join(rng.choice("qxzjvkwQXZJVKW") for _ in range(9)) + " " + "".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(400))) for i in range(1, 9)]
+    both = docs.select("doc_id", "text").union(spark.createDataFrame(junk, "doc_id long, text string"))
+    kept = {r.doc_id for r in langid.keep_language(both, model, path).collect()}
+    assert kept == {i for i, t in texts.items() if any(c.isalpha() for c in t)}
 
 
 # --- 7 BPE, 8 packing --------------------------------------------------------------------------------------
@@ -429,7 +495,7 @@ def test_disclosing_terms(spark):
     rows = [(i, f"mail bo.li@x.org from zorblatt desk {' '.join(rng.choice('abcdefgh') * 3 for _ in range(5))} {i}") for i in range(6)]
     rows += [(i, f"the desk of mail from {' '.join(rng.choice('abcdefgh') * 3 for _ in range(5))} {i}") for i in range(6, 200)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    out = pii.find_personal_data(df)
+    out = pii.find_personal_data(df, support=5)
     got = out.where("exists(spans, s -> s.kind = 4)").select("doc_id", F.expr("filter(spans, s -> s.kind = 4).word").alias("w")).collect()
     assert {r.doc_id for r in got} == set(range(6)) and all(r.w == ["Zorblatt".lower()] for r in got)
     clean = out.select(pii.sanitised(F.col("text"), F.col("spans"), F.col("weights")).alias("t")).first().t
@@ -442,13 +508,62 @@ def test_parts_of_an_address_outside_it(spark):
     noise = lambda: " ".join(rng.choice("abcdefgh") * 3 for _ in range(5))
     rows = [(i, f"write to anna.schmidt@x.org +1 (743) 555-38{i}0 ask for Anna Schmidt by Mail {noise()} {i}") for i in range(6)]
     rows += [(i, f"write to ask for {noise()} {i} by bob{i}@x.org") for i in range(6, 200)]
-    out = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))
+    out = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"), support=5)
     got = {r.doc_id: r.w for r in out.select("doc_id", F.expr("filter(spans, s -> s.kind = 4).word").alias("w")).collect()}
     assert all(got[i] == (["Anna", "Schmidt", "Mail"] if i < 6 else []) for i in got)
     clean = {r.t.lower() for r in out.where("doc_id < 6").select(pii.sanitised(F.col("text"), F.col("spans"), F.col("weights")).alias("t")).collect()}
     assert not any("anna" in t or "schmidt" in t for t in clean)
 
 
+def slow_terms(texts, share=0.9):
+    """For each text the words (lower-cased) that disclose an entity of it, by counts of rows."""
+    word, key = re.compile(r"[^\W_]+"), re.compile(r"(?<![^\W_])(?=[^\W\d_]*\d)(?=\d*[^\W\d_])[^\W_]{20,}")
+    own, outside = {}, {}
+    for i, t in texts.items():
+        spans = slow_spans(t)
+        own[i] = {(k, t[a:b].lower()) for a, k, b in spans} | {(9, w) for w in key.findall(t.lower())}
+        flags = [True] * len(t)
+        for a, _, b in spans:
+            flags[a:b] = [False] * (b - a)
+        outside[i] = {w.lower() for w in word.findall("".join(c if f else " " for c, f in zip(t, flags)))} if own[i] else set()
+    rows = {i: set(word.findall(t.lower())) for i, t in texts.items()}
+    df, has = {}, {}
+    for i, ws in rows.items():
+        for w in ws:
+            df[w] = df.get(w, 0) + 1
+        for c in own[i]:
+            has.setdefault(c, []).append(i)
+    out = {i: {w for k, w in own[i] if k == 9} for i in texts}
+    for c, where in has.items():
+        content = -np.log2(len(where) / len(texts))
+        for w in set().union(*(outside[i] for i in where)):
+            both = [i for i in where if w in outside[i]]
+            if content > 0 and (np.log2((len(both) + 0.5) / (max(df.get(w, 0), len(both)) + 1)) + content) / content > share:
+                for i in both:
+                    out[i].add(w)
+    return out
+
+
+def test_pii_query_against_brute_force(spark, texts, sf):
+    got = queries.op9_pii(spark, sf).toPandas().set_index("doc_id")
+    kinds, terms = ["email", "ip", "card", "phone", "term"], slow_terms(texts)
+    assert len(got) == len(texts) and got.n_term.sum() > 0
+    for i, text in texts.items():
+        base, row = slow_spans(text), got.loc[i]
+        told = lambda spans: ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in spans)
+        assert [row[f"n_{k}"] for k in kinds[:4]] == [sum(s[1] == k for s in base) for k in range(4)]
+        assert row.base_sha256 == hashlib.sha256(told(base).encode()).hexdigest()
+        found = [(m.start(), 4, m.end()) for m in re.finditer(r"[^\W_]+", text) if m[0].lower() in terms[i] and not any(a < m.end() and m.start() < b for a, _, b in base)]
+        assert row.spans == told(sorted(base + found)) and (row.n_term, row.n_spans) == (len(found), len(base) + len(found))
+
+
+def test_credentials_are_protected(spark):
+    rows = [(1, 'set token = "9f8e7d6c5b4a39281706f5e4d3c2b1a0" here'), (2, "set the value here"), (3, "abcdefghijklmnopqrstuvwxyz 12345678901234567890")]
+    out = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: [s.word for s in r.spans] for r in out.collect()}
+    assert got[1][-1] == "9f8e7d6c5b4a39281706f5e4d3c2b1a0" and got[2] == [] and got[3] == []
+
+
 def test_pii_edges(odd, none):
     got = pii.find_personal_data(odd.select("doc_id", "text", "spans"))
     assert got.count() == 8 and got.where("size(spans) = 1").count() == 1 and got.where("spans is null").count() == 0
