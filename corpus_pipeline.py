@@ -11,10 +11,10 @@ from siftwell.llm.queries import held_out
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a text in some learned language; `und` ones go. Null texts go with them."""
+    """Documents of a text in some learned language. Null texts, texts without letters and letters unlike any language go."""
     path = langid.default_path()
-    langs, prob = langid.train_language_id(docs.where(~held_out() & F.col("doc_id").isNotNull()), path)
-    return langid.keep_language(docs, langs, prob, path)
+    model = langid.train_language_id(docs.where(~held_out() & F.col("doc_id").isNotNull()), path)
+    return langid.keep_language(docs, model, path)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +34,9 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data replaced by placeholders."""
-    found = pii.find_personal_data(docs)
-    clean = pii.sanitised(F.coalesce("text", F.lit("")), F.col("spans"), F.col("weights"))
+    """Texts with personal data replaced by placeholders; null texts stay null."""
+    found = pii.find_personal_data(docs, spans_col="__spans", weights_col="__weights")
+    clean = pii.sanitised(F.col("text").cast("string"), F.col("__spans"), F.col("__weights"))
     return counted(found.withColumn("text", clean).select(*docs.columns), F.col("text"))
 
 
