@@ -208,15 +208,42 @@ def test_spotsigs_against_plain_sets(spark, texts, sf):
                     out.add((w, *chain))
         return out or {text}
 
-    sets = {i: spots(t) for i, t in texts.items() if len(t) < 4000}
+    sets = {i: spots(t) for i, t in texts.items()}
+    like = lambda a, b: len(a & b) / len(a | b)
+    assert max(map(len, texts.values())) > 10_000
     for k, i in enumerate(order):
-        nxt = order[(k + 1) % len(order)]
+        nxt, row = order[(k + 1) % len(order)], got.loc[i]
         n = len(texts[i]) // 3
         new = texts[i][: len(texts[i]) - n] + texts[nxt][:n]
-        assert got.loc[i].n_chars == len(texts[i]) and got.loc[i].edited_sha256 == hashlib.sha256(new.encode()).hexdigest()
-        if i in sets and nxt in sets and len(new) < 4000:
-            like = lambda a, b: len(a & b) / len(a | b)
-            assert got.loc[i].near_next == pytest.approx(like(sets[i], sets[nxt])) and got.loc[i].near_edited == pytest.approx(like(sets[i], spots(new)))
+        assert row.n_chars == len(texts[i]) and row.edited_sha256 == hashlib.sha256(new.encode()).hexdigest()
+        assert row.near_next == pytest.approx(like(sets[i], sets[nxt])) and row.near_edited == pytest.approx(like(sets[i], spots(new)))
+        # the likenesses follow from the fingerprints, which list the sets
+        own, other, after = (spotsigs.members(f) for f in (row.fingerprint, row.edited_fingerprint, got.loc[nxt].fingerprint))
+        assert len(own) == len(sets[i]) and row.near_edited == spotsigs.jaccard(own, other) and row.near_next == spotsigs.jaccard(own, after)
+
+
+def test_pruned_jaccard():
+    rng = random.Random(3)
+    for _ in range(300):
+        a, b = (np.array(sorted(rng.sample(range(60), rng.randrange(1, 50))), np.uint32) for _ in range(2))
+        if rng.random() < 0.3:
+            b = np.array(sorted({*a.tolist()} | {rng.randrange(60)}), np.uint32)
+        want = len({*a.tolist()} & {*b.tolist()}) / len({*a.tolist()} | {*b.tolist()})
+        assert spotsigs.jaccard(a, b) == want
+        for least in (0.3, 0.8):
+            assert spotsigs.jaccard(a, b, least, 4) == (want if want >= least else 0.0)
+
+
+def test_order_of_repeated_and_missing_ids(spark):
+    """Rows of one id, or of none, are spread over the buckets, and every row but the last is followed by the next one."""
+    rows = [(rng_id, f"the house of number {i} is on a street") for i, rng_id in enumerate([5] * 40 + [None] * 40 + list(range(10, 30)))]
+    out = spotsigs.in_order(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert out.where("ghost = 0").count() == 100 and out.select("bucket").distinct().count() > 2
+    got = spotsigs.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    h = {r.text: r.h for r in spark.createDataFrame(rows, "doc_id long, text string").select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (-(r[0] if r[0] is not None else -(1 << 63)), h[r[1]]))
+    want = sorted((spotsigs.edited(a[1], b[1])) for a, b in zip(order, [*order[1:], order[0]]))
+    assert sorted(got.edited) == want
 
 
 def test_spotsigs_edges(spark, odd, none):
