@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import in_arrow, slices
 
 #: Entries of a Python worker's cache of chunks and words; a full cache is kept until the next one is full.
 CACHE = 150_000
@@ -269,7 +269,7 @@ def bpe_round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             offsets = np.concatenate([[0], ends]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32))), pa.array(text, pa.string())], names=[id_col, "ids", "decoded"])
 
-    return _source(df, id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
+    return in_arrow(_source(df, id_col, text_col), run, f"`{id_col}` {kind}, ids array<int>, decoded string")
 
 
 def bpe_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -287,7 +287,7 @@ def bpe_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 of_text.append(hashlib.sha256(bpe.decode(own.tolist()).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_text)], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return _source(df, id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return in_arrow(_source(df, id_col, text_col), run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _source(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Python workers handle at most about so many bytes of text at once.
-SLICE_BYTES = 4 << 20
+#: Python workers handle at most about so many bytes of text at once, and get at most so many rows in a batch.
+SLICE_BYTES, BATCH_ROWS = 4 << 20, 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,11 +29,29 @@ def slices(batches: Iterator[pa.RecordBatch], text: int = 1, most: int = SLICE_B
             yield batch.slice(at, rows)
 
 
+def in_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """df.mapInArrow() in batches of BATCH_ROWS rows, set for the session where it allows more: batches count rows, and texts are long."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
+        conf.set(key, BATCH_ROWS)
+    return df.mapInArrow(run, schema)
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """The name, with underscores in front until no column has it, in whatever case."""
+    held = {t.lower() for t in taken}
+    while name.lower() in held:
+        name = "_" + name
+    return name
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder, that of spark.checkpoint.dir; a temporary one only where none is named (unit tests)."""
+    """The session's checkpoint folder, that of spark.checkpoint.dir; a temporary one only where none is named and all runs in one process."""
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isEmpty():
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        if not named and not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return jsc.getCheckpointDir().get()
 
@@ -44,11 +62,17 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df written as Parquet into the shared folder and read again."""
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """df written as Parquet into the shared folder and read again, and its path."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes what stored() has written."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

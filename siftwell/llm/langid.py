@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import PairTable
-from .common import slices
+from .common import free_name, in_arrow, slices
 
 START = "▁"
 #: Chunks that a Python worker remembers, and characters of a word up to which plain products cannot vanish.
@@ -301,7 +301,7 @@ def identify_language(df: DataFrame, model: LanguageModel, path: str, id_col: st
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(pred, pa.string()), pa.array(np.where(known, share, 0.0))], names=[id_col, "lang_pred", "score"])
 
     source = df.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return source.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")
+    return in_arrow(source, run, f"`{id_col}` {kind}, lang_pred string, score double")
 
 
 def keep_language(df: DataFrame, model: LanguageModel, path: str, text_col: str = "text") -> DataFrame:
@@ -315,18 +315,17 @@ def keep_language(df: DataFrame, model: LanguageModel, path: str, text_col: str
         return df.where(F.coalesce(F.col(text_col).cast("string").rlike(r"\p{L}"), F.lit(False)))
     sent = df.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def known(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    at = len(df.columns)
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, prob, usual = sent.value
         scorer = Scorer(path, prob)
-        for s in texts:
-            kept = [np.zeros(0, bool)]
-            for at in range(0, len(s), 500):
-                log, each, words = scorer.score(s.iloc[at : at + 500].tolist())
-                best, n = log.argmax(axis=1), np.maximum(words, 1)
-                mean, deviation = usual[best].T
-                least = np.minimum(mean - deviation * (UNLIKE[0] + UNLIKE[1] / np.sqrt(n)), FLOOR)
-                kept.append((words > 0) & (each[np.arange(len(best)), best] / n >= least))
-            yield pd.Series(np.concatenate(kept))
-
-    return df.where(known(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+        for b in slices(batches, text=at):
+            log, each, words = scorer.score(b.column(at).to_pylist())
+            best, n = log.argmax(axis=1), np.maximum(words, 1)
+            mean, deviation = usual[best].T
+            least = np.minimum(mean - deviation * (UNLIKE[0] + UNLIKE[1] / np.sqrt(n)), FLOOR)
+            yield b.select(list(range(at))).filter(pa.array((words > 0) & (each[np.arange(len(best)), best] / n >= least)))
+
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(free_name("__text", df.columns))
+    return in_arrow(df.select("*", text), known, df.schema)

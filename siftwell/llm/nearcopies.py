@@ -10,7 +10,9 @@ Then sets of different groups meet by prefixes: two sets of a likeness of `least
 n - ceil(least * n) + 1 members in any common order. Common shingles, as a sample has them, come last in that order, so
 prefixes hold rare ones. Pairs that share a prefix member become rows only if their fingerprints differ in at most
 REACH bits: at a likeness of 0.8 they differ in about 10 of 64 with a deviation of 3, unrelated ones in 32 with one of
-4, so the bound loses a link with a probability of about one in a million and saves nearly all checks.
+4, so the bound loses a link with a probability of about one in a million and saves nearly all checks. Pairs left are
+first held against each other as bit maps: members toggle bits, so maps differ in at most as many bits as sets in
+members, and only pairs within the limit are compared by their members.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected, durable, slices, stored
+from .common import connected, durable, in_arrow, slices
 from .simhash import fingerprint_edges, in_groups, majority, stand_ins
 
 WIDTH, LEAST = 5, 0.8
@@ -32,6 +34,8 @@ WIDTH, LEAST = 5, 0.8
 BITS, REACH = 3, 24
 #: Sampled sets, and how many of them make a shingle common.
 SAMPLE, COMMON = 4096, 4
+#: 64-bit words of a bit map.
+WORDS = 16
 #: Bits of the table of names asked for, which keeps other members out of the shuffle.
 TABLE = 1 << 25
 
@@ -59,6 +63,12 @@ def prefix(members: np.ndarray, common: np.ndarray, least: float = LEAST) -> np.
     return np.concatenate([members[~often], members[often]])[:lead]
 
 
+def bit_map(members: np.ndarray) -> np.ndarray:
+    """Words (int64) of the bits that an odd number of members have as their lowest bits."""
+    hits = np.bincount((members & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(hits.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _texts(df: DataFrame, *columns, text_col: str = "text") -> DataFrame:
     return df.select(*columns, F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
 
@@ -89,7 +99,7 @@ def _member_rows(width: int, bits: np.ndarray | None):
 
 def members_of(texts: DataFrame, width: int = WIDTH, bits: np.ndarray | None = None) -> DataFrame:
     """(fp: the set's name, members) of rows (text); with a bit table, of those names that it may hold."""
-    return texts.select("text").mapInArrow(_member_rows(width, bits), "fp long, members array<long>")
+    return in_arrow(texts.select("text"), _member_rows(width, bits), "fp long, members array<long>")
 
 
 def common_shingles(texts: DataFrame, width: int = WIDTH, sample: int = SAMPLE) -> np.ndarray:
@@ -101,7 +111,7 @@ def common_shingles(texts: DataFrame, width: int = WIDTH, sample: int = SAMPLE)
 
 
 def shingle_sets(df: DataFrame, least: float = LEAST, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, fp: the set's name, sim: its SimHash, n, lead: its prefix) of every row; null and empty texts have the empty set."""
+    """(id_col, fp: the set's name, sim: its SimHash, n, map: its bit map, lead: its prefix) of every row; null and empty texts have the empty set."""
     kind = df.schema[id_col].dataType.simpleString()
     common = common_shingles(_texts(df, text_col=text_col), width)
 
@@ -109,11 +119,12 @@ def shingle_sets(df: DataFrame, least: float = LEAST, width: int = WIDTH, id_col
         for b in slices(batches):
             sets = [shingles(t, width) for t in b.column(1).to_pylist()]
             cols = [pa.array(map(vertex, sets), pa.int64()), pa.array(np.array([*map(majority, sets)], "<u8").view("<i8")), pa.array(map(len, sets), pa.int32())]
+            cols.append(pa.array(map(bit_map, sets), pa.list_(pa.int64())))
             cols.append(pa.array([prefix(s, common, least).view(np.int64) for s in sets], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=[id_col, "fp", "sim", "n", "lead"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=[id_col, "fp", "sim", "n", "map", "lead"])
 
-    schema = f"`{id_col}` {kind}, fp long, sim long, n int, lead array<long>"
-    return _texts(df, F.col(id_col), text_col=text_col).mapInArrow(run, schema)
+    schema = f"`{id_col}` {kind}, fp long, sim long, n int, map array<long>, lead array<long>"
+    return in_arrow(_texts(df, F.col(id_col), text_col=text_col), run, schema)
 
 
 def within_reach(sim: Column, sim2: Column, n: Column, n2: Column, least: float) -> Column:
@@ -121,50 +132,65 @@ def within_reach(sim: Column, sim2: Column, n: Column, n2: Column, least: float)
     return (F.bit_count(sim.bitwiseXOR(sim2)) <= REACH) & (F.least(n, n2) >= F.lit(least) * F.greatest(n, n2) - 1e-9)
 
 
-def alike(pairs: DataFrame, texts: DataFrame, least: float = LEAST, width: int = WIDTH) -> DataFrame:
-    """Those of the distinct pairs (a, b) of set names whose sets are alike to `least` or more; only their members are shuffled."""
-    asked = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+def alike(pairs: DataFrame, sets: DataFrame, texts: DataFrame, least: float = LEAST, width: int = WIDTH) -> DataFrame:
+    """Those of the distinct pairs (a, b) of set names whose sets are alike to `least` or more; sets has (fp, n, map), only members of near maps are shuffled."""
+    near = pairs.join(sets.select(F.col("fp").alias("a"), F.col("n").alias("na"), F.col("map").alias("x")), "a").join(sets.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("map").alias("y")), "b")
+    differ = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, c: t + c)
+    near = durable(near.where(differ <= F.lit((1 - least) / (1 + least)) * (F.col("na") + F.col("nb")) + 1e-6).select("a", "b"))
+    asked = near.select(F.col("a").alias("fp")).union(near.select("b")).distinct()
     members = members_of(texts, width, asked_bits(asked)).join(asked, "fp", "left_semi").groupBy("fp").agg(F.first("members").alias("m"))
-    both = pairs.join(members.select(F.col("fp").alias("a"), F.col("m").alias("x")), "a").join(members.select(F.col("fp").alias("b"), F.col("m").alias("y")), "b")
+    both = near.join(members.select(F.col("fp").alias("a"), F.col("m").alias("x")), "a").join(members.select(F.col("fp").alias("b"), F.col("m").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.where(common >= F.lit(least) * (F.size("x") + F.size("y") - common) - 1e-9).select("a", "b")
 
 
 def alike_edges(sets: DataFrame, texts: DataFrame, least: float = LEAST, width: int = WIDTH) -> DataFrame:
     """Edges (a, b) of alike sets whose components are those of all such pairs; sets are rows of shingle_sets(), texts their texts."""
-    some = durable(sets.where("n > 0").groupBy("fp").agg(F.first("sim").alias("sim"), F.first("n").alias("n"), F.first("lead").alias("lead")))
-    rows = some.select("fp", "sim", "n", F.explode("lead").alias("s"))
-    heads = rows.groupBy("s").agg(F.min(F.struct("fp", "sim", "n")).alias("head"), F.count("*").alias("k")).where("k > 1").drop("k")
+    some = durable(sets.where("n > 0").groupBy("fp").agg(*[F.first(c).alias(c) for c in ("sim", "n", "map", "lead")]))
+    facts = some.select("fp", "sim", "n")
+    # shingles shared by prefixes, with the smallest vertex of each: names alone are dealt, facts are joined to what is left
+    rows = some.select("fp", F.explode("lead").alias("s"))
+    heads = rows.groupBy("s").agg(F.min("fp").alias("head"), F.max("fp").alias("last")).where("head < last").drop("last")
     shared = durable(rows.join(heads, "s"))
-    reach = within_reach(F.col("sim"), F.col("head.sim"), F.col("n"), F.col("head.n"), least)
-    stars = shared.where((F.col("fp") != F.col("head.fp")) & reach).select(F.col("fp").alias("a"), F.col("head.fp").alias("b"))
+    named = lambda x: facts.select(*[F.col(c).alias(c + x) for c in facts.columns])
 
     # sets of one fingerprint, and of fingerprints that the index links, meet in the smallest of them
-    by_sim = some.groupBy("sim").agg(F.min(F.struct("fp", "n")).alias("first"))
-    links = fingerprint_edges(by_sim.select("sim").withColumnRenamed("sim", "fp"), BITS)
-    same = some.join(by_sim, "sim").where("fp <> first.fp").select(F.col("fp").alias("a"), F.col("first.fp").alias("b"))
-    near = links.join(by_sim.select(F.col("sim").alias("a"), F.col("first.fp").alias("x")), "a").join(by_sim.select(F.col("sim").alias("b"), F.col("first.fp").alias("y")), "b")
-    both = stars.union(same).union(near.select("x", "y"))
-    linked = durable(alike(durable(both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()), texts, least, width))
+    by_sim = some.groupBy("sim").agg(F.min("fp").alias("first"))
+    links = fingerprint_edges(by_sim.select(F.col("sim").alias("fp")), BITS)
+    same = some.join(by_sim, "sim").select(F.col("fp").alias("a"), F.col("first").alias("b"))
+    near = links.join(by_sim.select(F.col("sim").alias("a"), F.col("first").alias("x")), "a").join(by_sim.select(F.col("sim").alias("b"), F.col("first").alias("y")), "b").select("x", "y")
+    both = shared.select(F.col("fp").alias("a"), F.col("head").alias("b")).union(same).union(near).where("a <> b")
+    both = both.select(F.greatest("a", "b").alias("fp1"), F.least("a", "b").alias("fp2")).distinct()
+    both = both.join(named("1"), "fp1").join(named("2"), "fp2").where(within_reach(F.col("sim1"), F.col("sim2"), F.col("n1"), F.col("n2"), least))
+    linked = durable(alike(both.select(F.col("fp1").alias("a"), F.col("fp2").alias("b")), some, texts, least, width))
 
     groups = connected(linked)
-    known = shared.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("s", "fp", "sim", "n", F.coalesce("component", "fp").alias("g"))
+    known = shared.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("s", "fp", F.coalesce("component", "fp").alias("g"))
     apart = known.groupBy("s").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x < y").select("s")
-    left = durable(known.join(apart, "s").select("s", "fp", "sim", "n", "g"))
-    right = left.select("s", *[F.col(c).alias(f"{c}2") for c in ("fp", "sim", "n", "g")])
+    left = durable(known.join(apart, "s").join(facts, "fp").select("s", *[F.col(c).alias(c + "1") for c in ("fp", "sim", "n", "g")]))
+    right = left.toDF("t", *[c + "2" for c in ("fp", "sim", "n", "g")])
     # the condition is part of the join: pairs out of reach never become rows
-    meets = (left.s == right.s) & (F.col("fp") < F.col("fp2")) & (F.col("g") != F.col("g2")) & within_reach(F.col("sim"), F.col("sim2"), F.col("n"), F.col("n2"), least)
-    pairs = durable(left.join(right, meets).select(F.col("fp").alias("a"), F.col("fp2").alias("b")).distinct())
-    return linked.union(alike(pairs, texts, least, width))
+    meets = (F.col("s") == F.col("t")) & (F.col("fp1") < F.col("fp2")) & (F.col("g1") != F.col("g2")) & within_reach(F.col("sim1"), F.col("sim2"), F.col("n1"), F.col("n2"), least)
+    pairs = durable(left.join(right, meets).select(F.col("fp1").alias("a"), F.col("fp2").alias("b")).distinct())
+    return linked.union(alike(pairs, some, texts, least, width))
 
 
-def near_copies(df: DataFrame, least: float = LEAST, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, fp, component_id) of every row, as simhash.near_duplicates() has them, by links of alike shingle sets."""
-    sets = stored(shingle_sets(df, least, width, id_col, text_col))
+def groups_of_copies(df: DataFrame, least: float = LEAST, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, fp, component_id, root) of every row."""
+    sets = durable(shingle_sets(df, least, width, id_col, text_col))
     edges = durable(alike_edges(sets, _texts(df, text_col=text_col), least, width))
     return in_groups(sets.select(id_col, "fp"), connected(edges), id_col)
 
 
+def near_copies(df: DataFrame, least: float = LEAST, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, fp, component_id) of every row, as simhash.near_duplicates() has them, by links of alike shingle sets.
+
+    Null and empty texts share the empty set; repeated rows are kept, null ids name no component unless it has no
+    other; an empty table gives no rows; other columns are left out.
+    """
+    return groups_of_copies(df, least, width, id_col, text_col).drop("root")
+
+
 def keep_one(df: DataFrame, least: float = LEAST, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of df that stand for their group of near copies, chosen as by simhash.keep_one()."""
 
@@ -172,4 +198,4 @@ def keep_one(df: DataFrame, least: float = LEAST, width: int = WIDTH, id_col: st
     def code(texts: pd.Series) -> pd.Series:
         return pd.Series([vertex(shingles(t, width)) for t in texts], dtype="int64")
 
-    return stand_ins(df, near_copies(df, least, width, id_col, text_col), code, id_col, text_col)
+    return stand_ins(df, groups_of_copies(df, least, width, id_col, text_col), code, id_col, text_col)

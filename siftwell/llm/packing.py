@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .bpe import _source, load
-from .common import slices
+from .common import in_arrow, slices
 
 SENTENCE, HARD, TAIL = 16.0, 256.0, 64.0
 #: Ids of a block, and the longest stretch without a cut, in ids.
@@ -171,4 +171,4 @@ def pack_documents(df: DataFrame, path: str, size: int = 4096, end_id: int = 2,
         if batch is not None:
             yield from give(True)
 
-    return _source(df, id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, start long, length long, {column}ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return in_arrow(_source(df, id_col, text_col), run, f"`{id_col}` {kind}, start long, length long, {column}ids_crc32 long, doc_tokens long, sequence_id long, offset long")

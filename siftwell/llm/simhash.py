@@ -22,8 +22,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected, durable, shuffle_partitions, slices
+from .common import connected, durable, in_arrow, shuffle_partitions, slices
 
+#: Ids of rows that go, up to which they are broadcast.
+SMALL = 1_000_000
 #: Fingerprints of a run and of a node within it; most nodes of the top level.
 RUN, LEAF, TOP = 512, 16, 512
 #: Bits of a node's place that each level drops: 64 runs of a partition, the partition, 64 partitions and so on.
@@ -61,7 +63,7 @@ def simhash(df: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(fps, "<u8").view("<i8"))], names=[id_col, "fp"])
 
     source = df.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
-    return source.mapInArrow(run, f"`{id_col}` {kind}, fp long")
+    return in_arrow(source, run, f"`{id_col}` {kind}, fp long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -132,7 +134,7 @@ def gray_runs(fps: DataFrame, run: int = RUN) -> DataFrame:
 
     keyed = fps.select("fp", gray_key(F.col("fp")).alias("key"))
     ranged = keyed.repartitionByRange(shuffle_partitions(fps.sparkSession), "key").sortWithinPartitions("key")
-    return durable(ranged.select("fp").mapInArrow(cut, "place long, mask long, value long, codes binary"))
+    return durable(in_arrow(ranged.select("fp"), cut, "place long, mask long, value long, codes binary"))
 
 
 def node_levels(runs: DataFrame, top: int = TOP) -> list[DataFrame]:
@@ -199,7 +201,7 @@ def fingerprint_edges(fps: DataFrame, bits: int = 2, run: int = RUN, top: int =
 
     codes = runs.select("place", "codes")
     met = pairs.join(codes.select(F.col("place").alias("a"), F.col("codes").alias("x")), "a").join(codes.select(F.col("place").alias("b"), F.col("codes").alias("y")), "b")
-    return met.select("x", "y").mapInArrow(search, "a long, b long").distinct()
+    return in_arrow(met.select("x", "y"), search, "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, bits: int = 2, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -211,17 +213,17 @@ def near_duplicates(df: DataFrame, bits: int = 2, width: int = 3, id_col: str =
     """
     rows = durable(simhash(df, width, id_col, text_col))
     groups = connected(fingerprint_edges(rows.select("fp").distinct(), bits))
-    return in_groups(rows, groups, id_col)
+    return in_groups(rows, groups, id_col).drop("root")
 
 
 def in_groups(rows: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id_col, fp, component_id) of rows (id_col, fp), from components (node, component) of the linked fingerprints."""
+    """(id_col, fp, component_id, root) of rows (id_col, fp), from components (node, component) of the linked fingerprints; root names the group."""
     vertices = rows.groupBy("fp").agg(F.min(id_col).alias("least"))
-    named = vertices.join(groups, vertices.fp == groups.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    roots = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = vertices.join(groups, vertices.fp == groups.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
+    roots = named.groupBy("root").agg(F.min("least").alias("component_id"))
     # of each fingerprint the id of its component: one row a fingerprint, joined back to the rows
-    ids = named.join(roots, "component").select("fp", "component_id")
-    return rows.join(ids, "fp").select(id_col, "fp", "component_id")
+    ids = named.join(roots, "root").select("fp", "component_id", "root")
+    return rows.join(ids, "fp").select(id_col, "fp", "component_id", "root")
 
 
 def keep_one(df: DataFrame, bits: int = 2, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -235,20 +237,31 @@ def keep_one(df: DataFrame, bits: int = 2, width: int = 3, id_col: str = "doc_id
     def code(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, width) for t in texts], "<u8").view("<i8"))
 
-    return stand_ins(df, near_duplicates(df, bits, width, id_col, text_col), code, id_col, text_col)
+    rows = durable(simhash(df, width, id_col, text_col))
+    groups = connected(fingerprint_edges(rows.select("fp").distinct(), bits))
+    return stand_ins(df, in_groups(rows, groups, id_col), code, id_col, text_col)
 
 
 def stand_ins(df: DataFrame, groups: DataFrame, code, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of df that keep_one() keeps, from groups (id_col, fp, component_id) and code, the fingerprints of texts."""
-    groups = durable(groups)
-    own = groups.select(F.col(id_col).alias("__id"), F.col("component_id").alias("__group"), F.col("fp").alias("__fp"))
-    odd = df.groupBy(id_col).agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col(id_col).isNull())
+    """The rows of df that keep_one() keeps, from groups (id_col, fp, component_id, root) and code, the fingerprints of texts.
+
+    Rows of ids of their own are told by the id. Only rows of repeated or null ids are looked at again, by text; of
+    those a partial minimum keeps one for each group. Columns of any name pass.
+    """
+    groups = durable(groups.select(F.col(id_col).alias("id"), "fp", "component_id", "root"))
+    goes = durable(groups.where(F.col("id").isNotNull() & (F.col("id") != F.col("component_id"))).select("id").distinct())
+    goes = F.broadcast(goes) if goes.count() <= SMALL else goes
+    d = df.alias("d")
+    one = d.join(goes.alias("g"), F.col(f"d.`{id_col}`") == F.col("g.id"), "left_anti")
+    odd = durable(groups.groupBy("id").agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col("id").isNull()).select("id"))
     if odd.isEmpty():
-        goes = own.where(F.col("__id") != F.col("__group")).select("__id")
-        return df.join(goes, F.col(id_col) == F.col("__id"), "left_anti")
-
-    known = own.select("__fp", "__group").distinct()
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = df.withColumn("__fp2", code(text.cast("binary"))).join(known, F.col("__fp2") == F.col("__fp"))
-    first = Window.partitionBy(F.coalesce(F.col("__group").cast("string"), F.concat(F.lit("fp"), "__fp"))).orderBy(F.col(id_col).asc_nulls_last(), F.xxhash64(text))
-    return rows.withColumn("__place", F.row_number().over(first)).where("__place = 1").select(*df.columns)
+        return one
+    same = F.col(f"d.`{id_col}`").eqNullSafe(F.col("o.id"))
+    one = one.join(odd.alias("o"), same, "left_anti")
+    text = F.coalesce(F.col(f"d.`{text_col}`").cast("string"), F.lit(""))
+    rest = d.join(odd.alias("o"), same, "left_semi").select(F.col(f"d.`{id_col}`").alias("id"), code(text.cast("binary")).alias("fp"), F.xxhash64(text).alias("h"), F.struct("d.*").alias("row"))
+    known = groups.select("fp", "component_id", "root").distinct()
+    # rows that stand for their group by id, the smallest text hash among them
+    kept = rest.join(known, "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
+    kept = kept.groupBy("root").agg(F.min_by("row", "h").alias("row")).select("row.*")
+    return one.union(kept)

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, shuffle_partitions, slices
+from .common import SLICE_BYTES, in_arrow, shuffle_partitions, slices
 
 # Common words of English, French, German and Spanish.
 ANCHORS = frozenset(
@@ -114,7 +114,8 @@ def spot_signatures(df: DataFrame, chain: int = CHAIN, id_col: str = "doc_id", t
             sigs = [signatures(t, chain) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.astype(np.int64) for s in sigs], pa.list_(pa.int64())), pa.array(map(digest, sigs), pa.string())], names=[id_col, "sigs", "fingerprint"])
 
-    return df.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).mapInArrow(run, f"`{id_col}` {kind}, sigs array<long>, fingerprint string")
+    source = df.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return in_arrow(source, run, f"`{id_col}` {kind}, sigs array<long>, fingerprint string")
 
 
 def similar_fingerprints(marked: DataFrame, least: float = 0.8) -> DataFrame:
@@ -171,7 +172,7 @@ def in_order(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             packed = pa.array(map(pack, b.column(3).to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(ghost), *(c.take(pa.array(take)) for c in (b.column(1), b.column(2), b.column(0), packed))], names=["bucket", "ghost", "key", "h", "id", "text"])
 
-    dealt = rows.mapInArrow(deal, "bucket int, ghost int, key long, h long, id long, text binary")
+    dealt = in_arrow(rows, deal, "bucket int, ghost int, key long, h long, id long, text binary")
     return dealt.repartition(n, "bucket").sortWithinPartitions("bucket", "ghost", "key", "h").select("bucket", "ghost", "id", "text")
 
 
@@ -207,4 +208,4 @@ def edited_fingerprints(df: DataFrame, chain: int = CHAIN, id_col: str = "doc_id
 
     text_field = "edited string, " if with_text else ""
     schema = f"`{id_col}` long, n_chars long, {text_field}edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return in_order(df, id_col, text_col).mapInArrow(run, schema)
+    return in_arrow(in_order(df, id_col, text_col), run, schema)
