@@ -6,7 +6,8 @@ or earlier in the same one. Strings are judged on the input, and never cross doc
 Equal strings must meet, so they are dealt by content: in every window of `width` bytes the least hash of a
 `GRAM`-byte gram names the window's anchor. Neighbouring windows mostly share their anchor and make one
 segment. Anchors seen once hold no repeat and are dropped. The segments of the others are hashed, and copies of a
-segment are merged by a pre-aggregation (all but the first are repeats as a whole). The different segments of
+segment are merged by a pre-aggregation (all but the first are repeats as a whole). Two segments count as copies if the
+64-bit hashes of their anchors and of their bytes agree, 128 bits in all; bytes are not compared again. The different segments of
 an anchor are fetched from their texts and meet in one chunk. There a suffix array decides: suffixes smaller than their
 successors are sorted directly, the rest is induced by bucket scans, and neighbours with a common prefix of
 `width` bytes are one class, of which the earliest string stays.
@@ -21,14 +22,14 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import SLICE_BYTES, shuffle_partitions, slices
+from .common import SLICE_BYTES, free_name, in_arrow, shuffle_partitions, slices
 
 WIDTH, GRAM = 100, 36
 #: Windows of a text that are handled at once; different segments of one anchor that may meet in one chunk; bytes of a chunk.
@@ -374,24 +375,26 @@ def repeats(texts: DataFrame, more: list) -> DataFrame:
     """Rows (d, text compressed, *more, keys, firsts, spans) from texts (d, text, *more): what _gone() needs to tell the bytes that go."""
     n = shuffle_partitions(texts.sparkSession)
     kind = texts.schema["d"].dataType.simpleString()
-    rows = texts.select("d", "text").mapInArrow(_key_rows, f"d {kind}, keys array<long>")
+    rows = in_arrow(texts.select("d", "text"), _key_rows, f"d {kind}, keys array<long>")
     runs = rows.select("d", F.explode("keys").alias("key"))
     often = runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     wanted = runs.join(often, "key").groupBy("d").agg(F.collect_set("key").alias("keys"))
     # the texts are shuffled once: the three joins below use the same exchange
-    docs = texts.select("d", *more, "text").mapInArrow(_zipped_rows, texts.select("d", *more, "text").schema)
+    docs = in_arrow(texts.select("d", *more, "text"), _zipped_rows, texts.select("d", *more, "text").schema)
     docs = docs.select(F.coalesce("d", F.lit("~" if kind == "string" else 0)).alias("d"), *more, "text")
     # a hash for each segment; copies: the first stands for all, the others are repeats as a whole
-    marks = docs.join(wanted, "d").select(*docs.columns, "keys").mapInArrow(_mark_rows, f"d {kind}, key long, h long, packed long")
+    marks = in_arrow(docs.join(wanted, "d").select(*docs.columns, "keys"), _mark_rows, f"d {kind}, key long, h long, packed long")
     first = marks.groupBy("key", "h").agg(F.min(F.struct("d", "packed")).alias("first"))
     firsts = first.groupBy(F.col("first.d").alias("d")).agg(F.collect_list("first.packed").alias("firsts"))
     # the bytes of the first ones of anchors that have several different segments
     # (counted by `first`, so that this plan keeps that column and shares the exchange of the others)
     several = first.groupBy("key").agg(F.count("first").alias("n")).where("n > 1")
     rest = first.join(several, "key").groupBy(F.col("first.d").alias("d")).agg(F.collect_list(F.struct("key", "first.packed", "n")).alias("rows"))
-    segments = docs.join(rest, "d").select(*docs.columns, "rows").mapInArrow(_segment_rows, f"key long, part int, d {kind}, place long, segment binary")
-    dealt = segments.where("part = 0").repartition(n, "key", "part").sortWithinPartitions("key", "part", "d", "place")
-    later = dealt.mapInArrow(_chunk_rows, f"d {kind}, start long, stop long").union(later_of_crowded(segments.where("part > 0")))
+    # crowded anchors apart from the others, from one exchange: most corpora have none, and then the second join is empty
+    crowded = lambda x: x["n"] > CROWD
+    part = lambda keep: in_arrow(docs.join(rest.withColumn("rows", F.filter("rows", keep)).where(F.size("rows") > 0), "d").select(*docs.columns, "rows"), _segment_rows, f"key long, part int, d {kind}, place long, segment binary")
+    dealt = part(lambda x: ~crowded(x)).repartition(n, "key", "part").sortWithinPartitions("key", "part", "d", "place")
+    later = in_arrow(dealt, _chunk_rows, f"d {kind}, start long, stop long").union(later_of_crowded(part(crowded)))
     spans = later.groupBy("d").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return docs.join(wanted, "d", "left").join(firsts, "d", "left").join(spans, "d", "left")
 
@@ -399,19 +402,26 @@ def repeats(texts: DataFrame, more: list) -> DataFrame:
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with repeated passages taken out of its texts; rows that lose their whole text go.
 
-    Cuts never leave half a character: what is left of one goes too. Null texts stay null.
+    Cuts never leave half a character: what is left of one goes too. Null texts stay null; rows of equal id are
+    ordered by text, null ids come last; empty tables and columns of any name pass.
     """
     others = [c for c in df.columns if c != text_col]
-    rows = df.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"), F.struct(F.col(text_col).isNull().alias("__null"), *others).alias("__row"))
-    marked = repeats(rows.select(document_key(rows, "__id").alias("d"), "text", "__row"), ["__row"])
+    rows = df.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"), F.struct(F.col(text_col).isNull().alias(free_name("__null", df.columns)), *others).alias("__row"))
+    marked = repeats(rows.select(document_key(rows, "__id").alias("d"), "text", "__row"), ["__row"]).select("__row", "text", "keys", "firsts", "spans")
+    columns, place = df.columns, {c: i + 1 for i, c in enumerate(others)}
 
-    @F.pandas_udf("struct<cut:boolean,text:string>")
-    def cut(texts: pd.Series, keys: pd.Series, firsts: pd.Series, spans: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_cut(*row) for row in zip(texts, keys, firsts, spans)], columns=["cut", "text"])
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, most=SLICE_BYTES // 4):
+            row, kept, texts = b.column(0), [], []
+            for null, marks in zip(row.field(0).to_pylist(), zip(*(c.to_pylist() for c in b.columns[1:]))):
+                gone, text = _cut(*marks)
+                kept.append(not (gone and text == ""))
+                texts.append(None if null else text)
+            arrays = [pa.array(texts, pa.string()) if c == text_col else row.field(place[c]) for c in columns]
+            yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(kept))
 
-    left = marked.select("__row", cut("text", "keys", "firsts", "spans").alias("__left")).where("not (__left.cut and __left.text = '')")
-    new = F.when(~F.col("__row.__null"), F.col("__left.text"))
-    return left.select(*[new.alias(c) if c == text_col else F.col(f"__row.`{c}`").alias(c) for c in df.columns])
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text_col else f.dataType) for f in df.schema])
+    return in_arrow(marked, cut, schema)
 
 
 def repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -425,4 +435,4 @@ def repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = df.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
     marked = repeats(rows.select(document_key(rows, "__id").alias("d"), "text", "__id"), ["__id"]).select("__id", "text", "keys", "firsts", "spans")
     schema = f"__id {id_kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,stop:long>>, kept_sha256 string"
-    return marked.mapInArrow(_kept_rows, schema).withColumnRenamed("__id", id_col)
+    return in_arrow(marked, _kept_rows, schema).withColumnRenamed("__id", id_col)
