@@ -1,10 +1,12 @@
 """Toxicity grades by cumulative-link ordinal regression.
 
 Grades 0 < 1 < .. < K share one weight vector over sparse text features; ordered thresholds cut its score:
-P(grade <= k) = sigmoid(threshold_k - score). Features are hashed words, log(1 + count). The model is fitted
-in one task from a bounded sample of labelled texts: weights, thresholds and the features worth keeping.
+P(grade <= k) = sigmoid(threshold_k - score). Features are all hashed words and their beginnings (inflected words share
+them), log(1 + count); an L1 penalty on the weights, and no choice beforehand, leaves out those that tell nothing. The model is fitted in one task from a bounded
+sample of different labelled texts.
 
-Labels tell toxic from other texts; grades of toxic ones come from how dense their telling words are.
+Labels tell toxic from other texts. Grades of toxic ones come from how dense words are that tell toxicity, and these
+words are found on the other half of the sample, so that no text is graded by words chosen on itself.
 """
 
 from __future__ import annotations
@@ -20,18 +22,29 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import in_arrow, slices
 
-#: Hashed words, features kept, texts of the sample (its expected size).
-DIMS, FEATURES, SAMPLE = 1 << 18, 2000, 4000
+#: Hashed words, texts of the sample (its expected size).
+DIMS, SAMPLE = 1 << 18, 4000
+#: L1 penalty of a weight, against the mean loss of a text, times the root of the number of texts: with more texts, rarer words may tell.
+PENALTY = 0.05
+#: Characters of a word's beginning.
+PREFIX = 4
 _WORD = regex.compile(r"[^\W\d_]+")
 
 
+def features(word: str) -> tuple[int, ...]:
+    """Hashed word and, if it is longer, its beginning."""
+    own = xxhash.xxh64_intdigest(word, 7) % DIMS
+    return (own, xxhash.xxh64_intdigest("^" + word[:PREFIX], 7) % DIMS) if len(word) > PREFIX else (own,)
+
+
 def buckets(text: str) -> dict[int, int]:
-    """Hashed words of a text and how often each occurs."""
+    """Features of a text and how often each occurs."""
     out: Counter = Counter()
     for word, n in Counter(_WORD.findall(text.lower())).items():
-        out[xxhash.xxh64_intdigest(word, 7) % DIMS] += n
+        for f in features(word):
+            out[f] += n
     return out
 
 
@@ -50,76 +63,86 @@ class OrdinalModel:
         return sigmoid(self.thresholds[None, :] - scores[:, None])
 
 
-def _matrix(rows: list[dict[int, int]], columns: np.ndarray) -> np.ndarray:
-    place = {c: i for i, c in enumerate(columns.tolist())}
-    x = np.zeros((len(rows), len(columns)), np.float32)
-    for i, row in enumerate(rows):
-        for k, n in row.items():
-            if (j := place.get(k)) is not None:
-                x[i, j] = np.log1p(n)
-    return x
+class SparseRows:
+    """Rows of a few numbers each: x[row[i], col[i]] = value[i]."""
+
+    def __init__(self, row: np.ndarray, col: np.ndarray, value: np.ndarray, shape: tuple[int, int]):
+        self.row, self.col, self.value, self.shape = row, col, value, shape
+
+    @classmethod
+    def of(cls, rows: list[dict[int, float]], dims: int = DIMS) -> SparseRows:
+        sizes = np.array([len(r) for r in rows], np.int64)
+        col = np.fromiter((c for r in rows for c in r), np.int64, sizes.sum())
+        value = np.fromiter((v for r in rows for v in r.values()), np.float64, sizes.sum())
+        return cls(np.repeat(np.arange(len(rows)), sizes), col, value, (len(rows), dims))
+
+    def scores(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * w[self.col], minlength=self.shape[0])
 
+    def gradient(self, by_row: np.ndarray) -> np.ndarray:
+        return np.bincount(self.col, self.value * by_row[self.row], minlength=self.shape[1])
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, steps: int = 300, rate: float = 0.2, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, thresholds) by AdaGrad on the mean negative log likelihood; thresholds stay ordered as a start and positive gaps."""
+
+def fit_ordinal(x: SparseRows, grade: np.ndarray, steps: int = 300, rate: float = 0.2, penalty: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, thresholds) by proximal AdaGrad on the mean negative log likelihood and an L1 penalty; thresholds stay ordered as a start and positive gaps."""
     top = int(grade.max(initial=0))
     share = np.clip([np.mean(grade <= k) for k in range(top)], 1e-3, 1 - 1e-3)
     start = np.log(share / (1 - share))
+    n = x.shape[0]
     w = np.zeros(x.shape[1])
     t = np.concatenate([start[:1], np.log(np.maximum(np.diff(start), 1e-2))])
     seen_w, seen_t = np.full(w.shape, 1e-8), np.full(t.shape, 1e-8)
-    rows = np.arange(len(x))
+    rows = np.arange(n)
     for _ in range(steps):
         cuts = t[0] + np.concatenate([[0], np.cumsum(np.exp(t[1:]))])
-        f = sigmoid(cuts[None] - (x @ w)[:, None])
-        padded = np.concatenate([np.zeros((len(x), 1)), f, np.ones((len(x), 1))], axis=1)
+        f = sigmoid(cuts[None] - x.scores(w)[:, None])
+        padded = np.concatenate([np.zeros((n, 1)), f, np.ones((n, 1))], axis=1)
         p = np.maximum(padded[rows, grade + 1] - padded[rows, grade], 1e-9)
         slope = padded * (1 - padded)
         by_score = (slope[rows, grade + 1] - slope[rows, grade]) / p  # of the loss, by the score
-        gw = x.T @ by_score / len(x) + decay * w
-        by_cut = np.array([(np.where(grade == k + 1, slope[:, k + 1], 0) - np.where(grade == k, slope[:, k + 1], 0)) @ (1 / p) for k in range(top)]) / len(x)
+        gw = x.gradient(by_score) / n
+        by_cut = np.array([(np.where(grade == k + 1, slope[:, k + 1], 0) - np.where(grade == k, slope[:, k + 1], 0)) @ (1 / p) for k in range(top)]) / n
         gt = np.concatenate([[by_cut.sum()], [by_cut[i:].sum() * np.exp(t[i]) for i in range(1, top)]])
         seen_w, seen_t = seen_w + gw**2, seen_t + gt**2
-        w, t = w - rate * gw / np.sqrt(seen_w), t - rate * gt / np.sqrt(seen_t)
+        size = rate / np.sqrt(seen_w)
+        w, t = w - size * gw, t - rate * gt / np.sqrt(seen_t)
+        w = np.sign(w) * np.maximum(np.abs(w) - size * penalty, 0)
     return w, t[0] + np.concatenate([[0], np.cumsum(np.exp(t[1:]))])
 
 
+def telling_words(rows: list[dict[int, int]], toxic: np.ndarray) -> np.ndarray:
+    """Hashed words that are far more frequent among toxic texts: their weights in a two-grade model are positive."""
+    if not toxic.any() or toxic.all():
+        return np.zeros(0, np.int64)
+    w, _ = fit_ordinal(SparseRows.of([dict.fromkeys(r, 1.0) for r in rows]), toxic.astype(int), steps=100, penalty=PENALTY / np.sqrt(len(rows)))
+    return np.flatnonzero(w > 0.1)
+
+
 def fit_grades(texts: list[str], toxic: np.ndarray) -> OrdinalModel:
-    """Model of three grades from texts and toxic flags: telling words by log odds, grades by their density, then the regression."""
+    """Model of three grades from different texts and toxic flags; halves are every other text."""
     none = OrdinalModel(np.zeros(DIMS, np.float32), np.array([30.0, 31.0]))
     if not len(texts) or not toxic.any() or toxic.all():
         return none
     rows = [buckets(t) for t in texts]
-    # a text only counts once per word; the odds of a word are between texts
-    df = np.zeros((2, DIMS), np.float32)
-    for row, y in zip(rows, toxic.astype(int).tolist()):
-        df[y, list(row)] += 1
-    n = np.array([(~toxic).sum(), toxic.sum()], float)
-    odds = np.log((df[1] + 0.5) / (n[1] - df[1] + 0.5)) - np.log((df[0] + 0.5) / (n[0] - df[0] + 0.5))
-    p, q = df[1] / n[1], df[0] / n[0]
-    both = (df[0] + df[1]) / n.sum()
-    z = (p - q) / np.sqrt(np.maximum(both * (1 - both), 1e-9) * (1 / n[0] + 1 / n[1]))
-    columns = np.argsort(-np.abs(z), kind="stable")[:FEATURES]
-    columns = columns[np.abs(z[columns]) > 3]
-    if not len(columns):
-        return none
-    telling = columns[(odds[columns] > 1) & (z[columns] > 4)]
     words = np.array([max(1, sum(r.values())) for r in rows])
-    dense = np.array([sum(r.get(c, 0) for c in telling.tolist()) for r in rows]) / words
+    half, dense = np.arange(len(rows)) % 2, np.zeros(len(rows))
+    for side in (0, 1):
+        other = np.flatnonzero(half != side)
+        telling = {*telling_words([rows[i] for i in other], toxic[other]).tolist()}
+        for i in np.flatnonzero((half == side) & toxic).tolist():
+            dense[i] = sum(n for c, n in rows[i].items() if c in telling) / words[i]
     grade = np.where(toxic, 1 + (dense > np.median(dense[toxic])), 0)
-    w, thresholds = fit_ordinal(_matrix(rows, columns), grade)
+    w, thresholds = fit_ordinal(SparseRows.of([{c: np.log1p(n) for c, n in r.items()} for r in rows]), grade, penalty=PENALTY / np.sqrt(len(rows)))
     if grade.max() < 2:
         thresholds = np.append(thresholds, thresholds[-1] + 10)
-    weights = np.zeros(DIMS, np.float32)
-    weights[columns] = w
-    return OrdinalModel(weights, thresholds)
+    return OrdinalModel(w.astype(np.float32), thresholds)
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic: Column | None = None, max_docs: int = SAMPLE) -> OrdinalModel:
     """Fits the model on about max_docs labelled texts, those of smallest id hash.
 
-    Null texts, ids and labels teach nothing. Without labelled texts of both kinds the model gives every
-    text grade 0.
+    Null texts, ids and labels teach nothing; equal texts count once, toxic if any of them is. Without labelled
+    texts of both kinds the model gives every text grade 0.
     """
     flag = F.col("toxic") if toxic is None else toxic
     known = labels.select(F.col(id_col).alias("id"), flag.cast("int").alias("y")).where("id is not null and y is not null").groupBy("id").agg(F.max("y").alias("y"))
@@ -128,9 +151,10 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(space)) < F.lit(min(space, space * max_docs // max(1, n))))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     rows = rows.join(F.broadcast(chosen), "id")  # about max_docs ids, whatever the number of labels
+    rows = rows.groupBy("text").agg(F.max("y").alias("y"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["id", "text"])
+        pdf = pdf.sort_values("text")
         model = fit_grades(pdf["text"].tolist(), pdf["y"].to_numpy() > 0)
         at = np.flatnonzero(model.weights)
         return pd.DataFrame({"at": [at.tolist()], "w": [model.weights[at].tolist()], "t": [model.thresholds.tolist()]})
@@ -159,30 +183,29 @@ def grade_toxicity(df: DataFrame, model: OrdinalModel, id_col: str = "doc_id", t
         for b in slices(batches):
             scores = np.zeros(b.num_rows)
             for i, text in enumerate(b.column(1).to_pylist()):
-                words = _WORD.findall(text.lower())
-                if telling := [w for w in words if weight[w][0] >= 0]:
-                    counts = Counter(weight[w] for w in telling)
-                    scores[i] = sum(w * np.log1p(n) for (_, w), n in counts.items())
+                counts: Counter = Counter()
+                for word in _WORD.findall(text.lower()):
+                    if found := weight[word]:
+                        counts.update(found)
+                scores[i] = sum(w * np.log1p(n) for (_, w), n in counts.items())
             below = own.at_most(scores)
             parts = np.diff(np.concatenate([np.zeros((len(scores), 1)), below, np.ones((len(scores), 1))], axis=1), axis=1)
             p = 1 - below[:, 0]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array((1 - below).sum(axis=1)), pa.array(p), pa.array(parts.argmax(axis=1).astype(np.int32)), pa.array(p >= 0.5)], names=[id_col, "severity", "p_toxic", "grade", "toxic"])
 
     source = df.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return source.mapInArrow(run, f"`{id_col}` {kind}, severity double, p_toxic double, grade int, toxic boolean")
+    return in_arrow(source, run, f"`{id_col}` {kind}, severity double, p_toxic double, grade int, toxic boolean")
 
 
 class _Weights(dict):
-    """(bucket, weight) of each word, bucket -1 if the weight is zero; emptied when full."""
+    """(feature, weight) of each word's features of a weight; emptied when full."""
 
     def __init__(self, weights: np.ndarray):
         super().__init__()
         self.weights = weights
 
-    def __missing__(self, word: str) -> tuple[int, float]:
-        if len(self) > 500_000:
+    def __missing__(self, word: str) -> tuple[tuple[int, float], ...]:
+        if len(self) > 200_000:
             self.clear()
-        at = xxhash.xxh64_intdigest(word, 7) % DIMS
-        w = float(self.weights[at])
-        self[word] = found = (at, w) if w else (-1, 0.0)
+        self[word] = found = tuple((f, float(self.weights[f])) for f in features(word) if self.weights[f])
         return found
