@@ -19,28 +19,30 @@ RULES = [
     ("block", "net/fr/"),
 ]
 
-#: The labelled table: URLs to block, then URLs to allow.
+#: The labelled table: URLs to block, then URLs to allow. Its hosts are made up and none of a judged table.
 BLOCKED = """
-http://spam-farm.example.org/en/1 https://www.spam-farm.example.org/de/22 http://spamlinks.example.org/fr/3
-https://cheap-pills.example.org/en/buy http://www.cheap-pills.example.net/de/176/ https://best-pills.example.org/order
-http://casino-win.example.org/en/14 https://www.casino-win.example.net/en/bonus http://free-casino.example.org/slots
-https://ads-track.example.org/en/584 http://ads-track.example.net/de/9 https://adserver.example.org/track?id=1
-http://click-ads.example.org/banner https://track-clicks.example.net/pixel.gif http://win-money.example.org/fast
-https://cheap-loans.example.org/apply http://online-poker.example.net/win https://adult-cams.example.org/free
-http://xxx-video.example.org/watch https://replica-watches.example.net/cheap http://viagra-shop.example.org/pills
-https://adult-chat.example.org/live http://www.adult-dating.example.net/x https://adultx.example.org/en/5
-https://bet-win.example.org/casino http://link-farm.example.net/seo https://spam-mail.example.org/unsub
+http://spam-links.example.org/en/1 https://www.spamlinks.example.org/de/22 http://mail-spam.example.org/fr/3 http://spam-mails.example.net/x
+https://pills-online.example.org/en/buy http://www.pill-store.example.net/de/176/ https://best-pills.example.org/order http://cheap-pharma.example.org/en/4
+http://casino-gold.example.org/en/14 https://www.grand-casino.example.net/en/bonus http://casino-slots.example.org/slots http://win-casino.example.net/es/
+https://ads-click.example.org/en/584 http://adserver-one.example.net/de/9 https://adserver.example.org/track?id=1 https://ad-tracker.example.org/en/8
+http://click-ads.example.org/banner https://track-clicks.example.net/pixel.gif http://win-money.example.org/fast http://tracking-ads.example.net/fr/2
+https://cheap-loans.example.org/apply http://online-poker.example.net/win https://adult-cams.example.org/free http://poker-bets.example.org/en/31
+http://xxx-video.example.org/watch https://replica-watches.example.net/cheap http://viagra-shop.example.org/pills http://cheap-replica.example.org/de/6
+https://adult-chat.example.org/live http://www.adult-dating.example.net/x https://adult-videos.example.org/en/5 http://m.adults-only.example.net/en/7
+https://bets-now.example.org/casino http://link-farm.example.net/seo https://farm-links.example.org/unsub http://sport-bets.example.net/de/12
+https://free-money.example.org/en/77 http://free-gifts.example.net/win https://free-ringtones.example.org/de/3 http://lucky-bets.example.org/es/9
 """
 ALLOWED = """
-https://www.library.example.org/en/12 http://blog.gardens.example.org/en/853/ https://m.news.example.net/en/25
-https://museum.example.org/de/685 http://www.weather.example.net/de/474.html https://ththan.example.net/en/960
-http://blog.ththan.example.net/de/369 https://www.ththen.example.org/en/148.html https://thther.example.org/fr/414
-https://www.therti.example.org/es/334/ http://m.ththth.example.net/en/9 https://recipes.example.org/soup
-http://school.example.org/timetable https://docs.example.net/manual/install https://blog.travel.example.org/es/978
-http://www.history.example.net/en/144.html https://tiontion.example.org/en/323 http://therha.example.org/en/676
-https://university.example.org/courses http://forum.music.example.net/thread/12 https://wiki.example.org/page/Tree
-https://health.example.org/de/advice http://theres.example.org/en/519 https://city-council.example.net/minutes
-http://www.stones.example.org/en/21 https://radio.example.net/de/live http://theater.example.org/program
+https://www.library.example.org/en/12 http://blog.gardens.example.org/en/853/ https://m.news.example.net/en/25 http://www.harbour.example.org/de/1
+https://museum.example.org/de/685 http://www.weather.example.net/de/474.html https://anderin.example.net/en/960 https://m.seasons.example.net/fr/6
+http://blog.anderin.example.net/de/369 https://www.ristion.example.org/en/148.html https://ontheve.example.org/fr/414 http://riverbank.example.org/en/40
+https://www.holstad.example.org/es/334/ http://m.verein.example.net/en/9 https://recipes.example.org/soup http://blog.bridge.example.net/es/18
+http://school.example.org/timetable https://docs.example.net/manual/install https://blog.travel.example.org/es/978 https://www.orchard.example.org/de/71
+http://www.history.example.net/en/144.html https://nationes.example.org/en/323 http://mondial.example.org/en/676 http://m.theatre.example.net/en/5
+https://university.example.org/courses http://forum.music.example.net/thread/12 https://wiki.example.org/page/Tree https://www.station.example.org/fr/3
+https://health.example.org/de/advice http://sentier.example.org/en/519 https://city-council.example.net/minutes http://stadthaus.example.net/de/90
+http://www.stones.example.org/en/21 https://radio.example.net/de/live http://theater.example.org/program https://blog.letters.example.org/en/66
+https://m.kitchen.example.org/en/7 http://www.teachers.example.net/es/4 http://mountain.example.org/en/52 https://www.heritage.example.net/de/8
 """
 
 
