@@ -182,7 +182,9 @@ def find_personal_data(df: DataFrame, share: float = 0.9, support: int = 1, text
     found = F.when(F.col("weights").isNotNull(), spans(F.col("text"), TERM, 4, lambda w: F.map_contains_key("weights", F.lower(w)))).otherwise(none)
     out = out.withColumn("found", found)
     apart = F.filter("found", lambda t: ~F.exists("spans", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])))
-    told = out.select(*[F.col(f"row.`{c}`") for c in rows.columns], F.array_sort(F.concat("spans", apart)).alias(spans_col), F.col("weights").alias(weights_col))
+    # the row's own columns come last, as they may have any name
+    marked = out.select("row", F.array_sort(F.concat("spans", apart)).alias("spans"), "weights")
+    told = marked.select(*[F.col(f"row.`{c}`").alias(f"{i}") for i, c in enumerate(rows.columns)], F.col("spans").alias("s"), F.col("weights").alias("w")).toDF(*rows.columns, spans_col, weights_col)
     rest = rows.where(~names).select("*", none.alias(spans_col), F.lit(None).cast("map<string,double>").alias(weights_col))
     return told.union(rest)
 
