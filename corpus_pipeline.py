@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.llm import bpe, langid, nearcopies, packing, pii, sadedup
-from siftwell.llm.common import stored, table
+from siftwell.llm.common import removed, stored, table
 from siftwell.llm.queries import held_out
 
 
@@ -52,9 +52,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages on `documents`; each stage's rows are stored until the next one's are."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = stored(docs)
+            docs, path = stored(docs)
+            if before:
+                removed(spark, before)
+            before = path
     return docs
