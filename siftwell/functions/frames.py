@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .scales import linear_decay, linear_growth, trapezoid_scale
+
 
 def content_change(df: DataFrame, key: str, order: str, weights: dict[str, float]) -> DataFrame:
     """df with `change`: weighted mean distance of the channels from the frame before, 0 for the first frame."""
@@ -62,15 +64,16 @@ def frame_step(frames_per_clip: int, video_fps: float, duration: float | None =
     return step
 
 
-def clip_indices(total: Column, frames_per_clip: int, step: int, clips: int, overlap: bool = False) -> Column:
-    """array<array<long>> of the frames of each training clip, without random offsets.
+def clip_indices(total: Column, frames_per_clip: int, step: int, clips: int, overlap: bool = False, shift=None) -> Column:
+    """array<array<long>> of the frames of each training clip.
 
-    The video is cut into equal parts, one a clip. A part longer than a clip gives its first frames; a shorter one
-    is sampled and padded with its last frame, or, if clips may overlap, clips start at even steps.
+    The video is cut into equal parts, one a clip. A part longer than a clip gives its first frames, or those from
+    shift(clip, room) on, 0 <= shift < room, as random_shift() gives them; a shorter one is sampled and padded with its
+    last frame, or, if clips may overlap, clips start at even steps.
     """
     length = frames_per_clip * step
     part = F.floor(total / clips).cast("int")
-    whole = lambda c: F.transform(_spread(F.lit(0), F.lit(length), F.lit(frames_per_clip), F.lit(0), F.lit(length - 1)), lambda x: x + c * part)
+    whole = lambda c: F.transform(_spread(F.lit(0), F.lit(length), F.lit(frames_per_clip), F.lit(0), F.lit(length - 1)), lambda x: x + c * part + (F.lit(0) if shift is None else shift(c, part - length)))
 
     def padded(span: Column, shift) -> Column:
         n = F.floor(span / step).cast("int")
@@ -83,6 +86,61 @@ def clip_indices(total: Column, frames_per_clip: int, step: int, clips: int, ove
     return F.transform(F.sequence(F.lit(0), F.lit(clips - 1)), one)
 
 
+def random_shift(key: Column, seed: int):
+    """A repeatable offset for each key and clip, for clip_indices()."""
+    return lambda clip, room: F.when(room > 0, F.pmod(F.xxhash64(key, clip, F.lit(seed)), room.cast("long"))).otherwise(F.lit(0).cast("long"))
+
+
+def optical_scores(
+    df: DataFrame, key: str, brightness: str, dark: str, bright: str, contrast: str, q: float = 0.2,
+    brightness_scale: tuple = (0.05, 0.20, 0.80, 0.95), dark_scale: tuple = (0.05, 0.50), bright_scale: tuple = (0.05, 0.50), contrast_scale: tuple = (0.05, 0.25),
+) -> DataFrame:
+    """(key, exposure, contrast, optical, and medians of the four inputs) from rows of frames.
+
+    A frame's exposure is the product of scaled brightness and scaled shares of too dark and too bright pixels; both
+    scores are the quantile q over frames, to six places, and the optical score is their product.
+    """
+    exposure = trapezoid_scale(F.col(brightness), *brightness_scale) * linear_decay(F.col(dark), *dark_scale) * linear_decay(F.col(bright), *bright_scale)
+    rows = df.select(F.col(key), exposure.alias("__e"), linear_growth(F.col(contrast), *contrast_scale).alias("__c"), *[F.col(c).alias(f"__m{i}") for i, c in enumerate((brightness, dark, bright, contrast))])
+    exact = lambda c, p: F.round(F.expr(f"percentile({c}, {p}D)"), 6)
+    out = rows.groupBy(key).agg(exact("__e", q).alias("exposure"), exact("__c", q).alias("contrast"), *[exact(f"__m{i}", 0.5).alias(n) for i, n in enumerate(("brightness", "too_dark", "too_bright", "dynamic_range"))])
+    return out.withColumn("optical", F.round(F.col("exposure") * F.col("contrast"), 6))
+
+
+@F.pandas_udf(T.DoubleType())
+def polygon_share(polygons: pd.Series, scores: pd.Series, width: pd.Series, height: pd.Series, least: pd.Series) -> pd.Series:
+    """Share of a picture's pixels in the union of polygons (lists of x, y, x, y, ...) of a score of `least` or more.
+
+    Corners are rounded to pixels; four numbers are a box of two corners; fewer than three corners cover nothing. A pixel
+    is covered if it lies in a polygon or on its outline.
+    """
+    out = []
+    for shapes, weights, w, h, bound in zip(polygons, scores, width, height, least):
+        grid = np.zeros((int(h), int(w)), bool)
+        for shape, weight in zip(shapes if shapes is not None else [], weights if weights is not None else []):
+            p = np.asarray(shape, float)
+            if weight < bound or len(p) % 2:
+                continue
+            p = np.array([[p[0], p[1]], [p[2], p[1]], [p[2], p[3]], [p[0], p[3]]]) if len(p) == 4 else p.reshape(-1, 2)
+            p = np.rint(p).astype(int)
+            if len(p) < 3:
+                continue
+            a, b = p, np.roll(p, -1, axis=0)
+            for y in range(max(0, p[:, 1].min()), min(int(h) - 1, p[:, 1].max()) + 1):
+                # where edges cross the row of pixels; edges that end in it count with their lower end only
+                cross = (a[:, 1] <= y) != (b[:, 1] <= y)
+                x = np.sort(a[cross, 0] + (y - a[cross, 1]) * (b[cross, 0] - a[cross, 0]) / (b[cross, 1] - a[cross, 1]))
+                for left, right in zip(x[::2], x[1::2]):
+                    grid[y, max(0, int(np.ceil(left - 0.5))) : max(0, int(np.floor(right + 0.5)) + 1)] = True
+                for (x0, y0), (x1, y1) in zip(a, b):  # corners, and edges along the row
+                    if y0 == y and 0 <= x0 < int(w):
+                        grid[y, x0] = True
+                    if y0 == y1 == y:
+                        grid[y, max(0, min(x0, x1)) : max(0, max(x0, x1) + 1)] = True
+        out.append(float(grid.mean()) if grid.size else None)
+    return pd.Series(out, dtype="float64")
+
+
 @F.pandas_udf(T.DoubleType())
 def covered_share(boxes: pd.Series, width: pd.Series, height: pd.Series) -> pd.Series:
     """Share of a picture covered by the union of axis-parallel boxes (x0, y0, x1, y1), clipped to it."""

@@ -63,6 +63,17 @@ def uniform_pick(items: Column, k: int) -> Column:
     return F.when(n > 0, F.transform(places, lambda p: items[p])).otherwise(items)
 
 
+def encoder_pick(items: Column, k: int, stride: int = 4) -> Column:
+    """uniform_pick() for an encoder: fewer than `stride` missing elements are repeated, more of them are an error."""
+    short = F.lit(k) - F.size(items)
+    return F.when(short >= stride, F.raise_error(F.format_string(f"%d of {k} frames missing", short))).otherwise(uniform_pick(items, k))
+
+
+def steps_column(rows: Column, world: int, batch: int) -> Column:
+    """steps_per_epoch() of a column."""
+    return F.greatest(F.lit(1).cast("long"), F.ceil(rows / F.lit(float(world * batch))).cast("long"))
+
+
 def steps_per_epoch(rows: int, world: int, batch: int) -> int:
     return max(1, math.ceil(rows / (world * batch)))
 

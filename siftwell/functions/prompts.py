@@ -20,6 +20,21 @@ def build_prompt(instruction: str, seconds: Column, **context: Column) -> Column
     return F.concat_ws("\n\n", *parts)
 
 
+def camera_prompt(instruction: str, seconds: Column) -> Column:
+    """Asks for camera labels from frames alone."""
+    return build_prompt(instruction, seconds)
+
+
+def tag_prompt(instruction: str, seconds: Column, camera: Column) -> Column:
+    """Asks for tags from frames and camera labels."""
+    return build_prompt(instruction, seconds, camera_labels=camera)
+
+
+def caption_prompt(instruction: str, seconds: Column, transcript: Column, camera: Column, tags: Column) -> Column:
+    """Asks for captions from frames, what is heard, camera labels and tags; blank parts are left out."""
+    return build_prompt(instruction, seconds, audio_transcript=transcript, camera_labels=camera, tags=tags)
+
+
 def label_lines(labels: Column, names: list[str]) -> Column:
     """`name: value` lines of a struct of labels; list values are comma-joined, null ones unknown."""
     line = lambda n: F.concat(F.lit(f"{n}: "), F.coalesce(labels[n].cast("string"), F.lit("unknown")))
@@ -41,3 +56,9 @@ def coerce_names(value: Column) -> Column:
     """A JSON list of names, or one name, as an array."""
     parsed = F.from_json(value, "array<string>")
     return F.when(F.trim(value).startswith("["), F.coalesce(parsed, F.array().cast("array<string>"))).when(F.coalesce(F.trim(value), F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.array(value))
+
+
+def coerce_optional(value: Column) -> Column:
+    """Trimmed text; null if it is blank or `null`."""
+    v = F.trim(value.cast("string"))
+    return F.when((v != "") & (F.lower(v) != "null"), v)

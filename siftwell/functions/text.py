@@ -55,8 +55,55 @@ def frame_timeline(seconds: Column) -> Column:
 
 
 def human_bytes(n: Column) -> Column:
-    """Binary units, one decimal."""
-    out = F.format_string("%.0f B", n.cast("double"))
-    for power, unit in enumerate(("KiB", "MiB", "GiB", "TiB"), 1):
-        out = F.when(n >= 1024**power, F.format_string(f"%.1f {unit}", n.cast("double") / float(1024**power))).otherwise(out)
+    """Whole bytes below 1024, else two decimals of KB, MB, GB, TB or PB (powers of 1024); `-` if null, NaN or negative."""
+    out = F.format_string("%d B", n.cast("long"))
+    for power, unit in enumerate(("KB", "MB", "GB", "TB", "PB"), 1):
+        out = F.when(n >= float(1024**power), F.format_string(f"%.2f {unit}", n.cast("double") / float(1024**power))).otherwise(out)
+    return F.when(n.isNull() | F.isnan(n.cast("double")) | (n < 0), "-").otherwise(out)
+
+
+def human_seconds(s: Column) -> Column:
+    """`12.3s`, `4m 05s` or `2h 03m`; `-` if null, NaN or negative."""
+    v = s.cast("double")
+    whole = lambda x: F.floor(x).cast("long")
+    minutes = F.format_string("%dm %02ds", whole(v / 60), F.rint(v % 60).cast("long"))
+    hours = F.format_string("%dh %02dm", whole(v / 3600), whole((v % 3600) / 60))
+    return F.when(v.isNull() | F.isnan(v) | (v < 0), "-").when(v < 60, F.format_string("%.1fs", v)).when(v < 3600, minutes).otherwise(hours)
+
+
+def replace_component(path: Column, old: str, new: str) -> Column:
+    """The path with every whole component `old` replaced; names that only contain it stay."""
+    return F.array_join(F.transform(F.split(path, "/"), lambda p: F.when(p == old, F.lit(new)).otherwise(p)), "/")
+
+
+def cache_path(clip: Column, frames: Column, width: Column, height: Column, root: str = "") -> Column:
+    """root/{T}f/{W}x{H}/ab/cd/<safe clip id>-<12 digits of its SHA-1>.meta; sizes that are not positive are an error."""
+    name = F.concat(safe_file_name(clip, "clip"), F.lit("-"), F.substring(F.sha1(clip), 1, 12), F.lit(".meta"))
+    path = F.concat_ws("/", *([F.lit(root)] if root else []), F.format_string("%df", frames), F.format_string("%dx%d", width, height), bucketed_path(name))
+    return F.when((frames > 0) & (width > 0) & (height > 0), path).otherwise(F.raise_error(F.lit("frames, width and height must be positive")))
+
+
+@F.pandas_udf(T.StringType())
+def clean_prompt(prompt: pd.Series) -> pd.Series:
+    """Text without HTML entities (unescaped twice), with UTF-8 that was read as Latin-1 mended, white space collapsed."""
+    import html
+
+    def mended(text: str) -> str:
+        try:
+            return text.encode("cp1252").decode("utf-8") if any("\u00c2" <= c <= "\u00f4" for c in text) else text
+        except UnicodeError:
+            return text
+
+    return prompt.map(lambda p: None if p is None else " ".join(html.unescape(html.unescape(mended(p))).split()))
+
+
+def component_spec(spec: str) -> dict[str, int]:
+    """`select_pass=1,count=10` as a dict: exactly these two keys, once each; select_pass is 0 or 1, count positive."""
+    pairs = [tuple(x.strip() for x in part.partition("=")[::2]) if "=" in part else (part.strip(), "") for part in spec.split(",")]
+    fields = dict(pairs)
+    if len(fields) < len(pairs) or set(fields) != {"select_pass", "count"} or not all(v.lstrip("+-").isdigit() for v in fields.values()):
+        raise ValueError(f"a component is select_pass=0 or 1 and count=n, not {spec!r}")
+    out = {k: int(v) for k, v in fields.items()}
+    if out["select_pass"] not in (0, 1) or out["count"] <= 0:
+        raise ValueError(f"select_pass must be 0 or 1 and count positive in {spec!r}")
     return out

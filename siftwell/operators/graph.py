@@ -9,19 +9,28 @@ from pyspark.sql import functions as F
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the session's spark.checkpoint.dir; a temporary folder only where none is named."""
+    """Reliable checkpoint in the session's spark.checkpoint.dir; a temporary folder only where none is named and all runs in one process."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        named = sc.getConf().get("spark.checkpoint.dir", None)
+        if not named and sc.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
 
 
-def components(pairs: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 50) -> DataFrame:
+def components(pairs: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 50, nodes: DataFrame | None = None) -> DataFrame:
     """(node, component): the smallest node reachable, for every node with a link to another one.
 
+    With `nodes` (a column node), an end of a link that is none of them is an error.
+
     Labels take the least label among neighbours and then that label's own label, so paths shorten by
     doubling; each round is checkpointed and ends the loop once no label changes.
     """
+    if nodes is not None:
+        ends = pairs.select(F.col(a).alias("node")).union(pairs.select(b)).where("node is not null")
+        if unknown := ends.join(nodes.select("node"), "node", "left_anti").limit(1).collect():
+            raise ValueError(f"unknown node {unknown[0][0]}")
     edges = pairs.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null and x <> y")
     edges = durable(edges.union(edges.select("y", "x")).distinct())
     labels = edges.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.min("x")).alias("component"))

@@ -26,8 +26,31 @@ def merge_pass(rows: DataFrame, result: DataFrame, key: str, names: str, ok: str
     }).drop("__names", "__ok", "__error")
 
 
-def ordered_fetch(rows: DataFrame, wanted: DataFrame, key: str, position: str) -> DataFrame:
-    """Rows of the wanted keys in the order of their positions."""
+def exclude(rows: DataFrame, listed: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not listed; a null key is kept, as it equals none."""
+    return rows.join(listed.select(key), key, "left_anti")
+
+
+def fetch(rows: DataFrame, wanted: DataFrame, key: str, order: list) -> DataFrame:
+    """The last full row, by the order, of each wanted key."""
+    from .selection import latest
+
+    return latest(rows.join(wanted.select(key), key, "left_semi"), key, order)
+
+
+def ordered_fetch(rows: DataFrame, wanted: DataFrame, key: str, position: str, same: str | None = None) -> DataFrame:
+    """Rows of the wanted keys in the order of their positions.
+
+    With `same`, repeated rows of a key are one if they agree in that column, and an error otherwise; wanted keys
+    without a row are an error too.
+    """
+    if same is not None:
+        per_key = rows.join(wanted.select(key).distinct(), key, "left_semi").groupBy(key).agg(F.count_distinct(F.col(same)).alias("__n"), F.first(F.struct(*rows.columns)).alias("__row"))
+        odd = per_key.where("__n > 1").select(key).limit(1).collect()
+        gone = missing(wanted, rows, key).limit(1).collect()
+        if odd or gone:
+            raise ValueError(f"rows of {key} {odd[0][0]} differ in {same}" if odd else f"no row of {key} {gone[0][0]}")
+        rows = per_key.select("__row.*")
     return wanted.join(rows, key).orderBy(position)
 
 

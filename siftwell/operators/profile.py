@@ -117,3 +117,41 @@ def browse_order(id_col: str, seed: int) -> Column:
 def top_windowed(df: DataFrame, key: str, order: list[Column], k: int) -> DataFrame:
     w = Window.partitionBy(key).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def quantile_scores(df: DataFrame, key: str, value: str, q: float) -> DataFrame:
+    """(key, score, median, mean, frame_count): the score is the exact, interpolated quantile over a key's frames; all to six places."""
+    exact = lambda p: F.round(F.expr(f"percentile(`{value}`, {p}D)"), 6)
+    return df.groupBy(key).agg(exact(q).alias("score"), exact(0.5).alias("median"), F.round(F.avg(value), 6).alias("mean"), F.count("*").alias("frame_count"))
+
+
+def unique_totals(df: DataFrame, group: str, size: str) -> DataFrame:
+    """One row: groups, clips and the sum of sizes; negative and NaN sizes count nothing."""
+    s = F.when(F.isnan(F.col(size).cast("double")) | (F.col(size) < 0), 0).otherwise(F.col(size))
+    return df.agg(F.count_distinct(group).alias("groups"), F.count("*").alias("clips"), F.coalesce(F.sum(s), F.lit(0)).alias("total"))
+
+
+def match_summary(pairs: DataFrame, groups: DataFrame, method: str) -> DataFrame:
+    """(method, pair_count, group_count, matched_count), and a row `all` with the sums: pairs (method, a, b), groups (method, node, component)."""
+    p = pairs.groupBy(method).agg(F.count("*").alias("pair_count"))
+    g = groups.groupBy(method).agg(F.count_distinct("component").alias("group_count"), F.count_distinct("node").alias("matched_count"))
+    counts = ["pair_count", "group_count", "matched_count"]
+    each = p.join(g, method, "full").select(method, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts])
+    return each.union(each.agg(F.lit("all"), *[F.sum(c) for c in counts]))
+
+
+def group_members(df: DataFrame, group: str, id_col: str, source: str, best: str, k: int) -> DataFrame:
+    """(group, size, sources, best_id, members): the first k members, best first, then by id. Groups of blank ids are left out."""
+    w = Window.partitionBy(group).orderBy(F.desc(best), F.col(id_col))
+    rows = df.where(F.coalesce(F.trim(F.col(group).cast("string")), F.lit("")) != "")
+    first = rows.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k)
+    listed = first.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("__rn", id_col))), lambda x: x[id_col]).alias("members"))
+    sizes = rows.groupBy(group).agg(F.count("*").alias("size"), F.count_distinct(F.nullif(F.trim(F.col(source).cast("string")), F.lit(""))).alias("sources"), F.min(F.when(F.col(best) == 1, F.col(id_col))).alias("best_id"))
+    return sizes.join(listed, group).select(group, "size", "sources", "best_id", "members")
+
+
+def rate_text(fps: Column) -> Column:
+    """A frame rate to two places without trailing zeros; `unknown` for a blank, null or NaN one."""
+    r = F.round(fps.try_cast("double"), 2)
+    text = F.regexp_replace(F.regexp_replace(F.format_string("%.2f", r), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    return F.when(r.isNull() | F.isnan(r), "unknown").otherwise(text)

@@ -72,11 +72,43 @@ def check(df: DataFrame, rules: list[Rule], prefix: str = "rules") -> DataFrame:
     return df.withColumn(f"{prefix}_reject_reason", joined).withColumn(f"{prefix}_pass", (F.col(f"{prefix}_reject_reason") == "").cast("long"))
 
 
+# The rules that screen raw videos.
+SCREEN_RULES = [
+    Rule("probe", "probe_ok", equals=1, reject_reason="probe_failed"),
+    Rule("short_side", "short_side", min=360, reject_reason="resolution_too_low"),
+    Rule("fps", "fps", min=20.0, reject_reason="fps_too_low"),
+    Rule("duration", "duration_sec", min=1.0, max=600.0, min_reject_reason="duration_too_short", max_reject_reason="duration_too_long"),
+]
+
+
 def short_side(width: Column, height: Column) -> Column:
     """The smaller side, null if either is."""
     return F.when(width.isNotNull() & height.isNotNull(), F.least(width, height))
 
 
+def cached(ok: Column, file: Column, sizes: list[Column] | None = None, shape: Column | None = None) -> Column:
+    """Whether a packaged row is complete: ok is 1, its file is named, all sizes are positive and the shape is a JSON list that is not empty."""
+    out = F.coalesce(ok.try_cast("long") == 1, F.lit(False)) & (F.coalesce(F.trim(file), F.lit("")) != "")
+    for s in sizes or []:
+        out = out & F.coalesce(s.try_cast("long") > 0, F.lit(False))
+    if shape is not None:
+        parsed = F.try_parse_json(shape)
+        out = out & F.coalesce(F.schema_of_variant(parsed).startswith("ARRAY") & (F.get_json_object(shape, "$[0]").isNotNull()), F.lit(False))
+    return out
+
+
+def usable(path: Column, ok: Column | None = None) -> Column:
+    """Whether a row has a path and, where there is an ok flag, that is 1."""
+    named = F.coalesce(F.trim(path), F.lit("")) != ""
+    return named if ok is None else named & F.coalesce(ok.try_cast("long") == 1, F.lit(False))
+
+
+def context_complete(frames: Column, audio_ok: Column, audio: Column) -> Column:
+    """Whether a context row names frames and, where its audio is ok, audio files; both are JSON objects with lists of paths."""
+    some = lambda text, name: F.coalesce(F.size(F.from_json(F.get_json_object(text, f"$.{name}"), "array<string>")) > 0, F.lit(False))
+    return some(frames, "frame_paths") & (~audio_ok.try_cast("long").eqNullSafe(F.lit(1)) | some(audio, "audio_paths"))
+
+
 def first_reason(*cases: tuple[Column, str]) -> Column:
     """The reason of the first case that holds; null if none does."""
     return F.coalesce(*[F.when(condition, F.lit(reason)) for condition, reason in cases])

@@ -15,11 +15,31 @@ def portable_order(id_col: str, seed: int, factor: int = 1103515245, prime: int
     return F.pmod(F.pmod(F.col(id_col), F.lit(prime)) * factor + seed, F.lit(prime))
 
 
+def numbered(df: DataFrame, order: list[str], bucket: str | None = None) -> DataFrame:
+    """df with `rn`, the place from 0 on by the order (in its bucket), and `n`, the number of rows (in its bucket).
+
+    Rows are sorted by range, so a large bucket is several tasks; a range's first number comes from the sizes of
+    those before it, of which there are as many as partitions and buckets.
+    """
+    from .graph import durable
+
+    by = [*([bucket] if bucket else []), *order]
+    ranged = durable(df.repartitionByRange(*by).withColumn("__p", F.spark_partition_id()))
+    own = F.col(bucket) if bucket else F.lit(0)
+    sizes = ranged.groupBy(own.alias("__b"), F.col("__p").alias("__q")).agg(F.count("*").alias("__k"))
+    w = Window.partitionBy("__b")
+    offsets = sizes.select("__b", "__q", (F.sum("__k").over(w.orderBy("__q").rowsBetween(Window.unboundedPreceding, -1))).alias("__before"), F.sum("__k").over(w).alias("n"))
+    place = F.row_number().over(Window.partitionBy("__p", *([bucket] if bucket else [])).orderBy(*order)) - 1
+    rows = ranged.withColumn("__rn", place).withColumn("__own", own)
+    same = (F.col("__p") == F.col("__q")) & F.col("__own").eqNullSafe(F.col("__b"))
+    out = rows.join(offsets, same)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__rn") + F.coalesce("__before", F.lit(0))).alias("rn"), "n")
+
+
 def bucket_batches(df: DataFrame, bucket: str, id_col: str, order: Column, world: int, batch: int, drop_last: bool = True) -> DataFrame:
     """df with batch and rank: global batches of one bucket each, every rank a contiguous slice; short ends are dropped or wrapped."""
     g = world * batch
-    w = Window.partitionBy(bucket).orderBy(order, id_col)
-    rows = df.withColumns({"rn": F.row_number().over(w) - 1, "n": F.count("*").over(Window.partitionBy(bucket))})
+    rows = numbered(df.withColumn("__order", order), ["__order", id_col], bucket).drop("__order")
     if drop_last:
         rows = rows.where(F.col("rn") < F.floor(F.col("n") / g) * g)
     else:
@@ -31,14 +51,32 @@ def bucket_batches(df: DataFrame, bucket: str, id_col: str, order: Column, world
     return rows.withColumns({"batch": F.floor(F.col("rn") / g).cast("long"), "rank": F.floor(F.pmod("rn", F.lit(g)) / batch).cast("int")}).drop("rn", "n")
 
 
-def bucket_totals(df: DataFrame, bucket: str, g: int) -> DataFrame:
-    """(bucket, n, used, dropped, batches) if short ends are dropped."""
+def shuffled_batches(df: DataFrame, bucket: str, batch: str, seed: int) -> DataFrame:
+    """(bucket, batch, step): the order in which batches of all buckets are taken, by a seeded hash; one row a batch."""
+    batches = df.select(bucket, batch).distinct().withColumn("__order", F.xxhash64(F.col(bucket), F.col(batch), F.lit(seed)))
+    return numbered(batches, ["__order", bucket, batch]).select(bucket, batch, F.col("rn").alias("step"))
+
+
+def bucket_index(df: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """(keys, n, first): how many items each composite bucket holds, and the ids of the first k by `id`."""
+    w = Window.partitionBy(*keys).orderBy("id")
+    first = df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k).groupBy(*keys).agg(F.array_sort(F.collect_list("id")).alias("first"))
+    return df.groupBy(*keys).agg(F.count("*").alias("n")).join(first, keys)
+
+
+def bucket_totals(df: DataFrame, bucket: str, g: int, wrap: bool = False) -> DataFrame:
+    """(bucket, n, used, dropped, batches) if short ends are dropped; with wrap they are filled up, and nothing is dropped."""
     n = F.count("*")
+    if wrap:
+        return df.groupBy(bucket).agg(n.alias("n"), (F.ceil(n / g) * g).cast("long").alias("used"), F.lit(0).cast("long").alias("dropped"), F.ceil(n / g).cast("long").alias("batches"))
     return df.groupBy(bucket).agg(n.alias("n"), (F.floor(n / g) * g).cast("long").alias("used"), F.pmod(n, F.lit(g)).cast("long").alias("dropped"), F.floor(n / g).cast("long").alias("batches"))
 
 
 def split_without_leaks(df: DataFrame, strata: str, group: str, id_col: str, order: Column, val_each: int, train_each: int) -> DataFrame:
-    """df with `split`: val rows first, then train rows from groups that no val row comes from; other rows go."""
+    """df with `split`: val rows first, then train rows from groups that no val row comes from; other rows go.
+
+    Only the first val_each and train_each rows of a stratum are wanted, so every task passes on no more than these.
+    """
     w = Window.partitionBy(strata).orderBy(order, id_col)
     val = df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= val_each).drop("__rn")
     used = val.select(group).distinct()
@@ -71,24 +109,39 @@ def weighted_sample(df: DataFrame, weight: str, draws: int, seed: int) -> DataFr
     return df.withColumn("draws_of", count(key, F.col(weight) * draws / total)).where("draws_of > 0")
 
 
-def metadata_shards(df: DataFrame, id_col: str, size: int) -> DataFrame:
-    """df with `shard`: consecutive ids, `size` rows each.
+def weighted_draws(df: DataFrame, weight: str, id_col: str, draws: int, seed: int, world: int = 1) -> DataFrame:
+    """(draw, rank, id_col) of exactly `draws` draws with replacement, proportionally to weight; rank takes every world-th draw.
 
-    Rows are sorted by range; a range's first number comes from the sizes of those before it, so numbering
-    needs no single task.
+    Draw i falls on a point of the line on which rows lie end to end, in the order of their ids, as long as their
+    weights; the points are those of a portable generator. Rows and points are sorted together by range, and each
+    point takes the last row before it, so no task holds all rows. Weights that are null or not positive get no
+    draw; a table without any gives no rows.
     """
     from .graph import durable
 
-    ranged = durable(df.repartitionByRange(id_col).withColumn("__p", F.spark_partition_id()))
-    sizes = {r["__p"]: r["n"] for r in ranged.groupBy("__p").agg(F.count("*").alias("n")).collect()}
-    before, total = {}, 0
-    for p in sorted(sizes):
-        before[p], total = total, total + sizes[p]
-    if not total:
-        return df.withColumn("shard", F.lit(0).cast("long"))
-    at = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])[F.col("__p")]
-    rn = F.row_number().over(Window.partitionBy("__p").orderBy(id_col)) - 1
-    return ranged.withColumn("shard", F.floor((at + rn) / size).cast("long")).drop("__p")
+    rows = durable(df.select(F.col(id_col).alias("id"), F.col(weight).cast("double").alias("w")).where("w > 0").repartitionByRange("id").withColumn("p", F.spark_partition_id()))
+    sums = {r["p"]: r["w"] for r in rows.groupBy("p").agg(F.sum("w").alias("w")).collect()}
+    if not sums:
+        return rows.select(F.lit(0).cast("long").alias("draw"), F.lit(0).alias("rank"), F.col("id").alias(id_col)).limit(0)
+    starts, total = [], 0.0
+    for p in sorted(sums):
+        starts.append((p, total))
+        total += sums[p]
+    before = F.create_map(*[F.lit(x) for s in starts for x in s])
+    cum = F.sum("w").over(Window.partitionBy("p").orderBy("id").rowsBetween(Window.unboundedPreceding, -1))
+    lines = rows.select("p", (before[F.col("p")] + F.coalesce(cum, F.lit(0.0))).alias("at"), F.lit(-1).cast("long").alias("draw"), "id")
+    i = F.col("draw")
+    point = F.pmod(F.pmod(i + 1, F.lit(2147483647)) * 1103515245 + seed, F.lit(2147483647)) / F.lit(2147483647.0) * F.lit(total)
+    points = df.sparkSession.range(draws).select(F.col("id").alias("draw")).withColumn("at", point)
+    parts = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(s).alias("s")) for p, s in starts])
+    points = points.select(F.element_at(F.filter(parts, lambda x: x["s"] <= F.col("at")), -1)["p"].alias("p"), "at", "draw", F.lit(None).cast(rows.schema["id"].dataType).alias("id"))
+    owner = F.last("id", ignorenulls=True).over(Window.partitionBy("p").orderBy("at", "draw"))
+    return lines.union(points).withColumn("owner", owner).where("draw >= 0").select("draw", F.pmod("draw", F.lit(world)).cast("int").alias("rank"), F.col("owner").alias(id_col))
+
+
+def metadata_shards(df: DataFrame, id_col: str, size: int) -> DataFrame:
+    """df with `shard`: consecutive ids, `size` rows each."""
+    return numbered(df, [id_col]).withColumn("shard", F.floor(F.col("rn") / size).cast("long")).drop("rn", "n")
 
 
 def manifest_lines(df: DataFrame, path: str, label: str) -> DataFrame:

@@ -60,6 +60,41 @@ def select(df: DataFrame, rules: list[Rule], methods: list[GroupKeep], score: st
     return out.drop("__alive", "__why", "__kept", "filter_pass", "filter_reject_reason")
 
 
+# The rules of selection, and how much of each duplicate group stays.
+SELECT_RULES = [
+    Rule("filter_ok", "filter_ok", equals=1, reject_reason="filter_failed"),
+    Rule("optical", "optical_score", min=0.9, reject_reason="low_optical"),
+    Rule("motion", "motion_score", min=0.2, reject_reason="low_motion"),
+    Rule("aesthetic", "aesthetic_score", min=0.55, reject_reason="low_aesthetic"),
+    Rule("text", "text_score", min=0.5, reject_reason="high_text"),
+    Rule("dedup_ok", "dedup_ok", equals=1, reject_reason="dedup_failed"),
+]
+SELECT_GROUPS = [
+    GroupKeep("pdq", "pdq_group_id", 1.0, 1, 1, "pdq_duplicate"),
+    GroupKeep("cosmos", "cosmos_group_id", 0.2, 1, 20, "cosmos_duplicate"),
+]
+
+
+def keep_membership(df: DataFrame, methods: list[GroupKeep], score: str, id_col: str, alive: Column) -> DataFrame:
+    """df with <method>_keep for each method: whether the row is among those the method keeps of its group, each method by itself."""
+    out = df.withColumn("__alive", alive)
+    for m in methods:
+        out = out.withColumn(f"{m.name}_keep", ratio_top_n(out, m, score, id_col, F.col("__alive")))
+    return out.drop("__alive")
+
+
+def scope(df: DataFrame, passed: str, which: str, reason: str | None = None, wanted: str | None = None) -> DataFrame:
+    """Rows of a scope: all, keep (passed is 1) or reject (any other, null too); with a reason, only rows rejected for it."""
+    keep = F.col(passed).try_cast("double").eqNullSafe(F.lit(1.0))
+    out = df if which == "all" else df.where(keep if which == "keep" else ~keep)
+    return out if wanted is None else out.where(F.coalesce(F.col(reason), F.lit("")) == wanted)
+
+
+def distinct_reasons(df: DataFrame, reason: str) -> DataFrame:
+    """The reasons there are, blank ones left out."""
+    return df.where(F.coalesce(F.col(reason), F.lit("")) != "").select(reason).distinct()
+
+
 def reject_counts(df: DataFrame, reason: str) -> DataFrame:
     """Rows by joined reason; passing rows (blank reason) are left out."""
     return df.where(F.coalesce(F.col(reason), F.lit("")) != "").groupBy(reason).agg(F.count("*").alias("n"))
@@ -74,9 +109,9 @@ def select_score(*scores: Column) -> Column:
 
 
 def latest(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """The last row of each key by the order."""
-    w = Window.partitionBy(key).orderBy(*[c.desc() for c in order])
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    """The last row of each key by the order, found by a map-side maximum. Nulls in the order come first, null keys are one key."""
+    best = df.groupBy(F.col(key).alias("__key")).agg(F.max_by(F.struct(*df.columns), F.struct(*[F.struct(c.isNotNull(), c) for c in order])).alias("__row"))
+    return best.select("__row.*")
 
 
 def best_in_group(df: DataFrame, group: str, order: list[Column], id_col: str) -> DataFrame:

@@ -1,16 +1,18 @@
 """Similarity joins on vectors and bit codes, with exact results.
 
 Vectors are multiplied block against block: rows are dealt to blocks by hash, every pair of blocks is one
-group of bounded size, and a group is one matrix product. Bit codes are joined on parts: codes within d bits
-agree on one of d + 1 parts, so candidates come from an equi-join and are verified; parts that very many codes
-share are split by a second set of parts.
+group of bounded size, and a group is one matrix product. Bit codes are joined on parts: codes within d bits of each
+other differ in at most d // m bits of some one of m parts, so candidates come from an equi-join and are verified.
+Equal codes are one code while candidates are found, so copies never pair with each other there.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 4096
@@ -90,10 +92,13 @@ def hamming_pairs(df: DataFrame, most: int, id_col: str = "id", code_col: str =
     if bits // (most + 1) >= 8:
         edges = [round(bits * i / (most + 1)) for i in range(most + 2)]
         parts = [F.struct(F.lit(i).alias("p"), F.shiftrightunsigned("code", a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("k")) for i, (a, b) in enumerate(zip(edges, edges[1:]))]
-        dealt = rows.select("id", "code", F.explode(F.array(*parts)).alias("x")).select("id", "code", "x.p", "x.k")
-        left, right = dealt.select("p", "k", F.col("id").alias("a"), F.col("code").alias("ca")), dealt.select("p", "k", F.col("id").alias("b"), F.col("code").alias("cb"))
-        near = left.join(right, ["p", "k"]).where((F.col("a") < F.col("b")) & (F.bit_count(F.col("ca").bitwiseXOR(F.col("cb"))) <= most))
-        return near.select("a", "b", F.bit_count(F.col("ca").bitwiseXOR(F.col("cb"))).cast("int").alias("distance")).distinct()
+        dealt = rows.select("code").distinct().select("code", F.explode(F.array(*parts)).alias("x")).select("code", "x.p", "x.k")
+        left, right = dealt.select("p", "k", F.col("code").alias("ca")), dealt.select("p", "k", F.col("code").alias("cb"))
+        distance = F.bit_count(F.col("ca").bitwiseXOR(F.col("cb"))).cast("int")
+        near = left.join(right, ["p", "k"]).where((F.col("ca") <= F.col("cb")) & (distance <= most)).select("ca", "cb", distance.alias("distance")).distinct()
+        out = near.join(rows.select(F.col("id").alias("a"), F.col("code").alias("ca")), "ca").join(rows.select(F.col("id").alias("b"), F.col("code").alias("cb")), "cb")
+        out = out.where((F.col("ca") != F.col("cb")) | (F.col("a") < F.col("b")))
+        return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
     n = max(1, -(-df.count() // BLOCK))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
     left = rows.withColumn("other", F.explode(F.sequence(F.col("block"), F.lit(n - 1))))
@@ -116,13 +121,61 @@ def hamming_pairs(df: DataFrame, most: int, id_col: str = "id", code_col: str =
     return left.groupBy("block", "other").cogroup(right.groupBy("block", "other")).applyInPandas(meet, "a long, b long, distance int")
 
 
-def frame_ratio_match(pairs: DataFrame, frames: DataFrame, least_ratio: float) -> DataFrame:
+def cosine_matches(df: DataFrame, k: int, least: float, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """(a, b, cosine), a < b: pairs of which one is among the k nearest of the other, itself counted, at `least` or more; the larger cosine, to six places."""
+    near = cosine_top_k(df, k - 1, id_col, vector_col).where(F.col("cosine") >= least)
+    pair = [F.least("id", "neighbour").alias("a"), F.greatest("id", "neighbour").alias("b")]
+    return near.groupBy(*pair).agg(F.round(F.max("cosine"), 6).alias("cosine"))
+
+
+def code_distance(x: Column, y: Column) -> Column:
+    """Differing bits of two codes, arrays of longs."""
+    return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, n: s + n)
+
+
+def near_codes(codes: DataFrame, most: int, words: int = 4, part: int = 16) -> DataFrame:
+    """(x, y, distance) of all ordered pairs of different codes (column code, arrays of `words` longs) within `most` bits.
+
+    A code is cut into parts of `part` bits, and one side is also dealt by all values near its own part.
+    """
+    parts = 64 * words // part
+    near = most // parts
+    flips = [sum(1 << b for b in c) for r in range(near + 1) for c in itertools.combinations(range(part), r)]
+    rows = codes.select("code").distinct()
+    value = lambda i: F.shiftrightunsigned(F.col("code")[i * part // 64], i * part % 64).bitwiseAND(F.lit((1 << part) - 1))
+    own = rows.select("code", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), value(i).alias("v")) for i in range(parts)])).alias("p"))
+    right = own.select("p.i", "p.v", F.col("code").alias("y"))
+    left = own.select(F.col("p.i").alias("i"), F.explode(F.transform(F.array(*map(F.lit, flips)), lambda f: F.col("p.v").bitwiseXOR(f.cast("long")))).alias("v"), F.col("code").alias("x"))
+    met = left.join(right, ["i", "v"]).where((F.col("x") != F.col("y")) & (code_distance(F.col("x"), F.col("y")) <= most)).select("x", "y").distinct()
+    return met.select("x", "y", code_distance(F.col("x"), F.col("y")).alias("distance"))
+
+
+def hamming_matches(df: DataFrame, most: int, k: int, id_col: str = "id", code_col: str = "code", words: int = 4) -> DataFrame:
+    """(a, b, distance): for each row its k nearest other rows within `most` bits of its code, ties to smaller ids.
+
+    `code_col` is an array of longs. Of the rows that share a code only the first k + 1 ids can be anyone's neighbours,
+    so no group of copies is held as a whole.
+    """
+    rows = df.select(F.col(id_col).alias("id"), F.col(code_col).alias("code")).where("id is not null and code is not null")
+    place = F.row_number().over(Window.partitionBy("code").orderBy("id"))
+    first = rows.withColumn("rn", place).where(F.col("rn") <= k + 1).groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    same = first.select(F.col("code").alias("x"), F.col("code").alias("y"), F.lit(0).alias("distance"))
+    met = same.union(near_codes(first, most, words)).join(first.withColumnRenamed("code", "y"), "y")
+    each = met.select("x", "distance", F.explode("ids").alias("b"))
+    best = each.withColumn("rn", F.row_number().over(Window.partitionBy("x").orderBy("distance", "b"))).where(F.col("rn") <= k + 1)
+    out = rows.select(F.col("id").alias("a"), F.col("code").alias("x")).join(best.drop("rn"), "x").where("a <> b")
+    rank = F.row_number().over(Window.partitionBy("a").orderBy("distance", "b"))
+    return out.withColumn("rn", rank).where(F.col("rn") <= k).select("a", "b", "distance")
+
+
+def frame_ratio_match(pairs: DataFrame, frames: DataFrame, least_ratio: float, directed: bool = False) -> DataFrame:
     """Clip pairs from frame pairs: (a, b, matched, ratio, mean_distance) per direction, ratio of the first clip's frames.
 
-    `pairs` (a, b, distance) of frames, `frames` (frame, clip). Pairs within a clip count for nothing; a frame counts once
-    for each other clip, by its nearest frame there.
+    `pairs` (a, b, distance) of frames, each once unless `directed`, as hamming_matches() gives them; `frames` (frame, clip).
+    Pairs within a clip count for nothing; a frame counts once for each other clip, by its nearest frame there.
     """
-    both = pairs.select("a", "b", "distance").union(pairs.select("b", "a", "distance"))
+    both = pairs.select("a", "b", "distance")
+    both = both if directed else both.union(pairs.select("b", "a", "distance"))
     fa, fb = frames.select(F.col("frame").alias("a"), F.col("clip").alias("clip_a")), frames.select(F.col("frame").alias("b"), F.col("clip").alias("clip_b"))
     near = both.join(fa, "a").join(fb, "b").where("clip_a <> clip_b")
     nearest = near.groupBy("clip_a", "clip_b", "a").agg(F.min("distance").alias("distance"))

@@ -99,7 +99,7 @@ def reject_reason_counts(spark, d):
 
 @query(f"SELECT DISTINCT screen_reject_reason FROM ({_SCREEN}) WHERE screen_reject_reason <> ''")
 def distinct_reasons(spark, d):
-    return _screened(spark, d).where("screen_reject_reason <> ''").select("screen_reject_reason").distinct()
+    return selection.distinct_reasons(_screened(spark, d), "screen_reject_reason")
 
 
 @query(f"SELECT round(count(*) FILTER (screen_reject_reason = '') / count(*)::DOUBLE, 6) AS keep_rate, round(count(*) FILTER (screen_reject_reason <> '') / count(*)::DOUBLE, 6) AS reject_rate FROM ({_SCREEN})")
@@ -152,11 +152,14 @@ def scale_functions(spark, d):
     )
 
 
-@query("""SELECT l_orderkey, round(quantile_cont(greatest(0, least(1, (l_quantity - 1) / 49.0::DOUBLE)), 0.2::DOUBLE), 6) AS p20,
- round(avg(greatest(0, least(1, (l_quantity - 1) / 49.0::DOUBLE))), 6) AS mean, count(*) AS frame_count FROM lineitem GROUP BY 1""")
+_GROWN = "greatest(0, least(1, (l_quantity - 1) / 49.0::DOUBLE))"
+
+
+@query(f"""SELECT l_orderkey, round(quantile_cont({_GROWN}, 0.2::DOUBLE), 6) AS score, round(quantile_cont({_GROWN}, 0.5::DOUBLE), 6) AS median,
+ round(avg({_GROWN}), 6) AS mean, count(*) AS frame_count FROM lineitem GROUP BY 1""")
 def frame_quantile_score(spark, d):
     s = t(spark, d, "lineitem").select("l_orderkey", S.linear_growth(F.col("l_quantity"), 1, 50).alias("s"))
-    return s.groupBy("l_orderkey").agg(F.round(F.expr("percentile(s, 0.2D)"), 6).alias("p20"), F.round(F.avg("s"), 6).alias("mean"), F.count("*").alias("frame_count"))
+    return profile.quantile_scores(s, "l_orderkey", "s", 0.2)
 
 
 @query("""SELECT l_orderkey, round(avg(l_quantity), 6) AS motion_mean, max(l_discount) AS cut_max, round(avg((l_discount >= 0.05::DOUBLE)::INT), 6) AS cut_ratio FROM lineitem GROUP BY 1""")
@@ -253,9 +256,9 @@ def group_size_dist(spark, d):
     return profile.group_sizes(t(spark, d, "documents").select(F.md5("text").alias("digest")), "digest")
 
 
-@query("SELECT count(DISTINCT o_custkey) AS videos, count(*) AS clips, sum(greatest(o_totalprice, 0))::BIGINT AS total FROM orders")
+@query("SELECT count(DISTINCT c_nationkey) AS groups, count(*) AS clips, sum(CASE WHEN b < 0 THEN 0 ELSE b END)::BIGINT AS total FROM (SELECT c_nationkey, floor(c_acctbal)::BIGINT AS b FROM customer)")
 def unique_counts(spark, d):
-    return t(spark, d, "orders").agg(F.count_distinct("o_custkey").alias("videos"), F.count("*").alias("clips"), F.round(F.sum(F.greatest("o_totalprice", F.lit(0.0)))).cast("long").alias("total"))
+    return profile.unique_totals(t(spark, d, "customer").select("c_nationkey", F.floor("c_acctbal").alias("b")), "c_nationkey", "b")
 
 
 # --- timelines ---------------------------------------------------------------------------------------------
@@ -419,8 +422,8 @@ def resume_anti(spark, d):
 
 @query("SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
 def exclude_ids(spark, d):
-    out = t(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
-    return t(spark, d, "orders").join(out, "o_custkey", "left_anti").select("o_orderkey")
+    out = t(spark, d, "customer").where("c_mktsegment = 'BUILDING'").withColumnRenamed("c_custkey", "o_custkey")
+    return joins.exclude(t(spark, d, "orders"), out, "o_custkey").select("o_orderkey")
 
 
 @query("SELECT c_custkey * 2 AS o_orderkey, (c_custkey * 7919) % 1009 AS position, o_totalprice FROM customer JOIN orders ON o_orderkey = c_custkey * 2")
@@ -429,9 +432,16 @@ def ordered_id_fetch(spark, d):
     return joins.ordered_fetch(t(spark, d, "orders").select("o_orderkey", "o_totalprice"), wanted, "o_orderkey", "position")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
 def missing_ids(spark, d):
-    return joins.missing(t(spark, d, "customer"), t(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey")
+    some = t(spark, d, "orders").where("o_totalprice > 300000").withColumnRenamed("o_custkey", "c_custkey")
+    return joins.missing(t(spark, d, "customer"), some, "c_custkey")
+
+
+@query("SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) rn FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000)) WHERE rn = 1")
+def fetch_latest_of_ids(spark, d):
+    wanted = t(spark, d, "customer").where("c_acctbal > 5000").select(F.col("c_custkey").alias("o_custkey"))
+    return joins.fetch(t(spark, d, "orders"), wanted, "o_custkey", [F.col("o_orderdate"), F.col("o_orderkey")]).select("o_custkey", "o_orderkey", "o_totalprice")
 
 
 @query("""SELECT user_id, array_to_string(list_distinct_sorted, ',') AS names FROM (SELECT user_id, list_sort(list_distinct(list(event_type))) AS list_distinct_sorted FROM events GROUP BY 1)""")
@@ -493,7 +503,7 @@ def mixture_weights(spark, d):
 
 @query("SELECT count(*) AS rows, greatest(1, ceil(count(*) / 64.0::DOUBLE))::BIGINT AS steps FROM orders")
 def steps_per_epoch(spark, d):
-    return t(spark, d, "orders").agg(F.count("*").alias("rows"), F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(64.0))).cast("long").alias("steps"))
+    return t(spark, d, "orders").agg(F.count("*").alias("rows")).select("rows", G.steps_column(F.col("rows"), 8, 8).alias("steps"))
 
 
 @query("""WITH l AS (SELECT l_orderkey, list(l_linenumber ORDER BY l_linenumber) a FROM lineitem GROUP BY 1)
@@ -535,6 +545,14 @@ def weighted_sample(spark, d):
     return sampling.weighted_sample(t(spark, d, "customer").select("c_custkey", F.greatest("c_acctbal", F.lit(0.0)).alias("w")), "w", 500, 3)
 
 
+@query("""WITH r AS (SELECT c_custkey, floor(c_acctbal)::DOUBLE AS w FROM customer WHERE floor(c_acctbal) > 0),
+l AS (SELECT c_custkey, sum(w) OVER (ORDER BY c_custkey) - w AS a, sum(w) OVER (ORDER BY c_custkey) AS b FROM r),
+p AS (SELECT i AS draw, (((i + 1) % 2147483647) * 1103515245 + 3) % 2147483647 / 2147483647.0::DOUBLE * (SELECT sum(w) FROM r) AS pt FROM range(0, 500) x(i))
+SELECT draw, (draw % 4)::INT AS rank, c_custkey FROM p JOIN l ON pt >= a AND pt < b""")
+def weighted_draws(spark, d):
+    return sampling.weighted_draws(t(spark, d, "customer").select("c_custkey", F.floor("c_acctbal").alias("w")), "w", "c_custkey", 500, 3, 4)
+
+
 # --- frames ------------------------------------------------------------------------------------------------
 
 @query("""SELECT o_orderkey, round(coalesce((abs(o_totalprice - lag(o_totalprice) OVER w) * 1.0::DOUBLE + abs(o_orderkey - lag(o_orderkey) OVER w) * 2.0::DOUBLE) / 3.0::DOUBLE, 0), 6) AS change
@@ -543,12 +561,27 @@ def content_change(spark, d):
     return V.content_change(t(spark, d, "orders"), "o_custkey", "o_orderkey", {"o_totalprice": 1.0, "o_orderkey": 2.0}).select("o_orderkey", "change")
 
 
-@query("""SELECT o_orderkey, array_to_string(list_transform(range(0, 4), lambda i: (i * 24 / 3.0::DOUBLE)::BIGINT), ',') AS indices FROM orders WHERE o_orderkey % 100 + 60 > 24 AND (o_orderkey % 100 + 60) // 2 > 24""")
+_CLIPS = """WITH o AS (SELECT o_orderkey, o_orderkey % 100 + 10 AS n FROM orders), p AS (SELECT *, n // 2 AS part, (least(24, n) - 1) AS span, CASE WHEN n > 24 THEN n - 24 ELSE 0 END AS hop FROM o),
+c AS (SELECT *, unnest([0, 1]) AS c FROM p)"""
+#: Frames of a part or span s of which every sixth is taken, padded to four.
+_PADDED = "list_transform(range(0, 4), lambda i: CASE WHEN i < {s} // 6 THEN least(floor(CASE WHEN {s} // 6 = 1 THEN 0 WHEN i = {s} // 6 - 1 THEN {s} ELSE i * {s} / ({s} // 6 - 1)::DOUBLE END), {s} - 1)::BIGINT ELSE {s} - 1 END + {at})"
+_WHOLE = "list_transform(range(0, 4), lambda i: least(floor(i * 24 / 3.0::DOUBLE), 23)::BIGINT + c * part)"
+
+
+def _clips(spark, d, overlap):
+    o = t(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 100 + 10).cast("int").alias("n"))
+    clips = F.posexplode(V.clip_indices(F.col("n"), 4, 6, 2, overlap)).alias("clip", "x")
+    return o.select("o_orderkey", clips).select("o_orderkey", "clip", F.array_join("x", ",").alias("indices"))
+
+
+@query(f"""{_CLIPS} SELECT o_orderkey, c::INT AS clip, array_to_string(CASE WHEN part > 24 THEN {_WHOLE} ELSE {_PADDED.format(s="part", at="c * part")} END, ',') AS indices FROM c""")
 def clip_indices(spark, d):
-    # 24 frames from 0 on: places 0, 8, 16 and 24, of which the last is clipped to 23
-    o = t(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 100 + 60).cast("int").alias("n"))
-    first = V.clip_indices(F.col("n"), 4, 6, 2)[0]
-    return o.select("o_orderkey", F.array_join(F.transform(first, lambda x: F.when(x == 23, 24).otherwise(x)), ",").alias("indices"))
+    return _clips(spark, d, False)
+
+
+@query(f"""{_CLIPS} SELECT o_orderkey, c::INT AS clip, array_to_string(CASE WHEN part > 24 THEN {_WHOLE} ELSE {_PADDED.format(s="span", at="c * hop")} END, ',') AS indices FROM c""")
+def clip_indices_overlap(spark, d):
+    return _clips(spark, d, True)
 
 
 @query("""SELECT grouping_id(lang, size, source)::INT AS level, lang AS frames, size AS resolution, source, count(*) AS n, count(len) AS captions, round(avg(len), 3) AS mean_caption
@@ -561,3 +594,202 @@ def dataset_scan(spark, d):
 @query("SELECT l_orderkey, count(DISTINCT l_returnflag) AS buckets FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1")
 def mixed_batches(spark, d):
     return metadata.mixed_batches(t(spark, d, "lineitem"), "l_orderkey", "l_returnflag")
+
+
+# --- scores, paths and texts of clips ----------------------------------------------------------------------
+
+def _trapezoid(v):
+    return f"CASE WHEN {v} <= 0.05::DOUBLE OR {v} >= 0.95::DOUBLE THEN 0 WHEN {v} < 0.2::DOUBLE THEN ({v} - 0.05::DOUBLE) / (0.2::DOUBLE - 0.05::DOUBLE) WHEN {v} > 0.8::DOUBLE THEN (0.95::DOUBLE - {v}) / (0.95::DOUBLE - 0.8::DOUBLE) ELSE 1 END"
+
+
+_FALL = "(1 - greatest(0, least(1, ({v} - 0.05::DOUBLE) / (0.5::DOUBLE - 0.05::DOUBLE))))"
+
+
+@query(f"""WITH f AS (SELECT l_orderkey, l_quantity / 50::DOUBLE AS b, l_discount::DOUBLE AS k, l_tax::DOUBLE AS w, l_discount::DOUBLE * 3 AS r FROM lineitem),
+s AS (SELECT *, {_trapezoid("b")} * {_FALL.format(v="k")} * {_FALL.format(v="w")} AS e, greatest(0, least(1, (r - 0.05::DOUBLE) / (0.25::DOUBLE - 0.05::DOUBLE))) AS c FROM f),
+q AS (SELECT l_orderkey, round(quantile_cont(e, 0.2::DOUBLE), 6) AS exposure, round(quantile_cont(c, 0.2::DOUBLE), 6) AS contrast, round(quantile_cont(b, 0.5::DOUBLE), 6) AS brightness FROM s GROUP BY 1)
+SELECT *, round(exposure * contrast, 6) AS optical FROM q""")
+def optical_score(spark, d):
+    f = t(spark, d, "lineitem").select("l_orderkey", (F.col("l_quantity") / 50).cast("double").alias("b"), F.col("l_discount").cast("double").alias("k"), F.col("l_tax").cast("double").alias("w"), (F.col("l_discount").cast("double") * 3).alias("r"))
+    return V.optical_scores(f, "l_orderkey", "b", "k", "w", "r").select("l_orderkey", "exposure", "contrast", "brightness", "optical")
+
+
+@query("SELECT o_orderkey, round(greatest(0, least(1, 1 - o_totalprice / 400000::DOUBLE)), 6) AS score FROM orders")
+def text_score(spark, d):
+    return t(spark, d, "orders").select("o_orderkey", F.round(S.text_score(F.col("o_totalprice") / 400000), 6).alias("score"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN NULL ELSE round((p_size * 1000)::DOUBLE / (p_partkey % 5 * 250 + 1), 6) END AS fps,
+ greatest(1, round_even(p_retailprice / 100::DOUBLE * coalesce(CASE WHEN p_size % 5 = 0 THEN NULL ELSE (p_size * 1000)::DOUBLE / (p_partkey % 5 * 250 + 1) END, 24), 0))::INT AS frames FROM part""")
+def frame_rates(spark, d):
+    text = F.when(F.col("p_size") % 5 == 0, "0/0").otherwise(F.concat((F.col("p_size") * 1000).cast("string"), F.lit("/"), (F.col("p_partkey") % 5 * 250 + 1).cast("string")))
+    p = t(spark, d, "part").select("p_partkey", "p_retailprice", S.frame_rate(text).alias("f"))
+    return p.select("p_partkey", F.round("f", 6).alias("fps"), S.seconds_to_frames(F.col("p_retailprice") / 100, F.col("f")).alias("frames"))
+
+
+@query("""SELECT p_partkey, greatest(1, floor(16 * 1000::DOUBLE / p_retailprice))::INT AS batch,
+ (round_even(p_size * 40 * (480 / least(p_size * 40, 720)::DOUBLE) / 2, 0) * 2)::INT AS width, (round_even(720 * (480 / least(p_size * 40, 720)::DOUBLE) / 2, 0) * 2)::INT AS height FROM part""")
+def batch_and_size(spark, d):
+    p = t(spark, d, "part").select("p_partkey", G.dynamic_batch(16, 1000.0, F.col("p_retailprice")).alias("batch"), G.even_size(F.col("p_size") * 40, F.lit(720), 480).alias("s"))
+    return p.select("p_partkey", "batch", "s.width", "s.height")
+
+
+@query("""WITH k AS (SELECT 'video-' || o_custkey || ':clip:' || o_orderkey AS clip, o_orderkey % 40 + 1 AS f FROM orders),
+n AS (SELECT *, regexp_replace(clip, '[^A-Za-z0-9._-]+', '_', 'g') || '-' || substr(sha1(clip), 1, 12) || '.meta' AS name FROM k)
+SELECT 'out/' || f || 'f/832x480/' || substr(sha1(name), 1, 2) || '/' || substr(sha1(name), 3, 2) || '/' || name AS path FROM n""")
+def cache_path(spark, d):
+    clip = F.concat(F.lit("video-"), "o_custkey", F.lit(":clip:"), "o_orderkey")
+    return t(spark, d, "orders").select(X.cache_path(clip, (F.col("o_orderkey") % 40 + 1).cast("int"), F.lit(832), F.lit(480), "out").alias("path"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN s < 60 THEN printf('%.1fs', s) WHEN s < 3600 THEN printf('%dm %02ds', floor(s / 60)::BIGINT, round_even(s % 60, 0)::BIGINT) ELSE printf('%dh %02dm', floor(s / 3600)::BIGINT, floor((s % 3600) / 60)::BIGINT) END AS elapsed,
+ CASE WHEN b < 1024 THEN b || ' B' WHEN b < 1048576 THEN printf('%.2f KB', b / 1024::DOUBLE) ELSE printf('%.2f MB', b / 1048576::DOUBLE) END AS size
+FROM (SELECT o_orderkey, (o_orderkey * 7 % 9001 + 0.3::DOUBLE)::DOUBLE AS s, o_orderkey * o_orderkey % 3000000 AS b FROM orders)""")
+def human_units(spark, d):
+    k = F.col("o_orderkey")
+    return t(spark, d, "orders").select("o_orderkey", X.human_seconds(k * 7 % 9001 + 0.3).alias("elapsed"), X.human_bytes(k * k % 3000000).alias("size"))
+
+
+@query("""WITH l AS (SELECT l_orderkey, list(l_linenumber ORDER BY l_linenumber) a FROM lineitem GROUP BY 1 HAVING count(*) >= 2)
+SELECT l_orderkey, array_to_string(list_transform(generate_series(0, 4), lambda i: a[round_even(i * (len(a) - 1) / 4.0::DOUBLE, 0)::INT + 1]), ',') AS picked FROM l""")
+def encoder_pick(spark, d):
+    rows = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_linenumber")).alias("a")).where("size(a) >= 2")
+    return rows.select("l_orderkey", F.array_join(G.encoder_pick(F.col("a"), 5), ",").alias("picked"))
+
+
+# --- labels, scopes and summaries --------------------------------------------------------------------------
+
+_TAGGED = """SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'real_world' ELSE 'game' END AS domain, CASE WHEN p_partkey % 3 = 0 THEN 'urban' ELSE 'nature' END AS scene, CASE WHEN p_size % 7 = 0 THEN 'anime' ELSE 'cinematic' END AS style,
+ 'none' AS text, CASE WHEN p_partkey % 4 = 0 THEN 'huge' ELSE 'logo' END AS watermark, CASE WHEN p_partkey % 5 = 0 THEN ['person', 'animal'] ELSE ['vehicle'] END AS subjects, CASE WHEN p_size % 3 = 0 THEN ['talking', 'none'] ELSE ['talking'] END AS actions FROM part"""
+
+
+def _tagged(spark, d):
+    p, k = F.col("p_size"), F.col("p_partkey")
+    either = lambda c, a, b: F.when(c, a).otherwise(b)
+    cols = [either(p % 2 == 0, "real_world", "game").alias("domain"), either(k % 3 == 0, "urban", "nature").alias("scene"), either(p % 7 == 0, "anime", "cinematic").alias("style"), F.lit("none").alias("text"), either(k % 4 == 0, "huge", "logo").alias("watermark")]
+    cols.append(F.when(k % 5 == 0, F.array(F.lit("person"), F.lit("animal"))).otherwise(F.array(F.lit("vehicle"))).alias("subjects"))
+    cols.append(F.when(p % 3 == 0, F.array(F.lit("talking"), F.lit("none"))).otherwise(F.array(F.lit("talking"))).alias("actions"))
+    return t(spark, d, "part").select("p_partkey", F.to_json(F.struct(*cols)).alias("json"))
+
+
+@query(f"""SELECT p_partkey, CASE WHEN watermark = 'huge' THEN 'bad watermark' WHEN len(actions) > 1 THEN 'actions mixes an exclusive value' END AS error,
+ CASE WHEN error IS NULL THEN domain ELSE 'unknown' END AS tag_domain, CASE WHEN error IS NULL THEN watermark ELSE 'unknown' END AS tag_watermark, CASE WHEN error IS NULL THEN array_to_string(subjects, ',') ELSE 'unknown' END AS tag_subjects FROM ({_TAGGED})""")
+def tag_labels(spark, d):
+    rows = _tagged(spark, d).select("p_partkey", labels.TAG.error(F.col("json")).alias("error"), labels.TAG.parse(F.col("json")).alias("l"))
+    return rows.select("p_partkey", "error", *labels.TAG.flat(F.col("l"), "tag")).select("p_partkey", "error", "tag_domain", "tag_watermark", F.array_join("tag_subjects", ",").alias("tag_subjects"))
+
+
+@query(f"""WITH g AS (SELECT * FROM ({_TAGGED}) WHERE watermark <> 'huge' AND len(actions) = 1), x AS (
+ SELECT 'domain' AS field, domain AS label FROM g UNION ALL SELECT 'scene', scene FROM g UNION ALL SELECT 'style', style FROM g UNION ALL SELECT 'subjects', unnest(subjects) FROM g UNION ALL SELECT 'actions', unnest(actions) FROM g)
+SELECT field, label, count(*) AS n, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM g), 2) AS percent FROM x GROUP BY 1, 2""")
+def tag_label_counts(spark, d):
+    good = _tagged(spark, d).where(labels.TAG.error(F.col("json")).isNull()).select(labels.TAG.parse(F.col("json")).alias("l"))
+    return labels.all_label_counts(good, F.col("l"), labels.TAG).where("n > 0 and field in ('domain', 'scene', 'style', 'subjects', 'actions')")
+
+
+@query(f"SELECT l_orderkey, l_linenumber FROM ({_SCREEN}) WHERE screen_reject_reason <> ''")
+def scope_reject(spark, d):
+    return selection.scope(_screened(spark, d), "screen_pass", "reject").select("l_orderkey", "l_linenumber")
+
+
+@query("""WITH a AS (SELECT *, o_totalprice >= 50000 AS alive FROM orders),
+r AS (SELECT o_orderkey, alive, row_number() OVER (PARTITION BY alive, o_custkey ORDER BY o_totalprice DESC, o_orderkey) rn, count(*) OVER (PARTITION BY alive, o_custkey) n,
+ row_number() OVER (PARTITION BY alive, o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) rn2, count(*) OVER (PARTITION BY alive, o_orderpriority) n2 FROM a)
+SELECT o_orderkey, alive AND rn <= least(n, greatest(1, ceil(n * 0.2::DOUBLE)::BIGINT), 3) AS by_customer_keep, alive AND rn2 <= least(n2, greatest(2, ceil(n2 * 0.5::DOUBLE)::BIGINT)) AS by_priority_keep FROM r""")
+def keep_membership(spark, d):
+    methods = [selection.GroupKeep("by_customer", "o_custkey", 0.2, 1, 3), selection.GroupKeep("by_priority", "o_orderpriority", 0.5, 2)]
+    return selection.keep_membership(t(spark, d, "orders"), methods, "o_totalprice", "o_orderkey", F.col("o_totalprice") >= 50000).select("o_orderkey", "by_customer_keep", "by_priority_keep")
+
+
+@query("""SELECT event_id, event_type <> 'error' AND k > 0 AND 'path' || event_id <> '' AS complete FROM (SELECT *, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT), 0) AS k FROM events)""")
+def complete_rows(spark, d):
+    k = F.get_json_object("props", "$.k")
+    ok = F.when(F.col("event_type") == "error", "x").otherwise("1")
+    return t(spark, d, "events").select("event_id", rules.cached(ok, F.concat(F.lit(" path"), "event_id"), [k], F.lit("[1, 2]")).alias("complete"))
+
+
+@query(f"""{_COMP} SELECT 'cosine' AS method, (SELECT count(*) FROM e)::BIGINT AS pair_count, count(DISTINCT component)::BIGINT AS group_count, count(*)::BIGINT AS matched_count FROM l
+UNION ALL SELECT 'all', (SELECT count(*) FROM e)::BIGINT, count(DISTINCT component)::BIGINT, count(*)::BIGINT FROM l""")
+def match_summary(spark, d):
+    pairs = _pairs(spark, d)
+    groups = graph.components(pairs, nodes=t(spark, d, "embeddings").select(F.col("vec_id").alias("node")))
+    return profile.match_summary(pairs.withColumn("method", F.lit("cosine")), groups.withColumn("method", F.lit("cosine")), "method")
+
+
+@query("""WITH g AS (SELECT md5(text) AS digest, doc_id, source, doc_id % 2 AS best FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY digest ORDER BY best DESC, doc_id) rn FROM g)
+SELECT digest, count(*) AS size, count(DISTINCT source) AS sources, min(CASE WHEN best = 1 THEN doc_id END) AS best_id, string_agg(doc_id::VARCHAR, ',' ORDER BY rn) FILTER (rn <= 3) AS members FROM r GROUP BY 1""")
+def group_members(spark, d):
+    g = t(spark, d, "documents").select(F.md5("text").alias("digest"), "doc_id", "source", (F.col("doc_id") % 2).alias("best"))
+    return profile.group_members(g, "digest", "doc_id", "source", "best", 3).withColumn("members", F.array_join("members", ","))
+
+
+@query("SELECT lang, (n_chars // 2048)::BIGINT AS size, count(*) AS n, min(doc_id) AS first_id FROM documents GROUP BY ALL")
+def bucket_index(spark, d):
+    items = t(spark, d, "documents").select("lang", F.floor(F.col("n_chars") / 2048).alias("size"), F.col("doc_id").alias("id"))
+    return sampling.bucket_index(items, ["lang", "size"], 2).select("lang", "size", "n", F.col("first")[0].alias("first_id"))
+
+
+@query("SELECT o_orderpriority, count(*) AS n, ((count(*) + 31) // 32 * 32)::BIGINT AS used, 0::BIGINT AS dropped, ((count(*) + 31) // 32)::BIGINT AS batches FROM orders GROUP BY 1")
+def bucket_totals_wrapped(spark, d):
+    return sampling.bucket_totals(t(spark, d, "orders"), "o_orderpriority", 32, wrap=True)
+
+
+@query("""SELECT CASE WHEN trim(coalesce(f, '')) = '' THEN 'unknown' ELSE f END AS fps, count(*) AS n FROM (SELECT CASE WHEN l_linenumber = 7 THEN NULL ELSE (l_tax * 100)::INT::VARCHAR || CASE WHEN l_linenumber = 1 THEN '.5' ELSE '' END END AS f FROM lineitem) GROUP BY 1""")
+def fps_counts(spark, d):
+    f = F.when(F.col("l_linenumber") != 7, F.round(F.col("l_tax") * 100).cast("double") + F.when(F.col("l_linenumber") == 1, 0.5).otherwise(0.0))
+    return t(spark, d, "lineitem").groupBy(profile.rate_text(f).alias("fps")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT 'o_comment' AS "column", count(*) FILTER (trim(coalesce(c, '')) = '') AS missing, 0::BIGINT AS invalid FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN ' ' ELSE 'x' END c FROM orders)
+UNION ALL SELECT 'balance', count(*) FILTER (o_orderkey % 5 = 0), count(*) FILTER (o_orderkey % 5 <> 0 AND o_totalprice <= 100000) FROM orders""")
+def dataset_problems(spark, d):
+    o = t(spark, d, "orders").select(F.when(F.col("o_orderkey") % 3 == 0, " ").otherwise("x").alias("o_comment"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_totalprice") - 100000).alias("balance"))
+    return metadata.dataset_problems(o, ["o_comment"], ["balance"])
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50 OFFSET 100")
+def page_of_rows(spark, d):
+    o = t(spark, d, "orders").select("o_orderkey", "o_totalprice", (-F.col("o_totalprice")).alias("down"))
+    return profile.page(o, ["down", "o_orderkey"], 2, 50).select("o_orderkey", "o_totalprice")
+
+
+@query("""SELECT o_custkey, o_orderkey, rank FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey)::INT AS rank FROM orders) WHERE rank <= 2""")
+def top_per_key(spark, d):
+    return profile.top_windowed(t(spark, d, "orders"), "o_custkey", [F.desc("o_totalprice"), F.col("o_orderkey")], 2).select("o_custkey", "o_orderkey", "rank")
+
+
+@query("""SELECT count(*) AS output, count(*) FILTER (event_type <> 'error') AS ok, count(*) FILTER (event_type = 'error') AS failed FROM events""")
+def run_stats(spark, d):
+    e = t(spark, d, "events").withColumn("step_ok", (F.col("event_type") != "error").cast("int"))
+    return profile.run_stats(e, "step")[0]
+
+
+# --- nearest neighbours ------------------------------------------------------------------------------------
+
+_WIDE = "SELECT c_custkey AS id, [xor((((c_custkey // 8) * 4 + i) * 1103515245 + 12345) % 2147483647, (1::BIGINT << ((c_custkey % 8) * 3 + i)::INT)) FOR i IN [0, 1, 2, 3]] AS code FROM customer"
+
+
+def _wide_codes(spark, d):
+    k = F.col("c_custkey")
+    word = lambda i: ((F.floor(k / 8) * 4 + i) * 1103515245 + 12345) % 2147483647
+    return t(spark, d, "customer").select(k.alias("id"), F.array(*[word(i).bitwiseXOR(F.expr(f"shiftleft(1L, cast((c_custkey % 8) * 3 + {i} as int))")) for i in range(4)]).alias("code"))
+
+
+@query(f"""WITH v AS ({_WIDE}), p AS (SELECT x.id AS a, y.id AS b, (bit_count(xor(x.code[1], y.code[1])) + bit_count(xor(x.code[2], y.code[2])) + bit_count(xor(x.code[3], y.code[3])) + bit_count(xor(x.code[4], y.code[4])))::INT AS distance FROM v x JOIN v y ON x.id <> y.id)
+SELECT a, b, distance FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY distance, b) rn FROM p WHERE distance <= 31) WHERE rn <= 5""")
+def hamming_matches_256(spark, d):
+    return similarity.hamming_matches(_wide_codes(spark, d), 31, 5).withColumn("distance", F.col("distance").cast("int"))
+
+
+@query("""WITH p AS (SELECT a.vec_id id, b.vec_id neighbour, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) c FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY c DESC, neighbour) rn FROM p)
+SELECT least(id, neighbour) AS a, greatest(id, neighbour) AS b, round(max(c), 6) AS cosine FROM n WHERE rn <= 3 AND c >= 0.35 GROUP BY 1, 2""")
+def cosine_matches(spark, d):
+    return similarity.cosine_matches(t(spark, d, "embeddings"), 4, 0.35)
+
+
+@query("""WITH p AS (SELECT l_suppkey % 50 AS x, l_partkey % 50 AS y, l_quantity AS q, l_orderkey * 10 + l_linenumber AS k FROM lineitem), r AS (SELECT *, row_number() OVER (PARTITION BY least(x, y), greatest(x, y) ORDER BY q DESC, k DESC) rn FROM p WHERE x <> y)
+SELECT least(x, y) AS a, greatest(x, y) AS b, k FROM r WHERE rn = 1""")
+def strongest_pairs(spark, d):
+    p = t(spark, d, "lineitem").select((F.col("l_suppkey") % 50).alias("a"), (F.col("l_partkey") % 50).alias("b"), "l_quantity", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k")).where("a <> b")
+    return similarity.strongest(p, [F.col("l_quantity"), F.col("k")]).select("a", "b", "k")

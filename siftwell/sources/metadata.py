@@ -41,14 +41,27 @@ def write_metadata(df: DataFrame, path: str, id_col: str, rows_per_shard: int) -
     return sorted(names)
 
 
-def read_metadata(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Items of the shards that metadata.json names."""
+def read_metadata(spark: SparkSession, path: str, schema=None, required: list[str] | None = None, limit: int | None = None) -> DataFrame:
+    """Items of the shards that metadata.json names, up to the limit; an item without a required value is an error."""
     root = path.rstrip("/")
     names = json.loads("".join(r.value for r in spark.read.text(f"{root}/metadata.json").collect()))["shards"]
     reader = spark.read.option("multiLine", "true")
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.json([f"{root}/{n}" for n in names])
+    items = reader.json([f"{root}/{n}" for n in names])
+    for name in required or []:
+        bad = F.coalesce(F.trim(F.col(name).cast("string")), F.lit("")) == ""
+        items = items.withColumn(name, F.when(bad, F.raise_error(F.lit(f"an item without {name}"))).otherwise(F.col(name)))
+    return items if limit is None else items.limit(max(0, limit))
+
+
+def dataset_problems(items: DataFrame, required: list[str], positive: list[str]) -> DataFrame:
+    """(column, missing, invalid) for columns that must be there and those that must be positive numbers, from one scan."""
+    blank = lambda c: F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == ""
+    checks = [F.struct(F.lit(c).alias("column"), blank(c).alias("m"), F.lit(False).alias("i")) for c in required]
+    checks += [F.struct(F.lit(c).alias("column"), blank(c).alias("m"), (~blank(c) & ~F.coalesce(F.col(c).try_cast("double") > 0, F.lit(False))).alias("i")) for c in positive]
+    rows = items.select(F.explode(F.array(*checks)).alias("x")).select("x.*")
+    return rows.groupBy("column").agg(F.count_if("m").alias("missing"), F.count_if("i").alias("invalid"))
 
 
 def dataset_scan(items: DataFrame, frames: str, resolution: str, source: str, caption: str) -> DataFrame:
