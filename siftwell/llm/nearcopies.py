@@ -5,19 +5,22 @@ more, and links are judged on the sets alone. Equal sets are one vertex, with th
 Candidates come in two steps, and each is checked by the members of both sets.
 
 First the Gray-ordered index of `simhash` finds fingerprints that differ in BITS bits, and each vertex is held against
-the smallest vertex that shares one of its rare shingles; this costs a few comparisons a vertex and joins large groups.
+one vertex drawn from those that share a rare shingle of it, by HEADS different orders; this costs up to HEADS
+comparisons a vertex and group, and joins large groups whose members are alike to some of the others only.
 Then sets of different groups meet by prefixes: two sets of a likeness of `least` share one of the first
 n - ceil(least * n) + 1 members in any common order. Common shingles, as a sample has them, come last in that order, so
 prefixes hold rare ones. Pairs that share a prefix member become rows only if their fingerprints differ in at most
 REACH bits: at a likeness of 0.8 they differ in about 10 of 64 with a deviation of 3, unrelated ones in 32 with one of
-4, so the bound loses a link with a probability of about one in a million and saves nearly all checks. Pairs left are
-first held against each other as bit maps: members toggle bits, so maps differ in at most as many bits as sets in
-members, and only pairs within the limit are compared by their members.
+4, so the bound loses a link with a probability of about one in a million and saves most checks. They are also held against each
+other as bit maps: members toggle bits, so maps differ in at most as many bits as sets in members, and only pairs within
+the limit are compared by their members.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+import operator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,6 +35,8 @@ from .simhash import fingerprint_edges, in_groups, majority, stand_ins
 WIDTH, LEAST = 5, 0.8
 #: Differing bits of fingerprints that the index looks for, and at which a shared rare shingle is followed.
 BITS, REACH = 3, 24
+#: Orders by which a shingle's vertex is drawn: a member of a large group is held against so many others of it.
+HEADS = 16
 #: Sampled sets, and how many of them make a shingle common.
 SAMPLE, COMMON = 4096, 4
 #: 64-bit words of a bit map.
@@ -127,9 +132,18 @@ def shingle_sets(df: DataFrame, least: float = LEAST, width: int = WIDTH, id_col
     return in_arrow(_texts(df, F.col(id_col), text_col=text_col), run, schema)
 
 
-def within_reach(sim: Column, sim2: Column, n: Column, n2: Column, least: float) -> Column:
-    """Whether two sets, by fingerprints and sizes, may be alike."""
-    return (F.bit_count(sim.bitwiseXOR(sim2)) <= REACH) & (F.least(n, n2) >= F.lit(least) * F.greatest(n, n2) - 1e-9)
+def facts_of(sets: DataFrame) -> DataFrame:
+    """(fp, sim, n, m0, ...): what two sets are first held against each other by; the words m are the bit map folded to half its bits."""
+    half = WORDS // 2
+    return sets.select("fp", "sim", "n", *[F.col("map")[i].bitwiseXOR(F.col("map")[i + half]).alias(f"m{i}") for i in range(half)])
+
+
+def within_reach(x: Callable[[str], Column], y: Callable[[str], Column], least: float) -> Column:
+    """Whether two sets, of facts x(name) and y(name), may be alike: by sizes, fingerprints, and bit maps."""
+    sizes = F.least(x("n"), y("n")) >= F.lit(least) * F.greatest(x("n"), y("n")) - 1e-9
+    near = F.bit_count(x("sim").bitwiseXOR(y("sim"))) <= REACH
+    differ = functools.reduce(operator.add, [F.bit_count(x(f"m{i}").bitwiseXOR(y(f"m{i}"))) for i in range(WORDS // 2)])
+    return sizes & near & (differ <= F.lit((1 - least) / (1 + least)) * (x("n") + y("n")) + 1e-6)
 
 
 def alike(pairs: DataFrame, sets: DataFrame, texts: DataFrame, least: float = LEAST, width: int = WIDTH) -> DataFrame:
@@ -147,12 +161,13 @@ def alike(pairs: DataFrame, sets: DataFrame, texts: DataFrame, least: float = LE
 def alike_edges(sets: DataFrame, texts: DataFrame, least: float = LEAST, width: int = WIDTH) -> DataFrame:
     """Edges (a, b) of alike sets whose components are those of all such pairs; sets are rows of shingle_sets(), texts their texts."""
     some = durable(sets.where("n > 0").groupBy("fp").agg(*[F.first(c).alias(c) for c in ("sim", "n", "map", "lead")]))
-    facts = some.select("fp", "sim", "n")
-    # shingles shared by prefixes, with the smallest vertex of each: names alone are dealt, facts are joined to what is left
+    facts = facts_of(some)
+    # shingles shared by prefixes, with a vertex drawn for each: names alone are dealt, facts are joined to what is left
     rows = some.select("fp", F.explode("lead").alias("s"))
-    heads = rows.groupBy("s").agg(F.min("fp").alias("head"), F.max("fp").alias("last")).where("head < last").drop("last")
+    drawn = F.min_by("fp", F.xxhash64("fp", F.pmod("s", F.lit(HEADS))))
+    heads = rows.groupBy("s").agg(drawn.alias("head"), F.count("*").alias("k")).where("k > 1").drop("k")
     shared = durable(rows.join(heads, "s"))
-    named = lambda x: facts.select(*[F.col(c).alias(c + x) for c in facts.columns])
+    of = lambda side: lambda name: F.col(f"{side}.{name}")
 
     # sets of one fingerprint, and of fingerprints that the index links, meet in the smallest of them
     by_sim = some.groupBy("sim").agg(F.min("fp").alias("first"))
@@ -160,18 +175,18 @@ def alike_edges(sets: DataFrame, texts: DataFrame, least: float = LEAST, width:
     same = some.join(by_sim, "sim").select(F.col("fp").alias("a"), F.col("first").alias("b"))
     near = links.join(by_sim.select(F.col("sim").alias("a"), F.col("first").alias("x")), "a").join(by_sim.select(F.col("sim").alias("b"), F.col("first").alias("y")), "b").select("x", "y")
     both = shared.select(F.col("fp").alias("a"), F.col("head").alias("b")).union(same).union(near).where("a <> b")
-    both = both.select(F.greatest("a", "b").alias("fp1"), F.least("a", "b").alias("fp2")).distinct()
-    both = both.join(named("1"), "fp1").join(named("2"), "fp2").where(within_reach(F.col("sim1"), F.col("sim2"), F.col("n1"), F.col("n2"), least))
-    linked = durable(alike(both.select(F.col("fp1").alias("a"), F.col("fp2").alias("b")), some, texts, least, width))
+    both = both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    both = both.join(facts.alias("x"), F.col("a") == F.col("x.fp")).join(facts.alias("y"), F.col("b") == F.col("y.fp")).where(within_reach(of("x"), of("y"), least))
+    linked = durable(alike(both.select("a", "b"), some, texts, least, width))
 
     groups = connected(linked)
     known = shared.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("s", "fp", F.coalesce("component", "fp").alias("g"))
     apart = known.groupBy("s").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x < y").select("s")
-    left = durable(known.join(apart, "s").join(facts, "fp").select("s", *[F.col(c).alias(c + "1") for c in ("fp", "sim", "n", "g")]))
-    right = left.toDF("t", *[c + "2" for c in ("fp", "sim", "n", "g")])
-    # the condition is part of the join: pairs out of reach never become rows
-    meets = (F.col("s") == F.col("t")) & (F.col("fp1") < F.col("fp2")) & (F.col("g1") != F.col("g2")) & within_reach(F.col("sim1"), F.col("sim2"), F.col("n1"), F.col("n2"), least)
-    pairs = durable(left.join(right, meets).select(F.col("fp1").alias("a"), F.col("fp2").alias("b")).distinct())
+    met = durable(known.join(apart, "s").join(facts, "fp"))
+    # both sides read one exchange, and the condition is part of the join: pairs out of reach never become rows
+    x, y = of("x"), of("y")
+    meets = (x("s") == y("s")) & (x("fp") < y("fp")) & (x("g") != y("g")) & within_reach(x, y, least)
+    pairs = durable(met.alias("x").join(met.alias("y"), meets).select(x("fp").alias("a"), y("fp").alias("b")).distinct())
     return linked.union(alike(pairs, some, texts, least, width))
 
 
