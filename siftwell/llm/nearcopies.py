@@ -179,7 +179,7 @@ def alike_edges(sets: DataFrame, texts: DataFrame, least: float = LEAST, width:
     both = both.join(facts.alias("x"), F.col("a") == F.col("x.fp")).join(facts.alias("y"), F.col("b") == F.col("y.fp")).where(within_reach(of("x"), of("y"), least))
     linked = durable(alike(both.select("a", "b"), some, texts, least, width))
 
-    groups = connected(linked)
+    groups = durable(connected(linked))
     known = shared.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("s", "fp", F.coalesce("component", "fp").alias("g"))
     apart = known.groupBy("s").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x < y").select("s")
     met = durable(known.join(apart, "s").join(facts, "fp"))
@@ -187,7 +187,8 @@ def alike_edges(sets: DataFrame, texts: DataFrame, least: float = LEAST, width:
     x, y = of("x"), of("y")
     meets = (x("s") == y("s")) & (x("fp") < y("fp")) & (x("g") != y("g")) & within_reach(x, y, least)
     pairs = durable(met.alias("x").join(met.alias("y"), meets).select(x("fp").alias("a"), y("fp").alias("b")).distinct())
-    return linked.union(alike(pairs, some, texts, least, width))
+    # the groups found so far are stars, to which the rest is added
+    return groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(alike(pairs, some, texts, least, width))
 
 
 def groups_of_copies(df: DataFrame, least: float = LEAST, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
