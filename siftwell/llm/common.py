@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -29,12 +30,25 @@ def slices(batches: Iterator[pa.RecordBatch], text: int = 1, most: int = SLICE_B
             yield batch.slice(at, rows)
 
 
+def released() -> None:
+    """Gives memory that a task has freed back to the system, as Python workers outlive tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
 def in_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     """df.mapInArrow() in batches of BATCH_ROWS rows, set for the session where it allows more: batches count rows, and texts are long."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
         conf.set(key, BATCH_ROWS)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        released()
+
+    return df.mapInArrow(task, schema)
 
 
 def free_name(name: str, taken: list[str]) -> str:
