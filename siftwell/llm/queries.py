@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, pii, sadedup, simhash, spotsigs, topk, toxicity, urlfilter
+from . import bpe, fim, langid, packing, pii, sadedup, simhash, spellings, spotsigs, topk, toxicity, urlfilter
 from .common import table
 
 
@@ -71,7 +71,17 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sadedup.repeated_bytes(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_spotsigs, op4_topk, op5_urlfilter, op6_langid, op7_bpe, op8_packing, op9_pii, op10_suffix)}
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    digests = [F.sha2("fim_text", 256).alias("output_sha256"), F.sha2(fim.restored(), 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op12_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.spelling_groups(spellings.count_words(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_spotsigs, op4_topk, op5_urlfilter, op6_langid, op7_bpe, op8_packing, op9_pii, op10_suffix, op11_fim, op12_spellings)}
 
 _OP4 = """
 WITH v AS (
@@ -101,4 +111,17 @@ SELECT d.doc_id, d.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n
 FROM d LEFT JOIN t USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op4_topk": _OP4, "op10_suffix": _OP10}
+_OP11 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS s FROM documents),
+h AS (SELECT doc_id, t, n, ('0x' || s[1:8])::BIGINT % (n + 1) AS x, ('0x' || s[9:16])::BIGINT % (n + 1) AS y,
+             ('0x' || s[17:24])::BIGINT % 100 AS f, ('0x' || s[25:32])::BIGINT % 100 AS g FROM d),
+c AS (SELECT doc_id, t, n, least(x, y) AS a, greatest(x, y) AS b,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR f >= 90 THEN 'plain' WHEN g < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, substring(t, b + 1, n - b) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+ORACLE: dict[str, str] = {"op4_topk": _OP4, "op10_suffix": _OP10, "op11_fim": _OP11}
