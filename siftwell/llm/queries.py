@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fim, langid, packing, pii, sadedup, simhash, spellings, spotsigs, topk, toxicity, urlfilter
+from . import bpe, fim, flatgraph, langid, packing, pii, sadedup, simhash, spellings, spotsigs, topk, toxicity, urlfilter
 from .common import table
 
 
@@ -81,7 +81,11 @@ def op12_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spellings.spelling_groups(spellings.count_words(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_spotsigs, op4_topk, op5_urlfilter, op6_langid, op7_bpe, op8_packing, op9_pii, op10_suffix, op11_fim, op12_spellings)}
+def op13_flatgraph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatgraph.near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_spotsigs, op4_topk, op5_urlfilter, op6_langid, op7_bpe, op8_packing, op9_pii, op10_suffix, op11_fim, op12_spellings, op13_flatgraph)}
 
 _OP4 = """
 WITH v AS (
