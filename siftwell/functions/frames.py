@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .scales import linear_decay, linear_growth, trapezoid_scale
+from .scales import exact_round, interpolated, linear_decay, linear_growth, trapezoid_scale
 
 
 def content_change(df: DataFrame, key: str, order: str, weights: dict[str, float]) -> DataFrame:
@@ -98,13 +98,14 @@ def optical_scores(
     """(key, exposure, contrast, optical, and medians of the four inputs) from rows of frames.
 
     A frame's exposure is the product of scaled brightness and scaled shares of too dark and too bright pixels; both
-    scores are the quantile q over frames, to six places, and the optical score is their product.
+    scores are the quantile q over frames, to six places (exact_round), and the optical score is their product. A clip's frames meet in
+    one array, as an exact quantile needs them all.
     """
     exposure = trapezoid_scale(F.col(brightness), *brightness_scale) * linear_decay(F.col(dark), *dark_scale) * linear_decay(F.col(bright), *bright_scale)
     rows = df.select(F.col(key), exposure.alias("__e"), linear_growth(F.col(contrast), *contrast_scale).alias("__c"), *[F.col(c).alias(f"__m{i}") for i, c in enumerate((brightness, dark, bright, contrast))])
-    exact = lambda c, p: F.round(F.expr(f"percentile({c}, {p}D)"), 6)
+    exact = lambda c, p: exact_round(interpolated(F.collect_list(c), p), 6)
     out = rows.groupBy(key).agg(exact("__e", q).alias("exposure"), exact("__c", q).alias("contrast"), *[exact(f"__m{i}", 0.5).alias(n) for i, n in enumerate(("brightness", "too_dark", "too_bright", "dynamic_range"))])
-    return out.withColumn("optical", F.round(F.col("exposure") * F.col("contrast"), 6))
+    return out.withColumn("optical", exact_round(F.col("exposure") * F.col("contrast"), 6))
 
 
 @F.pandas_udf(T.DoubleType())

@@ -13,6 +13,36 @@ def _finite(*bounds: float) -> None:
         raise ValueError(f"bounds must be finite: {bounds}")
 
 
+def exact_round(v: Column, digits: int) -> Column:
+    """v at so many decimals, by the exact value of the double and half to even on true ties; F.round() goes by its shortest decimal form, half up.
+
+    The product with the power of ten is taken together with its rounding error (Dekker's product), which decides
+    where the product itself ends on a half. Values too large for a fraction, infinities and NaN stay.
+    """
+    scale = 10.0**digits
+    p = v * scale
+
+    def halves(x):
+        t = x * 134217729.0
+        high = t - (t - x)
+        return high, x - high
+
+    (a, b), (c, d) = halves(v), halves(scale)
+    error = (a * c - p) + a * d + b * c + b * d
+    low = F.floor(p).cast("double")
+    tie = F.when(error > 0, low + 1.0).when(error < 0, low).otherwise(F.rint(p))
+    return F.when(F.isnan(v) | (F.abs(p) >= float(2**52)), v).otherwise(F.when(p - low == 0.5, tie).otherwise(F.rint(p)) / scale)
+
+
+def interpolated(values: Column, q: float) -> Column:
+    """The quantile q of an array of doubles, interpolated linearly between neighbours as low + (high - low) * t; null for an empty one."""
+    rows = F.array_sort(values)
+    place = (F.size(rows) - 1) * F.lit(float(q))
+    low = F.floor(place).cast("int")
+    a, b = F.get(rows, low), F.get(rows, F.least(low + 1, F.size(rows) - 1))
+    return a + (b - a) * (place - low)
+
+
 def clamp01(v: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), v))
 

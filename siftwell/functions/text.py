@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .scales import exact_round
+
 
 def clip_id(video: Column, clip: Column, split: Column) -> Column:
     return F.format_string("%s:clip:%05d:%02d", video, clip, split)
@@ -58,7 +60,7 @@ def human_bytes(n: Column) -> Column:
     """Whole bytes below 1024, else two decimals of KB, MB, GB, TB or PB (powers of 1024); `-` if null, NaN or negative."""
     out = F.format_string("%d B", n.cast("long"))
     for power, unit in enumerate(("KB", "MB", "GB", "TB", "PB"), 1):
-        out = F.when(n >= float(1024**power), F.format_string(f"%.2f {unit}", n.cast("double") / float(1024**power))).otherwise(out)
+        out = F.when(n >= float(1024**power), F.format_string(f"%.2f {unit}", exact_round(n.cast("double") / float(1024**power), 2))).otherwise(out)
     return F.when(n.isNull() | F.isnan(n.cast("double")) | (n < 0), "-").otherwise(out)
 
 
@@ -68,7 +70,7 @@ def human_seconds(s: Column) -> Column:
     whole = lambda x: F.floor(x).cast("long")
     minutes = F.format_string("%dm %02ds", whole(v / 60), F.rint(v % 60).cast("long"))
     hours = F.format_string("%dh %02dm", whole(v / 3600), whole((v % 3600) / 60))
-    return F.when(v.isNull() | F.isnan(v) | (v < 0), "-").when(v < 60, F.format_string("%.1fs", v)).when(v < 3600, minutes).otherwise(hours)
+    return F.when(v.isNull() | F.isnan(v) | (v < 0), "-").when(v < 60, F.format_string("%.1fs", exact_round(v, 1))).when(v < 3600, minutes).otherwise(hours)
 
 
 def replace_component(path: Column, old: str, new: str) -> Column:

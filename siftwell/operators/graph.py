@@ -2,48 +2,60 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import durable
+
 
-def durable(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the session's spark.checkpoint.dir; a temporary folder only where none is named and all runs in one process."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = sc.getConf().get("spark.checkpoint.dir", None)
-        if not named and sc.master.split("[")[0] != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
+def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """Connected components of edges (a, b): rows (node, component), component the smallest node reachable.
+
+    Alternating large-star and small-star steps (Kiveris et al. 2014) until all is stars: every node hangs below one
+    other, which hangs below none. Every step is a min-aggregation with map-side combine and an equi-join that adaptive
+    execution can split, so a hub needs no task of its own. Each round is checkpointed; the number of rounds is about the
+    logarithm of a component's size, and edges that are stars already need none. Self pairs, repeated and reversed
+    pairs are fine; nodes without an edge to another node are not returned; null ends are ignored.
+    """
+    now = durable(
+        edges.where("a is not null and b is not null and a <> b")
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        .distinct()
+    )
+    for _ in range(max_rounds):
+        ends = now.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(now.select("b", F.lit(0), F.lit(1)))
+        ends = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if ends.where("up > 1 or (up > 0 and down > 0)").isEmpty():
+            break
+        both = now.union(now.select("b", "a"))
+        least = both.groupBy(F.col("a").alias("n")).agg(F.least(F.min("b"), F.min("a")).alias("m"))
+        # large star: every larger neighbour of n hangs below n's smallest neighbour
+        large = (
+            both.where("b > a").join(least, F.col("a") == F.col("n"))
+            .select(F.col("b").alias("a"), F.col("m").alias("b"))
+            .where("a <> b").distinct()
+        )
+        # small star: n and all its smaller neighbours hang below the smallest of them
+        lower = large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"))
+        small = large.join(lower, F.col("a") == F.col("n")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = small.union(lower.select(F.col("n").alias("a"), F.col("m").alias("b")))
+        now = durable(small.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    else:
+        raise RuntimeError(f"components have not settled in {max_rounds} rounds")
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
 
 
-def components(pairs: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 50, nodes: DataFrame | None = None) -> DataFrame:
+def components(pairs: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60, nodes: DataFrame | None = None) -> DataFrame:
     """(node, component): the smallest node reachable, for every node with a link to another one.
 
     With `nodes` (a column node), an end of a link that is none of them is an error.
-
-    Labels take the least label among neighbours and then that label's own label, so paths shorten by
-    doubling; each round is checkpointed and ends the loop once no label changes.
     """
+    edges = pairs.select(F.col(a).alias("a"), F.col(b).alias("b"))
     if nodes is not None:
-        ends = pairs.select(F.col(a).alias("node")).union(pairs.select(b)).where("node is not null")
+        ends = edges.select(F.col("a").alias("node")).union(edges.select("b")).where("node is not null")
         if unknown := ends.join(nodes.select("node"), "node", "left_anti").limit(1).collect():
             raise ValueError(f"unknown node {unknown[0][0]}")
-    edges = pairs.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null and x <> y")
-    edges = durable(edges.union(edges.select("y", "x")).distinct())
-    labels = edges.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.min("x")).alias("component"))
-    labels = durable(labels)
-    for _ in range(max_rounds):
-        near = edges.join(labels, edges.y == labels.node).groupBy("x").agg(F.min("component").alias("m"))
-        step = labels.join(near, labels.node == near.x, "left").select("node", F.col("component").alias("old"), F.least("component", "m").alias("component"))
-        own = step.select(F.col("node").alias("__n"), F.col("component").alias("__c"))
-        step = durable(step.join(own, F.col("component") == F.col("__n"), "left").select("node", "old", F.least("component", "__c").alias("component")))
-        if step.where("old <> component").isEmpty():
-            return step.select("node", "component")
-        labels = step.select("node", "component")
-    raise RuntimeError("components have not settled")
+    return connected(edges, max_rounds)
 
 
 def numbered_groups(labels: DataFrame, prefix: str) -> DataFrame:
@@ -59,8 +71,6 @@ def numbered_groups(labels: DataFrame, prefix: str) -> DataFrame:
         before[p], total = total, total + sizes[p]
     if not total:
         return groups.withColumn("group_id", F.lit(""))
-    from pyspark.sql import Window
-
     at = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])[F.col("__p")]
     rank = F.row_number().over(Window.partitionBy("__p").orderBy("component"))
     return ranged.select("component", F.format_string(f"{prefix}-%06d", (at + rank).cast("long")).alias("group_id"))

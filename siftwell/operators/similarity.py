@@ -1,79 +1,34 @@
 """Similarity joins on vectors and bit codes, with exact results.
 
-Vectors are multiplied block against block: rows are dealt to blocks by hash, every pair of blocks is one
-group of bounded size, and a group is one matrix product. Bit codes are joined on parts: codes within d bits of each
-other differ in at most d // m bits of some one of m parts, so candidates come from an equi-join and are verified.
-Equal codes are one code while candidates are found, so copies never pair with each other there.
+Vectors meet in blocks around pivots, of which most pairs are dropped unseen (vectors.py). Bit codes are joined on parts: of
+codes within d bits of each other some part differs in few bits, so candidates come from an equi-join and are verified. Parts
+that many codes share are dealt again together with a second part. Equal codes are one code while candidates are found, so
+copies never pair with each other there, and a pair is a candidate once, by the first of the parts that it could be found by.
 """
 
 from __future__ import annotations
 
 import itertools
+from math import comb
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 4096
+from . import vectors
+from .tables import stored
 
+#: Different codes of one value of a part, beyond which they are dealt again; most masks of changed bits for a part.
+CROWD, MASKS = 20_000, 5_000
 
-def _blocks(df: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
-    rows = df.select(F.col(id_col).alias("id"), F.transform(vector_col, lambda x: x.cast("double")).alias("v")).where("id is not null and v is not null")
-    n = max(1, -(-df.count() // BLOCK))
-    return rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")), n
-
-
-def _renamed(rows: DataFrame, value: str) -> DataFrame:
-    """The right side of a cogroup of rows with themselves: columns of its own, as the two sides must share none."""
-    return rows.select(F.col("id").alias("id2"), F.col(value).alias(f"{value}2"), F.col("block").alias("other"))
 
+def cosine_pairs(df: DataFrame, least: float, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """(a, b, cosine) of all pairs a < b of at least this cosine, above 0. Zero vectors match nothing."""
+    return vectors.pairs_within(df, least, id_col, vector_col)
 
-def _unit(v: pd.Series) -> np.ndarray:
-    m = np.stack(v.to_list()).astype(np.float64)
-    norm = np.linalg.norm(m, axis=1, keepdims=True)
-    return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
 
-
-def cosine_pairs(df: DataFrame, least: float, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(a, b, cosine) of all pairs a < b of at least this cosine. Zero vectors match nothing."""
-    rows, n = _blocks(df, id_col, vector_col)
-    left = rows.withColumn("other", F.explode(F.sequence(F.col("block"), F.lit(n - 1))))
-    right = _renamed(rows, "v").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("other"))))
-
-    def meet(key: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        if not len(x) or not len(y):  # an empty side has no columns either
-            return pd.DataFrame({"a": [], "b": [], "cosine": []})
-        s = _unit(x["v"]) @ _unit(y["v2"]).T
-        i, j = np.nonzero(s >= least)
-        a, b, c = x["id"].to_numpy()[i], y["id2"].to_numpy()[j], s[i, j]
-        keep = a < b if key[0] == key[1] else a != b
-        a, b, c = a[keep], b[keep], c[keep]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "cosine": c})
-
-    return left.groupBy("block", "other").cogroup(right.groupBy("block", "other")).applyInPandas(meet, "a long, b long, cosine double")
-
-
-def cosine_top_k(df: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(id, rank, neighbour, cosine): the k nearest other rows of every row, ties to the smaller id."""
-    rows, n = _blocks(df, id_col, vector_col)
-    left = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    right = _renamed(rows, "v").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-
-    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        if not len(x) or not len(y):
-            return pd.DataFrame({"id": [], "neighbour": [], "cosine": []})
-        y = y.sort_values("id2")
-        s = np.round(_unit(x["v"]) @ _unit(y["v2"]).T, 9)
-        s[x["id"].to_numpy()[:, None] == y["id2"].to_numpy()[None]] = -np.inf
-        best = np.argsort(-s, axis=1, kind="stable")[:, :k]
-        i = np.repeat(np.arange(len(x)), best.shape[1])
-        out = pd.DataFrame({"id": x["id"].to_numpy()[i], "neighbour": y["id2"].to_numpy()[best.ravel()], "cosine": s[i, best.ravel()]})
-        return out[np.isfinite(out["cosine"])]
-
-    near = left.groupBy("block", "other").cogroup(right.groupBy("block", "other")).applyInPandas(meet, "id long, neighbour long, cosine double")
-    w = Window.partitionBy("id").orderBy(F.desc("cosine"), "neighbour")
-    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("id", "rank", "neighbour", "cosine")
+def cosine_top_k(df: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", least: float = -1.0) -> DataFrame:
+    """(id, rank, neighbour, cosine): the k nearest other rows of every row (of at least a cosine), ties to the smaller id. Zero vectors take no part."""
+    return vectors.nearest(df, k, id_col, vector_col, least)
 
 
 def sign_code(vector: str, bits: int = 63):
@@ -83,47 +38,19 @@ def sign_code(vector: str, bits: int = 63):
 
 
 def hamming_pairs(df: DataFrame, most: int, id_col: str = "id", code_col: str = "code", bits: int = 64) -> DataFrame:
-    """(a, b, distance) of all pairs a < b of codes that differ in at most `most` bits.
-
-    With most + 1 parts of the bits, such codes agree on one part. Where a part would be shorter than eight bits the
-    join is dealt by blocks instead, as nearly all codes would share some part.
-    """
+    """(a, b, distance) of all pairs a < b of codes (longs of `bits` bits) that differ in at most `most` bits."""
     rows = df.select(F.col(id_col).alias("id"), F.col(code_col).alias("code")).where("id is not null and code is not null")
-    if bits // (most + 1) >= 8:
-        edges = [round(bits * i / (most + 1)) for i in range(most + 2)]
-        parts = [F.struct(F.lit(i).alias("p"), F.shiftrightunsigned("code", a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("k")) for i, (a, b) in enumerate(zip(edges, edges[1:]))]
-        dealt = rows.select("code").distinct().select("code", F.explode(F.array(*parts)).alias("x")).select("code", "x.p", "x.k")
-        left, right = dealt.select("p", "k", F.col("code").alias("ca")), dealt.select("p", "k", F.col("code").alias("cb"))
-        distance = F.bit_count(F.col("ca").bitwiseXOR(F.col("cb"))).cast("int")
-        near = left.join(right, ["p", "k"]).where((F.col("ca") <= F.col("cb")) & (distance <= most)).select("ca", "cb", distance.alias("distance")).distinct()
-        out = near.join(rows.select(F.col("id").alias("a"), F.col("code").alias("ca")), "ca").join(rows.select(F.col("id").alias("b"), F.col("code").alias("cb")), "cb")
-        out = out.where((F.col("ca") != F.col("cb")) | (F.col("a") < F.col("b")))
-        return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
-    n = max(1, -(-df.count() // BLOCK))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-    left = rows.withColumn("other", F.explode(F.sequence(F.col("block"), F.lit(n - 1))))
-    right = _renamed(rows, "code").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("other"))))
-
-    def meet(key: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        if not len(x) or not len(y):
-            return pd.DataFrame({"a": [], "b": [], "distance": []})
-        out = []
-        cy = y["code2"].to_numpy(np.int64).view(np.uint64)
-        for at in range(0, len(x), 512):
-            part = x.iloc[at : at + 512]
-            d = np.bitwise_count(part["code"].to_numpy(np.int64).view(np.uint64)[:, None] ^ cy[None])
-            i, j = np.nonzero(d <= most)
-            a, b = part["id"].to_numpy()[i], y["id2"].to_numpy()[j]
-            keep = a < b if key[0] == key[1] else a != b
-            out.append(pd.DataFrame({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep], "distance": d[i, j][keep].astype(np.int32)}))
-        return pd.concat(out)
-
-    return left.groupBy("block", "other").cogroup(right.groupBy("block", "other")).applyInPandas(meet, "a long, b long, distance int")
+    near = near_codes(rows.select(F.array("code").alias("code")), most, words=1, bits=bits)
+    near = near.select(F.col("x")[0].alias("ca"), F.col("y")[0].alias("cb"), "distance").where("ca < cb")
+    same = rows.groupBy(F.col("code").alias("ca")).agg(F.count("*").alias("n")).where("n > 1").select("ca", F.col("ca").alias("cb"), F.lit(0).alias("distance"))
+    out = near.union(same).join(rows.select(F.col("id").alias("a"), F.col("code").alias("ca")), "ca").join(rows.select(F.col("id").alias("b"), F.col("code").alias("cb")), "cb")
+    out = out.where((F.col("ca") != F.col("cb")) | (F.col("a") < F.col("b")))
+    return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance")
 
 
 def cosine_matches(df: DataFrame, k: int, least: float, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(a, b, cosine), a < b: pairs of which one is among the k nearest of the other, itself counted, at `least` or more; the larger cosine, to six places."""
-    near = cosine_top_k(df, k - 1, id_col, vector_col).where(F.col("cosine") >= least)
+    near = cosine_top_k(df, k - 1, id_col, vector_col, least)
     pair = [F.least("id", "neighbour").alias("a"), F.greatest("id", "neighbour").alias("b")]
     return near.groupBy(*pair).agg(F.round(F.max("cosine"), 6).alias("cosine"))
 
@@ -133,21 +60,92 @@ def code_distance(x: Column, y: Column) -> Column:
     return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, n: s + n)
 
 
-def near_codes(codes: DataFrame, most: int, words: int = 4, part: int = 16) -> DataFrame:
+def radii(most: int, parts: int) -> list[int]:
+    """Bits in which each of some parts may differ so that of any codes within `most` bits one part at least does not differ more (-1: that part is not needed)."""
+    each, more = divmod(most, parts)
+    return [each if i <= more else each - 1 for i in range(parts)]
+
+
+def _masks(width: int, radius: int) -> int:
+    return sum(comb(width, r) for r in range(radius + 1))
+
+
+def part_count(bits: int, most: int, codes: int) -> int:
+    """Parts for which a join of so many codes, spread evenly, makes the fewest rows: values near a code's own, and codes that have them."""
+    costs = {}
+    for m in range(1, min(bits, most + 1) + 1):
+        width, tries = -(-bits // m), [_masks(-(-bits // m), r) for r in radii(most, m)]
+        if width <= 32 and max(tries) <= MASKS:
+            costs[m] = sum(n * (1 + codes / 2**width) for n in tries)
+    if not costs:
+        raise ValueError(f"{most} of {bits} bits are too many")
+    return min(costs, key=costs.get)
+
+
+def near_codes(codes: DataFrame, most: int, words: int = 4, bits: int | None = None, crowd: int = CROWD, parts: int | None = None) -> DataFrame:
     """(x, y, distance) of all ordered pairs of different codes (column code, arrays of `words` longs) within `most` bits.
 
-    A code is cut into parts of `part` bits, and one side is also dealt by all values near its own part.
+    x is dealt by all values near its parts, y by the values of its own. A value that more than `crowd` codes have is
+    dealt again for each second part: what is left of the distance leaves some other part with few bits, too. Codes have the
+    first `bits` bits of their words; null codes match nothing.
     """
-    parts = 64 * words // part
-    near = most // parts
-    flips = [sum(1 << b for b in c) for r in range(near + 1) for c in itertools.combinations(range(part), r)]
-    rows = codes.select("code").distinct()
-    value = lambda i: F.shiftrightunsigned(F.col("code")[i * part // 64], i * part % 64).bitwiseAND(F.lit((1 << part) - 1))
-    own = rows.select("code", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), value(i).alias("v")) for i in range(parts)])).alias("p"))
-    right = own.select("p.i", "p.v", F.col("code").alias("y"))
-    left = own.select(F.col("p.i").alias("i"), F.explode(F.transform(F.array(*map(F.lit, flips)), lambda f: F.col("p.v").bitwiseXOR(f.cast("long")))).alias("v"), F.col("code").alias("x"))
-    met = left.join(right, ["i", "v"]).where((F.col("x") != F.col("y")) & (code_distance(F.col("x"), F.col("y")) <= most)).select("x", "y").distinct()
-    return met.select("x", "y", code_distance(F.col("x"), F.col("y")).alias("distance"))
+    bits = bits or 64 * words
+    rows, _ = stored(codes.select("code").where("code is not null").distinct())
+    m = parts or part_count(bits, most, rows.count())
+    edges = [round(bits * i / m) for i in range(m + 1)]
+    radius = radii(most, m)
+
+    def part(code: Column, i: int) -> Column:
+        (word, low), width = divmod(edges[i], 64), edges[i + 1] - edges[i]
+        value = F.shiftrightunsigned(code[word], low)
+        if low + width > 64:
+            value = value.bitwiseOR(F.shiftleft(code[word + 1], 64 - low))
+        return value.bitwiseAND(F.lit((1 << width) - 1)) if width < 64 else value
+
+    def own(code: Column, allowed: list[int]) -> Column:
+        return F.array(*[F.struct(F.lit(i).alias("i"), part(code, i).alias("v")) for i in range(m) if allowed[i] >= 0])
+
+    def around(code: Column, allowed: list[int]) -> Column:
+        """The same and all values that differ in no more bits than allowed."""
+
+        def values(i: int) -> Column:
+            masks = [sum(1 << b for b in c) for r in range(allowed[i] + 1) for c in itertools.combinations(range(edges[i + 1] - edges[i]), r)]
+            return F.transform(F.lit(masks).cast("array<long>"), lambda f: F.struct(F.lit(i).alias("i"), part(code, i).bitwiseXOR(f).alias("v")))
+
+        return F.concat(*[values(i) for i in range(m) if allowed[i] >= 0])
+
+    def apart(i: int) -> Column:
+        """Bits in which part i of x and y differs."""
+        return F.bit_count(part(F.col("x"), i).bitwiseXOR(part(F.col("y"), i)))
+
+    def first(allowed: list[int]) -> Column:
+        """The first part that differs in no more bits than allowed: a pair is met by that one only."""
+        out = F.lit(m)
+        for i in reversed(range(m)):
+            if allowed[i] >= 0:
+                out = F.when(apart(i) <= allowed[i], F.lit(i)).otherwise(out)
+        return out
+
+    y = rows.select(F.col("code").alias("y"), F.explode(own(F.col("code"), radius)).alias("p")).select("y", "p.i", "p.v")
+    x = rows.select(F.col("code").alias("x"), F.explode(around(F.col("code"), radius)).alias("p")).select("x", "p.i", "p.v")
+    distance = code_distance(F.col("x"), F.col("y"))
+    verified = lambda met: met.where(F.col("x") != F.col("y")).withColumn("distance", distance).where(F.col("distance") <= most)
+    crowded, _ = stored(y.groupBy("i", "v").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("i", "v"))
+    if m < 2 or crowded.isEmpty():
+        return verified(x.join(y, ["i", "v"])).where(F.col("i") == first(radius)).select("x", "y", "distance")
+    met = verified(x.join(crowded, ["i", "v"], "left_anti").join(y, ["i", "v"])).where(F.col("i") == first(radius)).select("x", "y", "distance")
+    for i in range(m):
+        if radius[i] < 0:
+            continue
+        # the other parts, each as narrow as it has to be if part i takes none of the distance
+        rest = iter(radii(most, m - 1))
+        second = [-1 if j == i else next(rest) for j in range(m)]
+        again = lambda side: side.where(F.col("i") == i).join(crowded, ["i", "v"], "left_semi")  # noqa: B023, E731
+        xs = again(x).select("x", "i", "v", F.explode(around(F.col("x"), second)).alias("q")).select("x", "i", "v", F.col("q.i").alias("j"), F.col("q.v").alias("w"))
+        ys = again(y).select("y", "i", "v", F.explode(own(F.col("y"), second)).alias("q")).select("y", "i", "v", F.col("q.i").alias("j"), F.col("q.v").alias("w"))
+        both = xs.join(ys, ["i", "v", "j", "w"])
+        met = met.union(verified(both).where((F.col("i") == first(radius)) & (F.col("j") == first(second))).select("x", "y", "distance"))
+    return met
 
 
 def hamming_matches(df: DataFrame, most: int, k: int, id_col: str = "id", code_col: str = "code", words: int = 4) -> DataFrame:

@@ -602,21 +602,26 @@ def _trapezoid(v):
     return f"CASE WHEN {v} <= 0.05::DOUBLE OR {v} >= 0.95::DOUBLE THEN 0 WHEN {v} < 0.2::DOUBLE THEN ({v} - 0.05::DOUBLE) / (0.2::DOUBLE - 0.05::DOUBLE) WHEN {v} > 0.8::DOUBLE THEN (0.95::DOUBLE - {v}) / (0.95::DOUBLE - 0.8::DOUBLE) ELSE 1 END"
 
 
+def _six(v):
+    """Six places by the exact value, half to even. DuckDB's round() takes the rounded product with a million, which is another number near ties."""
+    return f"format('{{:.6f}}', {v})::DOUBLE"
+
+
 _FALL = "(1 - greatest(0, least(1, ({v} - 0.05::DOUBLE) / (0.5::DOUBLE - 0.05::DOUBLE))))"
 
 
 @query(f"""WITH f AS (SELECT l_orderkey, l_quantity / 50::DOUBLE AS b, l_discount::DOUBLE AS k, l_tax::DOUBLE AS w, l_discount::DOUBLE * 3 AS r FROM lineitem),
 s AS (SELECT *, {_trapezoid("b")} * {_FALL.format(v="k")} * {_FALL.format(v="w")} AS e, greatest(0, least(1, (r - 0.05::DOUBLE) / (0.25::DOUBLE - 0.05::DOUBLE))) AS c FROM f),
-q AS (SELECT l_orderkey, round(quantile_cont(e, 0.2::DOUBLE), 6) AS exposure, round(quantile_cont(c, 0.2::DOUBLE), 6) AS contrast, round(quantile_cont(b, 0.5::DOUBLE), 6) AS brightness FROM s GROUP BY 1)
-SELECT *, round(exposure * contrast, 6) AS optical FROM q""")
+q AS (SELECT l_orderkey, {_six("quantile_cont(e, 0.2::DOUBLE)")} AS exposure, {_six("quantile_cont(c, 0.2::DOUBLE)")} AS contrast, {_six("quantile_cont(b, 0.5::DOUBLE)")} AS brightness FROM s GROUP BY 1)
+SELECT *, {_six("exposure * contrast")} AS optical FROM q""")
 def optical_score(spark, d):
     f = t(spark, d, "lineitem").select("l_orderkey", (F.col("l_quantity") / 50).cast("double").alias("b"), F.col("l_discount").cast("double").alias("k"), F.col("l_tax").cast("double").alias("w"), (F.col("l_discount").cast("double") * 3).alias("r"))
     return V.optical_scores(f, "l_orderkey", "b", "k", "w", "r").select("l_orderkey", "exposure", "contrast", "brightness", "optical")
 
 
-@query("SELECT o_orderkey, round(greatest(0, least(1, 1 - o_totalprice / 400000::DOUBLE)), 6) AS score FROM orders")
+@query(f"SELECT o_orderkey, {_six('greatest(0, least(1, 1 - o_totalprice / 400000::DOUBLE))')} AS score FROM orders")
 def text_score(spark, d):
-    return t(spark, d, "orders").select("o_orderkey", F.round(S.text_score(F.col("o_totalprice") / 400000), 6).alias("score"))
+    return t(spark, d, "orders").select("o_orderkey", S.exact_round(S.text_score(F.col("o_totalprice") / 400000), 6).alias("score"))
 
 
 @query("""SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN NULL ELSE round((p_size * 1000)::DOUBLE / (p_partkey % 5 * 250 + 1), 6) END AS fps,
