@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Python workers handle at most about so many bytes of text at once, and get at most so many rows in a batch.
-SLICE_BYTES, BATCH_ROWS = 4 << 20, 1000
+from siftwell.operators.graph import connected
+from siftwell.operators.tables import bounded_batches, durable, removed, shared_folder, stored
+
+__all__ = ["connected", "durable", "free_name", "in_arrow", "released", "removed", "shared_folder", "shuffle_partitions", "slices", "stored", "table", "text_or_empty"]
+
+#: Python workers handle at most about so many bytes of text at once, and get at most so many bytes in a batch (a row at least).
+SLICE_BYTES, BATCH_BYTES = 4 << 20, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,10 +42,8 @@ def released() -> None:
 
 
 def in_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """df.mapInArrow() in batches of BATCH_ROWS rows, set for the session where it allows more: batches count rows, and texts are long."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
-        conf.set(key, BATCH_ROWS)
+    """df.mapInArrow() in batches of BATCH_BYTES at most, a bound that the session keeps: Spark counts rows otherwise, and texts are long."""
+    bounded_batches(df.sparkSession, BATCH_BYTES)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
@@ -59,76 +60,9 @@ def free_name(name: str, taken: list[str]) -> str:
     return name
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder, that of spark.checkpoint.dir; a temporary one only where none is named and all runs in one process."""
-    jsc = spark.sparkContext._jsc.sc()
-    if jsc.getCheckpointDir().isEmpty():
-        named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-        if not named and not spark.sparkContext.master.split("[")[0] == "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
-    return jsc.getCheckpointDir().get()
-
-
-def durable(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a reliable checkpoint in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
-def stored(df: DataFrame) -> tuple[DataFrame, str]:
-    """df written as Parquet into the shared folder and read again, and its path."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path), path
-
-
-def removed(spark: SparkSession, path: str) -> None:
-    """Deletes what stored() has written."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
-
-
-def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Connected components of edges (a, b): rows (node, component), component the smallest node reachable.
-
-    Alternating large-star and small-star steps (Kiveris et al. 2014) until all is stars: every node hangs below one
-    other, which hangs below none. Every step is a min-aggregation with map-side combine and an equi-join that adaptive
-    execution can split, so a hub needs no task of its own. Each round is checkpointed; the number of rounds is about the
-    logarithm of a component's size, and edges that are stars already need none. Self pairs, repeated and reversed
-    pairs are fine; nodes without an edge to another node are not returned; null ends are ignored.
-    """
-    now = durable(
-        edges.where("a is not null and b is not null and a <> b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct()
-    )
-    for _ in range(max_rounds):
-        ends = now.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(now.select("b", F.lit(0), F.lit(1)))
-        ends = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-        if ends.where("up > 1 or (up > 0 and down > 0)").isEmpty():
-            break
-        both = now.union(now.select("b", "a"))
-        least = both.groupBy(F.col("a").alias("n")).agg(F.least(F.min("b"), F.min("a")).alias("m"))
-        # large star: every larger neighbour of n hangs below n's smallest neighbour
-        large = (
-            both.where("b > a").join(least, F.col("a") == F.col("n"))
-            .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .where("a <> b").distinct()
-        )
-        # small star: n and all its smaller neighbours hang below the smallest of them
-        lower = large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"))
-        small = large.join(lower, F.col("a") == F.col("n")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = small.union(lower.select(F.col("n").alias("a"), F.col("m").alias("b")))
-        now = durable(small.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    else:
-        raise RuntimeError(f"components have not settled in {max_rounds} rounds")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
