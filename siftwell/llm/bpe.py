@@ -226,13 +226,11 @@ class WordBpe:
         self.learn(chunks, arrays)
         packed = [*map(self.known.__getitem__, chunks)]
         sizes = np.fromiter(map(len, packed), np.int64, len(packed)) >> 2
-        flat, starts = np.frombuffer(b"".join(packed), "<u4"), np.cumsum(sizes) - sizes
-        index = coded.indices.to_numpy()
-        each = sizes[index] if len(index) else np.zeros(0, np.int64)
-        ends = np.cumsum(each)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(starts[index] - (ends - each), each) + np.arange(total)] if total else np.zeros(0, "<u4")
-        cuts = np.concatenate([[0], ends])[parts.offsets.to_numpy()]
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        flat = pa.LargeListArray.from_arrays(pa.array(starts), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+        ids = flat.take(coded.indices).flatten().to_numpy().view("<u4")
+        ends = np.concatenate([[0], np.cumsum(sizes[coded.indices.to_numpy()])]) if len(packed) else np.zeros(1, np.int64)
+        cuts = ends[parts.offsets.to_numpy()]
         counts = np.diff(cuts)
         if all(plain):
             return ids, counts

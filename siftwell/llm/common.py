@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from siftwell.operators.graph import connected
 from siftwell.operators.tables import bounded_batches, durable, removed, shared_folder, stored
 
-__all__ = ["connected", "durable", "free_name", "in_arrow", "released", "removed", "shared_folder", "shuffle_partitions", "slices", "stored", "table", "text_or_empty"]
+__all__ = ["connected", "durable", "free_name", "gathered", "in_arrow", "released", "removed", "shared_folder", "shuffle_partitions", "slices", "stored", "table", "text_or_empty"]
 
 #: Python workers handle at most about so many bytes of text at once, and get at most so many bytes in a batch (a row at least).
 SLICE_BYTES, BATCH_BYTES = 4 << 20, 8 << 20
@@ -33,6 +33,20 @@ def slices(batches: Iterator[pa.RecordBatch], text: int = 1, most: int = SLICE_B
             yield batch.slice(at, rows)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], text: int = 1, most: int = 4 * SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about `most` bytes of the text column (one row at least), small ones put together."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in slices(batches, text, most):
+        if held and size + batch.column(text).nbytes > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.column(text).nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def released() -> None:
     """Gives memory that a task has freed back to the system, as Python workers outlive tasks."""
     pa.default_memory_pool().release_unused()

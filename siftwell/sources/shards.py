@@ -6,7 +6,7 @@ import contextlib
 import json
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,22 +38,42 @@ def read_unit(spark: SparkSession, path: str, unit: str, schema: T.StructType, c
     return df if limit is None else df.limit(max(0, limit))
 
 
+def _footers(spark: SparkSession, path: str, unit: str, schema: T.StructType) -> DataFrame:
+    """The shards of a unit through the reader that answers counts and bounds from the files' footers, in a session of its own, as that is a setting of the session."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.schema(schema).option("pathGlobFilter", f"{unit}-*.parquet").parquet(path)
+
+
+def footer_stats(spark: SparkSession, path: str, unit: str, schema: T.StructType, columns: list[str] | None = None) -> DataFrame:
+    """One row: `rows`, and <column>_min and <column>_max of number, boolean and date columns; no data page is read."""
+    stats = [f(F.col(c)).alias(f"{c}_{f.__name__}") for c in columns or [] for f in (F.min, F.max)]
+    return _footers(spark, path, unit, schema).agg(F.count(F.lit(1)).alias("rows"), *stats)
+
+
 def count_unit(spark: SparkSession, path: str, unit: str, schema: T.StructType, where=None, limit: int | None = None) -> int:
-    """Rows of a unit, up to the limit; without a filter no column is read, so counts come from the files' footers."""
-    n = read_unit(spark, path, unit, schema, where=where).count()
+    """Rows of a unit, up to the limit; without a filter the counts are those of the files' footers. A missing directory has none."""
+    if where is None and exists(spark, path):
+        n = footer_stats(spark, path, unit, schema).first()["rows"]
+    else:
+        n = read_unit(spark, path, unit, schema, where=where).count()
     return n if limit is None else min(n, max(0, limit))
 
 
-def write_unit(df: DataFrame, path: str, unit: str, rows_per_shard: int = 500_000, reset: bool = True) -> None:
+def write_unit(df: DataFrame, path: str, unit: str, rows_per_shard: int = 500_000, reset: bool = True, counts: dict | None = None) -> dict:
     """Writes shards named `<unit>-*`, of so many rows at most; without reset they are added to those there.
 
+    Returns `rows` and further `counts` (aggregates by name), which are observed while the rows are written, not by another pass.
     Spark writes into a folder of its own beside the target; its files are then renamed. With reset, the old
     shards are moved aside first and deleted last; a failure in between moves them back.
     """
     spark = df.sparkSession
     root = path.rstrip("/")
     staging, aside = f"{root}/_staging_{unit}", f"{root}/_old_{unit}"
-    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_shard).parquet(staging)
+    seen = Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (counts or {}).items()])
+    observed.write.mode("overwrite").option("maxRecordsPerFile", rows_per_shard).parquet(staging)
     fs, target = _fs(spark, root)
     Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     named = lambda at, start: sorted((s.getPath().getName() for s in fs.listStatus(at) if s.getPath().getName().startswith(start)))
@@ -79,6 +99,7 @@ def write_unit(df: DataFrame, path: str, unit: str, rows_per_shard: int = 500_00
         raise
     fs.delete(Path(aside), True)
     fs.delete(Path(staging), True)
+    return seen.get
 
 
 def unit_summary(spark: SparkSession, path: str, unit: str) -> dict:
@@ -118,16 +139,20 @@ def patch_summary(spark: SparkSession, path: str, updates: dict, started: dateti
 
 
 def write_pass_reject(df: DataFrame, path: str, unit: str, passed: str) -> dict:
-    """All rows, and those that pass and fail in folders of their own; returns the counts, taken in one pass."""
-    df = df.persist()
-    try:
-        for name, rows in (("", df), ("/pass", df.where(F.col(passed).eqNullSafe(F.lit(1)))), ("/reject", df.where(~F.col(passed).eqNullSafe(F.lit(1))))):
-            write_unit(rows, path + name, unit)
-        n = df.agg(F.count("*").alias("output"), F.count_if(F.col(passed).eqNullSafe(F.lit(1))).alias("passed")).first()
-    finally:
-        df.unpersist()
-    counts = {"output_count": n["output"], "pass_count": n["passed"], "reject_count": n["output"] - n["passed"]}
-    write_summary(df.sparkSession, path, counts)
+    """All rows, and those that pass and fail in folders of their own; returns the counts.
+
+    df is computed once: its counts are observed while all rows are written, and the two parts are read from what was written.
+    """
+    spark = df.sparkSession
+    fine = F.col(passed).eqNullSafe(F.lit(1))
+    n = write_unit(df, path, unit, counts={"passed": F.count_if(fine)})
+    written = read_unit(spark, path, unit, df.schema)
+    for name, rows, expected in (("pass", written.where(fine), n["passed"]), ("reject", written.where(~fine), n["rows"] - n["passed"])):
+        got = write_unit(rows, f"{path}/{name}", unit)["rows"]
+        if got != expected:
+            raise RuntimeError(f"{got} rows in {path}/{name} instead of {expected}")
+    counts = {"output_count": n["rows"], "pass_count": n["passed"], "reject_count": n["rows"] - n["passed"]}
+    write_summary(spark, path, counts)
     return counts
 
 

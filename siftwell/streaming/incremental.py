@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 
 def run_new_shards(spark: SparkSession, source: str, schema: T.StructType, step: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str, files_per_trigger: int = 1000) -> StreamingQuery:
@@ -28,6 +29,54 @@ def first_success(stream: DataFrame, key: str, ts: str, ok: str, lateness: str)
     return stream.where(F.col(ok) == 1).withWatermark(ts, lateness).dropDuplicatesWithinWatermark([key])
 
 
+class _LastSuccess(StatefulProcessor):
+    """State of a key: the time of its last success. A timer clears it when the watermark is `idle_ms` past that."""
+
+    def __init__(self, ts: str, ok: str, idle_ms: int) -> None:
+        self.ts, self.ok, self.idle_ms = ts, ok, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", T.StructType([T.StructField("micros", T.LongType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        best, best_at = None, None
+        for pdf in rows:
+            won = pdf[(pdf[self.ok] == 1) & pdf[self.ts].notna()]
+            if len(won):
+                at = won[self.ts].astype("datetime64[us]").astype("int64")
+                place = len(at) - 1 - int(at.to_numpy()[::-1].argmax())  # of equal times the later row
+                if best_at is None or int(at.iloc[place]) >= best_at:
+                    best, best_at = won.iloc[[place]], int(at.iloc[place])
+        if best is None:
+            return
+        if self.last.exists():
+            (old,) = self.last.get()
+            if best_at < old:
+                return
+            self.handle.deleteTimer(old // 1000 + self.idle_ms)
+        self.last.update((best_at,))
+        self.handle.registerTimer(best_at // 1000 + self.idle_ms)
+        yield best
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def last_success(stream: DataFrame, key: str, ts: str, ok: str, lateness: str, idle_ms: int) -> DataFrame:
+    """Of a stream of runs the row of each key's last success, by `ts`; a later success replaces it as an update, an earlier one that comes late does not.
+
+    Output is in update mode: a row of a key is its state from then on. Of equal times the row that comes later counts. Only the time is kept
+    as state, until the watermark is `idle_ms` past it; a success after that is the first again. Needs the RocksDB state store.
+    """
+    rows = stream.withWatermark(ts, lateness)
+    return rows.groupBy(key).transformWithStateInPandas(_LastSuccess(ts, ok, idle_ms), outputStructType=stream.schema, outputMode="Update", timeMode="EventTime")
+
+
 def sessions(events: DataFrame, key: str, ts: str, gap: str, lateness: str) -> DataFrame:
     """(key, start, end, n) of sessions that a gap ends; works on streams and on tables."""
     rows = events.withWatermark(ts, lateness) if events.isStreaming else events
