@@ -9,8 +9,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .repair import clean_prompt
 from .scales import exact_round
 
+__all__ = [
+    "blake_id", "bucketed_path", "cache_path", "clean_prompt", "clip_id", "collapse_blanks", "component_spec", "frame_timeline", "human_bytes",
+    "human_seconds", "join_relative", "replace_component", "safe_file_name", "strip_prefix_path",
+]
+
 
 def clip_id(video: Column, clip: Column, split: Column) -> Column:
     return F.format_string("%s:clip:%05d:%02d", video, clip, split)
@@ -85,20 +91,6 @@ def cache_path(clip: Column, frames: Column, width: Column, height: Column, root
     return F.when((frames > 0) & (width > 0) & (height > 0), path).otherwise(F.raise_error(F.lit("frames, width and height must be positive")))
 
 
-@F.pandas_udf(T.StringType())
-def clean_prompt(prompt: pd.Series) -> pd.Series:
-    """Text without HTML entities (unescaped twice), with UTF-8 that was read as Latin-1 mended, white space collapsed."""
-    import html
-
-    def mended(text: str) -> str:
-        try:
-            return text.encode("cp1252").decode("utf-8") if any("\u00c2" <= c <= "\u00f4" for c in text) else text
-        except UnicodeError:
-            return text
-
-    return prompt.map(lambda p: None if p is None else " ".join(html.unescape(html.unescape(mended(p))).split()))
-
-
 def component_spec(spec: str) -> dict[str, int]:
     """`select_pass=1,count=10` as a dict: exactly these two keys, once each; select_pass is 0 or 1, count positive."""
     pairs = [tuple(x.strip() for x in part.partition("=")[::2]) if "=" in part else (part.strip(), "") for part in spec.split(",")]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,22 +17,23 @@ def json_object(text: Column, salvage: bool = False) -> Column:
 
 @dataclass(frozen=True)
 class LabelSchema:
-    """Single fields with their values; groups of such; list fields with their values and those that stand alone; free text fields."""
+    """Single fields with their values; groups of such; list fields with their values and those that stand alone; free text fields; fields of one fixed value."""
 
     single: dict[str, list[str]] = field(default_factory=dict)
     multi: dict[str, list[str]] = field(default_factory=dict)
     exclusive: tuple[str, ...] = ("none", "unknown")
     free: tuple[str, ...] = ()
     groups: dict[str, dict[str, list[str]]] = field(default_factory=dict)
+    fixed: dict[str, str] = field(default_factory=dict)
 
     def ddl(self) -> str:
-        parts = [f"`{k}`:string" for k in (*self.single, *self.free)]
+        parts = [f"`{k}`:string" for k in (*self.single, *self.free, *self.fixed)]
         parts += [f"`{g}`:struct<" + ",".join(f"`{k}`:string" for k in fields) + ">" for g, fields in self.groups.items()]
         parts += [f"`{k}`:array<string>" for k in self.multi]
         return "struct<" + ", ".join(parts) + ">"
 
     def fields(self) -> list[str]:
-        return [*self.single, *self.free, *self.groups, *self.multi]
+        return [*self.single, *self.free, *self.fixed, *self.groups, *self.multi]
 
     def error(self, text: Column) -> Column:
         """Why the label text is invalid, null if it is valid."""
@@ -46,6 +47,8 @@ class LabelSchema:
             out = out.when(value[k].isNull() | ~value[k].isin(domain), F.lit(f"bad {k}"))
         for k in self.free:
             out = out.when(value[k].isNull(), F.lit(f"bad {k}"))
+        for k, only in self.fixed.items():
+            out = out.when(~value[k].eqNullSafe(F.lit(only)), F.lit(f"bad {k}"))
         for g, fields in self.groups.items():
             own, inside = F.json_object_keys(F.get_json_object(obj, f"$.{g}")), names(fields)
             out = out.when(own.isNull() | (F.size(F.array_except(own, inside)) > 0) | (F.size(F.array_except(inside, own)) > 0), F.lit(f"bad {g}"))
@@ -64,13 +67,14 @@ class LabelSchema:
         one = lambda v, k: F.when(ok, v).otherwise(F.lit("unknown")).alias(k)
         cols = [one(value[k], k) for k in self.single]
         cols += [F.when(ok, value[k]).otherwise(F.lit("")).alias(k) for k in self.free]
+        cols += [F.lit(only).alias(k) for k, only in self.fixed.items()]
         cols += [F.struct(*[one(value[g][k], k) for k in fields]).alias(g) for g, fields in self.groups.items()]
         cols += [F.when(ok, F.array_distinct(value[k])).otherwise(F.array(F.lit("unknown"))).alias(k) for k in self.multi]
         return F.struct(*cols)
 
     def flat(self, labels: Column, prefix: str) -> list[Column]:
         """A column <prefix>_<field> for each field of parsed labels; fields of groups as <prefix>_<group>_<field>."""
-        out = [labels[k].alias(f"{prefix}_{k}") for k in (*self.single, *self.free)]
+        out = [labels[k].alias(f"{prefix}_{k}") for k in (*self.single, *self.free, *self.fixed)]
         out += [labels[g][k].alias(f"{prefix}_{g}_{k}") for g, fields in self.groups.items() for k in fields]
         return out + [labels[k].alias(f"{prefix}_{k}") for k in self.multi]
 
@@ -81,7 +85,6 @@ class LabelSchema:
 
 
 # The labels of camera work.
-_TRACKING = ["arc", "lead", "tail", "side", "aerial", "pan", "tilt"]
 CAMERA = LabelSchema(
     single={
         "motion_type": ["no-motion", "minor-motion", "simple-motion", "complex-motion", "unknown"],
@@ -103,12 +106,20 @@ CAMERA = LabelSchema(
         "intrinsic": {"zoom": ["zoom-in", "zoom-out", "no-zoom", "unknown"]},
         "object_centric": {
             "arc": ["arc-CW", "arc-CCW", "no-arc", "unknown"],
-            **{f"{k}_tracking": [f"{k}-tracking", f"no-{k}-tracking", "unknown"] for k in _TRACKING},
+            "arc_tracking": ["arc-tracking", "no-arc-tracking", "unknown"],
+            "lead_tracking": ["lead-tracking", "no-lead-tracking", "unknown"],
+            "tail_tracking": ["tail-tracking", "no-tail-tracking", "unknown"],
+            "side_tracking": ["side-tracking", "no-side-tracking", "unknown"],
+            "aerial_tracking": ["aerial-tracking", "no-aerial-tracking", "unknown"],
+            "pan_tracking": ["pan-tracking", "no-pan-tracking", "unknown"],
+            "tilt_tracking": ["tilt-tracking", "no-tilt-tracking", "unknown"],
             "subject_size_change": ["subject-larger", "subject-smaller", "no-subject-change", "unknown"],
         },
     },
     multi={"effects": ["frame-freezing", "dolly-zoom", "motion-blur", "none", "unknown"]},
 )
+# The versions that a model's structured answer on camera work has to name.
+CAMERA_OUTPUT = replace(CAMERA, fixed={"label_version": "camera_v1", "prompt_version": "camera_qa_v1"})
 # The tags of clips.
 TAG = LabelSchema(
     single={

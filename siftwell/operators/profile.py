@@ -110,8 +110,8 @@ def page(df: DataFrame, order: list[str], number: int, size: int) -> DataFrame:
 
 
 def browse_order(id_col: str, seed: int) -> Column:
-    """A repeatable shuffled order."""
-    return F.xxhash64(F.col(id_col), F.lit(seed))
+    """A repeatable shuffled order of ids, another one for each seed."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
 def top_windowed(df: DataFrame, key: str, order: list[Column], k: int) -> DataFrame:

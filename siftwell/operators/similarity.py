@@ -73,17 +73,17 @@ def _masks(width: int, radius: int) -> int:
 def part_count(bits: int, most: int, codes: int) -> int:
     """Parts for which a join of so many codes, spread evenly, makes the fewest rows: values near a code's own, and codes that have them."""
     costs = {}
-    for m in range(1, min(bits, most + 1) + 1):
+    for m in range(1, bits + 1):
         width, tries = -(-bits // m), [_masks(-(-bits // m), r) for r in radii(most, m)]
-        if width <= 32 and max(tries) <= MASKS:
+        if width <= 62 and max(tries) <= MASKS:
             costs[m] = sum(n * (1 + codes / 2**width) for n in tries)
     if not costs:
         raise ValueError(f"{most} of {bits} bits are too many")
     return min(costs, key=costs.get)
 
 
-def near_codes(codes: DataFrame, most: int, words: int = 4, bits: int | None = None, crowd: int = CROWD, parts: int | None = None) -> DataFrame:
-    """(x, y, distance) of all ordered pairs of different codes (column code, arrays of `words` longs) within `most` bits.
+def near_codes(codes: DataFrame, most: int, words: int = 4, bits: int | None = None, crowd: int = CROWD, parts: int | None = None, asked: DataFrame | None = None) -> DataFrame:
+    """(x, y, distance) of all ordered pairs of different codes (column code, arrays of `words` longs) within `most` bits; x only of the codes `asked`, if given.
 
     x is dealt by all values near its parts, y by the values of its own. A value that more than `crowd` codes have is
     dealt again for each second part: what is left of the distance leaves some other part with few bits, too. Codes have the
@@ -127,7 +127,8 @@ def near_codes(codes: DataFrame, most: int, words: int = 4, bits: int | None = N
         return out
 
     y = rows.select(F.col("code").alias("y"), F.explode(own(F.col("code"), radius)).alias("p")).select("y", "p.i", "p.v")
-    x = rows.select(F.col("code").alias("x"), F.explode(around(F.col("code"), radius)).alias("p")).select("x", "p.i", "p.v")
+    mine = rows if asked is None else rows.join(asked.select("code").distinct(), "code", "left_semi")
+    x = mine.select(F.col("code").alias("x"), F.explode(around(F.col("code"), radius)).alias("p")).select("x", "p.i", "p.v")
     distance = code_distance(F.col("x"), F.col("y"))
     verified = lambda met: met.where(F.col("x") != F.col("y")).withColumn("distance", distance).where(F.col("distance") <= most)
     crowded, _ = stored(y.groupBy("i", "v").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("i", "v"))
@@ -148,20 +149,22 @@ def near_codes(codes: DataFrame, most: int, words: int = 4, bits: int | None = N
     return met
 
 
-def hamming_matches(df: DataFrame, most: int, k: int, id_col: str = "id", code_col: str = "code", words: int = 4) -> DataFrame:
-    """(a, b, distance): for each row its k nearest other rows within `most` bits of its code, ties to smaller ids.
+def hamming_matches(df: DataFrame, most: int, k: int, id_col: str = "id", code_col: str = "code", words: int = 4, asked: DataFrame | None = None, self_counts: bool = False) -> DataFrame:
+    """(a, b, distance): for each row (or each one `asked`) its k nearest other rows within `most` bits of its code, ties to smaller ids.
 
     `code_col` is an array of longs. Of the rows that share a code only the first k + 1 ids can be anyone's neighbours,
-    so no group of copies is held as a whole.
+    so no group of copies is held as a whole. With `self_counts` a row is its own first neighbour and takes one of the k places, but no row here.
     """
+    k = k - 1 if self_counts else k
     rows = df.select(F.col(id_col).alias("id"), F.col(code_col).alias("code")).where("id is not null and code is not null")
+    mine = rows if asked is None else asked.select(F.col(id_col).alias("id"), F.col(code_col).alias("code")).where("id is not null and code is not null")
     place = F.row_number().over(Window.partitionBy("code").orderBy("id"))
     first = rows.withColumn("rn", place).where(F.col("rn") <= k + 1).groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     same = first.select(F.col("code").alias("x"), F.col("code").alias("y"), F.lit(0).alias("distance"))
-    met = same.union(near_codes(first, most, words)).join(first.withColumnRenamed("code", "y"), "y")
+    met = same.union(near_codes(first, most, words, asked=None if asked is None else mine)).join(first.withColumnRenamed("code", "y"), "y")
     each = met.select("x", "distance", F.explode("ids").alias("b"))
     best = each.withColumn("rn", F.row_number().over(Window.partitionBy("x").orderBy("distance", "b"))).where(F.col("rn") <= k + 1)
-    out = rows.select(F.col("id").alias("a"), F.col("code").alias("x")).join(best.drop("rn"), "x").where("a <> b")
+    out = mine.select(F.col("id").alias("a"), F.col("code").alias("x")).join(best.drop("rn"), "x").where("a <> b")
     rank = F.row_number().over(Window.partitionBy("a").orderBy("distance", "b"))
     return out.withColumn("rn", rank).where(F.col("rn") <= k).select("a", "b", "distance")
 

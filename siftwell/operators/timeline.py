@@ -86,8 +86,9 @@ def scene_edges(df: DataFrame, key: str, order: list[str], above: Column) -> Dat
 
 
 def suppress_short(cuts: Column, least: float, end: Column) -> Column:
-    """Cuts at least `least` after the last one kept, without those too near the end."""
-    kept = F.aggregate(cuts, F.array().cast("array<double>"), lambda a, t: F.when(t - F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0.0)) >= least, F.array_append(a, t)).otherwise(a))
+    """Cuts inside (0, end) at least `least` after the last one kept, without those at the end that are too near it."""
+    inner = F.filter(cuts, lambda t: (t > 0) & (t < end))
+    kept = F.aggregate(inner, F.array().cast("array<double>"), lambda a, t: F.when(t - F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0.0)) >= least, F.array_append(a, t)).otherwise(a))
     return F.filter(kept, lambda t: end - t >= least)
 
 

@@ -192,8 +192,13 @@ def pairs_within(df: DataFrame, least: float, id_col: str = "vec_id", vector_col
 
 def nearest(df: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", least: float = -1.0, pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
     """(id, rank, neighbour, cosine): the k nearest rows of other ids for each row, of cosines (to nine places) of at least `least`; ties to the smaller id."""
-    blocks = vector_blocks(df, id_col, vector_col, pivots, block)
+    return nearest_of_blocks(vector_blocks(df, id_col, vector_col, pivots, block), k, least)
+
+
+def nearest_of_blocks(blocks: DataFrame, k: int, least: float = -1.0, asked: Column | None = None) -> DataFrame:
+    """The same from vector_blocks(); only for rows of the blocks that `asked`, a condition on column block, takes in."""
     kind = blocks.schema["ids"].dataType.elementType
+    all_blocks = F.lit(True) if asked is None else asked
     out = T.StructType([T.StructField("id", kind), T.StructField("neighbour", kind), T.StructField("cosine", T.DoubleType()), T.StructField("home", T.LongType())])
 
     def best(s: np.ndarray, xi: np.ndarray, yi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -221,24 +226,27 @@ def nearest(df: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "em
     def met(pairs: DataFrame) -> DataFrame:
         return _meetings(blocks, pairs.select("x", "y", "forth", "back")).mapInArrow(run, out)
 
-    pairs, _ = stored(block_pairs(blocks))
+    own = blocks.where(all_blocks).select("block", "n")
+    pairs = block_pairs(blocks)
+    for side in "xy":
+        pairs = pairs.join(own.select(F.col("block").alias(side), F.lit(True).alias(f"{side}_asked")), side, "left").withColumn(f"{side}_asked", F.coalesce(f"{side}_asked", F.lit(False)))
+    pairs, _ = stored(pairs.where("x_asked or y_asked"))
     # first a block with itself and with the nearest other one
-    sides = pairs.where("x < y").select(F.col("x").alias("home"), F.col("y").alias("other"), "apart").union(pairs.where("x < y").select("y", "x", "apart"))
+    two = pairs.where("x < y")
+    sides = two.where("x_asked").select(F.col("x").alias("home"), F.col("y").alias("other"), "apart").union(two.where("y_asked").select("y", "x", "apart"))
     near = sides.groupBy("home").agg(F.min(F.struct("apart", F.abs(F.col("home") - F.col("other")), "other"))["other"].alias("other"))
     early = near.select(F.least("home", "other").alias("x"), F.greatest("home", "other").alias("y")).distinct()
-    own = blocks.select(F.col("block").alias("x"), F.col("block").alias("y"))
-    yes, no = F.lit(True), F.lit(False)
-    first, _ = stored(met(own.union(early).select("x", "y", yes.alias("forth"), yes.alias("back"))))
+    alone = pairs.where("x = y and x_asked").select("x", "y", F.lit(True).alias("forth"), F.lit(False).alias("back"))
+    first, _ = stored(met(alone.union(two.join(early, ["x", "y"], "left_semi").select("x", "y", F.col("x_asked").alias("forth"), F.col("y_asked").alias("back")))))
     # the least cosine that could still count for some row of a block
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("cosine"), "neighbour"))
     kth = first.withColumn("rank", rank).groupBy("id", "home").agg(F.max("rank").alias("n"), F.max(F.when(F.col("rank") == k, F.col("cosine"))).alias("kth"))
     bound = kth.groupBy("home").agg(F.min(F.coalesce("kth", F.lit(-2.0))).alias("bound"), F.count("*").alias("rows"))
-    sizes = blocks.select(F.col("block").alias("home"), "n")
-    full = sizes.join(bound, "home", "left").select("home", F.greatest(F.when(F.col("rows") >= F.col("n"), F.col("bound")).otherwise(-2.0), F.lit(float(least))).alias("bound"))
-    full = full.select("home", F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("bound")))).alias("within"))
-    rest = pairs.where("x < y").join(early, ["x", "y"], "left_anti")
-    rest = rest.join(full.select(F.col("home").alias("x"), F.col("within").alias("wx")), "x").join(full.select(F.col("home").alias("y"), F.col("within").alias("wy")), "y")
-    reach = lambda w: F.col("apart") <= F.col(w) + ROOM
+    full = own.withColumnRenamed("block", "home").join(bound, "home", "left").select("home", F.greatest(F.when(F.col("rows") >= F.col("n"), F.col("bound")).otherwise(-2.0), F.lit(float(least))).alias("bound"))
+    full = full.select("home", F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("bound") - 2e-9))).alias("within"))  # cosines are rounded to nine places
+    rest = two.join(early, ["x", "y"], "left_anti")
+    rest = rest.join(full.select(F.col("home").alias("x"), F.col("within").alias("wx")), "x", "left").join(full.select(F.col("home").alias("y"), F.col("within").alias("wy")), "y", "left")
+    reach = lambda w: F.coalesce(F.col("apart") <= F.col(w) + ROOM, F.lit(False))
     rest = rest.select("x", "y", reach("wx").alias("forth"), reach("wy").alias("back")).where("forth or back")
     found = first.unionByName(met(rest)).drop("home")
     w: Column = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("cosine"), "neighbour"))

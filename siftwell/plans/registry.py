@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import frames as V
 from ..functions import geometry as G
 from ..functions import scales as S
 from ..functions import text as X
-from ..operators import graph, joins, labels, profile, rules, sampling, selection, similarity, timeline
+from ..operators import dedup, fanout, graph, joins, labels, profile, rules, sampling, selection, similarity, tables, timeline
 from ..sources import metadata
 
 QUERIES: dict = {}
@@ -798,3 +800,97 @@ SELECT least(x, y) AS a, greatest(x, y) AS b, k FROM r WHERE rn = 1""")
 def strongest_pairs(spark, d):
     p = t(spark, d, "lineitem").select((F.col("l_suppkey") % 50).alias("a"), (F.col("l_partkey") % 50).alias("b"), "l_quantity", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k")).where("a <> b")
     return similarity.strongest(p, [F.col("l_quantity"), F.col("k")]).select("a", "b", "k")
+
+
+# --- timelines row by row, cuts, orders of browsing --------------------------------------------------------
+
+def _tick_rows(spark, d):
+    return t(spark, d, "events").select("user_id", F.round((F.unix_micros(F.col("ts").cast("timestamp")) % 86400000000) / 1e6, 6).alias("s"))
+
+
+_RANGE_ROWS = f"WITH {_TICKS} SELECT user_id, range_index, start_sec, end_sec FROM r WHERE end_sec IS NOT NULL"
+
+
+@query(_RANGE_ROWS)
+def tick_rows_to_ranges(spark, d):
+    return fanout.fold_ticks(_tick_rows(spark, d), "user_id", "s")
+
+
+@query(_RANGE_ROWS)
+def tick_ranges_function(spark, d):
+    fanout.register(spark)
+    name = f"ticks_{uuid.uuid4().hex}"
+    _tick_rows(spark, d).createOrReplaceTempView(name)
+    return spark.sql(f"SELECT * FROM tick_ranges(TABLE(SELECT user_id, s FROM {name}))")
+
+
+@query("""WITH RECURSIVE e AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY value, event_id) AS n FROM events WHERE value > 0 AND value < 100),
+k AS (SELECT user_id, 0::BIGINT AS n, 0::DOUBLE AS last, false AS kept FROM (SELECT DISTINCT user_id FROM e)
+ UNION ALL SELECT k.user_id, e.n, CASE WHEN e.value - k.last >= 15 THEN e.value ELSE k.last END, e.value - k.last >= 15 FROM k JOIN e ON e.user_id = k.user_id AND e.n = k.n + 1)
+SELECT user_id, count(*) AS cuts, round(sum(last), 6) AS total FROM k WHERE kept AND 100 - last >= 15 GROUP BY 1""")
+def short_scenes(spark, d):
+    cuts = t(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.col("value").cast("double"))).alias("v"))
+    kept = cuts.select("user_id", timeline.suppress_short(F.col("v"), 15.0, F.lit(100.0)).alias("k")).where("size(k) > 0")
+    return kept.select("user_id", F.size("k").cast("long").alias("cuts"), F.round(F.aggregate("k", F.lit(0.0), lambda s, x: s + x), 6).alias("total"))
+
+
+@query("SELECT o_orderkey, rn::BIGINT AS place FROM (SELECT o_orderkey, row_number() OVER (ORDER BY md5('7:' || o_orderkey), o_orderkey) - 1 AS rn FROM orders) WHERE rn BETWEEN 200 AND 299")
+def shuffled_page(spark, d):
+    rows = profile.page(t(spark, d, "orders").select("o_orderkey", profile.browse_order("o_orderkey", 7).alias("h")), ["h", "o_orderkey"], 2, 100)
+    return rows.select("o_orderkey", (F.row_number().over(Window.orderBy("h", "o_orderkey")) + 199).cast("long").alias("place"))  # of one page
+
+
+@query("""SELECT o_orderkey, CASE WHEN n > 0 THEN (n + 1)::INT ELSE 0 END AS ticks, CASE WHEN n > 0 THEN (n * 30000)::DOUBLE END AS last, greatest(0, least(n, ceil(o_totalprice / 2 / 30000)::INT - 1))::INT AS inner_ticks
+FROM (SELECT o_orderkey, o_totalprice, floor((o_totalprice + 1e-9) / 30000)::INT AS n FROM orders)""")
+def range_ticks(spark, d):
+    ticks = timeline.ranges_to_ticks(timeline.uniform_ranges(F.col("o_totalprice"), 30000.0))
+    rows = t(spark, d, "orders").select("o_orderkey", "o_totalprice", ticks.alias("x"))
+    return rows.select("o_orderkey", F.size("x").alias("ticks"), F.try_element_at("x", F.lit(-1)).alias("last"), F.size(timeline.inner_times(F.col("x"), F.col("o_totalprice") / 2)).alias("inner_ticks"))
+
+
+# --- camera labels, parts of a dataset, neighbours with the row itself --------------------------------------
+
+_CAMERA = """SELECT p_partkey, CASE p_size % 6 WHEN 0 THEN 'no-motion' WHEN 1 THEN 'minor-motion' WHEN 2 THEN 'simple-motion' WHEN 3 THEN 'complex-motion' WHEN 4 THEN 'unknown' ELSE 'wild' END AS motion,
+ CASE WHEN p_partkey % 5 = 0 THEN 'camera_v0' ELSE 'camera_v1' END AS version, CASE WHEN p_partkey % 7 = 0 THEN ['none', 'motion-blur'] WHEN p_partkey % 7 = 1 THEN ['none'] ELSE ['motion-blur', 'dolly-zoom', 'motion-blur'] END AS effects,
+ CASE WHEN p_partkey % 11 = 0 THEN 'roll-CW ' ELSE 'roll-CW' END AS roll FROM part"""
+
+
+@query(f"""SELECT p_partkey, CASE WHEN motion = 'wild' THEN 'bad motion_type' WHEN version = 'camera_v0' THEN 'bad label_version' WHEN roll <> 'roll-CW' THEN 'bad rotation.roll' WHEN p_partkey % 7 = 0 THEN 'effects mixes an exclusive value' END AS error,
+ CASE WHEN e THEN 'unknown' ELSE motion END AS motion_type, CASE WHEN e THEN 'unknown' ELSE 'tilt-up' END AS tilt, CASE WHEN e THEN 'unknown' WHEN p_partkey % 7 = 1 THEN 'none' ELSE 'motion-blur,dolly-zoom' END AS effects, 'camera_v1' AS label_version
+FROM (SELECT *, motion = 'wild' OR version = 'camera_v0' OR roll <> 'roll-CW' OR p_partkey % 7 = 0 AS e FROM ({_CAMERA}))""")
+def camera_labels(spark, d):
+    k = F.col("p_partkey")
+    motion = F.element_at(F.array(*map(F.lit, ["no-motion", "minor-motion", "simple-motion", "complex-motion", "unknown", "wild"])), F.col("p_size") % 6 + 1)
+    effects = F.when(k % 7 == 0, F.array(F.lit("none"), F.lit("motion-blur"))).when(k % 7 == 1, F.array(F.lit("none"))).otherwise(F.array(F.lit("motion-blur"), F.lit("dolly-zoom"), F.lit("motion-blur")))
+    own = {"motion_type": motion, "label_version": F.when(k % 5 == 0, "camera_v0").otherwise("camera_v1"), "prompt_version": F.lit("camera_qa_v1"), "roll": F.when(k % 11 == 0, "roll-CW ").otherwise("roll-CW"), "tilt": F.lit("tilt-up")}
+    s = labels.CAMERA_OUTPUT
+    field = lambda name, domain: own.get(name, F.lit(domain[0])).alias(name)
+    parts = [field(n, dom) for n, dom in s.single.items()] + [own[n].alias(n) for n in s.fixed]
+    parts += [F.struct(*[field(n, dom) for n, dom in fields.items()]).alias(g) for g, fields in s.groups.items()]
+    rows = t(spark, d, "part").select("p_partkey", F.to_json(F.struct(*parts, effects.alias("effects"))).alias("json"))
+    rows = rows.select("p_partkey", s.error(F.col("json")).alias("error"), s.parse(F.col("json")).alias("l"))
+    return rows.select("p_partkey", "error", "l.motion_type", F.col("l.rotation.tilt").alias("tilt"), F.array_join("l.effects", ",").alias("effects"), "l.label_version")
+
+
+@query("""WITH i AS (SELECT 'metadata-' || (o_orderkey % 16) AS shard, (o_orderkey % 4 + 1) || 'x' || (o_custkey % 3 + 1) || 'x60' AS latent, CASE WHEN o_custkey % 5 > 0 THEN o_orderpriority END AS resolution, o_totalprice > 100000 AS ok FROM orders)
+SELECT 'shard' AS kind, shard AS value, count(*) AS rows, count(*) FILTER (ok) AS valid_rows, count(*) FILTER (NOT ok) AS invalid_rows FROM i GROUP BY 2
+UNION ALL SELECT 'latent', latent, count(*), count(*) FILTER (ok), count(*) FILTER (NOT ok) FROM i GROUP BY 2 UNION ALL SELECT 'source', resolution, count(*), count(*) FILTER (ok), count(*) FILTER (NOT ok) FROM i GROUP BY 2""")
+def dataset_parts(spark, d):
+    k = F.col("o_orderkey")
+    latent = F.concat((k % 4 + 1).cast("string"), F.lit("x"), (F.col("o_custkey") % 3 + 1).cast("string"), F.lit("x60"))
+    items = t(spark, d, "orders").select(F.concat(F.lit("metadata-"), (k % 16).cast("string")).alias("shard"), latent.alias("latent"), F.when(F.col("o_custkey") % 5 > 0, F.col("o_orderpriority")).alias("r"), "o_totalprice")
+    return metadata.dataset_parts(items, F.col("o_totalprice") > 100000, shard="shard", latent="latent", source="r")
+
+
+@query(f"""WITH v AS ({_WIDE}), p AS (SELECT x.id AS a, y.id AS b, (bit_count(xor(x.code[1], y.code[1])) + bit_count(xor(x.code[2], y.code[2])) + bit_count(xor(x.code[3], y.code[3])) + bit_count(xor(x.code[4], y.code[4])))::INT AS distance FROM v x JOIN v y ON x.id <> y.id)
+SELECT a, b, distance FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY distance, b) rn FROM p WHERE distance <= 31) WHERE rn <= 4""")
+def hamming_matches_with_self(spark, d):
+    return similarity.hamming_matches(_wide_codes(spark, d), 31, 5, self_counts=True).withColumn("distance", F.col("distance").cast("int"))
+
+
+@query(f"{_COMP}, z AS (SELECT component, count(*) AS size FROM l GROUP BY 1) SELECT node AS id, size AS group_size, (node = component)::BIGINT AS is_best, component::VARCHAR AS best_id FROM l JOIN z USING (component)")
+def two_phase_dedup(spark, d):
+    rows = t(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.lit(1).alias("ok"), F.lit("").alias("error"), F.col("embedding").alias("vector"), F.lit(1).alias("n"))
+    method = dedup.VectorDeduplicator("cosmos", least=0.4, k=10_000)
+    out = dedup.dedup_rows(rows, [method], f"{tables.shared_folder(spark)}/dedup-{uuid.uuid4().hex}", parts=2).where("cosmos_group_id <> ''")
+    return out.select("id", F.col("cosmos_group_size").alias("group_size"), F.col("cosmos_is_best_clip_in_group").alias("is_best"), F.col("cosmos_best_clip_id_in_group").alias("best_id"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sampling import metadata_shards
@@ -41,14 +41,16 @@ def write_metadata(df: DataFrame, path: str, id_col: str, rows_per_shard: int) -
     return sorted(names)
 
 
-def read_metadata(spark: SparkSession, path: str, schema=None, required: list[str] | None = None, limit: int | None = None) -> DataFrame:
-    """Items of the shards that metadata.json names, up to the limit; an item without a required value is an error."""
+def read_metadata(spark: SparkSession, path: str, schema=None, required: list[str] | None = None, limit: int | None = None, shard_col: str | None = None) -> DataFrame:
+    """Items of the shards that metadata.json names, up to the limit; an item without a required value is an error. shard_col: a column for the shard's file name."""
     root = path.rstrip("/")
     names = json.loads("".join(r.value for r in spark.read.text(f"{root}/metadata.json").collect()))["shards"]
     reader = spark.read.option("multiLine", "true")
     if schema is not None:
         reader = reader.schema(schema)
     items = reader.json([f"{root}/{n}" for n in names])
+    if shard_col:
+        items = items.withColumn(shard_col, F.col("_metadata.file_name"))
     for name in required or []:
         bad = F.coalesce(F.trim(F.col(name).cast("string")), F.lit("")) == ""
         items = items.withColumn(name, F.when(bad, F.raise_error(F.lit(f"an item without {name}"))).otherwise(F.col(name)))
@@ -73,6 +75,19 @@ def dataset_scan(items: DataFrame, frames: str, resolution: str, source: str, ca
     )
 
 
+def dataset_parts(items: DataFrame, valid: Column, **columns: str) -> DataFrame:
+    """(kind, value, rows, valid_rows, invalid_rows) for every value of some columns, such as shard, latent shape and source resolution; one pass. Nulls are values."""
+    names = [f"__{k}" for k in columns]
+    rows = items.select(*[F.col(c).cast("string").alias(n) for n, c in zip(names, columns.values())], F.coalesce(valid, F.lit(False)).alias("__ok"))
+    sets = rows.groupingSets([[F.col(n)] for n in names], *map(F.col, names))
+    out = sets.agg(F.grouping_id(*names).alias("g"), F.count("*").alias("rows"), F.count_if("__ok").alias("valid_rows"))
+    own = lambda i: (1 << len(names)) - 1 - (1 << (len(names) - 1 - i))
+    kind, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, (k, n) in enumerate(zip(columns, names)):
+        kind, value = F.when(F.col("g") == own(i), k).otherwise(kind), F.when(F.col("g") == own(i), F.col(n)).otherwise(value)
+    return out.select(kind.alias("kind"), value.alias("value"), "rows", "valid_rows", (F.col("rows") - F.col("valid_rows")).alias("invalid_rows"))
+
+
 def mixed_batches(items: DataFrame, batch: str, bucket: str) -> DataFrame:
     """Batches that hold more than one bucket, which a loader must refuse."""
     return items.groupBy(batch).agg(F.count_distinct(bucket).alias("buckets")).where("buckets > 1")

@@ -1,5 +1,6 @@
 """Pruned cosine joins, code joins with crowded parts, and exact rounding, against brute force."""
 
+import json
 import math
 import random
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftwell.functions import scales
-from siftwell.operators import similarity, vectors
+from siftwell.operators import dedup, similarity, vectors
 
 rng = np.random.default_rng(5)
 
@@ -132,3 +133,56 @@ def test_interpolated_quantiles(spark):
         for q in (0.0, 0.2, 0.5, 0.77, 1.0):
             got = spark.createDataFrame([(values,)], "v array<double>").select(scales.interpolated(F.col("v"), q).alias("x")).first().x
             assert got is None if not values else abs(got - np.percentile(values, 100 * q)) < 1e-12
+
+
+def test_two_phases_with_parts_that_are_kept(spark, tmp_path):
+    x = clusters(120, 40)
+    codes = [[int(v > 0) << 1 | int(v < -0.3) for v in row[:4]] for row in x]
+    rows = spark.createDataFrame(
+        [(f"c{i:03d}", int(i != 5), "" if i != 5 else "unreadable", [float(c) for c in v], [c, c] if i % 30 else [], 1.0 * (i % 7), i % 4) for i, (v, c) in enumerate(zip(x, codes))],
+        "id string, ok int, error string, vector array<double>, codes array<array<long>>, quality double, n int",
+    )
+    made = []
+
+    class Counted(dedup.VectorDeduplicator):
+        def pairs(self, spark, path, part, parts):
+            made.append(part)
+            if len(made) == 2:
+                raise RuntimeError("executor lost")
+            return super().pairs(spark, path, part, parts)
+
+    methods = [Counted("cosmos", least=0.99, k=200, pivots=12, block=16), dedup.CodeDeduplicator("pdq", most=0, least_ratio=1.0)]
+    path = str(tmp_path / "dedup")
+    with pytest.raises(RuntimeError):
+        dedup.dedup_rows(rows, methods, path, parts=3)
+    out = {r.id: r for r in dedup.dedup_rows(rows, methods, path, parts=3).collect()}
+    assert made == [0, 1, 1, 2]  # the part that was done is not done again
+    s = unit(x) @ unit(x).T
+
+    def groups(linked):
+        root = list(range(120))
+        for _ in range(120):
+            new = [min(root[j] for j in range(120) if j == i or linked(i, j)) for i in range(120)]
+            if new == root:
+                break
+            root = new
+        return root
+
+    fine = [i != 5 for i in range(120)]
+    for name, linked, order in (
+        ("cosmos", lambda i, j: fine[i] and fine[j] and s[i, j] >= 0.99, lambda i: (-(i % 4), i)),
+        ("pdq", lambda i, j: fine[i] and fine[j] and i % 30 and j % 30 and codes[i] == codes[j], lambda i: (-(i % 7), i)),
+    ):
+        root = groups(linked)
+        numbers = {r: k + 1 for k, r in enumerate(sorted(r for r in set(root) if root.count(r) > 1))}
+        for i in range(120):
+            r, members = out[f"c{i:03d}"], [j for j in range(120) if root[j] == root[i]]
+            best = min(members, key=order)
+            alone = len(members) == 1
+            want = ("", 1, 1, "") if alone else (f"{name}-{numbers[root[i]]:06d}", len(members), int(best == i), f"c{best:03d}")
+            assert tuple(r[f"{name}_{k}"] for k in ("group_id", "group_size", "is_best_clip_in_group", "best_clip_id_in_group")) == want
+            assert r[f"{name}_ok"] == int(fine[i])
+    assert out["c005"].dedup_error == "cosmos: unreadable; pdq: unreadable" and out["c005"].dedup_ok == 0 and out["c001"].dedup_ok == 1
+    assert json.loads(out["c001"].dedup_json).keys() == {"cosmos", "pdq"}
+    with pytest.raises(ValueError):
+        dedup.dedup_rows(rows, [methods[0], methods[0]], path)
