@@ -9,11 +9,10 @@ one vertex drawn from those that share a rare shingle of it, by HEADS different
 comparisons a vertex and group, and joins large groups whose members are alike to some of the others only.
 Then sets of different groups meet by prefixes: two sets of a likeness of `least` share one of the first
 n - ceil(least * n) + 1 members in any common order. Common shingles, as a sample has them, come last in that order, so
-prefixes hold rare ones. Pairs that share a prefix member become rows only if their fingerprints differ in at most
-REACH bits: at a likeness of 0.8 they differ in about 10 of 64 with a deviation of 3, unrelated ones in 32 with one of
-4, so the bound loses a link with a probability of about one in a million and saves most checks. They are also held against each
-other as bit maps: members toggle bits, so maps differ in at most as many bits as sets in members, and only pairs within
-the limit are compared by their members.
+prefixes hold rare ones. Pairs that share a prefix member are held against each other as bit maps: members toggle bits, so maps
+differ in at most as many bits as sets in members, and only pairs within the limit become rows. The maps of two sets of more than
+FULL members together tell little. There the fingerprints must differ in at most REACH bits, too: at a likeness of 0.8 they differ in about
+10 of 64 with a deviation of 3, so that of such pairs of long texts two in ten million are lost. Shorter ones lose none.
 """
 
 from __future__ import annotations
@@ -33,8 +32,8 @@ from .common import connected, durable, in_arrow, slices
 from .simhash import fingerprint_edges, in_groups, majority, stand_ins
 
 WIDTH, LEAST = 5, 0.8
-#: Differing bits of fingerprints that the index looks for, and at which a shared rare shingle is followed.
-BITS, REACH = 3, 24
+#: Differing bits of fingerprints that the index looks for, and at which a rare shingle shared by two sets of more than FULL members together is followed.
+BITS, REACH, FULL = 3, 26, 2048
 #: Orders by which a shingle's vertex is drawn: a member of a large group is held against so many others of it.
 HEADS = 16
 #: Sampled sets, and how many of them make a shingle common.
@@ -139,9 +138,9 @@ def facts_of(sets: DataFrame) -> DataFrame:
 
 
 def within_reach(x: Callable[[str], Column], y: Callable[[str], Column], least: float) -> Column:
-    """Whether two sets, of facts x(name) and y(name), may be alike: by sizes, fingerprints, and bit maps."""
+    """Whether two sets, of facts x(name) and y(name), may be alike: by sizes and bit maps, large ones by fingerprints too. Facts are never null."""
     sizes = F.least(x("n"), y("n")) >= F.lit(least) * F.greatest(x("n"), y("n")) - 1e-9
-    near = F.bit_count(x("sim").bitwiseXOR(y("sim"))) <= REACH
+    near = (x("n") + y("n") <= FULL) | (F.bit_count(x("sim").bitwiseXOR(y("sim"))) <= REACH)
     differ = functools.reduce(operator.add, [F.bit_count(x(f"m{i}").bitwiseXOR(y(f"m{i}"))) for i in range(WORDS // 2)])
     return sizes & near & (differ <= F.lit((1 - least) / (1 + least)) * (x("n") + y("n")) + 1e-6)
 

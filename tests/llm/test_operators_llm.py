@@ -216,6 +216,21 @@ def test_near_copies_against_brute_force(spark, texts):
     assert {r.doc_id: r.component_id for r in nearcopies.near_copies(df).collect()} == want
 
 
+def test_no_near_copy_of_short_texts_is_lost(spark):
+    """Pairs of few shingles, whose fingerprints say little: every link at a likeness of 0.8 or more."""
+    rng = random.Random(8)
+    cases = {}
+    for i in range(300):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(8, 30))]
+        cases[3 * i] = " ".join(own)
+        cases[3 * i + 1] = " ".join(own[rng.randrange(2) :] + [f"x{k}" for k in range(rng.randint(0, 3))])
+        cases[3 * i + 2] = " ".join(own[: len(own) - rng.randrange(4)])
+    from siftwell.llm import nearcopies
+
+    df = spark.createDataFrame(list(cases.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in nearcopies.near_copies(df).collect()} == slow_copies(cases)
+
+
 def test_one_of_each_group_with_odd_ids(spark):
     """Null and repeated ids, columns of clashing names: one row of each group stays."""
     a, b, c = "one two three four five six seven", "eight nine ten eleven twelve thirteen", "x y z"
@@ -378,7 +393,7 @@ def test_url_rules_and_parts(spark):
 
 
 def test_url_model_learns(spark):
-    w = urlfilter.train_url_weights(urlfilter.labelled_urls(spark).where("url not like '%2%'"))
+    w = urlfilter.train_url_weights(urlfilter.labelled_urls(spark).where("url not like '%video%'"))
     out = urlfilter.judge_urls(urlfilter.labelled_urls(spark).withColumn("page_id", F.lit(1)), w, rules=[])
     right = out.join(urlfilter.labelled_urls(spark), "url").select(F.avg(((F.col("verdict") == "block") == (F.col("label") == 1)).cast("int"))).first()[0]
     assert right > 0.9
@@ -403,7 +418,7 @@ def test_url_model_on_held_out_hosts(spark):
         test = rows.where(F.col("fold") == fold).withColumn("page_id", F.monotonically_increasing_id())
         out = urlfilter.judge_urls(test, w, rules=[]).join(test.select("page_id", "label"), "page_id")
         right += [(r.verdict == "block") == (r.label == 1) for r in out.collect()]
-    assert len(right) == 80 and np.mean(right) > 0.65
+    assert len(right) == 155 and np.mean(right) > 0.85
 
 
 def test_url_query_against_plain_rules(spark, sf):
