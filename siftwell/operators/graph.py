@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import durable
@@ -72,5 +72,5 @@ def numbered_groups(labels: DataFrame, prefix: str) -> DataFrame:
     if not total:
         return groups.withColumn("group_id", F.lit(""))
     at = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])[F.col("__p")]
-    rank = F.row_number().over(Window.partitionBy("__p").orderBy("component"))
+    rank = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1  # ranges are sorted
     return ranged.select("component", F.format_string(f"{prefix}-%06d", (at + rank).cast("long")).alias("group_id"))

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import durable
+
 
 def portable_order(id_col: str, seed: int, factor: int = 1103515245, prime: int = 2147483647) -> Column:
     """A shuffled order that other engines can compute too."""
@@ -21,19 +23,19 @@ def numbered(df: DataFrame, order: list[str], bucket: str | None = None) -> Data
     Rows are sorted by range, so a large bucket is several tasks; a range's first number comes from the sizes of
     those before it, of which there are as many as partitions and buckets.
     """
-    from .graph import durable
-
     by = [*([bucket] if bucket else []), *order]
-    ranged = durable(df.repartitionByRange(*by).withColumn("__p", F.spark_partition_id()))
+    ranged = durable(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__p", F.spark_partition_id()))
     own = F.col(bucket) if bucket else F.lit(0)
+    # the place in a range is there already, as its rows are sorted: no second shuffle of rows
+    rows = ranged.withColumn("__at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).withColumn("__own", own)
     sizes = ranged.groupBy(own.alias("__b"), F.col("__p").alias("__q")).agg(F.count("*").alias("__k"))
     w = Window.partitionBy("__b")
-    offsets = sizes.select("__b", "__q", (F.sum("__k").over(w.orderBy("__q").rowsBetween(Window.unboundedPreceding, -1))).alias("__before"), F.sum("__k").over(w).alias("n"))
-    place = F.row_number().over(Window.partitionBy("__p", *([bucket] if bucket else [])).orderBy(*order)) - 1
-    rows = ranged.withColumn("__rn", place).withColumn("__own", own)
-    same = (F.col("__p") == F.col("__q")) & F.col("__own").eqNullSafe(F.col("__b"))
-    out = rows.join(offsets, same)
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__rn") + F.coalesce("__before", F.lit(0))).alias("rn"), "n")
+    earlier = lambda v: F.coalesce(F.sum("__k").over(v.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # rows of the bucket in ranges before, less rows of other buckets before it in its range
+    shift = earlier(w.orderBy("__q")) - earlier(Window.partitionBy("__q").orderBy("__b"))
+    offsets = sizes.select("__b", "__q", shift.alias("__shift"), F.sum("__k").over(w).alias("n"))
+    out = rows.join(offsets, (F.col("__p") == F.col("__q")) & F.col("__own").eqNullSafe(F.col("__b")))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__at") + F.col("__shift")).alias("rn"), "n")
 
 
 def bucket_batches(df: DataFrame, bucket: str, id_col: str, order: Column, world: int, batch: int, drop_last: bool = True) -> DataFrame:
