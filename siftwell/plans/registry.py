@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import frames as V
 from ..functions import geometry as G
+from ..functions import prompts
 from ..functions import scales as S
 from ..functions import text as X
 from ..operators import dedup, fanout, graph, joins, labels, profile, rules, sampling, selection, similarity, tables, timeline
-from ..sources import metadata
+from ..sources import features, metadata, outputs, shards
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -894,3 +895,114 @@ def two_phase_dedup(spark, d):
     method = dedup.VectorDeduplicator("cosmos", least=0.4, k=10_000)
     out = dedup.dedup_rows(rows, [method], f"{tables.shared_folder(spark)}/dedup-{uuid.uuid4().hex}", parts=2).where("cosmos_group_id <> ''")
     return out.select("id", F.col("cosmos_group_size").alias("group_size"), F.col("cosmos_is_best_clip_in_group").alias("is_best"), F.col("cosmos_best_clip_id_in_group").alias("best_id"))
+
+
+# --- sources and sinks: tables written into the shared folder and read again --------------------------------
+
+def _folder(spark):
+    return f"{tables.shared_folder(spark)}/unit-{uuid.uuid4().hex}"
+
+
+@query("SELECT o_orderkey, o_totalprice::DOUBLE AS price FROM orders WHERE o_totalprice > 150000")
+def unit_round_trip(spark, d):
+    rows, path = t(spark, d, "orders"), _folder(spark)
+    shards.write_unit(rows, path, "order", rows_per_shard=2000)
+    return shards.read_unit(spark, path, "order", rows.schema, columns=["o_orderkey", "o_totalprice"], where=F.col("o_totalprice") > 150000).select("o_orderkey", F.col("o_totalprice").cast("double").alias("price"))
+
+
+@query("SELECT o_orderkey, n::BIGINT AS n FROM (SELECT o_orderkey, 1 AS n FROM orders UNION ALL SELECT o_orderkey, 2 FROM orders WHERE o_orderkey % 3 = 0)")
+def unit_appended(spark, d):
+    rows, path = t(spark, d, "orders").select("o_orderkey", F.lit(1).cast("long").alias("n")), _folder(spark)
+    shards.write_unit(rows, path, "order")
+    shards.write_unit(rows.where("o_orderkey % 3 = 0").withColumn("n", F.lit(2).cast("long")), path, "order", reset=False)
+    return shards.read_unit(spark, path, "order", rows.schema)
+
+
+@query("SELECT count(*) AS rows, min(o_orderkey) AS o_orderkey_min, max(o_orderkey) AS o_orderkey_max, min(o_totalprice)::DOUBLE AS o_totalprice_min, max(o_totalprice)::DOUBLE AS o_totalprice_max FROM orders")
+def footer_stats(spark, d):
+    rows, path = t(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice")), _folder(spark)
+    shards.write_unit(rows, path, "order")
+    return shards.footer_stats(spark, path, "order", rows.schema, ["o_orderkey", "o_totalprice"])
+
+
+@query("SELECT 'pass' AS part, count(*) AS n FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'reject', count(*) FROM orders WHERE o_orderstatus <> 'F'")
+def pass_reject_parts(spark, d):
+    rows, path = t(spark, d, "orders").select("o_orderkey", (F.col("o_orderstatus") == "F").cast("long").alias("ok")), _folder(spark)
+    shards.write_pass_reject(rows, path, "order", "ok")
+    part = lambda name: shards.read_unit(spark, f"{path}/{name}", "order", rows.schema).groupBy(F.lit(name).alias("part")).agg(F.count("*").alias("n"))
+    return part("pass").union(part("reject"))
+
+
+@query("SELECT 'clips/' || o_orderkey || '.mp4' AS path, (o_custkey % 7)::VARCHAR AS label, (o_custkey % 7)::DOUBLE AS number FROM orders")
+def manifest_round_trip(spark, d):
+    lines, path = t(spark, d, "orders").select(F.concat(F.lit("clips/"), F.col("o_orderkey").cast("string"), F.lit(".mp4")).alias("p"), (F.col("o_custkey") % 7).cast("string").alias("l")), _folder(spark)
+    shards.write_manifest(sampling.manifest_lines(lines, "p", "l"), path)
+    return shards.read_manifest(spark, path).withColumn("number", shards.label_number(F.col("label")))
+
+
+@query("""SELECT id, source, count(*) OVER (PARTITION BY shard) AS shard_rows FROM (SELECT doc_id AS id, source, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS shard FROM documents)""")
+def metadata_round_trip(spark, d):
+    path = _folder(spark)
+    metadata.write_metadata(t(spark, d, "documents").select(F.col("doc_id").alias("id"), "source"), path, "id", 100)
+    items = metadata.read_metadata(spark, path, "id long, source string", required=["id"], shard_col="shard")
+    sizes = items.groupBy("shard").agg(F.count("*").alias("shard_rows"))
+    return items.join(sizes, "shard").select("id", "source", "shard_rows")
+
+
+@query("SELECT vec_id, len(embedding)::INT AS value_count, round(embedding[1]::DOUBLE, 5) AS first FROM embeddings")
+def feature_store(spark, d):
+    path = _folder(spark)
+    features.save_features(t(spark, d, "embeddings").select("vec_id", "embedding"), path, "embedding", "vectors", "v1")
+    return features.load_features(spark, path).select("vec_id", "value_count", F.round(F.col("embedding")[0].cast("double"), 5).alias("first"))
+
+
+@query("SELECT DISTINCT o_custkey::VARCHAR AS id FROM orders WHERE o_orderkey % 2 = 0")
+def id_lists(spark, d):
+    path = _folder(spark)
+    outputs.write_id_lists(t(spark, d, "orders").where("o_orderkey % 2 = 0"), path, "o_orderkey", "o_orderkey", "o_custkey")
+    return shards.read_ids(spark, [f"{path}/video_ids.txt"], strict=True)
+
+
+# --- passes merged, texts, coercions ------------------------------------------------------------------------
+
+@query("""SELECT o_orderkey, CASE WHEN o_custkey % 3 = 0 THEN 'optical,motion' ELSE 'optical,text,motion' END AS filters, least(CASE WHEN o_custkey % 5 = 0 THEN 0 ELSE 1 END, CASE WHEN o_custkey % 2 = 0 THEN 0 ELSE 1 END)::BIGINT AS ok,
+ concat_ws('; ', CASE WHEN o_custkey % 5 = 0 THEN 'first' END, CASE WHEN o_custkey % 2 = 0 THEN 'second' END) AS error, 2::BIGINT AS run FROM orders""")
+def merged_passes(spark, d):
+    k, names = F.col("o_custkey"), lambda *n: F.array(*map(F.lit, n))
+    one = t(spark, d, "orders").select("o_orderkey", F.when(k % 3 == 0, names("optical")).otherwise(names("optical", "text")).alias("filters"), (k % 5 > 0).cast("long").alias("ok"), F.when(k % 5 == 0, "first").otherwise("").alias("error"), F.lit(1).cast("long").alias("run"))
+    two = t(spark, d, "orders").select("o_orderkey", names("motion", "optical").alias("filters"), (k % 2 > 0).cast("long").alias("ok"), F.when(k % 2 == 0, "second").otherwise("").alias("error"), F.lit(2).cast("long").alias("run"))
+    return joins.merge_pass(one, two, "o_orderkey", "filters", "ok", "error").select("o_orderkey", F.array_join("filters", ",").alias("filters"), "ok", "error", "run")
+
+
+@query("""SELECT p_partkey, 'Describe.' || chr(10) || chr(10) || 'Frames:' || chr(10) || '- frame_0000: 0.000s' || chr(10) || '- frame_0001: ' || CASE WHEN p_partkey % 4 = 0 THEN 'unknown' ELSE printf('%.3fs', p_size / 8::DOUBLE) END
+ || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE chr(10) || chr(10) || 'Audio transcript:' || chr(10) || p_name END || chr(10) || chr(10) || 'Camera labels:' || chr(10) || 'size: ' || p_size || chr(10) || 'brand: ' || p_brand AS prompt FROM part""")
+def caption_prompts(spark, d):
+    seconds = F.array(F.lit(0.0), F.when(F.col("p_partkey") % 4 == 0, -1.0).otherwise(F.col("p_size") / 8))
+    labels_ = prompts.label_lines(F.struct(F.col("p_size").alias("size"), F.col("p_brand").alias("brand")), ["size", "brand"])
+    heard = F.when(F.col("p_partkey") % 3 == 0, " ").otherwise(F.col("p_name"))
+    return t(spark, d, "part").select("p_partkey", prompts.caption_prompt("Describe.", seconds, heard, labels_, F.lit("")).alias("prompt"))
+
+
+@query("""SELECT event_id, try_cast(trim(replace(props, '"', '')) AS DOUBLE) IS NULL AS odd, event_type IN ('view', 'click') AS seen, CASE WHEN user_id % 9 > 0 THEN event_type END AS kind, CASE user_id % 4 WHEN 0 THEN ['a', 'b'] WHEN 1 THEN [event_type] ELSE [] END::VARCHAR AS names FROM events""")
+def coerced_settings(spark, d):
+    u, e = F.col("user_id"), F.col("event_type")
+    flag = F.when(e.isin("view", "click"), F.when(u % 2 == 0, " Yes").otherwise("1")).otherwise(F.when(u % 2 == 0, "off").otherwise(""))
+    names = F.when(u % 4 == 0, F.lit('["a", "b"]')).when(u % 4 == 1, e).when(u % 4 == 2, F.lit(" ")).otherwise(F.lit("[]"))
+    listed = F.concat(F.lit("["), F.array_join(prompts.coerce_names(names), ", "), F.lit("]"))
+    return t(spark, d, "events").select("event_id", prompts.coerce_number(F.trim(F.regexp_replace("props", '"', ""))).isNull().alias("odd"), prompts.coerce_bool(flag).alias("seen"), prompts.coerce_optional(F.when(u % 9 > 0, F.concat(F.lit(" "), e)).otherwise(F.lit(" NULL "))).alias("kind"), listed.alias("names"))
+
+
+@query("""SELECT p_partkey, list_transform(generate_series(0, p_size % 6), lambda i: CASE WHEN i < p_size % 6 THEN format('{:.6f}', least(i / 4::DOUBLE, 1.0::DOUBLE))::DOUBLE ELSE -1 END)::DOUBLE[]::VARCHAR AS seconds,
+ regexp_replace(p_name, 'a', 'b', 'g') = p_name AS clean, CASE WHEN p_size % 2 = 0 THEN 'x/' || p_partkey ELSE '/data/x/' || p_partkey END AS path FROM part""")
+def frame_times(spark, d):
+    n = F.col("p_size") % 6
+    seconds = geometry_times(n)
+    path = X.strip_prefix_path(F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("/root/x/"), F.col("p_partkey").cast("string"))).otherwise(F.concat(F.lit("/data/x/"), F.col("p_partkey").cast("string"))), "/root")
+    as_text = F.concat(F.lit("["), F.array_join(F.transform(seconds, lambda s: s.cast("string")), ", "), F.lit("]"))
+    return t(spark, d, "part").select("p_partkey", as_text.alias("seconds"), (~F.col("p_name").contains("a")).alias("clean"), path.alias("path"))
+
+
+def geometry_times(n):
+    """Seconds of n frames at four a second, no later than one, filled up by one that is unknown."""
+    times = G.uniform_timestamps(n, F.lit(4.0), F.lit(1.0))
+    return F.transform(F.sequence(F.lit(0), n), lambda i: F.coalesce(F.get(times, i), F.lit(-1.0)))
