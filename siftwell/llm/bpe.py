@@ -26,14 +26,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, slices
+from .common import KEPT, gathered, in_arrow
 
 #: Entries of a Python worker's cache of chunks and words; a full cache is kept until the next one is full.
-CACHE = 150_000
+CACHE = 60_000
 #: Punctuation that is a word of its own behind a word of letters.
 _MARKS = frozenset(".,;:!?")
 #: Words of more symbols than this are never merged by the array form.
 ARRAY_SYMBOLS = 24
+#: Words that the array form merges at once.
+ROWS = 4096
 _INF = np.int32(2**31 - 1)
 
 
@@ -56,7 +58,7 @@ class PairTable:
     def __init__(self, pairs: dict[int, tuple[int, int]]):
         keys = np.fromiter(pairs, np.int64, len(pairs))
         values = np.array(list(pairs.values()), np.int32).reshape(-1, 2)
-        self.bits = 20
+        self.bits = 19
         one, rest = self._fill(keys, values, 0x9E3779B97F4A7C15)
         two, left = self._fill(keys[rest], values[rest], 0xC2B2AE3D27D4EB4F)
         self.tables = [one, two]
@@ -153,7 +155,7 @@ class WordBpe:
             for k, i in enumerate(rows.tolist()):
                 out[i] = data[k * size : (k + 1) * size]
 
-        for length, members in by_length.items():
+        for length, members in ((n, g[at : at + ROWS]) for n, g in by_length.items() for at in range(0, len(g), ROWS)):
             if length > ARRAY_SYMBOLS:
                 for i in members:
                     out[i] = array("I", self.merge(self.symbols(words[i]))).tobytes()
@@ -250,6 +252,9 @@ def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+KEPT["bpe"] = load.cache_clear
+
+
 def bpe_round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes and decodes every text: (id_col, ids array<int>, decoded string).
 
@@ -260,14 +265,14 @@ def bpe_round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for b in slices(batches):
+        for b in gathered(batches):
             ids, counts = bpe.encode_column(b.column(1).to_pylist())
             ends = np.cumsum(counts)
             text = [bpe.decode(ids[e - n : e].tolist()) for n, e in zip(counts.tolist(), ends.tolist())]
             offsets = np.concatenate([[0], ends]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32))), pa.array(text, pa.string())], names=[id_col, "ids", "decoded"])
 
-    return in_arrow(_source(df, id_col, text_col), run, f"`{id_col}` {kind}, ids array<int>, decoded string")
+    return in_arrow(_source(df, id_col, text_col), run, f"`{id_col}` {kind}, ids array<int>, decoded string", keep="bpe")
 
 
 def bpe_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -276,7 +281,7 @@ def bpe_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for b in slices(batches):
+        for b in gathered(batches):
             ids, counts = bpe.encode_column(b.column(1).to_pylist())
             ends, of_ids, of_text = np.cumsum(counts), [], []
             for n, e in zip(counts.tolist(), ends.tolist()):
@@ -285,7 +290,7 @@ def bpe_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 of_text.append(hashlib.sha256(bpe.decode(own.tolist()).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_text)], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return in_arrow(_source(df, id_col, text_col), run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return in_arrow(_source(df, id_col, text_col), run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string", keep="bpe")
 
 
 def _source(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

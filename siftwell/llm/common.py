@@ -15,7 +15,7 @@ from siftwell.operators.tables import bounded_batches, durable, removed, shared_
 __all__ = ["connected", "durable", "free_name", "gathered", "in_arrow", "released", "removed", "shared_folder", "shuffle_partitions", "slices", "stored", "table", "text_or_empty"]
 
 #: Python workers handle at most about so many bytes of text at once, and get at most so many bytes in a batch (a row at least).
-SLICE_BYTES, BATCH_BYTES = 4 << 20, 8 << 20
+SLICE_BYTES, BATCH_BYTES = 4 << 20, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,11 +55,26 @@ def released() -> None:
         trim(0)
 
 
-def in_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """df.mapInArrow() in batches of BATCH_BYTES at most, a bound that the session keeps: Spark counts rows otherwise, and texts are long."""
+#: What Python workers keep from task to task, by name: how to let go of it.
+KEPT: dict[str, Callable[[], object]] = {}
+
+
+def let_go(keep: str = "") -> None:
+    """Drops what is kept in this process, but for `keep`."""
+    for name, drop in KEPT.items():
+        if name != keep:
+            drop()
+
+
+def in_arrow(df: DataFrame, run: Callable, schema, keep: str = "") -> DataFrame:
+    """df.mapInArrow() in batches of BATCH_BYTES at most, a bound that the session keeps: Spark counts rows otherwise, and texts are long.
+
+    A task lets go of what other operators' tasks have left in its worker (KEPT), all but `keep`.
+    """
     bounded_batches(df.sparkSession, BATCH_BYTES)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(keep)
         yield from run(batches)
         released()
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import PairTable
-from .common import free_name, in_arrow, slices
+from .common import KEPT, free_name, in_arrow, let_go, slices
 
 START = "▁"
 #: Chunks that a Python worker remembers, and characters of a word up to which plain products cannot vanish.
@@ -67,6 +67,9 @@ def pieces(path: str) -> PieceIndex:
     return PieceIndex({p: i for i, p in enumerate(kept)})
 
 
+KEPT["langid"] = pieces.cache_clear
+
+
 def words_of(chunk: str) -> list[str]:
     """Marked words of a chunk; capitals alone are no other word."""
     words = [chunk] if chunk.isalpha() else _LETTERS.findall(chunk)
@@ -209,6 +212,7 @@ def train_language_id(df: DataFrame, path: str, text_col: str = "text", lang_col
     sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(space)) < share[F.col("lang")]).distinct()
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        let_go("langid")
         counts: Counter = Counter()
         for text in pdf["text"]:
             counts.update(w for chunk, n in Counter(text.split()).items() for w in words_of(chunk) for _ in range(n))
@@ -301,7 +305,7 @@ def identify_language(df: DataFrame, model: LanguageModel, path: str, id_col: st
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(pred, pa.string()), pa.array(np.where(known, share, 0.0))], names=[id_col, "lang_pred", "score"])
 
     source = df.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return in_arrow(source, run, f"`{id_col}` {kind}, lang_pred string, score double")
+    return in_arrow(source, run, f"`{id_col}` {kind}, lang_pred string, score double", keep="langid")
 
 
 def keep_language(df: DataFrame, model: LanguageModel, path: str, text_col: str = "text") -> DataFrame:
@@ -328,4 +332,4 @@ def keep_language(df: DataFrame, model: LanguageModel, path: str, text_col: str
             yield b.select(list(range(at))).filter(pa.array((words > 0) & (each[np.arange(len(best)), best] / n >= least)))
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(free_name("__text", df.columns))
-    return in_arrow(df.select("*", text), known, df.schema)
+    return in_arrow(df.select("*", text), known, df.schema, keep="langid")
