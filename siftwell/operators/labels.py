@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,11 @@ def json_object(text: Column, salvage: bool = False) -> Column:
     return F.when(kind.startswith("OBJECT"), raw)
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value) with the value worked out once a row, however often it is used; branches of a condition share nothing otherwise."""
+    return F.transform(F.array(value), then)[0]
+
+
 @dataclass(frozen=True)
 class LabelSchema:
     """Single fields with their values; groups of such; list fields with their values and those that stand alone; free text fields; fields of one fixed value."""
@@ -37,11 +43,22 @@ class LabelSchema:
 
     def error(self, text: Column) -> Column:
         """Why the label text is invalid, null if it is valid."""
-        obj = json_object(text)
-        value = F.from_json(obj, self.ddl())
+        return _once(self._read(text), self._error)
+
+    def _read(self, text: Column) -> Column:
+        """struct of the object, its values and keys, and the keys of its groups: the text is parsed once for each of these."""
+
+        def parts(obj: Column) -> Column:
+            own = [F.json_object_keys(F.get_json_object(obj, f"$.{g}")).alias(f"keys_{g}") for g in self.groups]
+            return F.struct(obj.alias("obj"), F.from_json(obj, self.ddl()).alias("value"), F.json_object_keys(obj).alias("keys"), *own)
+
+        return _once(json_object(text), parts)
+
+    def _error(self, read: Column) -> Column:
+        value, keys = read["value"], read["keys"]
         names = lambda keys: F.array(*map(F.lit, keys))
-        out = F.when(obj.isNull(), F.lit("not an object"))
-        keys, known = F.json_object_keys(obj), names(self.fields())
+        out = F.when(read["obj"].isNull(), F.lit("not an object"))
+        known = names(self.fields())
         out = out.when(F.size(F.array_except(keys, known)) > 0, F.lit("unknown field")).when(F.size(F.array_except(known, keys)) > 0, F.lit("missing field"))
         for k, domain in self.single.items():
             out = out.when(value[k].isNull() | ~value[k].isin(domain), F.lit(f"bad {k}"))
@@ -50,7 +67,7 @@ class LabelSchema:
         for k, only in self.fixed.items():
             out = out.when(~value[k].eqNullSafe(F.lit(only)), F.lit(f"bad {k}"))
         for g, fields in self.groups.items():
-            own, inside = F.json_object_keys(F.get_json_object(obj, f"$.{g}")), names(fields)
+            own, inside = read[f"keys_{g}"], names(fields)
             out = out.when(own.isNull() | (F.size(F.array_except(own, inside)) > 0) | (F.size(F.array_except(inside, own)) > 0), F.lit(f"bad {g}"))
             for k, domain in fields.items():
                 out = out.when(value[g][k].isNull() | ~value[g][k].isin(domain), F.lit(f"bad {g}.{k}"))
@@ -62,8 +79,20 @@ class LabelSchema:
 
     def parse(self, text: Column) -> Column:
         """struct of the labels, list values distinct; the fallback (all `unknown`, free fields blank) where invalid."""
-        value = F.from_json(text, self.ddl())
-        ok = self.error(text).isNull()
+        return self.checked(text)["labels"]
+
+    def checked(self, text: Column) -> Column:
+        """struct of error() as `error` and parse() as `labels`, from one reading of the text."""
+
+        def both(read: Column) -> Column:
+            return _once(
+                F.struct(read["value"].alias("value"), self._error(read).alias("error")),
+                lambda r: F.struct(r["error"].alias("error"), self._labels(r["value"], r["error"].isNull()).alias("labels")),
+            )
+
+        return _once(self._read(text), both)
+
+    def _labels(self, value: Column, ok: Column) -> Column:
         one = lambda v, k: F.when(ok, v).otherwise(F.lit("unknown")).alias(k)
         cols = [one(value[k], k) for k in self.single]
         cols += [F.when(ok, value[k]).otherwise(F.lit("")).alias(k) for k in self.free]

@@ -407,7 +407,7 @@ def label_counts(spark, d):
 def label_validate(spark, d):
     schema = labels.LabelSchema(single={"k": [str(i) for i in range(50)]})
     e = t(spark, d, "events")
-    return e.select("event_id", F.coalesce(schema.error(F.col("props")), F.lit("")).alias("error"), schema.parse(F.col("props"))["k"].alias("k"))
+    return e.select("event_id", schema.checked(F.col("props")).alias("c")).select("event_id", F.coalesce("c.error", F.lit("")).alias("error"), "c.labels.k")
 
 
 @query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) rn FROM events WHERE event_type <> 'error') WHERE rn = 1")
@@ -683,7 +683,7 @@ def _tagged(spark, d):
 @query(f"""SELECT p_partkey, CASE WHEN watermark = 'huge' THEN 'bad watermark' WHEN len(actions) > 1 THEN 'actions mixes an exclusive value' END AS error,
  CASE WHEN error IS NULL THEN domain ELSE 'unknown' END AS tag_domain, CASE WHEN error IS NULL THEN watermark ELSE 'unknown' END AS tag_watermark, CASE WHEN error IS NULL THEN array_to_string(subjects, ',') ELSE 'unknown' END AS tag_subjects FROM ({_TAGGED})""")
 def tag_labels(spark, d):
-    rows = _tagged(spark, d).select("p_partkey", labels.TAG.error(F.col("json")).alias("error"), labels.TAG.parse(F.col("json")).alias("l"))
+    rows = _tagged(spark, d).select("p_partkey", labels.TAG.checked(F.col("json")).alias("c")).select("p_partkey", "c.error", F.col("c.labels").alias("l"))
     return rows.select("p_partkey", "error", *labels.TAG.flat(F.col("l"), "tag")).select("p_partkey", "error", "tag_domain", "tag_watermark", F.array_join("tag_subjects", ",").alias("tag_subjects"))
 
 
@@ -691,7 +691,7 @@ def tag_labels(spark, d):
  SELECT 'domain' AS field, domain AS label FROM g UNION ALL SELECT 'scene', scene FROM g UNION ALL SELECT 'style', style FROM g UNION ALL SELECT 'subjects', unnest(subjects) FROM g UNION ALL SELECT 'actions', unnest(actions) FROM g)
 SELECT field, label, count(*) AS n, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM g), 2) AS percent FROM x GROUP BY 1, 2""")
 def tag_label_counts(spark, d):
-    good = _tagged(spark, d).where(labels.TAG.error(F.col("json")).isNull()).select(labels.TAG.parse(F.col("json")).alias("l"))
+    good = _tagged(spark, d).select(labels.TAG.checked(F.col("json")).alias("c")).where("c.error is null").select(F.col("c.labels").alias("l"))
     return labels.all_label_counts(good, F.col("l"), labels.TAG).where("n > 0 and field in ('domain', 'scene', 'style', 'subjects', 'actions')")
 
 
@@ -869,7 +869,7 @@ def camera_labels(spark, d):
     parts = [field(n, dom) for n, dom in s.single.items()] + [own[n].alias(n) for n in s.fixed]
     parts += [F.struct(*[field(n, dom) for n, dom in fields.items()]).alias(g) for g, fields in s.groups.items()]
     rows = t(spark, d, "part").select("p_partkey", F.to_json(F.struct(*parts, effects.alias("effects"))).alias("json"))
-    rows = rows.select("p_partkey", s.error(F.col("json")).alias("error"), s.parse(F.col("json")).alias("l"))
+    rows = rows.select("p_partkey", s.checked(F.col("json")).alias("c")).select("p_partkey", "c.error", F.col("c.labels").alias("l"))
     return rows.select("p_partkey", "error", "l.motion_type", F.col("l.rotation.tilt").alias("tilt"), F.array_join("l.effects", ",").alias("effects"), "l.label_version")
 
 
