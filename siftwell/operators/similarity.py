@@ -4,21 +4,29 @@ Vectors meet in blocks around pivots, of which most pairs are dropped unseen (ve
 codes within d bits of each other some part differs in few bits, so candidates come from an equi-join and are verified. Parts
 that many codes share are dealt again together with a second part. Equal codes are one code while candidates are found, so
 copies never pair with each other there, and a pair is a candidate once, by the first of the parts that it could be found by.
+Bits that all codes agree in are in no part. Where a radius takes in so much of a code that parts would make more work than
+all pairs, blocks of codes are compared with each other, packed, by counting bits.
 """
 
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 from math import comb
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import vectors
-from .tables import stored
+from .tables import bounded_batches, crossed, stored
 
 #: Different codes of one value of a part, beyond which they are dealt again; most masks of changed bits for a part.
 CROWD, MASKS = 20_000, 5_000
+#: Codes of a block; comparisons in blocks that take as long as one row of a join on parts.
+BLOCK, PER_ROW = 8192, 200
 
 
 def cosine_pairs(df: DataFrame, least: float, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -40,8 +48,8 @@ def sign_code(vector: str, bits: int = 63):
 def hamming_pairs(df: DataFrame, most: int, id_col: str = "id", code_col: str = "code", bits: int = 64) -> DataFrame:
     """(a, b, distance) of all pairs a < b of codes (longs of `bits` bits) that differ in at most `most` bits."""
     rows = df.select(F.col(id_col).alias("id"), F.col(code_col).alias("code")).where("id is not null and code is not null")
-    near = near_codes(rows.select(F.array("code").alias("code")), most, words=1, bits=bits)
-    near = near.select(F.col("x")[0].alias("ca"), F.col("y")[0].alias("cb"), "distance").where("ca < cb")
+    near = near_codes(rows.select(F.array("code").alias("code")), most, words=1, bits=bits, once=True)
+    near = near.select(F.col("x")[0].alias("ca"), F.col("y")[0].alias("cb"), "distance")
     same = rows.groupBy(F.col("code").alias("ca")).agg(F.count("*").alias("n")).where("n > 1").select("ca", F.col("ca").alias("cb"), F.lit(0).alias("distance"))
     out = near.union(same).join(rows.select(F.col("id").alias("a"), F.col("code").alias("ca")), "ca").join(rows.select(F.col("id").alias("b"), F.col("code").alias("cb")), "cb")
     out = out.where((F.col("ca") != F.col("cb")) | (F.col("a") < F.col("b")))
@@ -70,37 +78,122 @@ def _masks(width: int, radius: int) -> int:
     return sum(comb(width, r) for r in range(radius + 1))
 
 
-def part_count(bits: int, most: int, codes: int) -> int:
-    """Parts for which a join of so many codes, spread evenly, makes the fewest rows: values near a code's own, and codes that have them."""
+def _part_costs(bits: int, most: int, codes: int) -> dict[int, float]:
+    """By number of parts, the rows that a join of so many codes, spread evenly, makes for each: values near its own, and codes that have them."""
     costs = {}
     for m in range(1, bits + 1):
         width, tries = -(-bits // m), [_masks(-(-bits // m), r) for r in radii(most, m)]
         if width <= 62 and max(tries) <= MASKS:
             costs[m] = sum(n * (1 + codes / 2**width) for n in tries)
+    return costs
+
+
+def part_count(bits: int, most: int, codes: int) -> int:
+    """Parts for which a join of so many codes, spread evenly, makes the fewest rows: values near a code's own, and codes that have them."""
+    costs = _part_costs(bits, most, codes)
     if not costs:
         raise ValueError(f"{most} of {bits} bits are too many")
     return min(costs, key=costs.get)
 
 
-def near_codes(codes: DataFrame, most: int, words: int = 4, bits: int | None = None, crowd: int = CROWD, parts: int | None = None, asked: DataFrame | None = None) -> DataFrame:
+def _code_blocks(codes: DataFrame, words: int) -> DataFrame:
+    """(block, n, u): codes in blocks of up to BLOCK, u their bytes."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, part, number = np.zeros((0, words), "<i8"), 0, 0
+
+        def row(x: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([(part << 32) | number], pa.int64()), pa.array([len(x)], pa.int32()), pa.array([x.tobytes()], pa.binary())], names=["block", "n", "u"])
+
+        for b in batches:
+            if b.num_rows:
+                part = b.column(1)[0].as_py()
+                held = np.concatenate([held, b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, words)])
+                while len(held) >= BLOCK:
+                    yield row(held[:BLOCK])
+                    held, number = held[BLOCK:], number + 1
+        if len(held):
+            yield row(held)
+
+    whole = codes.where((F.size("code") == words) & F.forall("code", lambda w: w.isNotNull()))
+    return stored(whole.select("code", F.spark_partition_id().alias("part")).mapInArrow(pack, "block long, n int, u binary"))[0]
+
+
+def _near_in_blocks(rows: DataFrame, asked: DataFrame | None, most: int, words: int, varying: list[int], once: bool) -> DataFrame:
+    """near_codes() by comparing all codes, block by block; `varying` has the bits of each word in which codes differ."""
+    bounded_batches(rows.sparkSession)
+    kept = np.flatnonzero(np.array(varying, "<u8").view("u1"))
+    y = _code_blocks(rows, words)
+    x = y if asked is None else _code_blocks(asked, words)
+    mutual = asked is None
+
+    def packed(codes: np.ndarray) -> np.ndarray:
+        """The bytes that differ, as words by row."""
+        out = np.zeros((len(codes), -(-len(kept) // 8) * 8), "u1")
+        out[:, : len(kept)] = codes.view("u1")[:, kept]
+        return np.ascontiguousarray(out.view("<u8").T)
+
+    def listed(codes: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, codes.size + 1, words, dtype=np.int32)), pa.array(codes.ravel()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = {n: b.column(i) for i, n in enumerate(b.schema.names)}
+            for r in range(b.num_rows):
+                own, other = (np.frombuffer(at[c][r].as_py(), "<i8").reshape(-1, words) for c in ("xu", "yu"))
+                p, q = packed(own), packed(other)
+                alone = mutual and at["x"][r].as_py() == at["y"][r].as_py()
+                for s in range(0, len(own), 64):
+                    d = np.zeros((min(64, len(own) - s), len(other)), np.uint16)
+                    for one, two in zip(p, q):
+                        d += np.bitwise_count(np.bitwise_xor.outer(one[s : s + 64], two))
+                    i, j = np.nonzero(d <= most)
+                    far = d[i, j].astype(np.int32)
+                    keep = i + s < j if alone else far > 0  # codes are distinct
+                    i, j, far = i[keep] + s, j[keep], far[keep]
+                    for f, g in ((own[i], other[j]), (other[j], own[i]))[: 2 if mutual and not once else 1]:
+                        yield pa.RecordBatch.from_arrays([listed(f), listed(g), pa.array(far)], names=["x", "y", "distance"])
+
+    one = x.select(F.col("block").alias("x"), F.col("u").alias("xu"))
+    two = y.select(F.col("block").alias("y"), F.col("u").alias("yu"))
+    met = crossed(one, two, F.col("x") <= F.col("y") if mutual else None, 8 * words * BLOCK)
+    return met.mapInArrow(run, "x array<long>, y array<long>, distance int")
+
+
+def near_codes(codes: DataFrame, most: int, words: int = 4, bits: int | None = None, crowd: int = CROWD, parts: int | None = None, asked: DataFrame | None = None, once: bool = False) -> DataFrame:
     """(x, y, distance) of all ordered pairs of different codes (column code, arrays of `words` longs) within `most` bits; x only of the codes `asked`, if given.
 
     x is dealt by all values near its parts, y by the values of its own. A value that more than `crowd` codes have is
     dealt again for each second part: what is left of the distance leaves some other part with few bits, too. Codes have the
-    first `bits` bits of their words; null codes match nothing.
+    first `bits` bits of their words; null codes match nothing. Unless `parts` is given, codes are compared in blocks where that is less work.
+    With `once` (and none `asked`) an unordered pair comes once, either way round.
     """
     bits = bits or 64 * words
+    once = once and asked is None
     rows, _ = stored(codes.select("code").where("code is not null").distinct())
-    m = parts or part_count(bits, most, rows.count())
-    edges = [round(bits * i / m) for i in range(m + 1)]
+    mine = rows if asked is None else stored(rows.join(asked.select("code").distinct(), "code", "left_semi"))[0]
+    seen = rows.agg(F.count("*"), *[f(F.col("code")[i]) for i in range(words) for f in (F.bit_or, F.bit_and)]).first()
+    n, whole = seen[0], (1 << 64) - 1
+    varying = [((seen[1 + 2 * i] or 0) ^ (seen[2 + 2 * i] or 0)) & whole for i in range(words)]
+    places = [(w, b) for w in range(words) for b in range(64) if 64 * w + b < bits and varying[w] >> b & 1]
+    costs = _part_costs(len(places), most, n)
+    asking = n if asked is None else mine.count()
+    if not parts and (not costs or asking * n / (2 if asked is None else 1) <= PER_ROW * asking * min(costs.values())):
+        return _near_in_blocks(rows, None if asked is None else mine, most, words, varying, once)
+    m = parts or min(costs, key=costs.get)
+    edges = [round(len(places) * i / m) for i in range(m + 1)]
     radius = radii(most, m)
 
     def part(code: Column, i: int) -> Column:
-        (word, low), width = divmod(edges[i], 64), edges[i + 1] - edges[i]
-        value = F.shiftrightunsigned(code[word], low)
-        if low + width > 64:
-            value = value.bitwiseOR(F.shiftleft(code[word + 1], 64 - low))
-        return value.bitwiseAND(F.lit((1 << width) - 1)) if width < 64 else value
+        """Part i as one number: runs of bits side by side."""
+        value, here = F.lit(0).cast("long"), places[edges[i] : edges[i + 1]]
+        for _, run in itertools.groupby(enumerate(here), lambda e: (e[1][0], e[1][1] - e[0])):
+            (at, (word, low)), *more = run
+            width = len(more) + 1
+            bits_ = F.shiftrightunsigned(code[word], low)
+            bits_ = bits_.bitwiseAND(F.lit((1 << width) - 1)) if width < 64 else bits_
+            value = value.bitwiseOR(F.shiftleft(bits_, at)) if at else bits_
+        return value
 
     def own(code: Column, allowed: list[int]) -> Column:
         return F.array(*[F.struct(F.lit(i).alias("i"), part(code, i).alias("v")) for i in range(m) if allowed[i] >= 0])
@@ -127,10 +220,9 @@ def near_codes(codes: DataFrame, most: int, words: int = 4, bits: int | None = N
         return out
 
     y = rows.select(F.col("code").alias("y"), F.explode(own(F.col("code"), radius)).alias("p")).select("y", "p.i", "p.v")
-    mine = rows if asked is None else rows.join(asked.select("code").distinct(), "code", "left_semi")
     x = mine.select(F.col("code").alias("x"), F.explode(around(F.col("code"), radius)).alias("p")).select("x", "p.i", "p.v")
     distance = code_distance(F.col("x"), F.col("y"))
-    verified = lambda met: met.where(F.col("x") != F.col("y")).withColumn("distance", distance).where(F.col("distance") <= most)
+    verified = lambda met: met.where(F.col("x") < F.col("y") if once else F.col("x") != F.col("y")).withColumn("distance", distance).where(F.col("distance") <= most)
     crowded, _ = stored(y.groupBy("i", "v").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("i", "v"))
     if m < 2 or crowded.isEmpty():
         return verified(x.join(y, ["i", "v"])).where(F.col("i") == first(radius)).select("x", "y", "distance")
@@ -154,14 +246,23 @@ def hamming_matches(df: DataFrame, most: int, k: int, id_col: str = "id", code_c
 
     `code_col` is an array of longs. Of the rows that share a code only the first k + 1 ids can be anyone's neighbours,
     so no group of copies is held as a whole. With `self_counts` a row is its own first neighbour and takes one of the k places, but no row here.
+    Codes are asked for twice: what has its neighbours within a third of `most` bits needs no wider search.
     """
     k = k - 1 if self_counts else k
     rows = df.select(F.col(id_col).alias("id"), F.col(code_col).alias("code")).where("id is not null and code is not null")
     mine = rows if asked is None else asked.select(F.col(id_col).alias("id"), F.col(code_col).alias("code")).where("id is not null and code is not null")
     place = F.row_number().over(Window.partitionBy("code").orderBy("id"))
     first = rows.withColumn("rn", place).where(F.col("rn") <= k + 1).groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    first, _ = stored(first)
     same = first.select(F.col("code").alias("x"), F.col("code").alias("y"), F.lit(0).alias("distance"))
-    met = same.union(near_codes(first, most, words, asked=None if asked is None else mine)).join(first.withColumnRenamed("code", "y"), "y")
+    near = near_codes(first, most // 3, words, asked=None if asked is None else mine)
+    if most // 3 < most:
+        close, _ = stored(near)
+        ids = same.union(close).join(first.select(F.col("code").alias("y"), F.size("ids").alias("n")), "y").groupBy("x").agg(F.sum("n").alias("n"))
+        done, _ = stored(ids.where(F.col("n") > k).select("x"))
+        open_ = mine.select("code").distinct().join(done.withColumnRenamed("x", "code"), "code", "left_anti")
+        near = close.join(done, "x", "left_semi").union(near_codes(first, most, words, asked=open_))
+    met = same.union(near).join(first.withColumnRenamed("code", "y"), "y")
     each = met.select("x", "distance", F.explode("ids").alias("b"))
     best = each.withColumn("rn", F.row_number().over(Window.partitionBy("x").orderBy("distance", "b"))).where(F.col("rn") <= k + 1)
     out = mine.select(F.col("id").alias("a"), F.col("code").alias("x")).join(best.drop("rn"), "x").where("a <> b")

@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from math import ceil, sqrt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-#: Bytes of an Arrow batch to a Python worker, at most.
-BATCH_BYTES = 32 << 20
+#: Bytes of an Arrow batch to a Python worker, and of one side's rows in a task of crossed(), at most.
+BATCH_BYTES, SIDE_BYTES = 32 << 20, 64 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -36,6 +37,21 @@ def stored(df: DataFrame) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def crossed(left: DataFrame, right: DataFrame, condition: Column | None, row_bytes: int) -> DataFrame:
+    """All pairs of rows of two stored tables of few, large rows (of `row_bytes` at most) that meet the condition.
+
+    Each task takes one range of either side and reads both, so nothing is shuffled or sorted, however many pairs there are.
+    """
+    spread = ceil(sqrt(4 * left.sparkSession.sparkContext.defaultParallelism))
+
+    def cut(side: DataFrame) -> DataFrame:
+        rows = side.count()
+        return side.coalesce(max(1, min(rows, spread), ceil(rows * row_bytes / SIDE_BYTES)))
+
+    two = cut(right).hint("shuffle_replicate_nl")
+    return cut(left).crossJoin(two) if condition is None else cut(left).join(two, condition)
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Deletes what stored() has written."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
