@@ -3,8 +3,8 @@
 Pivots are picked from a bounded sample, far from each other. Each vector belongs to its nearest pivot; sorted by pivot and
 angle to it, vectors are cut into blocks, and a block knows the range of its members' angles to every pivot. By the
 triangle inequality for angles, two blocks whose ranges for some pivot lie further apart than the angle in question hold
-no pair: they are dropped by their summaries alone, before any vector moves. Each block that is left is shipped, packed in
-one row, once for every block that it has to meet, and a meeting is one matrix product.
+no pair: they are dropped by their summaries alone, before any vector moves. Blocks meet in tasks that each read one range of blocks
+for either side (tables.crossed), so no vector is shuffled, and a meeting is a matrix product, some rows at a time.
 
 A search for nearest neighbours goes twice: a block first meets itself and the nearest other one, and the k-th best
 cosines found there bound what it has to meet then.
@@ -20,10 +20,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import bounded_batches, stored
+from .tables import bounded_batches, crossed, stored
 
 #: Vectors of a block at most, and their bytes; pivots, and the sample that they are picked from.
-BLOCK, BLOCK_BYTES, PIVOTS, SAMPLE = 1024, 1 << 20, 32, 2048
+BLOCK, BLOCK_BYTES, PIVOTS, SAMPLE = 2048, 2 << 20, 32, 2048
+#: Rows of a block in one product; neighbours that a task holds before it lets go of all but the best.
+ROWS, HELD = 512, 1 << 19
 #: Angles and cosines are compared with this much room, as they are rounded on the way.
 ROOM = 1e-7
 
@@ -132,16 +134,18 @@ def vector_blocks(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
 def block_pairs(blocks: DataFrame) -> DataFrame:
     """(x, y, apart) of all pairs of blocks x <= y: how far apart two of their vectors are at least, in radians.
 
-    Pairs are found pivot by pivot, as an equi-join; only summaries take part.
+    Only summaries take part.
     """
-    s = blocks.select("block", "pivot", "low", "high")
-    few = s.select("pivot").distinct()  # PIVOTS rows at most
-    both = few.select(F.col("pivot").alias("p")).join(F.broadcast(few.select(F.col("pivot").alias("q"))), F.col("p") <= F.col("q"))
-    left = s.select(F.col("block").alias("bx"), F.col("pivot").alias("p"), F.col("low").alias("lx"), F.col("high").alias("hx"))
-    right = s.select(F.col("block").alias("by"), F.col("pivot").alias("q"), F.col("low").alias("ly"), F.col("high").alias("hy"))
-    met = left.join(F.broadcast(both), "p").join(right, "q").where((F.col("p") < F.col("q")) | (F.col("bx") <= F.col("by")))
+    s = blocks.select("block", "low", "high")
+    left = s.select(F.col("block").alias("x"), F.col("low").alias("lx"), F.col("high").alias("hx"))
+    right = s.select(F.col("block").alias("y"), F.col("low").alias("ly"), F.col("high").alias("hy"))
+    return crossed(left, right, F.col("x") <= F.col("y"), 1 << 10).select("x", "y", _apart().alias("apart"))
+
+
+def _apart() -> Column:
+    """How far apart two vectors of the blocks of ranges (lx, hx) and (ly, hy) are at least, in radians."""
     gaps = F.zip_with(F.arrays_zip("lx", "hx"), F.arrays_zip("ly", "hy"), lambda a, b: F.greatest(a["lx"] - b["hy"], b["ly"] - a["hx"]))
-    return met.select(F.least("bx", "by").alias("x"), F.greatest("bx", "by").alias("y"), F.greatest(F.array_max(gaps), F.lit(0.0)).alias("apart"))
+    return F.greatest(F.array_max(gaps), F.lit(0.0))
 
 
 def dropped_share(blocks: DataFrame, least: float) -> float:
@@ -151,20 +155,21 @@ def dropped_share(blocks: DataFrame, least: float) -> float:
     return gone / n if n else 0.0
 
 
-def _meetings(blocks: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (x, y and what else they have) with both blocks' ids and vectors."""
-    one = blocks.select(F.col("block").alias("x"), F.col("ids").alias("xi"), F.col("u").alias("xu"), F.col("n").alias("xn"))
-    two = blocks.select(F.col("block").alias("y"), F.col("ids").alias("yi"), F.col("u").alias("yu"), F.col("n").alias("yn"))
-    return pairs.join(one, "x").join(two, "y")
+def _side(blocks: DataFrame, side: str, *more: str) -> DataFrame:
+    """Columns of blocks for one side of a meeting: x, xi, xu, xn, lx, hx and <name>_x of more, or y likewise."""
+    own = [F.col("block").alias(side), *[F.col(c).alias(f"{side}{n}") for c, n in (("ids", "i"), ("u", "u"), ("n", "n"))]]
+    return blocks.select(*own, F.col("low").alias(f"l{side}"), F.col("high").alias(f"h{side}"), *[F.col(c).alias(f"{c}_{side}") for c in more])
 
 
 def _met(b: pa.RecordBatch) -> Iterator[tuple]:
-    """x, y, ids of both and the cosines, of each row of a batch of meetings (y, x, ..., xi, xu, xn, yi, yu, yn)."""
+    """Place in the batch, ids of both and the cosines of some rows of x, of each meeting (x, xi, xu, xn, y, yi, yu, yn) of a batch."""
     at = {n: b.column(i) for i, n in enumerate(b.schema.names)}
     for k in range(b.num_rows):
         (x, xn), (y, yn) = (tuple(at[f"{s}{c}"][k].as_py() for c in ("u", "n")) for s in ("x", "y"))
-        ids = [np.array(at[c][k].values.to_pylist()) for c in ("xi", "yi")]
-        yield k, *ids, np.frombuffer(x, "<f8").reshape(xn, -1) @ np.frombuffer(y, "<f8").reshape(yn, -1).T
+        xi, yi = (np.array(at[c][k].values.to_pylist()) for c in ("xi", "yi"))
+        x, y = np.frombuffer(x, "<f8").reshape(xn, -1), np.frombuffer(y, "<f8").reshape(yn, -1).T
+        for s in range(0, xn, ROWS):
+            yield k, xi[s : s + ROWS], yi, x[s : s + ROWS] @ y
 
 
 def pairs_within(df: DataFrame, least: float, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
@@ -173,7 +178,8 @@ def pairs_within(df: DataFrame, least: float, id_col: str = "vec_id", vector_col
         raise ValueError("least must be above 0")
     blocks = vector_blocks(df, id_col, vector_col, pivots, block)
     kind = blocks.schema["ids"].dataType.elementType
-    pairs = block_pairs(blocks).where(F.col("apart") <= float(np.arccos(least)) + ROOM).select("x", "y")
+    near = (F.col("x") <= F.col("y")) & (_apart() <= float(np.arccos(least)) + ROOM)
+    met = crossed(_side(blocks, "x"), _side(blocks, "y"), near, BLOCK_BYTES).select("x", "xi", "xu", "xn", "y", "yi", "yu", "yn")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,7 +193,7 @@ def pairs_within(df: DataFrame, least: float, id_col: str = "vec_id", vector_col
                 up = a < b
                 yield pa.RecordBatch.from_arrays([pa.array(np.where(up, a, b), t), pa.array(np.where(up, b, a), t), pa.array(c, pa.float64())], names=["a", "b", "cosine"])
 
-    return _meetings(blocks, pairs).mapInArrow(run, T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("cosine", T.DoubleType())]))
+    return met.mapInArrow(run, T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("cosine", T.DoubleType())]))
 
 
 def nearest(df: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", least: float = -1.0, pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
@@ -202,17 +208,31 @@ def nearest_of_blocks(blocks: DataFrame, k: int, least: float = -1.0, asked: Col
     out = T.StructType([T.StructField("id", kind), T.StructField("neighbour", kind), T.StructField("cosine", T.DoubleType()), T.StructField("home", T.LongType())])
 
     def best(s: np.ndarray, xi: np.ndarray, yi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the k best of each row, ties to the smaller id."""
-        order = np.argsort(yi, kind="stable")
-        s = np.round(s[:, order], 9)
-        s[xi[:, None] == yi[order][None]] = -np.inf
-        s[s < least] = -np.inf
-        top = np.argsort(-s, axis=1, kind="stable")[:, :k]
-        i = np.repeat(np.arange(len(xi)), top.shape[1])
-        some = np.isfinite(s[i, top.ravel()])
-        return np.stack([i[some], order[top.ravel()[some]]]), s[i, top.ravel()][some]
+        """Places of the k best of each row, with all that are as good as the last of them, and their cosines."""
+        n = s.shape[1]
+        if np.isin(xi, yi).any():
+            s = np.where(xi[:, None] == yi[None], -np.inf, s)
+        last = np.partition(s, n - k, axis=1)[:, n - k] if k < n else np.full(len(s), -np.inf)
+        i, j = np.nonzero(s >= np.maximum(last, least)[:, None] - 2e-9)  # cosines are rounded to nine places
+        c = np.round(s[i, j], 9)
+        some = np.isfinite(c) & (c >= least)
+        return np.stack([i[some], j[some]]), c[some]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count, low = [], 0, HELD // 2
+
+        def best_of_all() -> list[tuple]:
+            """The k best of each row among those held: others are no neighbours of it."""
+            own, other, c, home = (np.concatenate(v) for v in zip(*held))
+            order = np.lexsort((other, -c, own))
+            starts = np.flatnonzero(np.r_[True, own[order][1:] != own[order][:-1]])
+            place = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
+            order = order[place < k]
+            return [(own[order], other[order], c[order], home[order])]
+
+        def row(own: np.ndarray, other: np.ndarray, c: np.ndarray, home: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(own, t), pa.array(other, t), pa.array(c), pa.array(home)], names=["id", "neighbour", "cosine", "home"])
+
         for batch in batches:
             t = batch.schema.field("xi").type.value_type
             col = lambda c: batch.column(batch.schema.get_field_index(c))  # noqa: B023, E731
@@ -221,33 +241,43 @@ def nearest_of_blocks(blocks: DataFrame, k: int, least: float = -1.0, asked: Col
                 for own, other, m, home, asked in ((xi, yi, s, x[r], forth[r]), (yi, xi, s.T, y[r], back[r] and x[r] != y[r])):
                     if asked:
                         (i, j), c = best(m, own, other)
-                        yield pa.RecordBatch.from_arrays([pa.array(own[i], t), pa.array(other[j], t), pa.array(c), pa.array(np.full(len(i), home))], names=["id", "neighbour", "cosine", "home"])
-
-    def met(pairs: DataFrame) -> DataFrame:
-        return _meetings(blocks, pairs.select("x", "y", "forth", "back")).mapInArrow(run, out)
+                        held.append((own[i], other[j], c, np.full(len(i), home)))
+                        count += len(i)
+                if count > HELD:
+                    held = best_of_all()
+                    count = len(held[0][0])
+                    if count > low:
+                        yield row(*held[0])
+                        held, count = [], 0
+        if held:
+            yield row(*best_of_all()[0])
 
-    own = blocks.where(all_blocks).select("block", "n")
-    pairs = block_pairs(blocks)
-    for side in "xy":
-        pairs = pairs.join(own.select(F.col("block").alias(side), F.lit(True).alias(f"{side}_asked")), side, "left").withColumn(f"{side}_asked", F.coalesce(f"{side}_asked", F.lit(False)))
-    pairs, _ = stored(pairs.where("x_asked or y_asked"))
+    own = blocks.where(all_blocks).select("block", "n", F.lit(True).alias("asked"))
+    marked = blocks.join(own.select("block", "asked"), "block", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
     # first a block with itself and with the nearest other one
-    two = pairs.where("x < y")
-    sides = two.where("x_asked").select(F.col("x").alias("home"), F.col("y").alias("other"), "apart").union(two.where("y_asked").select("y", "x", "apart"))
-    near = sides.groupBy("home").agg(F.min(F.struct("apart", F.abs(F.col("home") - F.col("other")), "other"))["other"].alias("other"))
-    early = near.select(F.least("home", "other").alias("x"), F.greatest("home", "other").alias("y")).distinct()
-    alone = pairs.where("x = y and x_asked").select("x", "y", F.lit(True).alias("forth"), F.lit(False).alias("back"))
-    first, _ = stored(met(alone.union(two.join(early, ["x", "y"], "left_semi").select("x", "y", F.col("x_asked").alias("forth"), F.col("y_asked").alias("back")))))
+    two = block_pairs(blocks).where("x < y")
+    sides = two.select(F.col("x").alias("home"), F.col("y").alias("other"), "apart").union(two.select("y", "x", "apart"))
+    near = sides.groupBy("home").agg(F.min(F.struct("apart", F.abs(F.col("home") - F.col("other")), "other"))["other"].alias("next"))
+    marked, _ = stored(marked.join(near.withColumnRenamed("home", "block"), "block", "left"))
+    # each such pair once, though either block may be the other's nearest: (x, y) with the flags of both
+    needs = ["x", "xi", "xu", "xn", "y", "yi", "yu", "yn", "forth", "back"]
+    asking = marked.where("asked").select("block", "next")
+    early = asking.select(F.least("block", "next").alias("x"), F.greatest("block", "next").alias("y")).where("y is not null and x < y").distinct()
+    early = early.union(asking.select("block", "block"))
+    meet = early.join(_side(marked, "x", "asked"), "x").join(_side(marked, "y", "asked"), "y")
+    first, _ = stored(meet.withColumn("forth", F.col("asked_x")).withColumn("back", F.col("asked_y")).select(*needs).mapInArrow(run, out))
     # the least cosine that could still count for some row of a block
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("cosine"), "neighbour"))
     kth = first.withColumn("rank", rank).groupBy("id", "home").agg(F.max("rank").alias("n"), F.max(F.when(F.col("rank") == k, F.col("cosine"))).alias("kth"))
     bound = kth.groupBy("home").agg(F.min(F.coalesce("kth", F.lit(-2.0))).alias("bound"), F.count("*").alias("rows"))
     full = own.withColumnRenamed("block", "home").join(bound, "home", "left").select("home", F.greatest(F.when(F.col("rows") >= F.col("n"), F.col("bound")).otherwise(-2.0), F.lit(float(least))).alias("bound"))
     full = full.select("home", F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("bound") - 2e-9))).alias("within"))  # cosines are rounded to nine places
-    rest = two.join(early, ["x", "y"], "left_anti")
-    rest = rest.join(full.select(F.col("home").alias("x"), F.col("within").alias("wx")), "x", "left").join(full.select(F.col("home").alias("y"), F.col("within").alias("wy")), "y", "left")
-    reach = lambda w: F.coalesce(F.col("apart") <= F.col(w) + ROOM, F.lit(False))
-    rest = rest.select("x", "y", reach("wx").alias("forth"), reach("wy").alias("back")).where("forth or back")
-    found = first.unionByName(met(rest)).drop("home")
+    ready, _ = stored(marked.join(full.withColumnRenamed("home", "block"), "block", "left"))
+    reach = lambda side: F.coalesce(_apart() <= F.col(f"within_{side}") + ROOM, F.lit(False))
+    met_early = F.coalesce((F.col("next_x") == F.col("y")) & F.col("asked_x"), F.lit(False)) | F.coalesce((F.col("next_y") == F.col("x")) & F.col("asked_y"), F.lit(False))
+    left, right = (_side(ready, side, "asked", "next", "within") for side in "xy")
+    rest = crossed(left, right, (F.col("x") < F.col("y")) & ~met_early & (reach("x") | reach("y")), BLOCK_BYTES)
+    rest = rest.withColumn("forth", reach("x")).withColumn("back", reach("y")).select(*needs)
+    found = first.unionByName(rest.mapInArrow(run, out)).drop("home")
     w: Column = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("cosine"), "neighbour"))
     return found.withColumn("rank", w).where(F.col("rank") <= k).select("id", "rank", "neighbour", "cosine")
