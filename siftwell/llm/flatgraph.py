@@ -292,8 +292,10 @@ def _searched(asked: DataFrame, least: float, beam: int) -> DataFrame:
         v_all, c_all, main_all, medoid = t["v"].to_numpy(), t["c"].to_numpy(), t["main_home"].to_numpy(), flag("medoid")
         u = matrix(t["u"])
         x, v = u[nodes], v_all[nodes]
-        width = max(1, max(len(h) for h in t["homes"]))
-        homes = np.array([h + [-1 - i for i in range(width - len(h))] for h in t["homes"].to_pylist()], np.int64)
+        given = t["homes"].to_pylist()
+        width = max(1, max(map(len, given)))
+        homes = np.array([h + [0] * (width - len(h)) for h in given], np.int64)
+        real = np.arange(width) < np.array([len(h) for h in given])[:, None]  # what is behind a vertex's homes is no cell that two have in common
         here = np.int64(t["home"][0].as_py())
         # lists of all shards, as far as their ends are here
         near = t["near"].take(nodes).combine_chunks()
@@ -318,7 +320,7 @@ def _searched(asked: DataFrame, least: float, beam: int) -> DataFrame:
             for z in range(0, len(q), 1 << 16):
                 c = slice(z, z + (1 << 16))
                 a, b = homes[part[q[c]]], homes[nodes[to[c]]]
-                both = (a[:, :, None] == b[:, None, :]).any(axis=2)
+                both = ((a[:, :, None] == b[:, None, :]) & real[nodes[to[c]]][:, None, :]).any(axis=2) & real[part[q[c]]]
                 # counted in the first cell that both have, or else in the main one of the vertex that asks
                 lowest = np.where(both, a, np.iinfo(np.int64).max).min(axis=1)
                 counted[c] = np.where(both.any(axis=1), lowest == here, main_all[part[q[c]]] == here)

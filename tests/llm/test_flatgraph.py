@@ -76,6 +76,14 @@ def test_a_dense_group_beyond_a_shard(spark):
     assert found(spark, rows, shard=24) == sorted(by_hand(rows), key=str)
 
 
+def test_vertices_of_fewer_cells_than_others(spark):
+    """Groups within one cell count their links beside vertices of several cells, at the first search."""
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(cloud(5, 600, 12, 20))], "vec_id long, embedding array<double>, label int")
+    v = flatgraph.unit_vectors(df).selectExpr("id as v", "u", "1L as c", "'0' as cell")
+    links = flatgraph.vertex_links(v, 0.93, shard=60).groupBy("v").agg({"n": "sum"}).toDF("v", "n")
+    assert flatgraph.audit(v, links, 0.93, size=600) >= 0.99
+
+
 def test_odd_vectors(spark):
     a, b = [1.0, 0.0, 0.0], [0.99, 0.1, 0.0]
     rows = [
