@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected, durable, in_arrow, slices
+from .common import connected, durable, in_arrow, removed, slices, stored
 from .simhash import fingerprint_edges, in_groups, majority, stand_ins
 
 WIDTH, LEAST = 5, 0.8
@@ -159,13 +159,18 @@ def alike(pairs: DataFrame, sets: DataFrame, texts: DataFrame, least: float = LE
 
 def alike_edges(sets: DataFrame, texts: DataFrame, least: float = LEAST, width: int = WIDTH) -> DataFrame:
     """Edges (a, b) of alike sets whose components are those of all such pairs; sets are rows of shingle_sets(), texts their texts."""
-    some = durable(sets.where("n > 0").groupBy("fp").agg(*[F.first(c).alias(c) for c in ("sim", "n", "map", "lead")]))
+    spark = sets.sparkSession
+    whole, whole_at = stored(sets.where("n > 0").groupBy("fp").agg(*[F.first(c).alias(c) for c in ("sim", "n", "map", "lead")]))
+    some, some_at = stored(whole.drop("lead"))
     facts = facts_of(some)
     # shingles shared by prefixes, with a vertex drawn for each: names alone are dealt, facts are joined to what is left
-    rows = some.select("fp", F.explode("lead").alias("s"))
-    drawn = F.min_by("fp", F.xxhash64("fp", F.pmod("s", F.lit(HEADS))))
+    # names are dealt by shingle once, and both the drawing and the join read that; a name that a mask turns smallest is drawn
+    rows = whole.select("fp", F.explode("lead").alias("s")).repartition("s")
+    mask = F.xxhash64(F.pmod("s", F.lit(HEADS)))
+    drawn = F.min(F.col("fp").bitwiseXOR(mask)).bitwiseXOR(F.first(mask))
     heads = rows.groupBy("s").agg(drawn.alias("head"), F.count("*").alias("k")).where("k > 1").drop("k")
-    shared = durable(rows.join(heads, "s"))
+    shared, shared_at = stored(rows.join(heads, "s"))
+    removed(spark, whole_at)
     of = lambda side: lambda name: F.col(f"{side}.{name}")
 
     # sets of one fingerprint, and of fingerprints that the index links, meet in the smallest of them
@@ -181,20 +186,26 @@ def alike_edges(sets: DataFrame, texts: DataFrame, least: float = LEAST, width:
     groups = durable(connected(linked))
     known = shared.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("s", "fp", F.coalesce("component", "fp").alias("g"))
     apart = known.groupBy("s").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x < y").select("s")
-    met = durable(known.join(apart, "s").join(facts, "fp"))
+    met, met_at = stored(known.join(apart, "s").join(facts, "fp"))
+    removed(spark, shared_at)
     # both sides read one exchange, and the condition is part of the join: pairs out of reach never become rows
     x, y = of("x"), of("y")
     meets = (x("s") == y("s")) & (x("fp") < y("fp")) & (x("g") != y("g")) & within_reach(x, y, least)
     pairs = durable(met.alias("x").join(met.alias("y"), meets).select(x("fp").alias("a"), y("fp").alias("b")).distinct())
+    removed(spark, met_at)
+    rest = durable(alike(pairs, some, texts, least, width))
+    removed(spark, some_at)
     # the groups found so far are stars, to which the rest is added
-    return groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(alike(pairs, some, texts, least, width))
+    return groups.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest)
 
 
 def groups_of_copies(df: DataFrame, least: float = LEAST, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, fp, component_id, root) of every row."""
-    sets = durable(shingle_sets(df, least, width, id_col, text_col))
-    edges = durable(alike_edges(sets, _texts(df, text_col=text_col), least, width))
-    return in_groups(sets.select(id_col, "fp"), connected(edges), id_col)
+    sets, path = stored(shingle_sets(df, least, width, id_col, text_col))
+    names, _ = stored(sets.select(id_col, "fp"))
+    edges = alike_edges(sets, _texts(df, text_col=text_col), least, width)
+    removed(df.sparkSession, path)
+    return in_groups(names, connected(edges), id_col)
 
 
 def near_copies(df: DataFrame, least: float = LEAST, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,16 +26,30 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+@contextmanager
+def shuffles_let_go(spark: SparkSession) -> Iterator[None]:
+    """Queries planned within delete their shuffle files when they have ended; what is written durably needs them no more."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """df with its lineage cut by a reliable checkpoint in the shared folder; what its last stage does is done twice."""
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    with shuffles_let_go(df.sparkSession):
+        return df.select("*").checkpoint()
 
 
 def stored(df: DataFrame) -> tuple[DataFrame, str]:
     """df written as Parquet into the shared folder and read again, and its path. All is done once; the order of partitions is lost."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_let_go(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
