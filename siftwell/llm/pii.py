@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import removed, stored
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 PATTERNS = {
@@ -133,19 +133,19 @@ def disclosing_terms(held: DataFrame, texts: DataFrame, share: float = 0.9, supp
     discloses itself, with weight 1. Parts of an entity's value count only where they stand outside base spans.
     """
     named = held.select("digest", F.explode(entities(F.col("text"), F.col("spans"))).alias("entity")).groupBy("digest", "entity").agg(F.count("*").alias("copies"))
-    named = durable(named)
+    named, _ = stored(named)
     if named.isEmpty():
         return named.select("digest", F.lit("").alias("term"), F.lit(0.0).alias("weight")).limit(0)
     # entities of the very same texts are one class, named by their number and two hashes over them
     alike = named.groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.count("*").alias("texts"), F.bit_xor(F.xxhash64("digest")).alias("x"), F.bit_xor(F.xxhash64(F.reverse("digest"))).alias("y"))
     classes = alike.where(F.col("texts") >= support).select("entity", "n_entity", F.struct("texts", "x", "y").alias("class"))
-    classed = durable(named.join(classes, "entity").select("digest", "class", "copies", "n_entity").distinct())
+    classed, _ = stored(named.join(classes, "entity").select("digest", "class", "copies", "n_entity").distinct())
     often = classed.select("class", "n_entity").distinct()
     words = F.array_distinct(F.regexp_extract_all(F.lower(outside(F.col("text"), F.col("spans"))), F.lit(TERM), F.lit(0)))
     # one row a text and word: copies meet here, before words meet entities
     terms = held.select("digest", F.explode(words).alias("term")).distinct()
     joint = terms.join(classed.drop("n_entity"), "digest").groupBy("class", "term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("texts"))
-    joint = durable(joint.where(F.col("texts") >= support).drop("texts"))
+    joint, joint_at = stored(joint.where(F.col("texts") >= support).drop("texts"))
     # words are counted by task before they are shuffled; a word within a span counts for its text too
     spread = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
     everywhere = texts.select(F.explode(spread).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
@@ -155,7 +155,10 @@ def disclosing_terms(held: DataFrame, texts: DataFrame, share: float = 0.9, supp
     told = joint.join(everywhere, "term", "left").join(often, "class").withColumn("n_term", F.greatest("n_term", "n_both"))
     pmi = F.log2((F.col("n_both") + 0.5) / (F.col("n_term") + 1)) + content
     told = told.withColumn("weight", F.when(content > 0, pmi / content).otherwise(0.0)).where(F.col("weight") > share)
-    by_text = told.select("class", "term", "weight").join(classed, "class").join(terms, ["digest", "term"]).select("digest", "term", "weight")
+    # what is told is stored: its shuffles go before words are dealt to texts again, and pairs that tell nothing go too
+    told, _ = stored(told.select("class", "term", "weight"))
+    removed(held.sparkSession, joint_at)
+    by_text = told.join(classed, "class").join(terms, ["digest", "term"]).select("digest", "term", "weight")
     own = held.select("digest", F.explode(credentials(F.col("text"))).alias("term"), F.lit(1.0).alias("weight"))
     return by_text.union(own).groupBy("digest", "term").agg(F.max("weight").alias("weight"))
 
@@ -171,10 +174,13 @@ def find_personal_data(df: DataFrame, share: float = 0.9, support: int = 1, text
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     base = base_spans(text)
     names = (F.size(base) > 0) | text.rlike(CREDENTIAL)
-    every = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")
-    held = durable(rows.where(names).select(every, text.alias("text"), F.md5(text).alias("digest"), base.alias("spans")))
+    # columns are named by their places, and the text is stored once
+    every = F.struct(*[F.col(f"`{c}`").alias(f"{i}") for i, c in enumerate(rows.columns)]).alias("row")
+    held, _ = stored(rows.where(names).select(every, F.md5(text).alias("digest"), base.alias("spans")))
+    at = [c.lower() for c in rows.columns].index(text_col.strip("`").lower())
+    held = held.withColumn("text", F.coalesce(F.col(f"row.`{at}`").cast("string"), F.lit("")))
     terms = disclosing_terms(held.select("digest", "text", "spans"), df.select(text.alias("text")), share, support)
-    by_text = durable(terms.groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("weights")))
+    by_text, _ = stored(terms.groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("weights")))
     # at most SMALL short arrays are broadcast; more of them are joined with a shuffle of the texts that are held
     few = (by_text.select(F.size("weights").alias("n")).agg(F.sum("n")).first()[0] or 0) <= SMALL
     out = held.join(F.broadcast(by_text) if few else by_text, "digest", "left")
@@ -184,7 +190,7 @@ def find_personal_data(df: DataFrame, share: float = 0.9, support: int = 1, text
     apart = F.filter("found", lambda t: ~F.exists("spans", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])))
     # the row's own columns come last, as they may have any name
     marked = out.select("row", F.array_sort(F.concat("spans", apart)).alias("spans"), "weights")
-    told = marked.select(*[F.col(f"row.`{c}`").alias(f"{i}") for i, c in enumerate(rows.columns)], F.col("spans").alias("s"), F.col("weights").alias("w")).toDF(*rows.columns, spans_col, weights_col)
+    told = marked.select(*[F.col(f"row.`{i}`") for i in range(len(rows.columns))], F.col("spans").alias("s"), F.col("weights").alias("w")).toDF(*rows.columns, spans_col, weights_col)
     rest = rows.where(~names).select("*", none.alias(spans_col), F.lit(None).cast("map<string,double>").alias(weights_col))
     return told.union(rest)
 
