@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from siftwell.operators.graph import connected
 from siftwell.operators.tables import bounded_batches, durable, removed, shared_folder, stored
 
-__all__ = ["connected", "durable", "free_name", "gathered", "in_arrow", "released", "removed", "shared_folder", "shuffle_partitions", "slices", "stored", "table", "text_or_empty"]
+__all__ = ["connected", "durable", "free_name", "gathered", "in_arrow", "released", "removed", "shared_folder", "shuffle_partitions", "slices", "stored", "table", "text_or_empty", "trimmed"]
 
 #: Python workers handle at most about so many bytes of text at once, and get at most so many bytes in a batch (a row at least).
 SLICE_BYTES, BATCH_BYTES = 4 << 20, 4 << 20
@@ -55,6 +55,13 @@ def released() -> None:
         trim(0)
 
 
+def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; what was freed in handling one is given back before the next, so that a worker's memory is that of a batch and not of its task."""
+    for batch in batches:
+        yield batch
+        released()
+
+
 #: What Python workers keep from task to task, by name: how to let go of it.
 KEPT: dict[str, Callable[[], object]] = {}
 

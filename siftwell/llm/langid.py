@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import PairTable
-from .common import KEPT, free_name, in_arrow, let_go, slices
+from .common import KEPT, SLICE_BYTES, free_name, in_arrow, let_go, slices, trimmed
 
 START = "▁"
 #: Chunks that a Python worker remembers, and characters of a word up to which plain products cannot vanish.
@@ -324,7 +324,7 @@ def keep_language(df: DataFrame, model: LanguageModel, path: str, text_col: str
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, prob, usual = sent.value
         scorer = Scorer(path, prob)
-        for b in slices(batches, text=at):
+        for b in trimmed(slices(batches, text=at, most=SLICE_BYTES // 2)):
             log, each, words = scorer.score(b.column(at).to_pylist())
             best, n = log.argmax(axis=1), np.maximum(words, 1)
             mean, deviation = usual[best].T

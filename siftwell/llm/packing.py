@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .bpe import _source, load
-from .common import SLICE_BYTES, gathered, in_arrow
+from .common import SLICE_BYTES, gathered, in_arrow, trimmed
 
 SENTENCE, HARD, TAIL = 16.0, 256.0, 64.0
 #: Ids of a block, and the longest stretch without a cut, in ids.
@@ -160,7 +160,8 @@ def pack_documents(df: DataFrame, path: str, size: int = 4096, end_id: int = 2,
             yield pa.RecordBatch.from_arrays([pa.array(doc, batch.column(0).type), *numbers], names=names)
 
         batch = None
-        for batch in gathered(batches, most=SLICE_BYTES * (1 if with_ids else 4)):
+        # where ids are given out, the pipeline's other stages have filled the executor before: small slices then
+        for batch in trimmed(gathered(batches, most=SLICE_BYTES // 4)) if with_ids else gathered(batches, most=SLICE_BYTES * 4):
             ids, counts = bpe.encode_column(batch.column(1).to_pylist(), arrays=True)
             end = 0
             for doc, n in zip(batch.column(0).to_pylist(), counts.tolist()):

@@ -29,11 +29,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SLICE_BYTES, free_name, in_arrow, shuffle_partitions, slices
+from .common import KEPT, SLICE_BYTES, free_name, in_arrow, shuffle_partitions, slices
 
 WIDTH, GRAM = 100, 36
 #: Windows of a text that are handled at once; different segments of one anchor that may meet in one chunk; bytes of a chunk.
-SLAB, CROWD, CHUNK = 1 << 20, 2000, 2 << 20
+SLAB, CROWD, CHUNK = 1 << 20, 2000, 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -54,6 +54,7 @@ class _Powers:
 
 
 _powers: list[_Powers] = []
+KEPT["sadedup"] = _powers.clear
 
 
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -375,7 +376,7 @@ def repeats(texts: DataFrame, more: list) -> DataFrame:
     """Rows (d, text compressed, *more, keys, firsts, spans) from texts (d, text, *more): what _gone() needs to tell the bytes that go."""
     n = shuffle_partitions(texts.sparkSession)
     kind = texts.schema["d"].dataType.simpleString()
-    rows = in_arrow(texts.select("d", "text"), _key_rows, f"d {kind}, keys array<long>")
+    rows = in_arrow(texts.select("d", "text"), _key_rows, f"d {kind}, keys array<long>", keep="sadedup")
     runs = rows.select("d", F.explode("keys").alias("key"))
     often = runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     wanted = runs.join(often, "key").groupBy("d").agg(F.collect_set("key").alias("keys"))
@@ -383,7 +384,7 @@ def repeats(texts: DataFrame, more: list) -> DataFrame:
     docs = in_arrow(texts.select("d", *more, "text"), _zipped_rows, texts.select("d", *more, "text").schema)
     docs = docs.select(F.coalesce("d", F.lit("~" if kind == "string" else 0)).alias("d"), *more, "text")
     # a hash for each segment; copies: the first stands for all, the others are repeats as a whole
-    marks = in_arrow(docs.join(wanted, "d").select(*docs.columns, "keys"), _mark_rows, f"d {kind}, key long, h long, packed long")
+    marks = in_arrow(docs.join(wanted, "d").select(*docs.columns, "keys"), _mark_rows, f"d {kind}, key long, h long, packed long", keep="sadedup")
     first = marks.groupBy("key", "h").agg(F.min(F.struct("d", "packed")).alias("first"))
     firsts = first.groupBy(F.col("first.d").alias("d")).agg(F.collect_list("first.packed").alias("firsts"))
     # the bytes of the first ones of anchors that have several different segments
@@ -421,7 +422,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(kept))
 
     schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text_col else f.dataType) for f in df.schema])
-    return in_arrow(marked, cut, schema)
+    return in_arrow(marked, cut, schema, keep="sadedup")
 
 
 def repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -435,4 +436,4 @@ def repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = df.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
     marked = repeats(rows.select(document_key(rows, "__id").alias("d"), "text", "__id"), ["__id"]).select("__id", "text", "keys", "firsts", "spans")
     schema = f"__id {id_kind}, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,stop:long>>, kept_sha256 string"
-    return in_arrow(marked, _kept_rows, schema).withColumnRenamed("__id", id_col)
+    return in_arrow(marked, _kept_rows, schema, keep="sadedup").withColumnRenamed("__id", id_col)
