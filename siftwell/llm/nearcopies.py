@@ -9,10 +9,12 @@ one vertex drawn from those that share a rare shingle of it, by HEADS different
 comparisons a vertex and group, and joins large groups whose members are alike to some of the others only.
 Then sets of different groups meet by prefixes: two sets of a likeness of `least` share one of the first
 n - ceil(least * n) + 1 members in any common order. Common shingles, as a sample has them, come last in that order, so
-prefixes hold rare ones. Pairs that share a prefix member are held against each other as bit maps: members toggle bits, so maps
-differ in at most as many bits as sets in members, and only pairs within the limit become rows. The maps of two sets of more than
-FULL members together tell little. There the fingerprints must differ in at most REACH bits, too: at a likeness of 0.8 they differ in about
-10 of 64 with a deviation of 3, so that of such pairs of long texts two in ten million are lost. Shorter ones lose none.
+prefixes hold rare ones. Pairs that share a prefix member are held against each other by small facts: only pairs within the limit become rows.
+For two sets of at most FULL members together these are bit maps: members toggle bits, so maps differ in at most as many bits as sets in
+members, and no pair is lost. Maps of larger sets tell little. These have SIMS SimHash words of independent hashes, which must differ in at most
+REACH bits: at a likeness of 0.8 they differ in about 39 of 256 with a deviation of 6, so that of such pairs one in a hundred million million
+is lost, while unrelated sets differ in 128 with a deviation of 8, and one in three million of those that share a shingle by chance is compared
+by members. (By one word alone one in twelve was, with the members of both moved for each pair: disk grew with the square of the long texts.)
 """
 
 from __future__ import annotations
@@ -32,13 +34,15 @@ from .common import connected, durable, in_arrow, removed, slices, stored
 from .simhash import fingerprint_edges, in_groups, majority, stand_ins
 
 WIDTH, LEAST = 5, 0.8
-#: Differing bits of fingerprints that the index looks for, and at which a rare shingle shared by two sets of more than FULL members together is followed.
-BITS, REACH, FULL = 3, 26, 2048
+#: Differing bits of fingerprints that the index looks for.
+BITS = 3
+#: SimHash words of sets that may make more than FULL members together, and of how many bits of those such sets differ at most.
+SIMS, REACH, FULL = 4, 88, 1536
 #: Orders by which a shingle's vertex is drawn: a member of a large group is held against so many others of it.
 HEADS = 16
 #: Sampled sets, and how many of them make a shingle common.
 SAMPLE, COMMON = 4096, 4
-#: 64-bit words of a bit map.
+#: 64-bit words of a bit map of sets of at most 64 * WORDS members; larger ones have twice, four times as many, and so on.
 WORDS = 16
 #: Bits of the table of names asked for, which keeps other members out of the shuffle.
 TABLE = 1 << 25
@@ -68,11 +72,31 @@ def prefix(members: np.ndarray, common: np.ndarray, least: float = LEAST) -> np.
 
 
 def bit_map(members: np.ndarray) -> np.ndarray:
-    """Words (int64) of the bits that an odd number of members have as their lowest bits."""
-    hits = np.bincount((members & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+    """Words (int64) of the bits that an odd number of members have as their lowest bits; a bit for each member, at least."""
+    bits = 64 * WORDS
+    while bits < len(members):
+        bits *= 2
+    hits = np.bincount((members & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(hits.astype(np.uint8), bitorder="little").view("<i8")
 
 
+def folded(words: Column, to: Column) -> Column:
+    """A bit map's words as a map of `to` words, if it has twice as many; as they are, if it has no more."""
+    return F.when(F.size(words) > to, F.zip_with(F.slice(words, 1, to), F.slice(words, to + 1, to), lambda p, q: p.bitwiseXOR(q))).otherwise(words)
+
+
+def wider(members: np.ndarray, least: float = LEAST) -> np.ndarray:
+    """SimHash words (int64) beyond the first, each of other hashes of the members; zeros for sets too small to need them."""
+    out = np.zeros(SIMS - 1, "<u8")
+    if len(members) * (1 + 1 / least) > FULL:
+        for i in range(SIMS - 1):
+            h = members + np.uint64((i + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+            for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                h = (h ^ h >> np.uint64(shift)) * np.uint64(by)
+            out[i] = majority(h ^ h >> np.uint64(31))
+    return out.view("<i8")
+
+
 def _texts(df: DataFrame, *columns, text_col: str = "text") -> DataFrame:
     return df.select(*columns, F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
 
@@ -115,7 +139,7 @@ def common_shingles(texts: DataFrame, width: int = WIDTH, sample: int = SAMPLE)
 
 
 def shingle_sets(df: DataFrame, least: float = LEAST, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, fp: the set's name, sim: its SimHash, n, map: its bit map, lead: its prefix) of every row; null and empty texts have the empty set."""
+    """(id_col, fp: the set's name, sim: its SimHash, n, map: its bit map, wide: more SimHash words, lead: its prefix) of every row; null and empty texts have the empty set."""
     kind = df.schema[id_col].dataType.simpleString()
     common = common_shingles(_texts(df, text_col=text_col), width)
 
@@ -124,31 +148,40 @@ def shingle_sets(df: DataFrame, least: float = LEAST, width: int = WIDTH, id_col
             sets = [shingles(t, width) for t in b.column(1).to_pylist()]
             cols = [pa.array(map(vertex, sets), pa.int64()), pa.array(np.array([*map(majority, sets)], "<u8").view("<i8")), pa.array(map(len, sets), pa.int32())]
             cols.append(pa.array(map(bit_map, sets), pa.list_(pa.int64())))
+            cols.append(pa.array([wider(s, least) for s in sets], pa.list_(pa.int64())))
             cols.append(pa.array([prefix(s, common, least).view(np.int64) for s in sets], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=[id_col, "fp", "sim", "n", "map", "lead"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=[id_col, "fp", "sim", "n", "map", "wide", "lead"])
 
-    schema = f"`{id_col}` {kind}, fp long, sim long, n int, map array<long>, lead array<long>"
+    schema = f"`{id_col}` {kind}, fp long, sim long, n int, map array<long>, wide array<long>, lead array<long>"
     return in_arrow(_texts(df, F.col(id_col), text_col=text_col), run, schema)
 
 
-def facts_of(sets: DataFrame) -> DataFrame:
-    """(fp, sim, n, m0, ...): what two sets are first held against each other by; the words m are the bit map folded to half its bits."""
+def facts_of(sets: DataFrame, least: float = LEAST) -> DataFrame:
+    """(fp, sim, n, w1, ..., m0, ...): what two sets are first held against each other by; the words m are the bit map folded to half its bits.
+
+    Facts that no likely partner of a set's size asks for are zero, which takes little room in shuffles.
+    """
     half = WORDS // 2
-    return sets.select("fp", "sim", "n", *[F.col("map")[i].bitwiseXOR(F.col("map")[i + half]).alias(f"m{i}") for i in range(half)])
+    asked = F.col("n") * (1 + least) <= FULL + 1e-6
+    maps = [F.when(asked, F.col("map")[i].bitwiseXOR(F.col("map")[i + half])).otherwise(0).alias(f"m{i}") for i in range(half)]
+    return sets.select("fp", "sim", "n", *[F.col("wide")[i - 1].alias(f"w{i}") for i in range(1, SIMS)], *maps)
 
 
 def within_reach(x: Callable[[str], Column], y: Callable[[str], Column], least: float) -> Column:
-    """Whether two sets, of facts x(name) and y(name), may be alike: by sizes and bit maps, large ones by fingerprints too. Facts are never null."""
+    """Whether two sets, of facts x(name) and y(name), may be alike: by sizes and, up to FULL members, bit maps, else by SimHash words. Facts are never null."""
+    total = x("n") + y("n")
     sizes = F.least(x("n"), y("n")) >= F.lit(least) * F.greatest(x("n"), y("n")) - 1e-9
-    near = (x("n") + y("n") <= FULL) | (F.bit_count(x("sim").bitwiseXOR(y("sim"))) <= REACH)
-    differ = functools.reduce(operator.add, [F.bit_count(x(f"m{i}").bitwiseXOR(y(f"m{i}"))) for i in range(WORDS // 2)])
-    return sizes & near & (differ <= F.lit((1 - least) / (1 + least)) * (x("n") + y("n")) + 1e-6)
+    apart = lambda names: functools.reduce(operator.add, [F.bit_count(x(k).bitwiseXOR(y(k))) for k in names])
+    maps = apart([f"m{i}" for i in range(WORDS // 2)]) <= F.lit((1 - least) / (1 + least)) * total + 1e-6
+    return sizes & F.when(total <= FULL, maps).otherwise(apart(["sim", *[f"w{i}" for i in range(1, SIMS)]]) <= REACH)
 
 
 def alike(pairs: DataFrame, sets: DataFrame, texts: DataFrame, least: float = LEAST, width: int = WIDTH) -> DataFrame:
     """Those of the distinct pairs (a, b) of set names whose sets are alike to `least` or more; sets has (fp, n, map), only members of near maps are shuffled."""
     near = pairs.join(sets.select(F.col("fp").alias("a"), F.col("n").alias("na"), F.col("map").alias("x")), "a").join(sets.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("map").alias("y")), "b")
-    differ = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, c: t + c)
+    # sizes of alike sets differ by less than half, so one map has at most twice the words of the other
+    x, y = folded(F.col("x"), F.size("y")), folded(F.col("y"), F.size("x"))
+    differ = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, c: t + c)
     near = durable(near.where(differ <= F.lit((1 - least) / (1 + least)) * (F.col("na") + F.col("nb")) + 1e-6).select("a", "b"))
     asked = near.select(F.col("a").alias("fp")).union(near.select("b")).distinct()
     members = members_of(texts, width, asked_bits(asked)).join(asked, "fp", "left_semi").groupBy("fp").agg(F.first("members").alias("m"))
@@ -160,9 +193,9 @@ def alike(pairs: DataFrame, sets: DataFrame, texts: DataFrame, least: float = LE
 def alike_edges(sets: DataFrame, texts: DataFrame, least: float = LEAST, width: int = WIDTH) -> DataFrame:
     """Edges (a, b) of alike sets whose components are those of all such pairs; sets are rows of shingle_sets(), texts their texts."""
     spark = sets.sparkSession
-    whole, whole_at = stored(sets.where("n > 0").groupBy("fp").agg(*[F.first(c).alias(c) for c in ("sim", "n", "map", "lead")]))
+    whole, whole_at = stored(sets.where("n > 0").groupBy("fp").agg(*[F.first(c).alias(c) for c in ("sim", "n", "map", "wide", "lead")]))
     some, some_at = stored(whole.drop("lead"))
-    facts = facts_of(some)
+    facts = facts_of(some, least)
     # shingles shared by prefixes, with a vertex drawn for each: names alone are dealt, facts are joined to what is left
     # names are dealt by shingle once, and both the drawing and the join read that; a name that a mask turns smallest is drawn
     rows = whole.select("fp", F.explode("lead").alias("s")).repartition("s")

@@ -5,8 +5,8 @@ Gray rank, in which neighbours share long bit patterns, and cut into runs, the i
 and the values of the bits that all its members share; nodes are grouped into upper nodes by place, up to a few
 hundred at the top. The index is searched against itself from the top: of each pair of nodes the differences in bits
 that both share are added up, level by level, each level only counting the bits that the levels above have not;
-beyond `bits` the pair goes, and with it all pairs of fingerprints below. Runs that are left meet in one row of a
-join, where smaller nodes prune in the same way before fingerprints are compared.
+beyond `bits` the pair goes, and with it all pairs of fingerprints below. Runs are dealt to tiles, once for each block of
+runs, and the pairs that are left, names of runs only, meet them there: smaller nodes prune in the same way before fingerprints are compared.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from .common import connected, durable, in_arrow, shuffle_partitions, slices
 SMALL = 1_000_000
 #: Fingerprints of a run and of a node within it; most nodes of the top level.
 RUN, LEAF, TOP = 512, 16, 512
+#: Blocks of runs, at least, and runs of a block, about and at most: two blocks make a tile.
+BLOCKS, SIDE = 8, 1024
 #: Bits of a node's place that each level drops: 64 runs of a partition, the partition, 64 partitions and so on.
 LEVELS = [0, 6, 32, 38, 44, 50, 56]
 
@@ -171,37 +173,53 @@ def near_runs(levels: list[DataFrame], bits: int) -> DataFrame:
     return pairs.select("a", "b")
 
 
+def tiles(runs: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Pairs (i, j, a, b) by the tile of their runs' blocks, each tile's runs (i2, j2, place, codes), and the number of blocks.
+
+    A run goes to one tile for each block and not to each of its pairs, whose number grows with the square of the runs.
+    """
+    blocks = max(BLOCKS, -(-runs.count() // SIDE))
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+    dealt = pairs.select(F.least(block("a"), block("b")).alias("i"), F.greatest(block("a"), block("b")).alias("j"), "a", "b")
+    own = runs.select(block("place").alias("x"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("y"), "place", "codes")
+    return dealt, own.select(F.least("x", "y").alias("i2"), F.greatest("x", "y").alias("j2"), "place", "codes"), blocks
+
+
 def fingerprint_edges(fps: DataFrame, bits: int = 2, run: int = RUN, top: int = TOP) -> DataFrame:
     """Edges (a, b) between distinct fingerprints whose components are those of all links of at most `bits` bits.
 
-    fps has a column fp of distinct values, no nulls. Of each two runs that meet, the links are reduced to a forest, so
+    fps has a column fp of distinct values, no nulls. The links of a tile are reduced to a forest, so
     a dense group gives no more edges than it has members there.
     """
     runs = gray_runs(fps, run)
-    pairs = near_runs(node_levels(runs, top), bits)
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: list[np.ndarray] = []
-            for left, right in zip(b.column(0), b.column(1)):
-                x, y = (np.frombuffer(c.as_buffer(), "<u8") for c in (left, right))
-                i, j = links_between(x, y, bits)
-                if left.equals(right):
-                    i, j, codes = *(k[i < j] for k in (i, j)), x
-                else:
-                    j, codes = j + len(x), np.concatenate([x, y])
-                if len(i):
-                    used, at = np.unique(np.concatenate([i, j]), return_inverse=True)
-                    own = codes[used]
-                    least = forest(own, at[: len(i)], at[len(i) :])
-                    out.append(np.stack([own, least])[:, own != least])
-            if out:
-                a, least = np.concatenate(out, axis=1).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(least)], names=["a", "b"])
-
-    codes = runs.select("place", "codes")
-    met = pairs.join(codes.select(F.col("place").alias("a"), F.col("codes").alias("x")), "a").join(codes.select(F.col("place").alias("b"), F.col("codes").alias("y")), "b")
-    return in_arrow(met.select("x", "y"), search, "a long, b long").distinct()
+    dealt, own, blocks = tiles(runs, near_runs(node_levels(runs, top), bits))
+
+    def reduced(out: list[np.ndarray]) -> np.ndarray:
+        used, at = np.unique(np.concatenate(out, axis=1), return_inverse=True)
+        i, j = at.reshape(2, -1)
+        least = forest(used, i, j)
+        return np.stack([used, least])[:, used != least]
+
+    def search(pairs: pa.Table, held: pa.Table) -> pa.Table:
+        codes = {place: np.frombuffer(c.as_buffer(), "<u8") for place, c in zip(held["place"].to_pylist(), held["codes"])}
+        out, size = [np.zeros((2, 0), np.uint64)], 0
+        for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
+            x, y = codes[a], codes[b]
+            i, j = links_between(x, y, bits)
+            if a == b:
+                i, j = (k[i < j] for k in (i, j))
+            if len(i):
+                out.append(np.stack([x[i], y[j]]))
+                size += len(i)
+            if size >= 1 << 20:
+                out, size = [reduced(out)], 0
+        a, least = reduced(out).view(np.int64)
+        return pa.table({"a": a, "b": least})
+
+    # by numbers of partitions that are not put together again: tiles are small, but much is compared in each
+    n = blocks * blocks
+    met = dealt.repartition(n, "i", "j").groupBy("i", "j").cogroup(own.repartition(n, "i2", "j2").groupBy("i2", "j2"))
+    return met.applyInArrow(search, "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, bits: int = 2, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
