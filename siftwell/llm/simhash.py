@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected, durable, in_arrow, shuffle_partitions, slices
+from .common import connected, durable, in_arrow, let_go, released, shuffle_partitions, slices
 
 #: Ids of rows that go, up to which they are broadcast.
 SMALL = 1_000_000
@@ -201,6 +201,7 @@ def fingerprint_edges(fps: DataFrame, bits: int = 2, run: int = RUN, top: int =
         return np.stack([used, least])[:, used != least]
 
     def search(pairs: pa.Table, held: pa.Table) -> pa.Table:
+        let_go()
         codes = {place: np.frombuffer(c.as_buffer(), "<u8") for place, c in zip(held["place"].to_pylist(), held["codes"])}
         out, size = [np.zeros((2, 0), np.uint64)], 0
         for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
@@ -214,6 +215,8 @@ def fingerprint_edges(fps: DataFrame, bits: int = 2, run: int = RUN, top: int =
             if size >= 1 << 20:
                 out, size = [reduced(out)], 0
         a, least = reduced(out).view(np.int64)
+        del out, codes
+        released()
         return pa.table({"a": a, "b": least})
 
     # by numbers of partitions that are not put together again: tiles are small, but much is compared in each
